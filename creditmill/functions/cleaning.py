@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,8 +10,7 @@ from creditmill.schema import MONEY
 
 WHITESPACE = " \t\n\r\x0b\x0c"
 
-# Texts that stand for a missing value.
-NULL_TOKENS = ("nan", "None", "NaT", "nat", "", "0000-00-00", "0000-00-00 00:00:00")
+# Texts that stand for a missing name.
 BLANK_NAMES = ("nan", "none", "")
 
 DISBURSED = "Desembolsado"
@@ -67,12 +66,6 @@ def stripped(c: Column) -> Column:
     return F.btrim(c.cast("string"), F.lit(WHITESPACE))
 
 
-def blank_to_null(c: Column) -> Column:
-    """Trimmed text, null for any token that stands for a missing value."""
-    text = stripped(c)
-    return F.when(~text.isin(*NULL_TOKENS), text)
-
-
 def known_name(c: Column) -> Column:
     """`c` unchanged, or null when it is blank, ``nan`` or ``none``."""
     return F.when(~F.lower(stripped(c)).isin(*BLANK_NAMES), c)
@@ -107,26 +100,58 @@ def utc_wall_clock(instant: Column) -> Column:
     )
 
 
-def mixed_timestamp(c: Column, data_type: T.DataType) -> Column:
-    """Zone-free UTC timestamp out of a date column of any type.
-
-    Text may be ISO (blank or ``T``, ``Z`` or an offset, fractions, no seconds),
-    ``yyyyMMdd``, or day-first with slashes, dots or dashes. Anything else is null.
-    """
-    if isinstance(data_type, T.TimestampType):
-        return utc_wall_clock(c)
-    if not isinstance(data_type, T.StringType):
-        return c.cast("timestamp_ntz")
-    text = blank_to_null(c)
+def iso_text(c: Column) -> Column:
+    """ISO spelling of a date text. The usual ISO forms pass as they are; day-first,
+    slashed and compact dates and zoned times without seconds are rewritten."""
+    text = stripped(c)
+    usual = (F.substring(text, 5, 1) == "-") & (
+        (F.length(text) <= 16) | (F.substring(text, 17, 1) == ":")
+    )
     iso = F.regexp_replace(text, r"^(\d{1,2})[/.-](\d{1,2})[/.-](\d{4})", "$3-$2-$1")
     iso = F.regexp_replace(iso, r"^(\d{4})/(\d{1,2})/(\d{1,2})", "$1-$2-$3")
     iso = F.regexp_replace(iso, r"^(\d{4})(\d{2})(\d{2})\b", "$1-$2-$3")
     iso = F.regexp_replace(iso, r"([T ]\d{1,2}:\d{2})(Z|[+-]\d{2}:?\d{2})?$", "$1:00$2")
-    zoned = iso.rlike(r":\d{2}(\.\d+)? ?(Z|[+-]\d{2}(:?\d{2})?)$")
-    parsed = F.when(zoned, utc_wall_clock(iso.try_cast("timestamp"))).otherwise(
-        iso.try_cast("timestamp_ntz")
+    return F.when(usual, text).otherwise(iso)
+
+
+def iso_timestamp(c: Column) -> Column:
+    """Zone-free UTC timestamp of ISO text, null for any other. A zone is told by its
+    place at the end, which the sign in a plain date cannot reach."""
+    signs = ("+", "-")
+    zoned = c.endswith("Z") | (
+        (F.length(c) > 16)
+        & (
+            F.substring(c, -6, 1).isin(*signs)
+            | F.substring(c, -5, 1).isin(*signs)
+            | F.substring(c, -3, 1).isin(*signs)
+        )
+    )
+    parsed = F.when(zoned, utc_wall_clock(c.try_cast("timestamp"))).otherwise(
+        c.try_cast("timestamp_ntz")
     )
-    return F.when(iso.rlike(r"^\d{4}-"), parsed)
+    return F.when(F.substring(c, 5, 1) == "-", parsed)
+
+
+def parse_timestamps(df: DataFrame, *columns: str) -> DataFrame:
+    """Zone-free UTC timestamps in place of date columns of any type.
+
+    Text may be ISO (blank or ``T``, ``Z`` or an offset, fractions, no seconds),
+    ``yyyyMMdd``, or day-first with slashes, dots or dashes; anything else is null.
+    Two projections, so that each text is rewritten once and not per use.
+    """
+    rewritten, parsed = {}, {}
+    for name in columns:
+        c, found = df[f"`{name}`"], df.schema[name].dataType
+        if isinstance(found, T.TimestampType):
+            parsed[name] = utc_wall_clock(c)
+        elif isinstance(found, T.StringType):
+            rewritten[name] = iso_text(c)
+            parsed[name] = iso_timestamp(F.col(f"`{name}`"))
+        else:
+            parsed[name] = c.cast("timestamp_ntz")
+    if rewritten:
+        df = df.withColumns(rewritten)
+    return df.withColumns(parsed) if parsed else df
 
 
 def translate_status(c: Column) -> Column:

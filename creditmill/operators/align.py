@@ -28,7 +28,7 @@ def _typed(df: DataFrame, source: str, target: T.StructField) -> Column:
     c = df[f"`{source}`"]
     found = df.schema[source].dataType
     if isinstance(target.dataType, T.TimestampNTZType):
-        return cl.mixed_timestamp(c, found)
+        return c
     if isinstance(target.dataType, T.DecimalType):
         return cl.money(c, found)
     if target.name == s.STATUS:
@@ -41,7 +41,7 @@ def _typed(df: DataFrame, source: str, target: T.StructField) -> Column:
 
 
 def resolve_contracts(df: DataFrame) -> DataFrame:
-    """Canonical contract table out of a raw one, in a single projection.
+    """Canonical contract table out of a raw one, by projections alone.
 
     Renames database columns, translates statuses, parses dates and amounts,
     adds what is missing as typed nulls and carries unknown columns through last.
@@ -53,6 +53,8 @@ def resolve_contracts(df: DataFrame) -> DataFrame:
     for source, target in {**s.SOURCE_ALIASES, "fundo": s.FUND_RAW}.items():
         if source in present and target not in present:
             sources.setdefault(target, []).append(source)
+    dates = [f.name for f in s.CONTRACT.fields if isinstance(f.dataType, T.TimestampNTZType)]
+    df = cl.parse_timestamps(df, *[source for name in dates for source in sources.get(name, [])])
     canonical = []
     for field in s.CONTRACT.fields:
         parts = [_typed(df, source, field) for source in sources.get(field.name, [])]

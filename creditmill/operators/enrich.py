@@ -99,18 +99,18 @@ def enrich_contracts(
     broker: DataFrame | None = None,
     hierarchy: DataFrame | None = None,
     *,
-    order: Sequence[str | Column],
+    order: Sequence[str | Column] | None,
     null_keys_match: bool = False,
     limit: int = BROADCAST_LIMIT_BYTES,
 ) -> DataFrame:
     """The table every metric reads.
 
     `order` decides which row of a repeated contract id stays; make it total for
-    repeatable results. The duplicates go first: dimensions hold one row per key,
+    repeatable results, or None where ids are unique. The duplicates go first: dimensions hold one row per key,
     so joining them afterwards gives the same rows and moves fewer. Dimensions
     that are left out leave out their attributes.
     """
-    df = first_per_key(contracts, s.CCB, order)
+    df = contracts if order is None else first_per_key(contracts, s.CCB, order)
     if tables is not None:
         df = attach_products(df, tables, limit)
     if broker is not None and hierarchy is not None:

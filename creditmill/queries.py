@@ -15,6 +15,7 @@ from creditmill.functions import calendar as cal
 from creditmill.functions import cleaning as cl
 from creditmill.functions import display
 from creditmill.operators.align import align_to, resolve_contracts
+from creditmill.operators.keys import first_per_key
 from creditmill.operators.materialize import checkpoint_root
 from creditmill.plans import access, funnel, hierarchy, pricing, production, quality, tables
 from creditmill.sources import sinks, star
@@ -62,8 +63,10 @@ def scan_contracts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def dedupe_contracts(df: DataFrame) -> DataFrame:
-    return df.select(
+def dedupe_contracts(spark: SparkSession, folder: str) -> DataFrame:
+    """The first row of every contract id, found on the contract table itself."""
+    unique = first_per_key(star.contracts(spark, folder), s.CCB, star.DEDUPE_ORDER)
+    return as_doubles(unique).select(
         s.CCB, s.STATUS, s.DISBURSED_ON, s.TYPED_ON, s.TABLE_ID, s.GROSS, s.NET, s.BROKER_CODE
     )
 
@@ -137,9 +140,8 @@ def date_parse_mixed(spark: SparkSession, folder: str) -> DataFrame:
         .when(kind == 6, F.lit("0000-00-00"))
         .otherwise(F.concat(F.lit("lixo "), F.date_format(day, "yyyy")))
     )
-    return star.table(spark, folder, "orders").select(
-        "o_orderkey", cl.mixed_timestamp(text, T.StringType()).alias("data")
-    )
+    written = star.table(spark, folder, "orders").select("o_orderkey", text.alias("data"))
+    return cl.parse_timestamps(written, "data")
 
 
 def business_days(spark: SparkSession, folder: str) -> DataFrame:
@@ -293,7 +295,7 @@ def batch_daily_totals(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "scan_contracts": scan_contracts,
-    "dedupe_contracts": _metric(dedupe_contracts),
+    "dedupe_contracts": dedupe_contracts,
     "enrich_contracts": _metric(enrich_contracts, needs="products sales"),
     "monthly_production": _metric(production.monthly_production),
     "product_month": _metric(production.product_month, needs="products"),

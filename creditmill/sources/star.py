@@ -11,19 +11,31 @@ from creditmill import schema as s
 from creditmill.functions.cleaning import translate_status
 from creditmill.operators.dims import broadcast_if_small
 from creditmill.operators.enrich import enrich_contracts
+from creditmill.operators.keys import first_per_key
 
 AS_OF = dt.date(2001, 7, 17)
 # Together with the contract id these leave no two rows alike.
-DEDUPE_ORDER = ("_shipdate", "_partkey", "_suppkey", "_price")
+DEDUPE_ORDER = ("l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice")
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def contracts(spark: SparkSession, folder: str, table_names: bool = False) -> DataFrame:
-    """One contract row per line item, ids repeated on purpose."""
-    line = table(spark, folder, "lineitem")
+def contracts(
+    spark: SparkSession, folder: str, table_names: bool = False, unique: bool = False
+) -> DataFrame:
+    """One contract row per line item, ids repeated on purpose.
+
+    With `unique`, only the first row of an id stays. It is picked among the line
+    items, before the join and on their own narrow columns: less is shuffled, and no
+    order is left with more rows than it has line numbers.
+    """
+    line = table(spark, folder, "lineitem").withColumn(
+        "_id", F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    )
+    if unique:
+        line = first_per_key(line, "_id", DEDUPE_ORDER)
     order = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
     joined = line.join(order, line.l_orderkey == order.o_orderkey)
     if table_names:
@@ -43,7 +55,7 @@ def contracts(spark: SparkSession, folder: str, table_names: bool = False) -> Da
     gross = F.when(F.col("l_quantity") != 13, F.col("l_extendedprice").cast(s.MONEY))
     kept = F.lit(1) - F.col("l_discount").cast("decimal(4,2)")
     return joined.select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string").alias(s.CCB),
+        F.col("_id").cast("string").alias(s.CCB),
         F.when(dated, F.col("l_shipdate")).alias(s.DISBURSED_ON),
         F.col("o_orderdate").alias(s.TYPED_ON),
         translate_status(code).alias(s.STATUS),
@@ -53,10 +65,7 @@ def contracts(spark: SparkSession, folder: str, table_names: bool = False) -> Da
         F.round(gross * kept, 2).cast(s.MONEY).alias(s.NET),
         F.col("l_suppkey").alias(s.BROKER_CODE),
         F.lit(None).cast("string").alias(s.FUND_RAW),
-        F.col("l_shipdate").alias("_shipdate"),
-        F.col("l_partkey").alias("_partkey"),
-        F.col("l_suppkey").alias("_suppkey"),
-        F.col("l_extendedprice").alias("_price"),
+        *DEDUPE_ORDER,
     )
 
 
@@ -111,9 +120,9 @@ def enriched(
 ) -> DataFrame:
     """Enriched contracts with the attributes asked for."""
     return enrich_contracts(
-        contracts(spark, folder, table_names),
+        contracts(spark, folder, table_names, unique=True).drop(*DEDUPE_ORDER),
         product_tables(spark, folder) if products else None,
         brokers(spark, folder) if sales else None,
         hierarchy(spark, folder) if sales else None,
-        order=DEDUPE_ORDER,
-    ).drop(*DEDUPE_ORDER)
+        order=None,
+    )

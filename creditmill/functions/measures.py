@@ -1,7 +1,9 @@
 """Aggregates and ratios the metrics share.
 
-Amounts are summed as decimals, so a result does not depend on the order in
-which partitions arrive. Ratios are taken in double and rounded half-even.
+Counts are sums of the counts each row carries, so a metric gives the same result
+over enriched contracts and over the daily cells they were folded to. Amounts are
+summed as decimals, so a result does not depend on the order in which partitions
+arrive. Ratios are taken in double and rounded half-even.
 """
 
 from __future__ import annotations
@@ -9,35 +11,34 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from creditmill.schema import CCB, GROSS, NET, TOTAL
+from creditmill.schema import GROSS, N_IDS, N_ROWS, NET, TOTAL
 
 
 def total(c: Column) -> Column:
-    """Sum that is 0 when nothing is there to add."""
-    return F.coalesce(F.sum(c), F.lit(0).cast(TOTAL))
-
-
-def count_where(condition: Column, c: Column | None = None) -> Column:
-    return F.count(F.when(condition, F.lit(1) if c is None else c))
+    """Sum of amounts, 0 when there is nothing to add."""
+    return F.coalesce(F.sum(c), F.lit(0)).cast(TOTAL)
 
 
 def total_where(condition: Column, c: Column) -> Column:
     return total(F.when(condition, c))
 
 
-def production(counted: str = CCB) -> list[Column]:
+def counted(counter: str = N_ROWS) -> Column:
+    return F.coalesce(F.sum(counter), F.lit(0))
+
+
+def count_where(condition: Column, counter: str = N_ROWS) -> Column:
+    return F.coalesce(F.sum(F.when(condition, F.col(counter))), F.lit(0))
+
+
+def production(counter: str = N_IDS) -> list[Column]:
     """Contracts `C`, gross `B` and net `L`."""
-    return [
-        F.count(counted).alias("C"),
-        total(F.col(GROSS)).alias("B"),
-        total(F.col(NET)).alias("L"),
-    ]
+    return [counted(counter).alias("C"), total(F.col(GROSS)).alias("B"), total(F.col(NET)).alias("L")]
 
 
 def merged_production() -> list[Column]:
     """`C`, `B`, `L` of groups that already hold them."""
-    return [F.sum("C").alias("C"), total(F.col("B")).cast(TOTAL).alias("B"),
-            total(F.col("L")).cast(TOTAL).alias("L")]
+    return [F.sum("C").alias("C"), total(F.col("B")).alias("B"), total(F.col("L")).alias("L")]
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:

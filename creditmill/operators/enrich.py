@@ -115,6 +115,20 @@ def enrich_contracts(
         df = attach_products(df, tables, limit)
     if broker is not None and hierarchy is not None:
         df = attach_sales(df, broker, hierarchy, null_keys_match, limit)
+    one = F.lit(1).cast("bigint")
+    none = F.lit(0).cast("bigint")
+    counted = df.withColumns(
+        {
+            s.N_ROWS: one,
+            s.N_IDS: F.when(F.col(s.CCB).isNotNull(), one).otherwise(none),
+            s.N_GROSS: F.when(F.col(s.GROSS).isNotNull(), one).otherwise(none),
+        }
+    )
+    return with_periods(counted)
+
+
+def with_periods(df: DataFrame) -> DataFrame:
+    """Month of disbursement, month of typing and status category."""
     return df.withColumns(
         {
             s.MONTH: month_key(F.col(s.DISBURSED_ON)),

@@ -21,17 +21,17 @@ ALL = "todos"
 
 def status_mix(df: DataFrame) -> DataFrame:
     return (
-        df.groupBy(s.CATEGORY).agg(F.count(s.CCB).alias("v")).orderBy(F.desc("v"), s.CATEGORY)
+        df.groupBy(s.CATEGORY).agg(ms.counted(s.N_IDS).alias("v")).orderBy(F.desc("v"), s.CATEGORY)
     )
 
 
 def status_rollup(df: DataFrame) -> DataFrame:
     """Disbursed, cancelled and everything else, by category."""
-    category, ccb = F.col(s.CATEGORY), F.col(s.CCB)
+    category = F.col(s.CATEGORY)
     return df.agg(
-        ms.count_where(category == cl.DISBURSED, ccb).alias("st_des"),
-        ms.count_where(category == cl.CANCELLED, ccb).alias("st_canc"),
-        ms.count_where(~category.isin(cl.DISBURSED, cl.CANCELLED), ccb).alias("st_ag"),
+        ms.count_where(category == cl.DISBURSED, s.N_IDS).alias("st_des"),
+        ms.count_where(category == cl.CANCELLED, s.N_IDS).alias("st_canc"),
+        ms.count_where(~category.isin(cl.DISBURSED, cl.CANCELLED), s.N_IDS).alias("st_ag"),
     )
 
 
@@ -44,8 +44,8 @@ def _conversion(df: DataFrame, key: str) -> DataFrame:
         df.where(F.col(key).isNotNull())
         .groupBy(key)
         .agg(
-            F.count(s.CCB).alias("Total"),
-            ms.count_where(is_disbursed(), F.col(s.CCB)).alias("Desemb"),
+            ms.counted(s.N_IDS).alias("Total"),
+            ms.count_where(is_disbursed(), s.N_IDS).alias("Desemb"),
         )
     )
 
@@ -68,8 +68,8 @@ def _pipeline(df: DataFrame, condition: Column, *keys: str) -> DataFrame:
     return (
         df.groupBy(*keys)
         .agg(
-            F.count(s.CCB).alias("total"),
-            ms.count_where(condition, F.col(s.CCB)).alias("desemb"),
+            ms.counted(s.N_IDS).alias("total"),
+            ms.count_where(condition, s.N_IDS).alias("desemb"),
             ms.total_where(condition, F.col(s.GROSS)).alias("bruta"),
             ms.total_where(condition, F.col(s.NET)).alias("liq"),
         )
@@ -101,12 +101,12 @@ def cohort_conversion(df: DataFrame, dense: bool = False) -> DataFrame:
     then counts once for either month, so the month axis needs no join. `dense` also
     shows months in which nothing was typed.
     """
-    status, ccb = F.col(s.STATUS), F.col(s.CCB)
+    status = F.col(s.STATUS)
     cells = df.groupBy(s.COHORT, s.MONTH).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count(ccb).alias("total"),
-        ms.count_where(status == cl.DISBURSED, ccb).alias("desemb"),
-        ms.count_where(status == cl.CANCELLED, ccb).alias("canc"),
+        ms.counted().alias("rows"),
+        ms.counted(s.N_IDS).alias("total"),
+        ms.count_where(status == cl.DISBURSED, s.N_IDS).alias("desemb"),
+        ms.count_where(status == cl.CANCELLED, s.N_IDS).alias("canc"),
         ms.count_where(status == cl.DISBURSED).alias("dated"),
     )
     zero = F.lit(0).cast("bigint")
@@ -141,7 +141,7 @@ def dense_month_product(df: DataFrame) -> DataFrame:
     Month list and cells come from one aggregate, computed once. The list holds one
     entry per calendar month and reaches the products as a scalar subquery.
     """
-    cells = computed_once(disbursed(df).groupBy(s.MONTH, s.PRODUCT).agg(F.count(s.CCB).alias("C")))
+    cells = computed_once(disbursed(df).groupBy(s.MONTH, s.PRODUCT).agg(ms.counted(s.N_IDS).alias("C")))
     months = cells.agg(F.sort_array(F.collect_set(s.MONTH))).scalar()
     known = cells.where(cl.known_name(F.col(s.PRODUCT)).isNotNull())
     found = known.groupBy(s.PRODUCT).agg(
@@ -158,10 +158,10 @@ def product_series(
 ) -> DataFrame:
     """Monthly contracts of the lead product and of the first of `seconds` that ever
     had a disbursement, 0 where none."""
-    product, ccb = F.col(s.PRODUCT), F.col(s.CCB)
+    product = F.col(s.PRODUCT)
     months = disbursed(df).groupBy(s.MONTH).agg(
-        ms.count_where(product == lead, ccb).alias("lead"),
-        *[ms.count_where(product == name, ccb).alias(f"c{i}") for i, name in enumerate(seconds)],
+        ms.count_where(product == lead, s.N_IDS).alias("lead"),
+        *[ms.count_where(product == name, s.N_IDS).alias(f"c{i}") for i, name in enumerate(seconds)],
         *[ms.count_where(product == name).alias(f"n{i}") for i, name in enumerate(seconds)],
     )
     # One entry per calendar month.
@@ -249,7 +249,7 @@ def period_slices_status(df: DataFrame, as_of: dt.date) -> DataFrame:
     return (
         _in_periods(df, as_of)
         .groupBy("periodo", s.CATEGORY)
-        .agg(F.count(s.CCB).alias("v"))
+        .agg(ms.counted(s.N_IDS).alias("v"))
         .orderBy("periodo", F.desc("v"), s.CATEGORY)
     )
 

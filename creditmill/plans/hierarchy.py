@@ -23,7 +23,7 @@ def _chains(df: DataFrame, *keys: str) -> DataFrame:
     return (
         disbursed(df)
         .groupBy(*keys, *s.LEVELS)
-        .agg(*ms.production(s.GROSS), F.min(s.DISBURSED_ON).alias("_first"))
+        .agg(*ms.production(s.N_GROSS), F.min(s.DISBURSED_ON).alias("_first"))
     )
 
 
@@ -76,7 +76,7 @@ def rank_partner_enriched(df: DataFrame, n: int = LEVEL_LIMITS[s.PARTNER]) -> Da
 
 def _level_month(df: DataFrame, level: str, *keys: str) -> DataFrame:
     valid = disbursed(df).where(cl.valid_name(F.col(level)))
-    return valid.groupBy(*keys, level, s.MONTH).agg(*ms.production(s.GROSS))
+    return valid.groupBy(*keys, level, s.MONTH).agg(*ms.production(s.N_GROSS))
 
 
 def sup_month(df: DataFrame) -> DataFrame:

@@ -9,21 +9,25 @@ from pyspark.sql import functions as F
 
 from creditmill.functions import display
 from creditmill.functions.calendar import day_literal
+from creditmill.operators.cells import daily_cells
+from creditmill.operators.materialize import computed_once
 from creditmill.plans import funnel, hierarchy, production, tables
 from creditmill.sources.sinks import panel_rows, write_json
 
 
 def panel_metrics(
-    df: DataFrame,
+    contracts: DataFrame,
     as_of: dt.date,
     lead: str = production.LEAD_PRODUCT,
     seconds: tuple[str, ...] = production.SECOND_PRODUCTS,
 ) -> dict[str, DataFrame]:
     """Every metric by name, not yet run.
 
-    Store the enriched table first (`write_run`) and pass what `read_run` gives, so
-    that the duplicates and joins are worked out once for all of them.
+    Store the enriched contracts first (`write_run`, by month) and pass what `read_run`
+    gives. They are then read once, into daily cells that every metric shares; only
+    the table mix goes back to the contracts, of the month it is about.
     """
+    df = computed_once(daily_cells(contracts))
     whole = {
         f.__name__: f(df)
         for f in (
@@ -45,12 +49,14 @@ def panel_metrics(
             production.today_totals, production.today_partner, production.today_product,
             production.today_fund, production.day_by_day, production.run_rate,
             funnel.period_slices, funnel.period_slices_product, funnel.period_slices_fund,
-            funnel.period_slices_status, tables.table_mix_month, tables.table_mix_month_product,
+            funnel.period_slices_status,
         )
     }
     return {
         **whole,
         **dated,
+        "table_mix_month": tables.table_mix_month(contracts, as_of),
+        "table_mix_month_product": tables.table_mix_month_product(contracts, as_of),
         "cohort_conversion": funnel.cohort_conversion(df, dense=True),
         "product_series": funnel.product_series(df, lead, seconds),
         "product_kpis": production.product_kpis(df, as_of, lead, seconds[0]),

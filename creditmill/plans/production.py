@@ -58,7 +58,7 @@ def fund_totals(df: DataFrame) -> DataFrame:
 def grand_totals(df: DataFrame) -> DataFrame:
     done = is_disbursed()
     return df.agg(
-        F.count(F.lit(1)).alias("total_reg"),
+        ms.counted().alias("total_reg"),
         ms.count_where(done).alias("total_des"),
         ms.total_where(done, F.col(s.GROSS)).alias("total_bruto"),
         ms.total_where(done, F.col(s.NET)).alias("total_liq"),
@@ -124,11 +124,8 @@ def on_day(df: DataFrame, as_of: dt.date) -> DataFrame:
 
 
 def _totals(df: DataFrame) -> DataFrame:
-    return df.agg(
-        F.count(F.lit(1)).alias("C"),
-        ms.total(F.col(s.GROSS)).alias("B"),
-        ms.total(F.col(s.NET)).alias("L"),
-    )
+    """Here every row counts, with an id or without."""
+    return df.agg(*ms.production(s.N_ROWS))
 
 
 def mtd_totals(df: DataFrame, as_of: dt.date) -> DataFrame:
@@ -189,13 +186,13 @@ def run_rate(df: DataFrame, as_of: dt.date) -> DataFrame:
     The month before is the second-last month that has a disbursement. All of it
     comes from the monthly totals, whose number the calendar bounds.
     """
-    months = disbursed(df).groupBy(s.MONTH).agg(F.count(F.lit(1)).alias("N"), *ms.production())
+    months = disbursed(df).groupBy(s.MONTH).agg(ms.counted().alias("N"), *ms.production())
     current = F.col(s.MONTH) >= cal.month_of(as_of)
     listed = F.sort_array(F.collect_list(F.struct(s.MONTH, "B", "C")), asc=False)
     sums = months.agg(
         F.coalesce(F.sum(F.when(current, F.col("N"))), F.lit(0)).alias("C"),
-        ms.total_where(current, F.col("B")).cast(s.TOTAL).alias("B"),
-        ms.total_where(current, F.col("L")).cast(s.TOTAL).alias("L"),
+        ms.total_where(current, F.col("B")).alias("B"),
+        ms.total_where(current, F.col("L")).alias("L"),
         F.get(listed, F.lit(1)).alias("_previous"),
     )
     today = cal.day_literal(as_of)
@@ -245,16 +242,16 @@ def product_kpis(df: DataFrame, as_of: dt.date, lead: str = LEAD_PRODUCT,
     """
     done = is_disbursed()
     today = done & cal.within_day(F.col(s.DISBURSED_ON), as_of)
-    gross, net, ccb = F.col(s.GROSS), F.col(s.NET), F.col(s.CCB)
+    gross, net = F.col(s.GROSS), F.col(s.NET)
     products = (
         df.where(F.col(s.PRODUCT).isNotNull())
         .groupBy(s.PRODUCT)
         .agg(
-            F.count(ccb).alias("total"),
-            ms.count_where(done, ccb).alias("desemb"),
+            ms.counted(s.N_IDS).alias("total"),
+            ms.count_where(done, s.N_IDS).alias("desemb"),
             ms.total_where(done, gross).alias("bruta"),
             ms.total_where(done, net).alias("liq"),
-            ms.count_where(today, ccb).alias("hoje_c"),
+            ms.count_where(today, s.N_IDS).alias("hoje_c"),
             ms.total_where(today, gross).alias("hoje_b"),
             ms.total_where(today, net).alias("hoje_l"),
         )

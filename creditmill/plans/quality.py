@@ -15,7 +15,7 @@ from creditmill.operators.keys import top_rows
 def value_counts_top(df: DataFrame, column: str, n: int = 10) -> DataFrame:
     """Most frequent values of a column, nulls left out."""
     values = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("valor"))
-    return top_rows(values.agg(F.count(F.lit(1)).alias("n")), n, "n", "valor")
+    return top_rows(values.count().withColumnRenamed("count", "n"), n, "n", "valor")
 
 
 def date_coverage(df: DataFrame) -> DataFrame:
@@ -25,9 +25,9 @@ def date_coverage(df: DataFrame) -> DataFrame:
     return df.agg(
         F.count(F.lit(1)).alias("total"),
         F.count(day).alias("com_data"),
-        ms.count_where(day.isNull()).alias("sem_data"),
-        ms.count_where(done & day.isNotNull()).alias("des_com_data"),
-        ms.count_where(done & day.isNull()).alias("des_sem_data"),
+        F.count_if(day.isNull()).alias("sem_data"),
+        F.count_if(done & day.isNotNull()).alias("des_com_data"),
+        F.count_if(done & day.isNull()).alias("des_sem_data"),
         F.to_date(F.min(day)).alias("primeira"),
         F.to_date(F.max(day)).alias("ultima"),
     )

@@ -37,8 +37,8 @@ def _mix(df: DataFrame, as_of: dt.date, *keys: str) -> DataFrame:
     return (
         named.groupBy(*keys, s.TABLE_NAME, effective_fund().alias("_fund"))
         .agg(
-            F.count(s.CCB).alias("C"),
-            ms.count_where(done, F.col(s.CCB)).alias("Cdes"),
+            ms.counted(s.N_IDS).alias("C"),
+            ms.count_where(done, s.N_IDS).alias("Cdes"),
             ms.total_where(done, F.col(s.GROSS)).alias("B"),
             ms.total_where(done, F.col(s.NET)).alias("L"),
         )

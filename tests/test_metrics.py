@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from creditmill import schema as s
 from creditmill.functions.cleaning import INTERNAL_LABEL
+from creditmill.operators.cells import daily_cells
 from creditmill.plans import funnel, hierarchy, production, quality, tables
 from creditmill.plans.panel import panel_metrics
 from fixtures import AS_OF, CONTRACTS, C, D, contract, enriched, rows_of
@@ -267,6 +268,34 @@ def test_product_rows_sum_to_no_more_than_the_month(spark):
     assert all(found[m] <= monthly[m] for m in found) and found["2026-01"] == monthly["2026-01"] - 1
 
 
+def test_metrics_over_daily_cells_equal_those_over_contracts(spark):
+    contracts = [
+        *CONTRACTS,
+        contract("k", "2026-03-10 15:00", "2026-03-10", D, "t1", "1.00", broker="9"),
+        contract("l", "2026-03-10 16:00", "2026-03-10", D, "t1", None, broker="9"),
+        contract(None, "2026-03-10 17:00", "2026-03-10 18:00", D, "t1", "2.00", broker="9"),
+    ]
+    df = enriched(spark, contracts)
+    cells = daily_cells(df)
+    assert (cells.count(), df.count()) == (10, 13)
+    for metric in (
+        production.monthly_production, production.fund_month, production.grand_totals,
+        production.top4_wide, hierarchy.level_rankings, hierarchy.level_rankings_product,
+        hierarchy.partner_month, hierarchy.reg_month_product, funnel.status_mix,
+        funnel.status_rollup, funnel.conversion_fund, funnel.pipeline_product,
+        funnel.cohort_conversion, funnel.dense_month_product, funnel.product_series,
+        funnel.product_fund_pairs,
+    ):
+        assert rows(metric(cells)) == rows(metric(df)), metric.__name__
+    for metric in (
+        production.mtd_totals, production.mtd_fund, production.today_totals,
+        production.today_partner, production.day_by_day, production.run_rate,
+        production.product_kpis, funnel.period_slices, funnel.period_slices_product,
+        funnel.period_slices_fund, funnel.period_slices_status,
+    ):
+        assert rows(metric(cells, AS_OF)) == rows(metric(df, AS_OF)), metric.__name__
+
+
 def test_every_panel_metric_runs(df):
     metrics = panel_metrics(df, AS_OF)
     assert len(metrics) == 44

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,8 +19,11 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def computed_once(df: DataFrame) -> DataFrame:
-    """`df` written to the shared checkpoint folder, for plans that read it twice."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(checkpoint_root(spark))
-    return df.checkpoint()
+    """`df` as a table in the shared checkpoint folder, for plans that read it twice.
+
+    The table outlives any executor, and each reader takes only the columns it needs.
+    Like checkpoint files it stays until the folder is cleaned.
+    """
+    path = f"{checkpoint_root(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -25,7 +25,7 @@ def panel_metrics(
 
     Store the enriched contracts first (`write_run`, by month) and pass what `read_run`
     gives. They are then read once, into daily cells that every metric shares; only
-    the table mix goes back to the contracts, of the month it is about.
+    the table mix goes back to the contracts, with its month pushed to the scan.
     """
     df = computed_once(daily_cells(contracts))
     whole = {

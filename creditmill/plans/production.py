@@ -112,15 +112,21 @@ def top4_wide(df: DataFrame) -> DataFrame:
 
 
 # --- month to date and today ----------------------------------------------
+# Each filter names the date range, which skips row groups, and the month, which
+# skips folders of a table stored by month.
 
 
 def month_to_date(df: DataFrame, as_of: dt.date) -> DataFrame:
     """Disbursed from the first of the month on; there is no upper bound."""
-    return disbursed(df).where(F.col(s.DISBURSED_ON) >= cal.midnight(as_of.replace(day=1)))
+    start = cal.midnight(as_of.replace(day=1))
+    return disbursed(df).where(F.col(s.DISBURSED_ON) >= start).where(
+        F.col(s.MONTH) >= cal.month_of(as_of)
+    )
 
 
 def on_day(df: DataFrame, as_of: dt.date) -> DataFrame:
-    return disbursed(df).where(cal.within_day(F.col(s.DISBURSED_ON), as_of))
+    day = disbursed(df).where(cal.within_day(F.col(s.DISBURSED_ON), as_of))
+    return day.where(F.col(s.MONTH) == cal.month_of(as_of))
 
 
 def _totals(df: DataFrame) -> DataFrame:
@@ -164,6 +170,7 @@ def day_by_day(df: DataFrame, as_of: dt.date) -> DataFrame:
     one map that the day axis looks into, and no join is needed.
     """
     month = disbursed(df).where(cal.within_month(F.col(s.DISBURSED_ON), as_of))
+    month = month.where(F.col(s.MONTH) == cal.month_of(as_of))
     days = month.groupBy(F.dayofmonth(s.DISBURSED_ON).alias("dia")).agg(*ms.production())
     found = days.agg(
         F.map_from_entries(F.collect_list(F.struct("dia", F.struct("C", "B", "L")))).alias("found")

@@ -12,22 +12,29 @@ from pyspark.sql import types as T
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Payload size of `df`, counted by one distributed aggregate."""
-    width = F.lit(8 * len(df.columns))
-    for field in df.schema.fields:
-        if isinstance(field.dataType, T.StringType):
-            width = width + F.coalesce(F.octet_length(field.name), F.lit(0))
-    return df.agg(F.coalesce(F.sum(width.cast("bigint")), F.lit(0)).alias("n")).first()["n"]
-
-
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
+def measured_bytes(*parts: DataFrame) -> int:
+    """Payload size of `parts` together, counted by one distributed aggregate."""
+    widths = None
+    for df in parts:
+        width = F.lit(8 * len(df.columns))
+        for field in df.schema.fields:
+            if isinstance(field.dataType, T.StringType):
+                width = width + F.coalesce(F.octet_length(f"`{field.name}`"), F.lit(0))
+        one = df.select(width.cast("bigint").alias("n"))
+        widths = one if widths is None else widths.union(one)
+    return widths.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+
+
+def broadcast_if_small(
+    df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES, parts: Sequence[DataFrame] = ()
+) -> DataFrame:
     """Broadcast hint when the measured size is within `limit`.
 
-    A larger side gets no hint: Spark shuffles both sides on the key, and
-    adaptive execution splits the key that holds too many rows.
+    `parts` are measured in place of `df` where they are known to hold no less, which
+    saves deriving `df` for it. A larger side gets no hint: Spark shuffles both sides
+    on the key, and adaptive execution splits the key that holds too many rows.
     """
-    return F.broadcast(df) if measured_bytes(df) <= limit else df
+    return F.broadcast(df) if measured_bytes(*(parts or (df,))) <= limit else df
 
 
 def one_per_key(

@@ -29,22 +29,27 @@ def _integral(df: DataFrame, column: str) -> bool:
     return isinstance(df.schema[column].dataType, T.IntegralType)
 
 
+def product_columns(tables: DataFrame) -> DataFrame:
+    return tables.select(
+        s.PRODUCT_KEY, *[c for c in (s.FUND, s.PRODUCT, s.BANK) if c in tables.columns]
+    )
+
+
 def product_dim(tables: DataFrame) -> DataFrame:
-    attributes = [c for c in (s.FUND, s.PRODUCT, s.BANK) if c in tables.columns]
+    _, *attributes = product_columns(tables).columns
     return one_per_key(tables, cl.text_key(F.col(s.PRODUCT_KEY)), attributes, "_table")
 
 
-def hierarchy_dim(hierarchy: DataFrame, integral: bool, null_keys_match: bool = False) -> DataFrame:
+def broker_columns(broker: DataFrame) -> DataFrame:
+    return broker.select(s.BROKER_KEY, *[c for c in BROKER_ATTRIBUTES if c in broker.columns])
+
+
+def hierarchy_columns(hierarchy: DataFrame) -> DataFrame:
     named = clean_headers(hierarchy)
     found = regional_column(named.columns)
     if found in named.columns:
         named = named.withColumnRenamed(found, s.REGIONAL)
-    attributes = [
-        c for c in (s.PARTNER, s.COMMERCIAL, s.REGIONAL, s.SUPERINTENDENT) if c in named.columns
-    ]
-    return one_per_key(
-        named, cl.numeric_key(F.col(s.HIERARCHY_KEY), integral), attributes, "_partner", null_keys_match
-    )
+    return named.select(s.HIERARCHY_KEY, *[c for c in reversed(s.LEVELS) if c in named.columns])
 
 
 def sales_dim(
@@ -55,18 +60,20 @@ def sales_dim(
     The two are joined here, where both are small, so the contract table is
     joined once and not twice.
     """
-    attributes = [c for c in BROKER_ATTRIBUTES if c in broker.columns]
-    brokers = one_per_key(
-        broker, cl.numeric_key(F.col(s.BROKER_KEY), integral), attributes, "_broker", null_keys_match
-    )
-    levels = hierarchy_dim(hierarchy, integral, null_keys_match)
+
+    def keyed(df: DataFrame, name: str) -> DataFrame:
+        key, *attributes = df.columns
+        return one_per_key(df, cl.numeric_key(F.col(key), integral), attributes, name, null_keys_match)
+
+    brokers = keyed(broker_columns(broker), "_broker")
+    levels = keyed(hierarchy_columns(hierarchy), "_partner")
     return left_attach(brokers, levels, F.col("_broker"), "_partner", null_keys_match)
 
 
 def attach_products(
     contracts: DataFrame, tables: DataFrame, limit: int = BROADCAST_LIMIT_BYTES
 ) -> DataFrame:
-    dim = broadcast_if_small(product_dim(tables), limit)
+    dim = broadcast_if_small(product_dim(tables), limit, [product_columns(tables)])
     return left_attach(contracts, dim, cl.text_key(F.col(s.TABLE_ID)), "_table")
 
 
@@ -83,7 +90,12 @@ def attach_sales(
         and _integral(broker, s.BROKER_KEY)
         and _integral(clean_headers(hierarchy), s.HIERARCHY_KEY)
     )
-    dim = broadcast_if_small(sales_dim(broker, hierarchy, integral, null_keys_match), limit)
+    # Each row of either table appears in the joined one at most once.
+    dim = broadcast_if_small(
+        sales_dim(broker, hierarchy, integral, null_keys_match),
+        limit,
+        [broker_columns(broker), hierarchy_columns(hierarchy)],
+    )
     key = cl.numeric_key(F.col(s.BROKER_CODE), integral)
     joined = left_attach(contracts, dim, key, "_broker", null_keys_match)
     orphan = F.col(s.SUPERINTENDENT).isNull()

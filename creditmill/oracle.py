@@ -68,11 +68,11 @@ CBL = (
 NIVEL_CBL = CBL.replace("count(ccb)", "count(bruto)")
 TOTALS = CBL.replace("count(ccb)", "count(*)")
 
-PIPELINE = """count(ccb) AS total, count(CASE WHEN {done} THEN ccb END) AS desemb,
+FUNNEL = """count(ccb) AS total, count(CASE WHEN {done} THEN ccb END) AS desemb,
   count(ccb) - count(CASE WHEN {done} THEN ccb END) AS canc, CAST(0 AS BIGINT) AS andamento,
   CAST(coalesce(sum(CASE WHEN {done} THEN bruto END), 0) AS DOUBLE) AS bruta,
   CAST(coalesce(sum(CASE WHEN {done} THEN liq END), 0) AS DOUBLE) AS liq"""
-PIPELINE_CONV = PIPELINE + """,
+FUNNEL_CONV = FUNNEL + """,
   round_even(CAST(count(CASE WHEN {done} THEN ccb END) AS DOUBLE) / CAST(count(ccb) AS DOUBLE) * 100, 1)
     AS conv"""
 
@@ -184,6 +184,13 @@ def _currency(amount: str) -> str:
     )
 
 
+def _short(amount: str) -> str:
+    return (
+        f"CASE WHEN {amount} >= 1000000 THEN format('R$ {{:.2f}}M', round_even({amount} / 1000000, 2)) "
+        f"ELSE format('R$ {{:.0f}}K', round_even({amount} / 1000, 0)) END"
+    )
+
+
 TABLE_MIX = """count(ccb) AS "C", count(CASE WHEN des THEN ccb END) AS "Cdes",
   CAST(coalesce(sum(CASE WHEN des THEN bruto END), 0) AS DOUBLE) AS "B",
   CAST(coalesce(sum(CASE WHEN des THEN liq END), 0) AS DOUBLE) AS "L" """
@@ -274,6 +281,15 @@ ORACLE: dict[str, str] = {
     "distinct_products": _over_facts(
         'SELECT DISTINCT produto AS "Produto" FROM pago WHERE produto IS NOT NULL'
     ),
+    "daily_cells": _over_facts(
+        """SELECT date_trunc('day', pago) AS "Data do Desembolso", date_trunc('day', digitado) AS "Data de Digitação",
+          status AS "Status", produto AS "Produto", fundo AS "Fundo", sup AS "Superintendente",
+          regional AS "Regional", comercial AS "Comercial", parceiro AS "Parceiro",
+          count(*) AS _linhas, count(ccb) AS _contratos, count(bruto) AS _com_valor,
+          CAST(sum(bruto) AS DOUBLE) AS "Valor Bruto", CAST(sum(liq) AS DOUBLE) AS "Valor Líquido",
+          min(mes) AS "Mes", min(mes2) AS "Mes2", min(cat) AS "Categoria"
+        FROM fato GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9"""
+    ),
     "grand_totals": _over_facts(
         """SELECT count(*) AS total_reg, count(CASE WHEN dd THEN 1 END) AS total_des,
         CAST(coalesce(sum(CASE WHEN dd THEN bruto END), 0) AS DOUBLE) AS total_bruto,
@@ -369,12 +385,12 @@ ORACLE: dict[str, str] = {
           round_even(CAST(count(CASE WHEN dd THEN ccb END) AS DOUBLE) / count(ccb) * 100, 1) AS conv
         FROM fato WHERE fundo IS NOT NULL GROUP BY fundo"""
     ),
-    "pipeline_product": _over_facts(
-        f"""SELECT produto AS "Produto", {PIPELINE.format(done="dd")}
+    "funnel_product": _over_facts(
+        f"""SELECT produto AS "Produto", {FUNNEL.format(done="dd")}
         FROM fato WHERE produto IS NOT NULL GROUP BY produto"""
     ),
-    "pipeline_fund": _over_facts(
-        f"""SELECT fundo AS "Fundo", {PIPELINE_CONV.format(done="dd")}
+    "funnel_fund": _over_facts(
+        f"""SELECT fundo AS "Fundo", {FUNNEL_CONV.format(done="dd")}
         FROM fato WHERE fundo IS NOT NULL GROUP BY fundo"""
     ),
     "cohort_conversion": _over_facts(COHORT_SELECT.format(join="INNER"), COHORT),
@@ -406,11 +422,11 @@ ORACLE: dict[str, str] = {
         PERIODS,
     ),
     "period_slices_product": _over_facts(
-        f"""SELECT periodo, produto AS "Produto", {PIPELINE.format(done="des")}
+        f"""SELECT periodo, produto AS "Produto", {FUNNEL.format(done="des")}
         FROM periodo WHERE produto IS NOT NULL GROUP BY periodo, produto""", PERIODS,
     ),
     "period_slices_fund": _over_facts(
-        f"""SELECT periodo, fundo AS "Fundo", {PIPELINE_CONV.format(done="des")}
+        f"""SELECT periodo, fundo AS "Fundo", {FUNNEL_CONV.format(done="des")}
         FROM periodo WHERE fundo IS NOT NULL GROUP BY periodo, fundo""", PERIODS,
     ),
     "period_slices_status": _over_facts(
@@ -464,6 +480,15 @@ ORACLE: dict[str, str] = {
         f"""SELECT {_month_label("mes")} AS mes, translate(format('{{:,}}', c * 1000), ',', '.') AS contratos,
           {_currency("bd")} AS bruto, {_currency("(ld - bd)")} AS diferenca FROM mensal""", MONTHLY,
     ),
+    "headline_texts": _over_facts(
+        f"""SELECT '17/07/2001' AS data_ref, translate(format('{{:,}}', n), ',', '.') AS registros,
+          translate(format('{{:,}}', d), ',', '.') AS desembolsados,
+          concat(round_even(CAST(d AS DOUBLE) / n * 100, 1), '%') AS conversao,
+          {_short("b")} AS bruto, {_short("l")} AS liquido
+        FROM (SELECT count(*) AS n, count(CASE WHEN dd THEN 1 END) AS d,
+                CAST(sum(CASE WHEN dd THEN bruto END) AS DOUBLE) AS b,
+                CAST(sum(CASE WHEN dd THEN liq END) AS DOUBLE) AS l FROM fato)"""
+    ),
     "match_rate": _over_facts(
         """SELECT com_fundo, total, round_even(CAST(com_fundo AS DOUBLE) / total * 100, 1) AS pct FROM (
           SELECT count(CASE WHEN p_partkey % 40 <> 0 AND p_size % 10 <> 0 THEN p_brand END) AS com_fundo,

@@ -60,8 +60,8 @@ def conversion_fund(df: DataFrame) -> DataFrame:
     )
 
 
-def _pipeline(df: DataFrame, condition: Column, *keys: str) -> DataFrame:
-    """Pipeline record per key; `canc` is all that is not disbursed, and nothing is
+def _funnel(df: DataFrame, condition: Column, *keys: str) -> DataFrame:
+    """Funnel record per key; `canc` is all that is not disbursed, and nothing is
     in flight at this grain."""
     for key in keys:
         df = df.where(F.col(key).isNotNull())
@@ -86,12 +86,12 @@ def _with_conversion(df: DataFrame) -> DataFrame:
     return df.withColumn("conv", ms.percent(F.col("desemb"), F.col("total")))
 
 
-def pipeline_product(df: DataFrame) -> DataFrame:
-    return _pipeline(df, is_disbursed(), s.PRODUCT)
+def funnel_product(df: DataFrame) -> DataFrame:
+    return _funnel(df, is_disbursed(), s.PRODUCT)
 
 
-def pipeline_fund(df: DataFrame) -> DataFrame:
-    return _with_conversion(_pipeline(df, is_disbursed(), s.FUND))
+def funnel_fund(df: DataFrame) -> DataFrame:
+    return _with_conversion(_funnel(df, is_disbursed(), s.FUND))
 
 
 def cohort_conversion(df: DataFrame, dense: bool = False) -> DataFrame:
@@ -238,11 +238,11 @@ def period_slices(df: DataFrame, as_of: dt.date) -> DataFrame:
 
 
 def period_slices_product(df: DataFrame, as_of: dt.date) -> DataFrame:
-    return _pipeline(_in_periods(df, as_of), by_status(), "periodo", s.PRODUCT)
+    return _funnel(_in_periods(df, as_of), by_status(), "periodo", s.PRODUCT)
 
 
 def period_slices_fund(df: DataFrame, as_of: dt.date) -> DataFrame:
-    return _with_conversion(_pipeline(_in_periods(df, as_of), by_status(), "periodo", s.FUND))
+    return _with_conversion(_funnel(_in_periods(df, as_of), by_status(), "periodo", s.FUND))
 
 
 def period_slices_status(df: DataFrame, as_of: dt.date) -> DataFrame:

@@ -38,7 +38,7 @@ def panel_metrics(
             hierarchy.rank_partner_enriched, hierarchy.sup_month, hierarchy.reg_month,
             hierarchy.sup_month_product, hierarchy.reg_month_product, hierarchy.partner_month,
             funnel.status_mix, funnel.status_rollup, funnel.conversion_product,
-            funnel.conversion_fund, funnel.pipeline_product, funnel.pipeline_fund,
+            funnel.conversion_fund, funnel.funnel_product, funnel.funnel_fund,
             funnel.dense_month_product, funnel.product_fund_pairs,
         )
     }

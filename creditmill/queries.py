@@ -19,6 +19,7 @@ from creditmill.operators.cells import daily_cells
 from creditmill.operators.keys import first_per_key
 from creditmill.operators.materialize import checkpoint_root, computed_once
 from creditmill.plans import access, funnel, hierarchy, pricing, production, quality, tables
+from creditmill.plans.panel import panel_texts
 from creditmill.sources import sinks, star
 from creditmill.sources.readers import read_first_existing
 from creditmill.streaming import daily
@@ -57,7 +58,8 @@ def _metric(metric: Callable[..., DataFrame], *args, needs: str = "", **kwargs)
 
 def scan_contracts(spark: SparkSession, folder: str) -> DataFrame:
     """Columnar scan with a fallback path; the preferred copy does not exist here."""
-    line = read_first_existing(spark, [f"{folder}/producao.parquet", f"{folder}/lineitem.parquet"])
+    paths = [f"{folder}/producao.parquet", f"{folder}/lineitem.parquet"]
+    line = read_first_existing(spark, paths, star.SCHEMAS["lineitem"])
     return line.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("contrato"),
         F.col("l_shipdate").alias("data"), F.col("l_extendedprice").alias("valor"),
@@ -177,6 +179,10 @@ def display_formats(df: DataFrame) -> DataFrame:
     )
 
 
+def headline_texts(df: DataFrame) -> DataFrame:
+    return panel_texts(df, AS_OF)
+
+
 def match_rate(spark: SparkSession, folder: str) -> DataFrame:
     return quality.match_rate(star.contracts(spark, folder), star.product_tables(spark, folder))
 
@@ -199,8 +205,7 @@ def metrics_json(df: DataFrame) -> DataFrame:
 
 def latest_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     events = star.table(spark, folder, "events").select("user_id", "ts", "event_id", "event_type", "value")
-    nothing_stored = spark.createDataFrame([], events.schema)
-    return sinks.merge_snapshots(nothing_stored, events, "user_id", "ts")
+    return sinks.merge_snapshots(events.limit(0), events, "user_id", "ts")
 
 
 def semi_join_entitled(spark: SparkSession, folder: str) -> DataFrame:
@@ -280,9 +285,10 @@ def spread_scenarios(df: DataFrame) -> DataFrame:
 
 def stream_daily_totals(spark: SparkSession, folder: str) -> DataFrame:
     """Events taken in by one run of the stream, then the table it keeps."""
-    schema = star.table(spark, folder, "events").schema
     events = (
-        spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)
+        spark.readStream.schema(star.SCHEMAS["events"])
+        .option("pathGlobFilter", "events.parquet")
+        .parquet(folder)
     )
     run = f"{checkpoint_root(spark)}/daily-{uuid.uuid4().hex}"
     daily.run_daily_totals(events, "ts", "value", f"{run}/table", f"{run}/state")
@@ -303,6 +309,7 @@ QUERIES: dict[str, Query] = {
     "fund_month": _metric(production.fund_month, needs="products"),
     "fund_totals": _metric(production.fund_totals, needs="products"),
     "distinct_products": _metric(production.distinct_products, needs="products"),
+    "daily_cells": _metric(daily_cells, needs="products sales"),
     "grand_totals": _metric(production.grand_totals),
     "rank_superintendent": _metric(production.rank_superintendent, needs="sales"),
     "rank_partner": _metric(production.rank_partner, needs="sales"),
@@ -329,8 +336,8 @@ QUERIES: dict[str, Query] = {
     "status_rollup": _metric(funnel.status_rollup),
     "conversion_product": _metric(funnel.conversion_product, needs="products"),
     "conversion_fund": _metric(funnel.conversion_fund, needs="products"),
-    "pipeline_product": _metric(funnel.pipeline_product, needs="products"),
-    "pipeline_fund": _metric(funnel.pipeline_fund, needs="products"),
+    "funnel_product": _metric(funnel.funnel_product, needs="products"),
+    "funnel_fund": _metric(funnel.funnel_fund, needs="products"),
     "cohort_conversion": _metric(funnel.cohort_conversion),
     "cohort_conversion_dense": _metric(funnel.cohort_conversion, dense=True),
     "dense_month_product": _metric(funnel.dense_month_product, needs="products"),
@@ -350,6 +357,7 @@ QUERIES: dict[str, Query] = {
     "month_label": month_label,
     "strip_prefix": strip_prefix,
     "display_formats": _metric(display_formats),
+    "headline_texts": _metric(headline_texts),
     "match_rate": match_rate,
     "value_counts_top10": _metric(value_counts_top10),
     "date_coverage": _metric(quality.date_coverage),

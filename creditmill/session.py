@@ -12,6 +12,16 @@ SETTINGS = {
 }
 
 
+# Shuffled bytes one task should take in.
+TASK_BYTES = 128 * 1024 * 1024
+
+
+def shuffle_partitions(shuffled_bytes: int, task_bytes: int = TASK_BYTES) -> str:
+    """Partition number to start a shuffle of that size with; adaptive execution only
+    merges partitions afterwards, so it should not be too low."""
+    return str(max(200, -(-shuffled_bytes // task_bytes)))
+
+
 def build_session(name: str, master: str | None = None, **settings: str) -> SparkSession:
     builder = SparkSession.builder.appName(name)
     if master is not None:

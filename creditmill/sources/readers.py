@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from creditmill.operators.align import clean_headers
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """Parquet, or CSV with a header when the path says so."""
     if path.rstrip("/").endswith((".csv", ".csv.gz")):
         reader = spark.read.option("header", True).option("encoding", "UTF-8")
@@ -21,7 +21,7 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
 
 
 def read_first_existing(
-    spark: SparkSession, paths: Sequence[str], schema: T.StructType | None = None
+    spark: SparkSession, paths: Sequence[str], schema: T.StructType | str | None = None
 ) -> DataFrame:
     """The first of `paths` that exists, in order of preference."""
     for path in paths:

@@ -1,7 +1,4 @@
-"""Daily totals kept up to date from a stream of dated amounts.
-
-The session time zone must be UTC: a zone-free timestamp is read in it.
-"""
+"""Daily totals kept up to date from a stream of dated amounts."""
 
 from __future__ import annotations
 
@@ -10,21 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from creditmill.functions.cleaning import utc_wall_clock
 from creditmill.schema import MONEY
 
 
 def daily_totals(events: DataFrame, ts: str, value: str, delay: str | None = "7 days") -> DataFrame:
-    """Rows and amount per day. On a stream, `delay` is how late a row may come."""
-    # A watermark needs a zoned timestamp.
-    dated = events.select(
-        F.col(ts).cast("timestamp").alias("ts"), F.col(value).cast(MONEY).alias("value")
-    )
+    """Rows and amount per day. On a stream, `delay` is how late a row may come.
+
+    The day enters the watermark as its UTC midnight, as a watermark needs a zoned
+    timestamp; so the result does not depend on the session time zone.
+    """
+    midnight = F.timestamp_seconds(F.unix_date(F.to_date(ts)).cast("bigint") * 86_400)
+    dated = events.select(midnight.alias("day"), F.col(value).cast(MONEY).alias("value"))
     if delay is not None:
-        dated = dated.withWatermark("ts", delay)
+        dated = dated.withWatermark("day", delay)
     return (
-        dated.groupBy(F.window("ts", "1 day"))
+        dated.groupBy("day")
         .agg(F.count(F.lit(1)).alias("C"), F.sum("value").alias("B"))
-        .select(F.to_date("window.start").alias("dia"), "C", "B")
+        .select(utc_wall_clock(F.col("day")).cast("date").alias("dia"), "C", "B")
     )
 
 

@@ -174,7 +174,7 @@ def test_status(df):
 
 def test_conversion(df):
     assert rows(funnel.conversion_product(df)) == [("CLT", 3, 2), ("FGTS", 5, 4), ("OUTRO", 1, 0)]
-    assert rows(funnel.pipeline_fund(df)) == [
+    assert rows(funnel.funnel_fund(df)) == [
         ("F1", 5, 4, 1, 0, 400.5, 350.25, 80.0), ("F2", 3, 2, 1, 0, 450.0, 450.0, 66.7),
     ]
 
@@ -282,7 +282,7 @@ def test_metrics_over_daily_cells_equal_those_over_contracts(spark):
         production.monthly_production, production.fund_month, production.grand_totals,
         production.top4_wide, hierarchy.level_rankings, hierarchy.level_rankings_product,
         hierarchy.partner_month, hierarchy.reg_month_product, funnel.status_mix,
-        funnel.status_rollup, funnel.conversion_fund, funnel.pipeline_product,
+        funnel.status_rollup, funnel.conversion_fund, funnel.funnel_product,
         funnel.cohort_conversion, funnel.dense_month_product, funnel.product_series,
         funnel.product_fund_pairs,
     ):

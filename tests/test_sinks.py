@@ -101,7 +101,14 @@ def test_snapshot_stream_ignores_late_updates(spark, tmp_path):
     assert stored(spark, table) == {"a": ("1", at(3)), "b": ("3", at(5))}
 
 
-def test_daily_stream_adds_to_its_days_and_equals_the_batch(spark, tmp_path):
+@pytest.fixture(params=["UTC", "America/Sao_Paulo"])
+def zone(spark, request):
+    spark.conf.set("spark.sql.session.timeZone", request.param)
+    yield request.param
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_daily_stream_adds_to_its_days_and_equals_the_batch(spark, tmp_path, zone):
     source, table, state = (str(tmp_path / n) for n in ("in", "table", "state"))
     schema = "ts timestamp_ntz, value double"
 

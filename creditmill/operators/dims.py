@@ -25,16 +25,37 @@ def measured_bytes(*parts: DataFrame) -> int:
     return widths.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
 
 
-def broadcast_if_small(
-    df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES, parts: Sequence[DataFrame] = ()
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
+    """Broadcast hint when the measured size is within `limit`, `df` itself otherwise."""
+    return F.broadcast(df) if measured_bytes(df) <= limit else df
+
+
+def keyed_join(
+    left: DataFrame,
+    right: DataFrame,
+    key: Column,
+    right_key: str,
+    how: str,
+    limit: int = BROADCAST_LIMIT_BYTES,
+    parts: Sequence[DataFrame] = (),
+    null_keys_match: bool = False,
 ) -> DataFrame:
-    """Broadcast hint when the measured size is within `limit`.
+    """Join to a table with one row per key, which is broadcast within `limit`.
 
-    `parts` are measured in place of `df` where they are known to hold no less, which
-    saves deriving `df` for it. A larger side gets no hint: Spark shuffles both sides
-    on the key, and adaptive execution splits the key that holds too many rows.
+    `parts` are measured in place of `right` where they are known to hold no less,
+    which saves deriving it for that. Beyond the limit both sides are shuffled, and
+    adaptive execution splits a key that has too many rows on the left.
     """
-    return F.broadcast(df) if measured_bytes(*(parts or (df,))) <= limit else df
+    def match(a: Column, b: Column) -> Column:
+        return a.eqNullSafe(b) if null_keys_match else a == b
+
+    found = right[right_key]
+    condition = match(key, found)
+    if measured_bytes(*(parts or (right,))) <= limit:
+        return left.join(F.broadcast(right), condition, how)
+    # Adaptive execution splits only between two shuffles, and the table, grouped by
+    # its key, would need none. The second key says nothing new but asks for one.
+    return left.join(right, condition & match(F.xxhash64(key), F.xxhash64(found)), how)
 
 
 def one_per_key(
@@ -50,12 +71,3 @@ def one_per_key(
         keyed = keyed.where(F.col(key_name).isNotNull())
     packed = keyed.groupBy(key_name).agg(F.min(F.struct(*attributes)).alias("_attributes"))
     return packed.select(key_name, "_attributes.*")
-
-
-def left_attach(
-    fact: DataFrame, dim: DataFrame, key: Column, key_name: str, null_keys_match: bool = False
-) -> DataFrame:
-    """Left join of `fact` to a one-row-per-key `dim`, without the key of `dim`."""
-    right = dim[key_name]
-    condition = key.eqNullSafe(right) if null_keys_match else key == right
-    return fact.join(dim, condition, "left").drop(right)

@@ -14,8 +14,7 @@ from creditmill.functions.calendar import month_key
 from creditmill.operators.align import clean_headers, regional_column
 from creditmill.operators.dims import (
     BROADCAST_LIMIT_BYTES,
-    broadcast_if_small,
-    left_attach,
+    keyed_join,
     one_per_key,
 )
 from creditmill.operators.keys import first_per_key
@@ -67,14 +66,18 @@ def sales_dim(
 
     brokers = keyed(broker_columns(broker), "_broker")
     levels = keyed(hierarchy_columns(hierarchy), "_partner")
-    return left_attach(brokers, levels, F.col("_broker"), "_partner", null_keys_match)
+    code, partner = brokers["_broker"], levels["_partner"]
+    condition = code.eqNullSafe(partner) if null_keys_match else code == partner
+    return brokers.join(levels, condition, "left").drop(partner)
 
 
 def attach_products(
     contracts: DataFrame, tables: DataFrame, limit: int = BROADCAST_LIMIT_BYTES
 ) -> DataFrame:
-    dim = broadcast_if_small(product_dim(tables), limit, [product_columns(tables)])
-    return left_attach(contracts, dim, cl.text_key(F.col(s.TABLE_ID)), "_table")
+    key = cl.text_key(F.col(s.TABLE_ID))
+    return keyed_join(
+        contracts, product_dim(tables), key, "_table", "left", limit, [product_columns(tables)]
+    ).drop("_table")
 
 
 def attach_sales(
@@ -90,14 +93,13 @@ def attach_sales(
         and _integral(broker, s.BROKER_KEY)
         and _integral(clean_headers(hierarchy), s.HIERARCHY_KEY)
     )
-    # Each row of either table appears in the joined one at most once.
-    dim = broadcast_if_small(
-        sales_dim(broker, hierarchy, integral, null_keys_match),
-        limit,
-        [broker_columns(broker), hierarchy_columns(hierarchy)],
-    )
     key = cl.numeric_key(F.col(s.BROKER_CODE), integral)
-    joined = left_attach(contracts, dim, key, "_broker", null_keys_match)
+    dim = sales_dim(broker, hierarchy, integral, null_keys_match)
+    # Each row of either table appears in the joined one at most once.
+    parts = [broker_columns(broker), hierarchy_columns(hierarchy)]
+    joined = keyed_join(
+        contracts, dim, key, "_broker", "left", limit, parts, null_keys_match
+    ).drop("_broker")
     orphan = F.col(s.SUPERINTENDENT).isNull()
     names = [c for c in (s.BROKER, *reversed(s.LEVELS)) if c in joined.columns]
     return joined.withColumns(

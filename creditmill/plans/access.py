@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from creditmill.operators.dims import broadcast_if_small
+from creditmill.operators.dims import keyed_join
 
 # Roles that administer, and their order in the roster.
 ADMIN_ROLES = ("owner", "admin")
@@ -17,8 +17,7 @@ OWNER_ROLE = "owner"
 def entitled(df: DataFrame, key: str, readers: DataFrame, reader_key: str) -> DataFrame:
     """Rows whose key has an entry among `readers`."""
     keys = readers.select(F.col(reader_key).alias("_reader")).where("_reader is not null").distinct()
-    keys = broadcast_if_small(keys)
-    return df.join(keys, df[key] == keys["_reader"], "left_semi")
+    return keyed_join(df, keys, df[key], "_reader", "left_semi")
 
 
 def is_admin(role: Column) -> Column:

@@ -2,8 +2,12 @@
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from check import canonical
+from creditmill.operators.enrich import attach_sales
 from creditmill.queries import QUERIES
+from fixtures import enriched
 from creditmill.sources import star
 from creditmill.plans import production
 
@@ -35,6 +39,11 @@ def test_dimensions_nobody_reads_are_not_joined(spark):
     assert "part.parquet" not in text and "supplier.parquet" not in text
 
 
+def test_large_dimensions_nobody_reads_are_not_joined_either(spark):
+    assert "Join" not in plan(production.monthly_production(enriched(spark, limit=0)))
+    assert "Join" in plan(production.product_month(enriched(spark, limit=0)))
+
+
 def test_large_tables_meet_by_sort_merge_with_one_row_per_id(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
@@ -45,6 +54,36 @@ def test_large_tables_meet_by_sort_merge_with_one_row_per_id(spark):
     assert "row_number(), 1, Partial" in text
 
 
+def test_a_broker_with_most_contracts_is_split_when_its_table_is_large(spark):
+    codes = F.when(F.col("id") % 3 > 0, F.lit(1)).otherwise(F.col("id"))
+    contracts = spark.range(0, 60_000, numPartitions=16).select(
+        F.col("id").alias("CCB"), codes.cast("bigint").alias("codigo_nova"), F.md5(F.col("id").cast("string")).alias("x")
+    )
+    names = spark.range(60_000).select(
+        F.col("id").alias("Código Corretor"), F.concat(F.lit("Nome "), "id").alias("Nome Corretor")
+    )
+    levels = spark.range(60_000).select(
+        F.col("id").alias("Cod Parceiro"), F.concat(F.lit("Super "), "id").alias("Superintendente")
+    )
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        joined = attach_sales(contracts, names, levels, limit=0)
+        rows = joined.collect()
+        assert "skew=true" in plan(joined)
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    assert len(rows) == 60_000
+    assert all(r["Superintendente"] == f"Super {r['codigo_nova']}" for r in rows)
+
+
 @pytest.mark.parametrize("name", ["dense_month_product", "partner_month"])
 def test_shared_cells_are_computed_once(spark, name):
     assert "lineitem.parquet" not in plan(QUERIES[name](spark, SF))

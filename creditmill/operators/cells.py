@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creditmill import schema as s
@@ -12,19 +12,26 @@ from creditmill.operators.enrich import with_periods
 DIMENSIONS = (s.STATUS, s.PRODUCT, s.FUND, *s.LEVELS)
 
 
+def folded(df: DataFrame, *keys: str | Column) -> DataFrame:
+    """Counts and amounts per key, under the names they have in the contracts. Partly
+    aggregated before its only shuffle, so the size of a group does not matter."""
+    return df.groupBy(*keys).agg(
+        *[ms.counted(c).alias(c) for c in (s.N_ROWS, s.N_IDS, s.N_GROSS)],
+        *[F.sum(c).alias(c) for c in (s.GROSS, s.NET)],
+    )
+
+
+def day_of(column: str) -> Column:
+    """The column cut to its day, under its own name."""
+    return F.to_date(column).cast("timestamp_ntz").alias(column)
+
+
 def daily_cells(df: DataFrame) -> DataFrame:
     """Counts and amounts per disbursement day, typing day, status, product, fund and
     hierarchy path, under the column names of the enriched contracts.
 
-    One pass over the contracts, partly aggregated before its only shuffle; after it
-    the number of contracts no longer matters to a metric. Product tables are no
-    dimension, so the table mix needs the contracts themselves.
+    One pass over the contracts, after which their number no longer matters to a metric.
+    Product tables are no dimension, so the table mix needs the contracts themselves.
     """
-    days = [
-        F.to_date(c).cast("timestamp_ntz").alias(c) for c in (s.DISBURSED_ON, s.TYPED_ON)
-    ]
-    cells = df.groupBy(*days, *[c for c in DIMENSIONS if c in df.columns]).agg(
-        *[ms.counted(c).alias(c) for c in (s.N_ROWS, s.N_IDS, s.N_GROSS)],
-        *[F.sum(c).alias(c) for c in (s.GROSS, s.NET)],
-    )
-    return with_periods(cells)
+    days = [day_of(c) for c in (s.DISBURSED_ON, s.TYPED_ON)]
+    return with_periods(folded(df, *days, *[c for c in DIMENSIONS if c in df.columns]))

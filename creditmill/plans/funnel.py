@@ -12,6 +12,7 @@ from creditmill import schema as s
 from creditmill.functions import calendar as cal
 from creditmill.functions import cleaning as cl
 from creditmill.functions import measures as ms
+from creditmill.operators.cells import day_of, folded
 from creditmill.operators.enrich import by_status, disbursed, is_disbursed
 from creditmill.operators.materialize import computed_once
 from creditmill.plans.production import LEAD_PRODUCT, SECOND_PRODUCTS
@@ -206,10 +207,14 @@ def period_conditions(as_of: dt.date, column: str = s.TYPED_ON) -> dict[str, Col
     }
 
 
-def _in_periods(df: DataFrame, as_of: dt.date) -> DataFrame:
-    """A row for every period the contract falls in."""
+def _in_periods(df: DataFrame, as_of: dt.date, *keys: str) -> DataFrame:
+    """Counts and amounts per key, once for every period they fall in.
+
+    The contracts are folded by typing day before the days are repeated.
+    """
+    days = folded(df, day_of(s.TYPED_ON), *keys)
     names = [F.when(hit, F.lit(name)) for name, hit in period_conditions(as_of).items()]
-    return df.withColumn("periodo", F.explode(F.array_compact(F.array(*names))))
+    return days.withColumn("periodo", F.explode(F.array_compact(F.array(*names))))
 
 
 def period_slices(df: DataFrame, as_of: dt.date) -> DataFrame:
@@ -238,16 +243,18 @@ def period_slices(df: DataFrame, as_of: dt.date) -> DataFrame:
 
 
 def period_slices_product(df: DataFrame, as_of: dt.date) -> DataFrame:
-    return _funnel(_in_periods(df, as_of), by_status(), "periodo", s.PRODUCT)
+    periods = _in_periods(df, as_of, s.STATUS, s.PRODUCT)
+    return _funnel(periods, by_status(), "periodo", s.PRODUCT)
 
 
 def period_slices_fund(df: DataFrame, as_of: dt.date) -> DataFrame:
-    return _with_conversion(_funnel(_in_periods(df, as_of), by_status(), "periodo", s.FUND))
+    periods = _in_periods(df, as_of, s.STATUS, s.FUND)
+    return _with_conversion(_funnel(periods, by_status(), "periodo", s.FUND))
 
 
 def period_slices_status(df: DataFrame, as_of: dt.date) -> DataFrame:
     return (
-        _in_periods(df, as_of)
+        _in_periods(df, as_of, s.CATEGORY)
         .groupBy("periodo", s.CATEGORY)
         .agg(ms.counted(s.N_IDS).alias("v"))
         .orderBy("periodo", F.desc("v"), s.CATEGORY)

@@ -1,14 +1,16 @@
 """From a raw source table to the stored panel, as the README shows it."""
 
+import datetime as dt
 import json
 
+from creditmill import jobs
 from creditmill import schema as s
 from creditmill.operators.align import resolve_contracts
 from creditmill.operators.enrich import enrich_contracts
 from creditmill.plans import production
 from creditmill.plans.panel import panel_metrics, write_panel
 from creditmill.sources.readers import read_table
-from creditmill.sources.sinks import read_run, write_run
+from creditmill.sources.sinks import read_run, read_snapshot, snapshot_changed, write_run
 from fixtures import AS_OF, dims, rows_of
 
 RAW = """ccb_numero,data_pagamento,created_at,status_proposta,tabela_id,tabela_nome,valor_bruto,valor_liquido,codigo_nova,fundo
@@ -20,6 +22,26 @@ RAW = """ccb_numero,data_pagamento,created_at,status_proposta,tabela_id,tabela_n
 """
 
 
+def test_the_three_jobs(spark, tmp_path):
+    (tmp_path / "raw.csv").write_text(RAW, encoding="utf-8")
+    raw = read_table(spark, f"{tmp_path}/raw.csv")
+    base, store = f"{tmp_path}/contracts", f"{tmp_path}/snapshots"
+    assert jobs.refresh_contracts(raw, base, "1") == 5
+    before = read_run(spark, base, "1").schema
+    assert jobs.refresh_contracts(raw.drop("fundo", "tabela_nome"), base, "2", before) == 5
+    assert read_run(spark, base, "2").columns == before.names
+    location = jobs.build_panel(
+        read_run(spark, base, "1"), *dims(spark).values(), AS_OF, str(tmp_path), "1",
+        [s.DISBURSED_ON, s.GROSS, s.NET],
+    )
+    first, second = dt.datetime(2026, 3, 10, 8), dt.datetime(2026, 3, 10, 9)
+    jobs.publish_panel(spark, store, "painel", "elsewhere", first)
+    jobs.publish_panel(spark, store, "painel", location, second)
+    assert snapshot_changed(spark, store, "painel", first)
+    current = read_snapshot(spark, store, "painel").first().html
+    assert spark.read.json(f"{current}/grand_totals").first().total_reg == 4
+
+
 def test_from_raw_text_to_the_panel(spark, tmp_path):
     (tmp_path / "raw.csv").write_text(RAW, encoding="utf-8")
     contracts = resolve_contracts(read_table(spark, f"{tmp_path}/raw.csv"))

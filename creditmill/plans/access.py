@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from creditmill.operators.dims import keyed_join
 
@@ -45,8 +46,10 @@ def roster(
 
     Both sides have one row per login. A large account table is shuffled.
     """
+    zone_free = isinstance(accounts.schema[until].dataType, T.TimestampNTZType)
+    moment = F.lit(now.isoformat()).cast("timestamp_ntz") if zone_free else F.lit(now)
     blocked = accounts.select(
-        F.col(email).alias("_email"), (F.col(until) > F.lit(now)).alias("_blocked")
+        F.col(email).alias("_email"), (F.col(until) > moment).alias("_blocked")
     )
     joined = profiles.join(blocked, profiles[login] == blocked["_email"], "left")
     return joined.select(

@@ -6,7 +6,7 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -86,14 +86,18 @@ def slice_filter(df: DataFrame) -> DataFrame:
     return picked.select(s.CCB, s.FUND, s.GROSS)
 
 
+def _zulu(column: str) -> Column:
+    """``2026-01-02T03:04:05Z``"""
+    return F.concat(F.translate(F.col(column).cast("string"), " ", "T"), F.lit("Z"))
+
+
 def raw_contracts(spark: SparkSession, folder: str) -> DataFrame:
     """The line items under database column names and with text dates."""
     line, order = star.table(spark, folder, "lineitem"), star.table(spark, folder, "orders")
     return line.join(order, line.l_orderkey == order.o_orderkey).select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ccb_numero"),
         F.date_format("l_shipdate", "d/M/yyyy").alias("data_pagamento"),
-        F.when(F.col("l_linenumber") > 2, F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
-        .alias("data_digitado"),
+        F.when(F.col("l_linenumber") > 2, _zulu("o_orderdate")).alias("data_digitado"),
         F.col("o_orderdate").alias("created_at"),
         F.lower(F.when(F.col("l_returnflag") == "R", "CANCELED").otherwise(F.col("o_orderstatus")))
         .alias("status_proposta"),
@@ -135,7 +139,7 @@ def date_parse_mixed(spark: SparkSession, folder: str) -> DataFrame:
     day, kind = F.col("o_orderdate"), F.col("o_orderkey") % 8
     text = (
         F.when(kind == 0, F.date_format(day, "yyyy-MM-dd"))
-        .when(kind == 1, F.date_format(day, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+        .when(kind == 1, _zulu("o_orderdate"))
         .when(kind == 2, F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit(" 23:30:00-03:00")))
         .when(kind == 3, F.date_format(day, "d/M/yyyy"))
         .when(kind == 4, F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit("T10:20:30.123456")))
@@ -220,7 +224,7 @@ def roster_left_join(spark: SparkSession, folder: str) -> DataFrame:
     """Customers as profiles, their last order date as the account's block time."""
     profiles = star.table(spark, folder, "customer")
     accounts = star.table(spark, folder, "orders").groupBy("o_custkey").agg(
-        F.max("o_orderdate").cast("timestamp").alias("banned_until")
+        F.max("o_orderdate").alias("banned_until")
     )
     return access.roster(
         profiles, accounts, dt.datetime(2001, 7, 17), login="c_custkey", role="c_mktsegment",

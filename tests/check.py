@@ -1,10 +1,11 @@
 """Compare every registered query with its SQL oracle.
 
-    python tests/check.py [sf_dir] [query ...]
+    [CHECK_ZONE=Asia/Tokyo] python tests/check.py [sf_dir] [query ...]
 """
 
 from __future__ import annotations
 
+import os
 import sys
 import time
 from pathlib import Path
@@ -62,6 +63,7 @@ def main() -> int:
     spark = build_session("check", "local[8]", **{
         "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.sql.session.timeZone": os.environ.get("CHECK_ZONE", "UTC"),
     })
     spark.sparkContext.setLogLevel("ERROR")
     failed = 0

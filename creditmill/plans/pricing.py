@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creditmill import schema as s
-from creditmill.functions import measures as ms
 from creditmill.operators.enrich import disbursed
 
 

@@ -15,7 +15,10 @@ import pandas as pd
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-TABLES = "region nation customer supplier part orders lineitem events".split()
+TABLES = (
+    "region nation customer supplier part orders lineitem events "
+    "documents embeddings pages benchmark labels conversations"
+).split()
 
 
 def oracle_frame(sql: str, folder: str) -> pd.DataFrame:
@@ -54,12 +57,12 @@ def differences(found: pd.DataFrame, wanted: pd.DataFrame) -> str | None:
 
 
 def main() -> int:
-    from creditmill.oracle import ORACLE
-    from creditmill.queries import QUERIES
+    import __spark_entry__ as contract
     from creditmill.session import build_session
 
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    names = sys.argv[2:] or list(QUERIES)
+    registered, oracles = contract.queries(), contract.oracle_sql()
+    names = sys.argv[2:] or list(registered)
     spark = build_session("check", "local[8]", **{
         "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
@@ -70,9 +73,9 @@ def main() -> int:
     for name in names:
         start = time.time()
         try:
-            found = QUERIES[name](spark, folder).toPandas()
+            found = registered[name](spark, folder).toPandas()
             took = time.time() - start
-            problem = differences(found, oracle_frame(ORACLE[name], folder)) if name in ORACLE else "no oracle"
+            problem = differences(found, oracle_frame(oracles[name], folder)) if name in oracles else None
         except Exception as error:  # noqa: BLE001 - report and go on
             took, problem, found = time.time() - start, f"{type(error).__name__}: {str(error)[:600]}", []
         failed += problem is not None

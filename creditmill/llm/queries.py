@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from creditmill.llm.exact_dedup import exact_dedup
 from creditmill.llm.mixing import mix_plan
+from creditmill.llm.token_counts import count_tokens
+from creditmill.llm.token_store import read_tokens, store_tokens
 from creditmill.llm.url_filter import RULE_SCHEMA, judge_urls
 from creditmill.sources.readers import read_table
 
@@ -24,6 +26,15 @@ URL_RULES = (
 )
 
 
+
+
+def vocabulary() -> str:
+    """The vocabulary file, at the place its package has on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return read_table(spark, f"{folder}/{name}.parquet")
 
@@ -36,10 +47,19 @@ def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix_plan(table(spark, folder, "documents"))
 
 
+def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return count_tokens(table(spark, folder, "documents"), vocabulary())
+
+
 def op9_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return judge_urls(table(spark, folder, "pages"), spark.createDataFrame(list(URL_RULES), RULE_SCHEMA))
 
 
+def op10_token_store(spark: SparkSession, folder: str) -> DataFrame:
+    """Encoded, stored, and read back out of the files."""
+    return read_tokens(store_tokens(table(spark, folder, "documents"), vocabulary()))
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_exact_dedup, op2_mixing, op9_url_filter)
+    f.__name__: f for f in (op1_exact_dedup, op2_mixing, op6_token_counts, op9_url_filter, op10_token_store)
 }

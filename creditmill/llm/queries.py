@@ -11,6 +11,7 @@ from creditmill.llm.exact_dedup import exact_dedup
 from creditmill.llm.mixing import mix_plan
 from creditmill.llm.token_counts import count_tokens
 from creditmill.llm.token_store import read_tokens, store_tokens
+from creditmill.llm.toxicity import THRESHOLD, fit, score_toxicity
 from creditmill.llm.url_filter import RULE_SCHEMA, judge_urls
 from creditmill.sources.readers import read_table
 
@@ -51,6 +52,17 @@ def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return count_tokens(table(spark, folder, "documents"), vocabulary())
 
 
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Labels are learned from rows outside one third, which is held out."""
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    scored = score_toxicity(docs, fit(docs, labels, ~held_out))
+    return scored.select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op9_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return judge_urls(table(spark, folder, "pages"), spark.createDataFrame(list(URL_RULES), RULE_SCHEMA))
 
@@ -61,5 +73,5 @@ def op10_token_store(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_exact_dedup, op2_mixing, op6_token_counts, op9_url_filter, op10_token_store)
+    f.__name__: f for f in (op1_exact_dedup, op2_mixing, op6_token_counts, op8_toxicity, op9_url_filter, op10_token_store)
 }

@@ -25,12 +25,13 @@ from creditmill.llm.words import BASES, Words, chunks, sequence_hashes, texts_of
 
 BUCKETS = 1 << 22
 # Bytes of the beginnings of words that are terms.
-PREFIXES = (4, 5, 6, 7)
+PREFIXES = (3, 4, 5, 6, 7, 8)
 # Labelled rows of each label that the machine is fitted on, at most.
-SAMPLE = 8_000
+SAMPLE = 3_000
 # Terms it keeps, factors of each, passes over the sample.
-TERMS, FACTORS, PASSES = 20_000, 8, 30
-LEAST_ROWS = 4
+TERMS, FACTORS, PASSES = 20_000, 8, 40
+# A kept term is in so many rows, and its label differs from chance by so many nats.
+LEAST_ROWS, LEAST_GAIN = 4, 9.0
 THRESHOLD = 0.7
 
 
@@ -39,7 +40,7 @@ def terms(words: Words) -> tuple[np.ndarray, np.ndarray]:
     rows = words.rows()
     # Punctuation at the end of a word is not part of it.
     ends = words.ends.copy()
-    for _ in range(3):
+    for _ in range(8):
         last = words.bytes[np.maximum(ends - 1, 0)]
         ends -= ((last < 0x30) | ((last >= 0x3A) & (last < 0x41)) | ((last >= 0x5B) & (last < 0x61))) & (ends - words.starts > 1)
     found_rows, found = [rows], [sequence_hashes(words.bytes, words.starts, ends, BASES[0])]
@@ -102,7 +103,7 @@ def train(labels: np.ndarray, rows: np.ndarray, found: np.ndarray, seed: int = 7
     inside = np.clip(with_label / total, 1e-9, 1 - 1e-9)
     gain = total * (inside * np.log(inside / share) + (1 - inside) * np.log((1 - inside) / (1 - share)))
     gain[total < LEAST_ROWS] = 0
-    chosen = np.flatnonzero(gain > 6.0)
+    chosen = np.flatnonzero(gain > LEAST_GAIN)
     chosen = chosen[np.argsort(-gain[chosen], kind="stable")[:TERMS]]
     if not len(chosen):
         return nothing
@@ -123,7 +124,9 @@ def train(labels: np.ndarray, rows: np.ndarray, found: np.ndarray, seed: int = 7
             sizes = first[texts + 1] - first[texts]
             own = np.repeat(np.arange(len(texts)), sizes)
             index = np.repeat(first[texts] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
-            t = found[index]
+            # Each step sees half the terms, so that one alone can tell as well.
+            seen = random.random(len(index)) < 0.5
+            own, t = own[seen], found[index[seen]]
             v = machine.factors[t]
             total_v = np.zeros((len(texts), FACTORS))
             np.add.at(total_v, own, v)
@@ -131,10 +134,10 @@ def train(labels: np.ndarray, rows: np.ndarray, found: np.ndarray, seed: int = 7
                 (total_v**2).sum(axis=1) - np.bincount(own, (v**2).sum(axis=1), minlength=len(texts)))
             error = 1 / (1 + np.exp(-np.clip(raw, -30, 30))) - labels[texts]
             used, back = np.unique(t, return_inverse=True)
-            step_w = np.bincount(back, error[own], minlength=len(used)) + 0.02 * machine.weights[used]
+            step_w = np.bincount(back, error[own], minlength=len(used)) + 0.002 * machine.weights[used]
             step_v = np.zeros((len(used), FACTORS))
             np.add.at(step_v, back, error[own][:, None] * (total_v[own] - v))
-            step_v += 0.05 * machine.factors[used]
+            step_v += 0.02 * machine.factors[used]
             sums[0] += error.sum() ** 2
             sums[1][used] += step_w**2
             sums[2][used] += step_v**2
@@ -144,13 +147,17 @@ def train(labels: np.ndarray, rows: np.ndarray, found: np.ndarray, seed: int = 7
     return machine
 
 
-def labelled_terms(docs: DataFrame, labels: DataFrame, may_learn: Column, sample: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def labelled(labels: DataFrame, may_learn: Column) -> DataFrame:
+    """One row per doc_id that may be learned from, with its label."""
+    marked = pick(labels, "doc_id", "toxic").where("doc_id is not null and toxic in (0, 1)").where(may_learn)
+    return marked.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+
+
+def labelled_terms(docs: DataFrame, marked: DataFrame, sample: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Labels and (text, bucket) pairs of at most `sample` rows of each label.
 
     Rows are taken by the hash of their doc_id, so reruns take the same ones.
     """
-    marked = pick(labels, "doc_id", "toxic").where("doc_id is not null and toxic in (0, 1)").where(may_learn)
-    marked = marked.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     chosen = None
     for label in (0, 1):
         part = marked.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
@@ -173,9 +180,10 @@ def labelled_terms(docs: DataFrame, labels: DataFrame, may_learn: Column, sample
     found = joined.mapInArrow(hashed, f"doc_id {kind}, toxic int, terms binary")
     taken = sorted((r["doc_id"], bytes(r["terms"]), r["toxic"]) for r in found.toLocalIterator())
     labels_of = np.array([t for _, _, t in taken], np.float64)
-    each = [np.frombuffer(b, "<i4").astype(np.int64) for _, b, _ in taken]
+    each = [np.frombuffer(b, "<i4") for _, b, _ in taken]
     sizes = np.array([len(e) for e in each], np.int64)
-    return labels_of, np.repeat(np.arange(len(each)), sizes), np.concatenate(each) if each else np.zeros(0, np.int64)
+    numbers = np.repeat(np.arange(len(each), dtype=np.int32), sizes)
+    return labels_of, numbers, np.concatenate(each) if each else np.zeros(0, np.int32)
 
 
 def fit(docs: DataFrame, labels: DataFrame, may_learn: Column | bool = True, sample: int = SAMPLE) -> Machine:
@@ -187,7 +195,13 @@ def fit(docs: DataFrame, labels: DataFrame, may_learn: Column | bool = True, sam
     out.
     """
     condition = may_learn if isinstance(may_learn, Column) else F.lit(may_learn)
-    return train(*labelled_terms(docs, labels, condition, sample))
+    marked = labelled(labels, condition)
+    machine = train(*labelled_terms(docs, marked, sample))
+    rows = {r["toxic"]: min(r["n"], 10**9) for r in marked.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    clean, toxic = rows.get(0, 0), rows.get(1, 0)
+    # The sample may hold more toxic rows than their share; the bias is set right for that.
+    machine.bias += np.log((toxic + 1) / (clean + 1)) - np.log((min(toxic, sample) + 1) / (min(clean, sample) + 1))
+    return machine
 
 
 def score_toxicity(docs: DataFrame, machine: Machine) -> DataFrame:

@@ -26,12 +26,12 @@ from creditmill.llm.words import BASES, Words, chunks, sequence_hashes, texts_of
 BUCKETS = 1 << 22
 # Bytes of the beginnings of words that are terms.
 PREFIXES = (3, 4, 5, 6, 7, 8)
-# Labelled rows of each label that the machine is fitted on, at most.
-SAMPLE = 3_000
+# Labelled rows that the machine is fitted on, at most: clean ones, toxic ones.
+SAMPLE = (7_000, 3_000)
 # Terms it keeps, factors of each, passes over the sample.
 TERMS, FACTORS, PASSES = 20_000, 8, 40
 # A kept term is in so many rows, and its label differs from chance by so many nats.
-LEAST_ROWS, LEAST_GAIN = 4, 9.0
+LEAST_ROWS, LEAST_GAIN = 4, 10.0
 THRESHOLD = 0.7
 
 
@@ -153,16 +153,16 @@ def labelled(labels: DataFrame, may_learn: Column) -> DataFrame:
     return marked.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
 
 
-def labelled_terms(docs: DataFrame, marked: DataFrame, sample: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Labels and (text, bucket) pairs of at most `sample` rows of each label.
+def labelled_terms(docs: DataFrame, marked: DataFrame, sample: tuple[int, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Labels and (text, bucket) pairs of at most `sample[label]` rows of each label.
 
     Rows are taken by the hash of their doc_id, so reruns take the same ones.
     """
     chosen = None
     for label in (0, 1):
-        part = marked.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+        part = marked.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample[label])
         chosen = part if chosen is None else chosen.unionByName(part)
-    # At most 2 x sample ids.
+    # At most sum(sample) ids.
     texts = pick(docs, "doc_id", "text").where("doc_id is not null").select(F.col("doc_id").alias("_doc"), text_of().alias("text"))
     joined = texts.join(F.broadcast(chosen), F.col("_doc") == F.col("doc_id")).select("doc_id", "toxic", "text")
 
@@ -186,11 +186,11 @@ def labelled_terms(docs: DataFrame, marked: DataFrame, sample: int) -> tuple[np.
     return labels_of, numbers, np.concatenate(each) if each else np.zeros(0, np.int32)
 
 
-def fit(docs: DataFrame, labels: DataFrame, may_learn: Column | bool = True, sample: int = SAMPLE) -> Machine:
+def fit(docs: DataFrame, labels: DataFrame, may_learn: Column | bool = True, sample: tuple[int, int] = SAMPLE) -> Machine:
     """A machine learned from the labels in `labels` (doc_id, toxic 0 or 1).
 
-    `may_learn` is a condition on doc_id. At most `sample` rows of each label are used;
-    their hashed terms come to the driver, so that number bounds its memory. A doc_id that
+    `may_learn` is a condition on doc_id. At most `sample[label]` rows of a label are
+    used; their hashed terms come to the driver, so that number bounds its memory. A doc_id that
     is labelled twice counts as toxic if one label says so; null or other labels are left
     out.
     """
@@ -200,7 +200,7 @@ def fit(docs: DataFrame, labels: DataFrame, may_learn: Column | bool = True, sam
     rows = {r["toxic"]: min(r["n"], 10**9) for r in marked.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     clean, toxic = rows.get(0, 0), rows.get(1, 0)
     # The sample may hold more toxic rows than their share; the bias is set right for that.
-    machine.bias += np.log((toxic + 1) / (clean + 1)) - np.log((min(toxic, sample) + 1) / (min(clean, sample) + 1))
+    machine.bias += np.log((toxic + 1) / (clean + 1)) - np.log((min(toxic, sample[1]) + 1) / (min(clean, sample[0]) + 1))
     return machine
 
 

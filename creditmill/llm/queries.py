@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditmill.llm.exact_dedup import exact_dedup
+from creditmill.llm.html_text import extract_pages
 from creditmill.llm.mixing import mix_plan
 from creditmill.llm.token_counts import count_tokens
 from creditmill.llm.token_store import read_tokens, store_tokens
@@ -48,6 +49,10 @@ def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix_plan(table(spark, folder, "documents"))
 
 
+def op3_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return extract_pages(table(spark, folder, "pages"))
+
+
 def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return count_tokens(table(spark, folder, "documents"), vocabulary())
 
@@ -73,5 +78,5 @@ def op10_token_store(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_exact_dedup, op2_mixing, op6_token_counts, op8_toxicity, op9_url_filter, op10_token_store)
+    f.__name__: f for f in (op1_exact_dedup, op2_mixing, op3_html_text, op6_token_counts, op8_toxicity, op9_url_filter, op10_token_store)
 }

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from creditmill.llm.exact_dedup import exact_dedup
 from creditmill.llm.html_text import extract_pages
 from creditmill.llm.mixing import mix_plan
+from creditmill.llm.substring_dedup import substring_dedup
 from creditmill.llm.token_counts import count_tokens
 from creditmill.llm.token_store import read_tokens, store_tokens
 from creditmill.llm.toxicity import THRESHOLD, fit, score_toxicity
@@ -53,6 +54,10 @@ def op3_html_text(spark: SparkSession, folder: str) -> DataFrame:
     return extract_pages(table(spark, folder, "pages"))
 
 
+def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup(table(spark, folder, "documents"))
+
+
 def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return count_tokens(table(spark, folder, "documents"), vocabulary())
 
@@ -78,5 +83,5 @@ def op10_token_store(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_exact_dedup, op2_mixing, op3_html_text, op6_token_counts, op8_toxicity, op9_url_filter, op10_token_store)
+    f.__name__: f for f in (op1_exact_dedup, op2_mixing, op3_html_text, op4_substring_dedup, op6_token_counts, op8_toxicity, op9_url_filter, op10_token_store)
 }

@@ -1,15 +1,14 @@
 """Pre-tokens of whole texts for vocabularies of words without white space.
 
 Such a vocabulary lower-cases, drops white space and never joins what white space parts.
-So a text is cut at ASCII white space, and every different word is split only once per
-task; counts and ids of texts are then sums and concatenations over arrays.
+So texts are cut at ASCII white space, every different word of a chunk is split only
+once, and counts and ids of texts are sums and concatenations over arrays.
 """
 
 from __future__ import annotations
 
 import json
 import re
-from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -18,11 +17,9 @@ import pyarrow.compute as pc
 # Fixed values of the vocabulary format: the characters of words that plain expressions
 # split exactly as the library does (visible ASCII and Latin letters), its split pattern
 # over them after lower-casing, and the bytes that stand for themselves.
-PLAIN = re.compile(r"[!-~À-ÖØ-öø-įı-ɏ]*")
-SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ɏ]+|[0-9]|[^a-z0-9ß-öø-ɏ]+")
+PLAIN = "^[!-~À-ÖØ-öø-įı-ɏ]*$"
+SPLIT = re.compile(r"\n|'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ɏ]+|[0-9]|[^\na-z0-9ß-öø-ɏ]+")
 VISIBLE = (*range(33, 127), *range(161, 173), *range(174, 256))
-# Different words one task keeps.
-KEPT_WORDS = 400_000
 
 
 def byte_symbols() -> list[str]:
@@ -54,10 +51,8 @@ class Pretokenizer:
     def mapped(self, piece: str) -> str:
         return piece if piece.isascii() else "".join([self.symbols[b] for b in piece.encode()])
 
-    def pieces(self, word: str) -> list[str | int]:
-        """Pre-tokens of a word in byte symbols; a special string is its id."""
-        if PLAIN.fullmatch(word) and not any(o in word for o in self.opening):
-            return [self.mapped(p) for p in SPLIT.findall(word.lower())]
+    def odd_pieces(self, word: str) -> list[str | int]:
+        """Pre-tokens of a word by the library; a special string is its id."""
         out: list[str | int] = []
         for part in self.at_special.split(word) if self.at_special else [word]:
             if part in self.special:
@@ -67,28 +62,48 @@ class Pretokenizer:
                 out += [p for p, _ in self.library.pre_tokenizer.pre_tokenize_str(plain)]
         return out
 
-
-class WordTable:
-    """Values of different words, computed once; those of a text come from array look-ups.
-
-    `solve` gets the new words of a chunk and gives an array of ids for each.
-    """
-
-    def __init__(self, solve: Callable[[list[str]], list[np.ndarray]]):
-        self.solve, self.known = solve, {}
-
-    def values(self, words: list[str]) -> list[np.ndarray]:
-        if len(self.known) > KEPT_WORDS:
-            self.known = {}
-        new = [w for w in words if w not in self.known]
-        if new:
-            self.known.update(zip(new, self.solve(new)))
-        return [self.known[w] for w in words]
-
-
-def split_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    def split(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str | int]]:
+        """Pre-tokens of all words in order: the word's number, the pre-token's code, and
+        the different pre-tokens in byte symbols, with ids in place of special strings."""
+        plain = pc.match_substring_regex(words, PLAIN).to_numpy(zero_copy_only=False)
+        for opening in self.opening:
+            plain &= ~pc.match_substring(words, opening).to_numpy(zero_copy_only=False)
+        simple = np.flatnonzero(plain)
+        every = words.take(pa.array(simple)).cast(pa.large_string())
+        one = pa.LargeListArray.from_arrays(pa.array([0, len(every)], pa.int64()), every)
+        joined = pc.binary_join(one, "\n")[0].as_py().lower() + "\n"
+        coded = pa.array(SPLIT.findall(joined), pa.large_string()).dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        border = codes == distinct.index("\n")
+        owner = (np.cumsum(border) - border)[~border]
+        owner, codes = (simple[owner] if len(simple) else owner[:0]), codes[~border]
+        found = [self.mapped(p) for p in distinct]
+        if len(simple) < len(words):
+            known = {p: i for i, p in enumerate(found)}
+            odd = np.flatnonzero(~plain)
+            own, more = [], []
+            for i, word in zip(odd.tolist(), words.take(pa.array(odd)).to_pylist()):
+                for p in self.odd_pieces(word):
+                    own.append(i)
+                    more.append(known.setdefault(p, len(known)))
+            found += list(known)[len(found):]
+            owner = np.concatenate((owner, np.array(own, np.int64)))
+            codes = np.concatenate((codes, np.array(more, np.int64)))
+            order = np.argsort(owner, kind="stable")
+            owner, codes = owner[order], codes[order]
+        return owner, codes, found
+
+
+def gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """flat[start:start + size] for each pair, one behind the other."""
+    before = np.cumsum(sizes) - sizes
+    return flat[np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))]
+
+
+def split_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """First word of each text, a code for each word, and the different words by code."""
     lists = pc.ascii_split_whitespace(pc.fill_null(texts, "").cast(pa.large_string()))
     coded = lists.flatten().dictionary_encode()
     offsets = lists.offsets.to_numpy()
-    return offsets - offsets[0], coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary.to_pylist()
+    return offsets - offsets[0], coded.indices.to_numpy(zero_copy_only=False), coded.dictionary

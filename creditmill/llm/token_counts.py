@@ -1,9 +1,9 @@
 """Token counts by rank-synchronous merging of ragged arrays.
 
-The pre-tokens of a batch that are new stand one behind the other in one array of
+The different pre-tokens of a batch stand one behind the other in one array of
 symbols. In each round every sequence applies its lowest-ranked pair, at all its places,
 together with all other sequences; a sequence without a known pair is done. Left are the
-tokens, whose numbers per pre-token are kept for the rest of the task.
+tokens.
 """
 
 from __future__ import annotations
@@ -16,10 +16,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from creditmill.llm.pretokens import Pretokenizer, WordTable, split_words
+from creditmill.llm.pretokens import Pretokenizer, split_words
 from creditmill.llm.tables import pick, text_of
 from creditmill.llm.words import chunks, texts_of
 
+# Text bytes taken together.
+CHUNK_BYTES = 8 << 20
 NONE = np.iinfo(np.int64).max
 
 
@@ -35,8 +37,7 @@ class Merges:
         right = np.array([self.vocab[b] for _, b in pairs], np.int64)
         result = np.array([self.vocab[a + b] for a, b in pairs], np.int64)
         order = np.argsort(left * self.width + right)
-        self.keys, self.ranks, self.results = (left * self.width + right)[order], order, np.empty(len(order), np.int64)
-        self.results = result  # by rank
+        self.keys, self.ranks, self.results = (left * self.width + right)[order], order, result
 
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         keys = left * self.width + right
@@ -98,19 +99,15 @@ class Counter:
     def __init__(self, path: str):
         self.split = Pretokenizer(path)
         self.merges = Merges(self.split.spec)
-        self.pieces: dict[str, int] = {}
-        self.words = WordTable(self.solve)
-
-    def solve(self, words: list[str]) -> list[int]:
-        split = [self.split.pieces(w) for w in words]
-        new = list({p for ps in split for p in ps if isinstance(p, str) and p not in self.pieces})
-        self.pieces.update(zip(new, self.merges.count(new).tolist()))
-        return [sum([1 if isinstance(p, int) else self.pieces[p] for p in ps]) for ps in split]
 
     def count(self, texts: pa.Array) -> np.ndarray:
         first, codes, words = split_words(texts)
-        each = np.array(self.words.values(words), np.int64)
-        total = np.concatenate(([0], np.cumsum(each[codes]))) if len(codes) else np.zeros(1, np.int64)
+        owner, pieces, distinct = self.split.split(words)
+        sizes = np.ones(len(distinct), np.int64)  # of special strings
+        plain = [i for i, p in enumerate(distinct) if isinstance(p, str)]
+        sizes[plain] = self.merges.count([distinct[i] for i in plain])
+        each = np.bincount(owner, sizes[pieces], minlength=len(words)).astype(np.int64)
+        total = np.concatenate(([0], np.cumsum(each[codes])))
         return total[first[1:]] - total[first[:-1]]
 
 
@@ -121,13 +118,13 @@ def count_tokens(docs: DataFrame, vocabulary: str, limit: int = 2048) -> DataFra
     end tokens; strings of special tokens inside a text are one token each, as the library
     has it by default. A null or empty text has 0 tokens. Rows are counted one by one, so
     repeated rows stay, and an empty table gives an empty result. Other columns are
-    ignored. No shuffle: memory is bound by one text and KEPT_WORDS different words.
+    ignored. No shuffle; memory is bound by one text.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(vocabulary)
         for batch in batches:
-            for piece in chunks(batch):
+            for piece in chunks(batch, limit=CHUNK_BYTES):
                 texts = texts_of(piece)
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": texts_of(piece, "doc_id"),

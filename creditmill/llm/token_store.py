@@ -22,16 +22,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from creditmill.llm.pretokens import Pretokenizer, WordTable, split_words
+from creditmill.llm.pretokens import Pretokenizer, gather, split_words
 from creditmill.llm.tables import pick, text_of
 from creditmill.llm.words import chunks, texts_of
 from creditmill.operators.materialize import checkpoint_root, computed_once
 
 END_ID = 1
 # Text bytes per file, and ids per frame, about; a document is never split.
-FILE_BYTES = 16 << 20
+FILE_BYTES = 32 << 20
 FRAME_IDS = 128 * 1024
 LEVEL = 3
+# Text bytes encoded together.
+CHUNK_BYTES = 6 << 20
+# Different pre-tokens a task keeps.
+KEPT_PIECES = 600_000
 # Fixed values of the seekable format: magic numbers, and the flag for checksums.
 SKIPPABLE_MAGIC, SEEKABLE_MAGIC, WITH_CHECKSUMS = 0x184D2A5E, 0x8F92EAB1, 0x80
 
@@ -98,44 +102,57 @@ class FrameReader:
 
 
 class Encoder:
-    """Ids of texts; the library encodes every different pre-token."""
+    """Ids of texts; the library encodes every different pre-token of a task once."""
 
     def __init__(self, path: str):
-        self.split = Pretokenizer(path)
-        self.model = self.split.library.model
-        self.pieces: dict[str, list[int]] = {}
-        self.words = WordTable(self.solve)
-
-    def piece(self, piece: str | int) -> list[int]:
-        if isinstance(piece, int):
-            return [piece]
-        found = self.pieces.get(piece)
-        if found is None:
-            found = self.pieces[piece] = [t.id for t in self.model.tokenize(piece)]
-        return found
+        from tokenizers import Tokenizer, pre_tokenizers
 
-    def solve(self, words: list[str]) -> list[np.ndarray]:
-        return [np.array([i for p in self.split.pieces(w) for i in self.piece(p)], np.uint32) for w in words]
+        self.split = Pretokenizer(path)
+        # The library's model over ready pre-tokens, which hold no white space.
+        self.library = Tokenizer(self.split.library.model)
+        self.library.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        suffix = self.split.spec["model"]["end_of_word_suffix"]
+        self.closing = np.zeros(self.library.get_vocab_size(), bool)
+        self.closing[[i for t, i in self.library.get_vocab().items() if t.endswith(suffix)]] = True
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str | int, int] = {}
+        self.sizes, self.flat = np.zeros(0, np.int64), np.zeros(0, np.uint32)
+
+    def pieces(self, distinct: list[str | int]) -> np.ndarray:
+        """Place of each pre-token in `sizes`, after new ones were added there."""
+        if len(self.known) > KEPT_PIECES:
+            self.forget()
+        new = [p for p in distinct if p not in self.known and p != "\n"]
+        plain = [p for p in new if isinstance(p, str)]
+        special = [p for p in new if isinstance(p, int)]
+        if plain:
+            encoded = self.library.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0]
+            ids = np.array(encoded.ids, np.uint32)
+            # A pre-token ends with the one of its tokens that closes a word.
+            self.sizes = np.concatenate((self.sizes, np.diff(np.flatnonzero(self.closing[ids]), prepend=-1)))
+            self.flat = np.concatenate((self.flat, ids))
+        self.sizes = np.concatenate((self.sizes, np.ones(len(special), np.int64)))
+        self.flat = np.concatenate((self.flat, np.array(special, np.uint32)))
+        self.known.update(zip(plain + special, range(len(self.known), len(self.known) + len(new))))
+        return np.array([self.known.get(p, 0) for p in distinct], np.int64)
 
     def encode(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids per text and all ids; each text is closed by `end`."""
-        if len(self.pieces) > 1_000_000:
-            self.pieces = {}
         first, codes, words = split_words(texts)
-        values = self.words.values(words)
-        sizes = np.fromiter(map(len, values), np.int64, len(values))
-        flat = np.concatenate(values) if len(values) else np.zeros(0, np.uint32)
-        flat_start = np.cumsum(sizes) - sizes
+        owner, pieces, distinct = self.split.split(words)
+        places = self.pieces(distinct)[pieces]
+        own = self.sizes[places]
+        flat = gather(self.flat, (np.cumsum(self.sizes) - self.sizes)[places], own)
+        sizes = np.bincount(owner, own, minlength=len(words)).astype(np.int64)
         each = sizes[codes]
         before = np.concatenate(([0], np.cumsum(each)))
         counts = before[first[1:]] - before[first[:-1]] + 1
-        # A word's ids lie `shift` from its place in `flat`; one end id stands behind each text.
-        source = np.repeat(flat_start[codes] - before[:-1], each) + np.arange(before[-1])
-        ends = np.cumsum(counts) - 1
         ids = np.full(int(counts.sum()), end, np.uint32)
         inside = np.ones(len(ids), bool)
-        inside[ends] = False
-        ids[inside] = flat[source]
+        inside[np.cumsum(counts) - 1] = False
+        ids[inside] = gather(flat, (np.cumsum(sizes) - sizes)[codes], each)
         return counts, ids
 
 
@@ -177,7 +194,7 @@ def write_tokens(docs: DataFrame, vocabulary: str, root: str, end: int = END_ID)
 
         shard = 0
         for batch in batches:
-            for piece in chunks(batch):
+            for piece in chunks(batch, limit=CHUNK_BYTES):
                 if writer is None:
                     shard = piece.column("shard")[0].as_py()
                     path = f"{root}/ids-{shard:06d}-{uuid.uuid4().hex}.zst"

@@ -69,8 +69,8 @@ class Pretokenizer:
         for opening in self.opening:
             plain &= ~pc.match_substring(words, opening).to_numpy(zero_copy_only=False)
         simple = np.flatnonzero(plain)
-        every = words.take(pa.array(simple)).cast(pa.large_string())
-        one = pa.LargeListArray.from_arrays(pa.array([0, len(every)], pa.int64()), every)
+        every = words.take(pa.array(simple)).cast(pa.string())
+        one = pa.ListArray.from_arrays(pa.array([0, len(every)], pa.int32()), every)
         joined = pc.binary_join(one, "\n")[0].as_py().lower() + "\n"
         coded = pa.array(SPLIT.findall(joined), pa.large_string()).dictionary_encode()
         distinct = coded.dictionary.to_pylist()

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from creditmill.llm.decontaminate import find_leaks
 from creditmill.llm.exact_dedup import exact_dedup
 from creditmill.llm.html_text import extract_pages
 from creditmill.llm.mixing import mix_plan
@@ -62,6 +63,11 @@ def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return count_tokens(table(spark, folder, "documents"), vocabulary())
 
 
+def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """The benchmark items that documents hold; a clean document has no row."""
+    return find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Labels are learned from rows outside one third, which is held out."""
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
@@ -83,5 +89,5 @@ def op10_token_store(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_exact_dedup, op2_mixing, op3_html_text, op4_substring_dedup, op6_token_counts, op8_toxicity, op9_url_filter, op10_token_store)
+    f.__name__: f for f in (op1_exact_dedup, op2_mixing, op3_html_text, op4_substring_dedup, op6_token_counts, op7_decontaminate, op8_toxicity, op9_url_filter, op10_token_store)
 }

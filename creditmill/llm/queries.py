@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from creditmill.llm.decontaminate import find_leaks
 from creditmill.llm.exact_dedup import exact_dedup
 from creditmill.llm.html_text import extract_pages
+from creditmill.llm.minhash import near_components
 from creditmill.llm.mixing import mix_plan
 from creditmill.llm.substring_dedup import substring_dedup
 from creditmill.llm.token_counts import count_tokens
@@ -59,6 +60,10 @@ def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup(table(spark, folder, "documents"))
 
 
+def op5_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return near_components(table(spark, folder, "documents"), similarity=85)
+
+
 def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return count_tokens(table(spark, folder, "documents"), vocabulary())
 
@@ -89,5 +94,5 @@ def op10_token_store(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_exact_dedup, op2_mixing, op3_html_text, op4_substring_dedup, op6_token_counts, op7_decontaminate, op8_toxicity, op9_url_filter, op10_token_store)
+    f.__name__: f for f in (op1_exact_dedup, op2_mixing, op3_html_text, op4_substring_dedup, op5_minhash, op6_token_counts, op7_decontaminate, op8_toxicity, op9_url_filter, op10_token_store)
 }

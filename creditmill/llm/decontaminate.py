@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creditmill.llm.tables import pick, text_of
-from creditmill.llm.words import Words, chunks, mixed, texts_of
+from creditmill.llm.words import Words, chunks, mixed, rows_kept, texts_of
 
 # Edits per word of an item, at most.
 EDIT_SHARE = 0.2
@@ -225,21 +225,15 @@ def find_leaks(docs: DataFrame, items: DataFrame, block_bytes: int = BLOCK_BYTES
 
 def without_leaks(docs: DataFrame, items: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of `docs`, with all their columns, that hold none of the items."""
-    names = docs.columns
-    at = [i for i, c in enumerate(names) if c == "text"] or [i for i, c in enumerate(names) if c.lower() == "text"]
-    kept = docs.toDF(*[f"c{i}" for i in range(len(names))])
-    schema = kept.schema
 
     def clean(benchmark: Benchmark):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for piece in chunks(batch, f"c{at[0]}"):
-                    stays = np.ones(len(piece), bool)
-                    stays[[h[0] for h in benchmark.find(texts_of(piece, f"c{at[0]}"))]] = False
-                    yield from piece.filter(pa.array(stays)).to_batches()
+        def keep(texts: pa.Array) -> np.ndarray:
+            stays = np.ones(len(texts), bool)
+            stays[[hit[0] for hit in benchmark.find(texts)]] = False
+            return stays
 
-        return run
+        return keep
 
     for benchmark in benchmarks(items, block_bytes):
-        kept = kept.mapInArrow(clean(benchmark), schema)
-    return kept.toDF(*names)
+        docs = rows_kept(docs, clean(benchmark))
+    return docs

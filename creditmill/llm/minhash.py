@@ -259,3 +259,21 @@ def near_components(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     taken = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
     component = F.when(taken, F.col("component_id")).otherwise(F.col("doc_id"))
     return result.select("doc_id", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"))
+
+
+def one_of_each(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
+    """The rows of `docs`, with all their columns, but of each component only its smallest
+    doc_id. Rows without doc_id stay. Rows that repeat doc_id and text stay once; rows that
+    repeat a doc_id with other texts all stay if one of them does."""
+    near = computed_once(near_components(docs, similarity))
+    ids = near.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("rows")).where("doc_id is not null")
+    ids = computed_once(ids.where("not kept or rows > 1"))
+    names = docs.columns
+    place = {n: ([i for i, c in enumerate(names) if c == n] or [i for i, c in enumerate(names) if c.lower() == n])[0] for n in ("doc_id", "text")}
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    key, text = f"c{place['doc_id']}", f"c{place['text']}"
+    dropped = ids.where("not kept").select(F.col("doc_id").alias("_id"))
+    kept = plain.join(broadcast_if_small(dropped), F.col(key) == F.col("_id"), "left_anti")
+    if not ids.where("kept").isEmpty():
+        kept = kept.where(f"{key} is null").union(kept.where(f"{key} is not null").dropDuplicates([key, text]))
+    return kept.toDF(*names)

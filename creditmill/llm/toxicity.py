@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creditmill.llm.tables import pick, text_of
-from creditmill.llm.words import BASES, Words, chunks, sequence_hashes, texts_of
+from creditmill.llm.words import BASES, Words, chunks, rows_kept, sequence_hashes, texts_of
 
 BUCKETS = 1 << 22
 # Bytes of the beginnings of words that are terms.
@@ -226,3 +226,13 @@ def score_toxicity(docs: DataFrame, machine: Machine) -> DataFrame:
     rows = pick(docs, "doc_id", "text").select("doc_id", text_of().alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(score, f"doc_id {kind}, score double")
+
+
+def without_toxic(docs: DataFrame, machine: Machine, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of `docs`, with all their columns, that score below `threshold`."""
+
+    def keep(texts: pa.Array) -> np.ndarray:
+        rows, found = distinct_terms(Words(texts, lower=True), machine.numbers())
+        return machine.scores(rows, found, len(texts)) < threshold
+
+    return rows_kept(docs, keep)

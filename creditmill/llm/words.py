@@ -7,11 +7,12 @@ is done per word.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 
 CHUNK_BYTES = 4 << 20
 # Fixed odd multipliers of the two independent hashes.
@@ -130,3 +131,20 @@ def chunks(batch: pa.RecordBatch | pa.Table, column: str = "text", limit: int =
 def texts_of(table: pa.Table, column: str = "text") -> pa.Array:
     array = table.column(column)
     return array.combine_chunks() if isinstance(array, pa.ChunkedArray) else array
+
+
+def rows_kept(docs: DataFrame, keep: Callable[[pa.Array], np.ndarray], column: str = "text") -> DataFrame:
+    """The rows of `docs`, with all their columns, for whose texts `keep` gives true.
+
+    `keep` gets the texts of a chunk. Columns go by place, so their names may clash.
+    """
+    names = docs.columns
+    at = [i for i, c in enumerate(names) if c == column] or [i for i, c in enumerate(names) if c.lower() == column.lower()]
+    plain, place = docs.toDF(*[f"c{i}" for i in range(len(names))]), f"c{at[0]}"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in chunks(batch, place):
+                yield from piece.filter(pa.array(keep(pc.fill_null(texts_of(piece, place), "")), pa.bool_())).to_batches()
+
+    return plain.mapInArrow(run, plain.schema).toDF(*names)

@@ -78,14 +78,14 @@ def number(c: Column) -> Column:
 
 
 def money(c: Column, data_type: T.DataType) -> Column:
-    """Amount with two places, null for text that is no number."""
+    """Amount with its places, up to six, null for text that is no number."""
     source = stripped(c) if isinstance(data_type, T.StringType) else c
     return source.try_cast(MONEY)
 
 
 def text_key(c: Column) -> Column:
-    """Join key of a product table id: no case, no blanks, no float suffix."""
-    return F.regexp_replace(F.lower(known_name(stripped(c))), r"\.0$", "")
+    """Join key of a product table id: no case, no blanks, no float suffix of a number."""
+    return F.regexp_replace(F.lower(known_name(stripped(c))), r"^(\d+)\.0$", "$1")
 
 
 def numeric_key(c: Column, integral: bool) -> Column:
@@ -100,14 +100,55 @@ def utc_wall_clock(instant: Column) -> Column:
     )
 
 
+# English month names by their first three letters.
+MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
+
+
+def _named_month(text: Column) -> Column:
+    """``05 Jan 2026`` and ``Jan 5, 2026``, with what follows, as day-first numbers."""
+    numbers = F.create_map(*[F.lit(x) for i, name in enumerate(MONTHS) for x in (name, str(i + 1))])
+    day_first = r"(?i)^(\d{1,2})[ -]([a-z]{3})[a-z]*\.?,?[ -](\d{4})"
+    month_first = r"(?i)^([a-z]{3})[a-z]*\.? (\d{1,2}),? (\d{4})"
+
+    def part(pattern: str, group: int) -> Column:
+        return F.regexp_extract(text, pattern, group)
+
+    def numeric(pattern: str, day: int, name: int) -> Column:
+        month = F.try_element_at(numbers, F.lower(part(pattern, name)))
+        return F.concat(part(pattern, day), F.lit("/"), month, F.lit("/"), F.regexp_replace(text, pattern, "$3"))
+
+    named = F.when(text.rlike(day_first), numeric(day_first, 1, 2)).when(text.rlike(month_first), numeric(month_first, 2, 1))
+    return F.coalesce(named, text)
+
+
+def _twelve_hours(text: Column) -> Column:
+    """A time with AM or PM at the end, as a time of 24 hours."""
+    pattern = r"(?i)^(.*[ T])(\d{1,2}):(\d{2})(:\d{2}(?:\.\d+)?)?\s*([ap])\.?m\.?$"
+
+    def part(group: int) -> Column:
+        return F.regexp_extract(text, pattern, group)
+
+    hour = part(2).try_cast("int") % 12 + F.when(F.lower(part(5)) == "p", 12).otherwise(0)
+    seconds = F.when(part(4) == "", F.lit(":00")).otherwise(part(4))
+    written = F.concat(part(1), F.lpad(hour.cast("string"), 2, "0"), F.lit(":"), part(3), seconds)
+    return F.when(text.rlike(pattern), written).otherwise(text)
+
+
 def iso_text(c: Column) -> Column:
     """ISO spelling of a date text. The usual ISO forms pass as they are; day-first,
-    slashed and compact dates and zoned times without seconds are rewritten."""
+    slashed and compact dates, English month names, years of two digits (1970 to 2069),
+    twelve-hour times and zoned times without seconds are rewritten."""
     text = stripped(c)
-    usual = (F.substring(text, 5, 1) == "-") & (
-        (F.length(text) <= 16) | (F.substring(text, 17, 1) == ":")
+    usual = (
+        (F.substring(text, 5, 1) == "-")
+        & ((F.length(text) <= 16) | (F.substring(text, 17, 1) == ":"))
+        & (F.upper(F.substring(text, -1, 1)) != "M")
     )
-    iso = F.regexp_replace(text, r"^(\d{1,2})[/.-](\d{1,2})[/.-](\d{4})", "$3-$2-$1")
+    iso = _twelve_hours(_named_month(text))
+    iso = F.regexp_replace(iso, r"^(\d{1,2})[/.](\d{1,2})[/.]([0-6]\d)(?!\d)", "$1-$2-20$3")
+    iso = F.regexp_replace(iso, r"^(\d{1,2})[/.](\d{1,2})[/.]([7-9]\d)(?!\d)", "$1-$2-19$3")
+    iso = F.regexp_replace(iso, r"^(\d{4})(\d{2})(\d{2})(\d{2})(\d{2})(\d{2})$", "$1-$2-$3 $4:$5:$6")
+    iso = F.regexp_replace(iso, r"^(\d{1,2})[/.-](\d{1,2})[/.-](\d{4})", "$3-$2-$1")
     iso = F.regexp_replace(iso, r"^(\d{4})/(\d{1,2})/(\d{1,2})", "$1-$2-$3")
     iso = F.regexp_replace(iso, r"^(\d{4})(\d{2})(\d{2})\b", "$1-$2-$3")
     iso = F.regexp_replace(iso, r"([T ]\d{1,2}:\d{2})(Z|[+-]\d{2}:?\d{2})?$", "$1:00$2")
@@ -136,7 +177,9 @@ def parse_timestamps(df: DataFrame, *columns: str) -> DataFrame:
     """Zone-free UTC timestamps in place of date columns of any type.
 
     Text may be ISO (blank or ``T``, ``Z`` or an offset, fractions, no seconds),
-    ``yyyyMMdd``, or day-first with slashes, dots or dashes; anything else is null.
+    ``yyyyMMdd`` with or without ``HHmmss``, day-first with slashes, dots or dashes and
+    years of four or (after slashes or dots) two digits, or with an English month name;
+    times may be of twelve hours with AM or PM. Anything else is null.
     Two projections, so that each text is rewritten once and not per use.
     """
     rewritten, parsed = {}, {}

@@ -15,8 +15,8 @@ from creditmill.schema import GROSS, N_IDS, N_ROWS, NET, TOTAL
 
 
 def total(c: Column) -> Column:
-    """Sum of amounts, 0 when there is nothing to add."""
-    return F.coalesce(F.sum(c), F.lit(0)).cast(TOTAL)
+    """Sum of amounts, rounded half-even after it, 0 when there is nothing to add."""
+    return F.bround(F.coalesce(F.sum(c), F.lit(0)), 2).cast(TOTAL)
 
 
 def total_where(condition: Column, c: Column) -> Column:

@@ -11,8 +11,10 @@ from pyspark.sql import types as T
 from creditmill import schema as s
 from creditmill.operators.align import align_to, resolve_contracts
 from creditmill.operators.enrich import enrich_contracts
+from creditmill.operators.materialize import tables_dropped
 from creditmill.plans.panel import panel_metrics, write_panel
-from creditmill.sources.sinks import read_run, upsert_snapshots, write_run
+from creditmill.session import sized_shuffles
+from creditmill.sources.sinks import add_snapshots, read_run, write_run
 
 
 def refresh_contracts(
@@ -33,23 +35,27 @@ def build_panel(
     root: str,
     run: str,
     order: Sequence[str | Column],
+    shuffled_bytes: int | None = None,
 ) -> str:
     """Store the enriched contracts and every panel metric of a run; returns the folder
-    of the metrics."""
-    enriched = enrich_contracts(contracts, tables, broker, hierarchy, order=order)
-    write_run(enriched, f"{root}/enriched", run, (s.MONTH,))
-    stored = read_run(contracts.sparkSession, f"{root}/enriched", run)
+    of the metrics. `shuffled_bytes` is the size of the narrow deduplicated contracts, for
+    the number of shuffle partitions. Intermediate tables are gone afterwards."""
+    spark = contracts.sparkSession
     location = f"{root}/panel/run={run}"
-    write_panel(panel_metrics(stored, as_of), location)
+    with sized_shuffles(spark, shuffled_bytes), tables_dropped(spark):
+        enriched = enrich_contracts(contracts, tables, broker, hierarchy, order=order)
+        write_run(enriched, f"{root}/enriched", run, (s.MONTH,))
+        stored = read_run(spark, f"{root}/enriched", run)
+        write_panel(panel_metrics(stored, as_of), location)
     return location
 
 
 def publish_panel(
     spark: SparkSession, snapshots: str, scope: str, location: str, at: dt.datetime
 ) -> None:
-    """Point the scope at the panel's folder. Readers see the old panel or the new one,
-    and `snapshot_changed` tells them which without reading it."""
+    """Point the scope at the panel's folder, by a new version of its snapshot. Readers see
+    the old panel or the new one, and `snapshot_changed` tells them which."""
     row = spark.createDataFrame(
         [(scope, location, at)], "escopo string, html string, atualizado_em timestamp"
     )
-    upsert_snapshots(row, snapshots)
+    add_snapshots(row, snapshots)

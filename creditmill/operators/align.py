@@ -40,19 +40,30 @@ def _typed(df: DataFrame, source: str, target: T.StructField) -> Column:
     return c if target.name == s.BROKER_CODE else c.cast(target.dataType)
 
 
+def contract_sources(columns: list[str]) -> dict[str, list[str]]:
+    """Canonical column -> the columns of the source that it is read from. One that is not
+    in it has no source; if only canonical names are, no column was renamed."""
+    sources = {name: [name] for name in s.CONTRACT.names if name in columns}
+    for source, target in {**s.SOURCE_ALIASES, "fundo": s.FUND_RAW}.items():
+        if source in columns and target not in columns:
+            sources.setdefault(target, []).append(source)
+    return sources
+
+
 def resolve_contracts(df: DataFrame) -> DataFrame:
     """Canonical contract table out of a raw one, by projections alone.
 
     Renames database columns, translates statuses, parses dates and amounts,
     adds what is missing as typed nulls and carries unknown columns through last.
+    A source without any typing date counts a contract as typed when it was disbursed,
+    so cohorts and periods go by that date.
     A raw ``fundo`` becomes ``fundo_raw``: Spark does not tell it from ``Fundo``.
     """
     df = clean_headers(df)
     present = list(df.columns)
-    sources = {name: [name] for name in s.CONTRACT.names if name in present}
-    for source, target in {**s.SOURCE_ALIASES, "fundo": s.FUND_RAW}.items():
-        if source in present and target not in present:
-            sources.setdefault(target, []).append(source)
+    sources = contract_sources(present)
+    if s.TYPED_ON not in sources and s.DISBURSED_ON in sources:
+        sources[s.TYPED_ON] = sources[s.DISBURSED_ON]
     dates = [f.name for f in s.CONTRACT.fields if isinstance(f.dataType, T.TimestampNTZType)]
     df = cl.parse_timestamps(df, *[source for name in dates for source in sources.get(name, [])])
     canonical = []

@@ -444,12 +444,16 @@ ORACLE: dict[str, str] = {
         f"""SELECT produto AS "Produto", concat_ws(' - ', tabela, fundo) AS "Tabela", {TABLE_MIX} FROM fato
         WHERE tabela IS NOT NULL AND produto IS NOT NULL AND {IN_MONTH} GROUP BY produto, tabela, fundo"""
     ),
-    "date_parse_mixed": """SELECT o_orderkey, CASE o_orderkey % 8
+    "date_parse_mixed": """SELECT o_orderkey, CASE o_orderkey % 13
           WHEN 0 THEN date_trunc('day', o_orderdate) WHEN 1 THEN o_orderdate
           WHEN 2 THEN date_trunc('day', o_orderdate) + INTERVAL 26 HOUR + INTERVAL 30 MINUTE
           WHEN 3 THEN date_trunc('day', o_orderdate)
           WHEN 4 THEN date_trunc('day', o_orderdate) + INTERVAL 37230123456 MICROSECOND
-          WHEN 5 THEN date_trunc('day', o_orderdate) + INTERVAL 425 MINUTE END AS data
+          WHEN 5 THEN date_trunc('day', o_orderdate) + INTERVAL 425 MINUTE
+          WHEN 7 THEN date_trunc('day', o_orderdate) WHEN 8 THEN date_trunc('day', o_orderdate)
+          WHEN 9 THEN date_trunc('day', o_orderdate)
+          WHEN 10 THEN date_trunc('day', o_orderdate) + INTERVAL 630 MINUTE
+          WHEN 11 THEN date_trunc('day', o_orderdate) + INTERVAL 80430 SECOND END AS data
         FROM orders""",
     "status_translate": f"""SELECT codigo, status,
           CASE status WHEN 'Cancelado' THEN 'Cancelado'
@@ -499,6 +503,24 @@ ORACLE: dict[str, str] = {
         """SELECT status AS valor, count(*) AS n FROM fato WHERE status IS NOT NULL
         GROUP BY status ORDER BY n DESC, status LIMIT 10"""
     ),
+    "value_counts_raw_status": f"""SELECT codigo, count(*) AS n, any_value(CASE codigo
+            WHEN 'Canceled' THEN 'Cancelado' WHEN 'signature_analysis' THEN 'Aguardando análise de assinatura'
+            WHEN 'In_Averbation' THEN 'Em averbação' WHEN 'REPROVED' THEN 'Assinatura reprovada'
+            WHEN 'RISK_ANALYSIS' THEN 'Rejeitada pela análise de risco' ELSE codigo END) AS status
+        FROM (SELECT {STATUS_CODE} AS codigo FROM lineitem) WHERE codigo IS NOT NULL
+        GROUP BY codigo ORDER BY n DESC, codigo LIMIT 30""",
+    "parse_coverage": """SELECT 'data_pagamento' AS coluna, 'Data do Desembolso' AS destino, count(*) AS presentes,
+          count(*) - count(CASE WHEN o_orderkey % 13 IN (6, 12) THEN 1 END) AS lidos,
+          count(CASE WHEN o_orderkey % 13 IN (6, 12) THEN 1 END) AS perdidos FROM orders
+        UNION ALL SELECT 'created_at', 'Data de Digitação', count(o_orderdate), count(o_orderdate), 0 FROM orders
+        UNION ALL SELECT 'valor_bruto', 'Valor Bruto', count(CASE WHEN o_orderkey % 5 <> 1 THEN 1 END),
+          count(CASE WHEN o_orderkey % 5 > 1 THEN 1 END), count(CASE WHEN o_orderkey % 5 = 0 THEN 1 END) FROM orders""",
+    "cohort_without_typing": """SELECT mes AS "Mes", total AS "Total", desemb AS "Desemb", canc AS "Canc",
+          CASE WHEN total > 0 THEN round_even(CAST(desemb AS DOUBLE) / total * 100, 1) ELSE 0.0 END AS "Conv"
+        FROM (SELECT strftime(l_shipdate, '%Y-%m') AS mes, count(*) AS total,
+                count(CASE WHEN l_linestatus = 'F' THEN 1 END) AS desemb,
+                count(CASE WHEN l_linestatus <> 'F' THEN 1 END) AS canc
+              FROM lineitem WHERE l_shipdate IS NOT NULL GROUP BY 1) WHERE desemb > 0""",
     "date_coverage": _over_facts(
         """SELECT count(*) AS total, count(pago) AS com_data, count(*) - count(pago) AS sem_data,
           count(CASE WHEN des AND pago IS NOT NULL THEN 1 END) AS des_com_data,
@@ -516,7 +538,7 @@ ORACLE: dict[str, str] = {
     "breakeven_ticket": _over_facts(
         f"""SELECT fundo AS "Fundo", {TICKET} AS ticket_minimo,
           count(CASE WHEN b < {TICKET} THEN 1 END) AS abaixo, count(b) AS total
-        FROM preco WHERE fundo IS NOT NULL GROUP BY fundo, a, t, i, d, f, c, r""",
+        FROM preco GROUP BY fundo, a, t, i, d, f, c, r""",
         PRICED.format(params=COSTLY, source="fato"),
     ),
     "breakeven_fee": _over_facts(
@@ -540,9 +562,9 @@ ORACLE: dict[str, str] = {
           CASE WHEN final_s < 0 AND ({FEE}) > t THEN (({FEE}) - t) * 100 END AS aumento_tac_pp FROM preco""",
         f"""pontas AS (
           SELECT fundo, 'minimo' AS ticket, min(bruto) AS bruto FROM pago
-            WHERE fundo IS NOT NULL AND bruto IS NOT NULL GROUP BY fundo
+            WHERE bruto IS NOT NULL GROUP BY fundo
           UNION ALL SELECT fundo, 'maximo', max(bruto) FROM pago
-            WHERE fundo IS NOT NULL AND bruto IS NOT NULL GROUP BY fundo),
+            WHERE bruto IS NOT NULL GROUP BY fundo),
         cenarios AS (
           SELECT *, 'padrao' AS cenario, {DEFAULT} FROM pontas
           UNION ALL SELECT *, 'custoso', {HOPELESS} FROM pontas)""",
@@ -557,7 +579,7 @@ ORACLE: dict[str, str] = {
                 - n * (CAST(5.8 AS DOUBLE) + CAST(1.84 AS DOUBLE)) AS s
               FROM (SELECT fundo, count(*) AS n, CAST(sum(bruto) AS DOUBLE) AS b,
                       CAST(sum(greatest(bruto - bruto * 0.3 - bruto * 0.0325 - 1.2, 0)) AS DOUBLE) AS base
-                    FROM pago WHERE fundo IS NOT NULL AND bruto IS NOT NULL GROUP BY fundo))"""
+                    FROM pago WHERE bruto IS NOT NULL GROUP BY fundo))"""
     ),
     "metrics_json": _over_facts(
         f"""SELECT 'monthly_production' AS metrica, concat('{{"Mes":"', {_month_label("mes")}, '","C":', c,

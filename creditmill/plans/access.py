@@ -18,7 +18,7 @@ OWNER_ROLE = "owner"
 def entitled(df: DataFrame, key: str, readers: DataFrame, reader_key: str) -> DataFrame:
     """Rows whose key has an entry among `readers`."""
     keys = readers.select(F.col(reader_key).alias("_reader")).where("_reader is not null").distinct()
-    return keyed_join(df, keys, df[key], "_reader", "left_semi")
+    return keyed_join(df, keys, df[key], "_reader", "left_semi", parts=[readers.select(reader_key)])
 
 
 def is_admin(role: Column) -> Column:

@@ -14,7 +14,6 @@ from creditmill.functions import cleaning as cl
 from creditmill.functions import measures as ms
 from creditmill.operators.cells import day_of, folded
 from creditmill.operators.enrich import by_status, disbursed, is_disbursed
-from creditmill.operators.materialize import computed_once
 from creditmill.plans.production import LEAD_PRODUCT, SECOND_PRODUCTS
 
 ALL = "todos"
@@ -139,10 +138,10 @@ def cohort_conversion(df: DataFrame, dense: bool = False) -> DataFrame:
 def dense_month_product(df: DataFrame) -> DataFrame:
     """Contracts of every product in every month with a disbursement, 0 where none.
 
-    Month list and cells come from one aggregate, computed once. The list holds one
-    entry per calendar month and reaches the products as a scalar subquery.
+    Month list and cells come from one aggregate, whose exchange is reused. The list holds
+    one entry per calendar month and reaches the products as a scalar subquery.
     """
-    cells = computed_once(disbursed(df).groupBy(s.MONTH, s.PRODUCT).agg(ms.counted(s.N_IDS).alias("C")))
+    cells = disbursed(df).groupBy(s.MONTH, s.PRODUCT).agg(ms.counted(s.N_IDS).alias("C"))
     months = cells.agg(F.sort_array(F.collect_set(s.MONTH))).scalar()
     known = cells.where(cl.known_name(F.col(s.PRODUCT)).isNotNull())
     found = known.groupBy(s.PRODUCT).agg(

@@ -8,10 +8,8 @@ from pyspark.sql import functions as F
 from creditmill import schema as s
 from creditmill.functions import cleaning as cl
 from creditmill.functions import measures as ms
-from creditmill.operators.dims import broadcast_if_small
 from creditmill.operators.enrich import disbursed
 from creditmill.operators.keys import top_rows, top_rows_per_group
-from creditmill.operators.materialize import computed_once
 
 # Rows kept per level.
 LEVEL_LIMITS = {s.SUPERINTENDENT: 10, s.REGIONAL: 20, s.COMMERCIAL: 40, s.PARTNER: 30}
@@ -101,15 +99,16 @@ def partner_month(df: DataFrame, n: int = LEVEL_LIMITS[s.PARTNER]) -> DataFrame:
     """Monthly production of every partner that is in the overall top `n` or in the
     top `n` of any month, amounts rounded to whole units.
 
-    Three branches read the partner-month totals, so these are computed once. The
-    kept names are at most `n` per month plus `n`.
+    Three branches read the partner-month totals; their exchange is reused, so these are
+    computed once. The kept names are at most `n` per month plus `n`, which bounds the
+    broadcast.
     """
-    cells = computed_once(_level_month(df, s.PARTNER))
+    cells = _level_month(df, s.PARTNER)
     monthly = top_rows_per_group(cells, [s.MONTH], n, "B", s.PARTNER).select(s.PARTNER)
     overall = top_rows(
         cells.groupBy(s.PARTNER).agg(F.sum("B").alias("B")), n, "B", s.PARTNER
     ).select(s.PARTNER)
-    kept = broadcast_if_small(monthly.union(overall).distinct())
+    kept = F.broadcast(monthly.union(overall).distinct())
     return cells.join(kept, s.PARTNER, "left_semi").select(
         s.PARTNER, s.MONTH, "C",
         F.bround("B", 0).cast("bigint").alias("B"), F.bround("L", 0).cast("bigint").alias("L"),

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from creditmill import schema as s
 from creditmill.functions import display
 from creditmill.functions.calendar import day_literal
 from creditmill.operators.cells import daily_cells
@@ -14,6 +16,9 @@ from creditmill.operators.materialize import computed_once
 from creditmill.plans import funnel, hierarchy, production, tables
 from creditmill.sources.sinks import panel_rows, write_json
 
+# Metrics written at a time.
+WRITERS = 8
+
 
 def panel_metrics(
     contracts: DataFrame,
@@ -28,6 +33,7 @@ def panel_metrics(
     the table mix goes back to the contracts, with its month pushed to the scan.
     """
     df = computed_once(daily_cells(contracts))
+    mix = computed_once(tables.table_cells(contracts, as_of))
     whole = {
         f.__name__: f(df)
         for f in (
@@ -55,8 +61,8 @@ def panel_metrics(
     return {
         **whole,
         **dated,
-        "table_mix_month": tables.table_mix_month(contracts, as_of),
-        "table_mix_month_product": tables.table_mix_month_product(contracts, as_of),
+        "table_mix_month": tables.mix_of(mix),
+        "table_mix_month_product": tables.mix_of(mix, s.PRODUCT),
         "cohort_conversion": funnel.cohort_conversion(df, dense=True),
         "product_series": funnel.product_series(df, lead, seconds),
         "product_kpis": production.product_kpis(df, as_of, lead, seconds[0]),
@@ -77,6 +83,8 @@ def panel_texts(df: DataFrame, as_of: dt.date) -> DataFrame:
 
 
 def write_panel(metrics: dict[str, DataFrame], root: str) -> None:
-    """One folder of JSON records per metric."""
-    for name, df in metrics.items():
-        write_json(panel_rows(df), f"{root}/{name}")
+    """One new folder of JSON records per metric, each read back and counted. The small
+    writes run side by side."""
+    with ThreadPoolExecutor(WRITERS) as pool:
+        for done in [pool.submit(write_json, panel_rows(df), f"{root}/{name}") for name, df in metrics.items()]:
+            done.result()

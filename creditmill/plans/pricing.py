@@ -142,10 +142,10 @@ def spread_scenarios(df: DataFrame, scenarios: Mapping[str, Pricing], gross: str
 
 
 def ticket_range(df: DataFrame, key: str = s.FUND) -> DataFrame:
-    """Smallest and largest disbursed ticket per key, one row each."""
+    """Smallest and largest disbursed ticket per key, one row each; a missing key is one."""
     ends = (
         disbursed(df)
-        .where(F.col(key).isNotNull() & F.col(s.GROSS).isNotNull())
+        .where(F.col(s.GROSS).isNotNull())
         .groupBy(key)
         .agg(F.min(s.GROSS).alias("lo"), F.max(s.GROSS).alias("hi"))
     )
@@ -159,7 +159,7 @@ def ticket_range(df: DataFrame, key: str = s.FUND) -> DataFrame:
 
 
 def spread_by(df: DataFrame, key: str = s.FUND, p: Pricing = Pricing()) -> DataFrame:
-    """Spread of the disbursed portfolio per key.
+    """Spread of the disbursed portfolio per key, the missing key among them.
 
     Gross and payout base are summed as exact decimals and priced afterwards, so
     the result does not depend on the order of the rows.
@@ -173,7 +173,7 @@ def spread_by(df: DataFrame, key: str = s.FUND, p: Pricing = Pricing()) -> DataF
     base = F.greatest(net, F.lit(0)).cast("decimal(27,8)")
     sums = (
         disbursed(df)
-        .where(F.col(key).isNotNull() & gross.isNotNull())
+        .where(gross.isNotNull())
         .groupBy(key)
         .agg(F.count(F.lit(1)).alias("C"), F.sum(gross).alias("B"), F.sum(base).alias("base"))
     )

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from creditmill import schema as s
 from creditmill.functions import cleaning as cl
 from creditmill.functions import measures as ms
+from creditmill.operators.align import clean_headers, contract_sources
 from creditmill.operators.enrich import attach_products
 from creditmill.operators.keys import top_rows
 
@@ -33,6 +35,51 @@ def date_coverage(df: DataFrame) -> DataFrame:
     )
 
 
+def raw_status_profile(raw: DataFrame, column: str, n: int = 30) -> DataFrame:
+    """Most frequent status codes of a source, with the label each is translated to."""
+    code = F.col(f"`{column}`").cast("string")
+    values = raw.where(code.isNotNull()).groupBy(code.alias("codigo")).agg(F.count(F.lit(1)).alias("n"))
+    return top_rows(values.withColumn("status", cl.translate_status(F.col("codigo"))), n, "n", "codigo")
+
+
+def parse_coverage(raw: DataFrame) -> DataFrame:
+    """Per date and amount column of a source: values that are there, read, and lost.
+
+    Blanks and the texts for missing values are not there; what is there and is no date
+    or amount is lost, and would otherwise turn null without a sign.
+    """
+    df = clean_headers(raw)
+    kinds = {f.name: f.dataType for f in s.CONTRACT.fields}
+    used = [
+        (target, source)
+        for target, found in contract_sources(df.columns).items()
+        for source in found
+        if isinstance(kinds[target], (T.TimestampNTZType, T.DecimalType))
+    ]
+    there = {f"_raw{i}": cl.known_name(df[f"`{source}`"].cast("string")) for i, (_, source) in enumerate(used)}
+    read = {}
+    for i, (target, source) in enumerate(used):
+        c = df[f"`{source}`"]
+        read[f"_read{i}"] = cl.money(c, df.schema[source].dataType) if isinstance(kinds[target], T.DecimalType) else c
+    both = df.select(*[c.alias(n) for n, c in {**there, **read}.items()])
+    dates = [f"_read{i}" for i, (target, _) in enumerate(used) if isinstance(kinds[target], T.TimestampNTZType)]
+    both = cl.parse_timestamps(both, *dates)
+    counts = both.agg(*[
+        c for i in range(len(used)) for c in (
+            F.count(f"_raw{i}").alias(f"raw{i}"),
+            F.count_if(F.col(f"_raw{i}").isNotNull() & F.col(f"_read{i}").isNotNull()).alias(f"read{i}"),
+        )
+    ])
+    rows = [
+        F.struct(
+            F.lit(source).alias("coluna"), F.lit(target).alias("destino"), F.col(f"raw{i}").alias("presentes"),
+            F.col(f"read{i}").alias("lidos"), (F.col(f"raw{i}") - F.col(f"read{i}")).alias("perdidos"),
+        )
+        for i, (target, source) in enumerate(used)
+    ]
+    return counts.select(F.inline(F.array(*rows)))
+
+
 def match_rate(contracts: DataFrame, tables: DataFrame) -> DataFrame:
     """Contracts whose product table names a fund, before duplicates are removed."""
     return attach_products(contracts, tables).agg(

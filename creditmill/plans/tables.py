@@ -14,11 +14,16 @@ from creditmill.functions import measures as ms
 from creditmill.operators.enrich import by_status
 
 
-def active_in_month(as_of: dt.date) -> Column:
-    """Typed or disbursed in the month of `as_of`."""
-    return cal.within_month(F.col(s.TYPED_ON), as_of) | cal.within_month(
-        F.col(s.DISBURSED_ON), as_of
-    )
+def active_in_month(df: DataFrame, as_of: dt.date) -> DataFrame:
+    """Contracts typed or disbursed in the month of `as_of`.
+
+    Two halves instead of an OR: the disbursed one reads a single month folder of a stored
+    run, the other one filters by a range of typing dates, which skips row groups.
+    """
+    paid = cal.within_month(F.col(s.DISBURSED_ON), as_of)
+    first = df.where(paid & (F.col(s.MONTH) == cal.month_of(as_of)))
+    typed = cal.within_month(F.col(s.TYPED_ON), as_of)
+    return first.union(df.where(typed & ~F.coalesce(paid, F.lit(False))))
 
 
 def effective_fund() -> Column:
@@ -28,19 +33,28 @@ def effective_fund() -> Column:
     )
 
 
-def _mix(df: DataFrame, as_of: dt.date, *keys: str) -> DataFrame:
-    """Activity and disbursed production per table and fund; no fund is a group too."""
-    named = df.where(active_in_month(as_of)).where(cl.known_name(F.col(s.TABLE_NAME)).isNotNull())
-    for key in keys:
-        named = named.where(cl.known_name(F.col(key)).isNotNull())
+def table_cells(df: DataFrame, as_of: dt.date) -> DataFrame:
+    """Activity and disbursed amounts of the month per product, table and fund: what both
+    mixes are made of. A missing product or fund is a group too."""
     done = by_status()
+    named = active_in_month(df, as_of).where(cl.known_name(F.col(s.TABLE_NAME)).isNotNull())
+    return named.groupBy(s.PRODUCT, s.TABLE_NAME, effective_fund().alias("_fund")).agg(
+        ms.counted(s.N_IDS).alias("C"),
+        ms.count_where(done, s.N_IDS).alias("Cdes"),
+        F.sum(F.when(done, F.col(s.GROSS))).alias("B"),
+        F.sum(F.when(done, F.col(s.NET))).alias("L"),
+    )
+
+
+def mix_of(cells: DataFrame, *keys: str) -> DataFrame:
+    """Production per table and fund out of `table_cells`."""
+    for key in keys:
+        cells = cells.where(cl.known_name(F.col(key)).isNotNull())
     return (
-        named.groupBy(*keys, s.TABLE_NAME, effective_fund().alias("_fund"))
+        cells.groupBy(*keys, s.TABLE_NAME, "_fund")
         .agg(
-            ms.counted(s.N_IDS).alias("C"),
-            ms.count_where(done, s.N_IDS).alias("Cdes"),
-            ms.total_where(done, F.col(s.GROSS)).alias("B"),
-            ms.total_where(done, F.col(s.NET)).alias("L"),
+            F.sum("C").alias("C"), F.sum("Cdes").alias("Cdes"),
+            ms.total(F.col("B")).alias("B"), ms.total(F.col("L")).alias("L"),
         )
         .select(
             *keys, cl.table_label(F.col(s.TABLE_NAME), F.col("_fund")).alias("Tabela"),
@@ -51,8 +65,8 @@ def _mix(df: DataFrame, as_of: dt.date, *keys: str) -> DataFrame:
 
 
 def table_mix_month(df: DataFrame, as_of: dt.date) -> DataFrame:
-    return _mix(df, as_of)
+    return mix_of(table_cells(df, as_of))
 
 
 def table_mix_month_product(df: DataFrame, as_of: dt.date) -> DataFrame:
-    return _mix(df, as_of, s.PRODUCT)
+    return mix_of(table_cells(df, as_of), s.PRODUCT)

@@ -16,6 +16,7 @@ from creditmill.functions import cleaning as cl
 from creditmill.functions import display
 from creditmill.operators.align import align_to, resolve_contracts
 from creditmill.operators.cells import daily_cells
+from creditmill.operators.enrich import enrich_contracts as enrich
 from creditmill.operators.keys import first_per_key
 from creditmill.operators.materialize import checkpoint_root, computed_once
 from creditmill.plans import access, funnel, hierarchy, pricing, production, quality, tables
@@ -115,7 +116,8 @@ def schema_align(spark: SparkSession, folder: str) -> DataFrame:
     return as_doubles(aligned.select(*reference.names, "extra"))
 
 
-def status_translate(spark: SparkSession, folder: str) -> DataFrame:
+def status_codes(spark: SparkSession, folder: str) -> DataFrame:
+    """Line items with a status code as a source has it."""
     code = (
         F.when(F.col("l_returnflag") == "R", "Canceled")
         .when(F.col("l_linenumber") == 1, "FOO_status")
@@ -124,9 +126,16 @@ def status_translate(spark: SparkSession, folder: str) -> DataFrame:
         .when(F.col("l_linenumber") == 4, "REPROVED")
         .when(F.col("l_linenumber") != 5, "RISK_ANALYSIS")
     )
+    return star.table(spark, folder, "lineitem").select(code.alias("codigo"))
+
+
+def value_counts_raw_status(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.raw_status_profile(status_codes(spark, folder), "codigo")
+
+
+def status_translate(spark: SparkSession, folder: str) -> DataFrame:
     return (
-        star.table(spark, folder, "lineitem")
-        .select(code.alias("codigo"))
+        status_codes(spark, folder)
         .select("codigo", cl.translate_status(F.col("codigo")).alias("status"))
         .withColumn("categoria", cl.status_category(F.col("status")))
         .groupBy("codigo", "status", "categoria")
@@ -134,9 +143,9 @@ def status_translate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def date_parse_mixed(spark: SparkSession, folder: str) -> DataFrame:
-    """Order dates written in eight ways and read back."""
-    day, kind = F.col("o_orderdate"), F.col("o_orderkey") % 8
+def mixed_dates() -> Column:
+    """Order dates written in thirteen ways."""
+    day, kind = F.col("o_orderdate"), F.col("o_orderkey") % 13
     text = (
         F.when(kind == 0, F.date_format(day, "yyyy-MM-dd"))
         .when(kind == 1, _zulu("o_orderdate"))
@@ -145,12 +154,41 @@ def date_parse_mixed(spark: SparkSession, folder: str) -> DataFrame:
         .when(kind == 4, F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit("T10:20:30.123456")))
         .when(kind == 5, F.concat(F.date_format(day, "dd/MM/yyyy"), F.lit(" 07:05")))
         .when(kind == 6, F.lit("0000-00-00"))
+        .when(kind == 7, F.date_format(day, "dd/MM/yy"))
+        .when(kind == 8, F.date_format(day, "dd MMM yyyy"))
+        .when(kind == 9, F.date_format(day, "MMMM d, yyyy"))
+        .when(kind == 10, F.concat(F.date_format(day, "yyyyMMdd"), F.lit("103000")))
+        .when(kind == 11, F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit(" 10:20:30 PM")))
         .otherwise(F.concat(F.lit("lixo "), F.date_format(day, "yyyy")))
     )
-    written = star.table(spark, folder, "orders").select("o_orderkey", text.alias("data"))
+    return text
+
+
+def date_parse_mixed(spark: SparkSession, folder: str) -> DataFrame:
+    written = star.table(spark, folder, "orders").select("o_orderkey", mixed_dates().alias("data"))
     return cl.parse_timestamps(written, "data")
 
 
+def parse_coverage(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as a source with dates of all kinds and amounts of which some are none."""
+    amount, kind = F.col("o_totalprice").cast("string"), F.col("o_orderkey") % 5
+    raw = star.table(spark, folder, "orders").select(
+        mixed_dates().alias("data_pagamento"), F.col("o_orderdate").alias("created_at"),
+        F.when(kind == 0, F.concat(F.lit("R$ "), amount)).when(kind > 1, amount).alias("valor_bruto"),
+    )
+    return quality.parse_coverage(raw)
+
+
+def cohort_without_typing(spark: SparkSession, folder: str) -> DataFrame:
+    """Cohorts of a source that has no typing date: the disbursement date stands in."""
+    code = F.when(F.col("l_linestatus") == "F", "DISBURSED").otherwise("CANCELED")
+    raw = star.table(spark, folder, "lineitem").select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ccb_numero"),
+        F.col("l_shipdate").alias("data_pagamento"), code.alias("status_proposta"),
+    )
+    return funnel.cohort_conversion(enrich(resolve_contracts(raw), order=None))
+
+
 def business_days(spark: SparkSession, folder: str) -> DataFrame:
     days = star.table(spark, folder, "orders").select(F.to_date("o_orderdate").alias("dia")).distinct()
     return days.select(
@@ -208,8 +246,11 @@ def metrics_json(df: DataFrame) -> DataFrame:
 
 
 def latest_snapshot(spark: SparkSession, folder: str) -> DataFrame:
+    """Stored snapshots and changes: some users have a newer row on either side only, and
+    some are in one of them alone."""
     events = star.table(spark, folder, "events").select("user_id", "ts", "event_id", "event_type", "value")
-    return sinks.merge_snapshots(events.limit(0), events, "user_id", "ts")
+    stored = F.pmod(F.col("event_id") + F.col("user_id"), F.lit(3)) == 0
+    return sinks.merge_snapshots(events.where(stored), events.where(~stored | stored.isNull()), "user_id", "ts")
 
 
 def semi_join_entitled(spark: SparkSession, folder: str) -> DataFrame:
@@ -247,11 +288,10 @@ HOPELESS = pricing.Pricing(agio=0.02, tac=0.12, form=900.0, cef=150.0, rep=0.42)
 
 
 def breakeven_ticket(df: DataFrame) -> DataFrame:
-    """Contracts below the breakeven ticket of the costly parameters, per fund."""
+    """Contracts below the breakeven ticket of the costly parameters, per fund and without."""
     p = COSTLY.literals()
     return (
-        df.where(F.col(s.FUND).isNotNull())
-        .withColumn("ticket_minimo", pricing.breakeven_ticket(p))
+        df.withColumn("ticket_minimo", pricing.breakeven_ticket(p))
         .groupBy(s.FUND, "ticket_minimo")
         .agg(F.count(F.when(F.col(s.GROSS) < F.col("ticket_minimo"), 1)).alias("abaixo"),
              F.count(s.GROSS).alias("total"))
@@ -289,11 +329,8 @@ def spread_scenarios(df: DataFrame) -> DataFrame:
 
 def stream_daily_totals(spark: SparkSession, folder: str) -> DataFrame:
     """Events taken in by one run of the stream, then the table it keeps."""
-    events = (
-        spark.readStream.schema(star.SCHEMAS["events"])
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(folder)
-    )
+    # A pattern, so that the table may be one file or a folder of files.
+    events = spark.readStream.schema(star.SCHEMAS["events"]).parquet(f"{folder}/events.parque[t]")
     run = f"{checkpoint_root(spark)}/daily-{uuid.uuid4().hex}"
     daily.run_daily_totals(events, "ts", "value", f"{run}/table", f"{run}/state")
     return as_doubles(daily.read_daily_totals(spark, f"{run}/table"))
@@ -301,7 +338,7 @@ def stream_daily_totals(spark: SparkSession, folder: str) -> DataFrame:
 
 def batch_daily_totals(spark: SparkSession, folder: str) -> DataFrame:
     events = star.table(spark, folder, "events")
-    return as_doubles(daily.daily_totals(events, "ts", "value", delay=None))
+    return as_doubles(daily.daily_totals(events, "ts", "value"))
 
 
 QUERIES: dict[str, Query] = {
@@ -355,6 +392,9 @@ QUERIES: dict[str, Query] = {
     "table_mix_month": _metric(tables.table_mix_month, AS_OF, needs="products tables"),
     "table_mix_month_product": _metric(tables.table_mix_month_product, AS_OF, needs="products tables"),
     "date_parse_mixed": date_parse_mixed,
+    "parse_coverage": parse_coverage,
+    "cohort_without_typing": cohort_without_typing,
+    "value_counts_raw_status": value_counts_raw_status,
     "status_translate": status_translate,
     "schema_align": schema_align,
     "business_days": business_days,

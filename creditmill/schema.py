@@ -43,8 +43,9 @@ N_ROWS = "_linhas"
 N_IDS = "_contratos"
 N_GROSS = "_com_valor"
 
-MONEY = T.DecimalType(18, 2)
-# sum() over MONEY; the type of every summed amount the metrics return.
+# Amounts keep the places their source has, up to six; totals are rounded at output only.
+MONEY = T.DecimalType(28, 6)
+# The type of every summed amount the metrics return.
 TOTAL = T.DecimalType(28, 2)
 
 CONTRACT = T.StructType(

@@ -23,7 +23,7 @@ SNAPSHOT = T.StructType(
 def write_run(df: DataFrame, root: str, run: str, partition_by: tuple[str, ...] = ()) -> int:
     """Full refresh into a folder of its own, so no reader sees half a table and the
     table being read is never overwritten. Returns the rows, counted while writing
-    and checked against what can be read back.
+    and checked against what can be read back. A run that exists is an error.
 
     A partitioned run is rebalanced first: each partition value gets few files, and one
     that holds most rows (contracts without a month) is still written by many tasks.
@@ -33,7 +33,7 @@ def write_run(df: DataFrame, root: str, run: str, partition_by: tuple[str, ...]
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     seen = Observation()
     observed = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    observed.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    observed.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
     written = seen.get["rows"]
     stored = df.sparkSession.read.parquet(path).count() if written else 0
     if stored != written:
@@ -67,8 +67,16 @@ def json_records(df: DataFrame, name: str) -> DataFrame:
     return df.select(F.lit(name).alias("metrica"), record.alias("registro"))
 
 
-def write_json(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
+def write_json(df: DataFrame, path: str) -> int:
+    """JSON records in a new folder. Returns the rows, checked against what can be read back."""
+    seen = Observation()
+    observed = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    observed.write.mode("errorifexists").option("ignoreNullFields", False).json(path)
+    written = seen.get["rows"]
+    stored = df.sparkSession.read.schema(df.schema).json(path).count() if written else 0
+    if stored != written:
+        raise RuntimeError(f"{path}: wrote {written} rows, found {stored}")
+    return written
 
 
 def merge_snapshots(stored: DataFrame, changes: DataFrame, key: str, changed_at: str) -> DataFrame:
@@ -78,22 +86,31 @@ def merge_snapshots(stored: DataFrame, changes: DataFrame, key: str, changed_at:
     return first_per_key(both, key, [F.desc(changed_at), *rest])
 
 
-def upsert_snapshots(changes: DataFrame, path: str) -> None:
-    """Replace the snapshots of the scopes in `changes`; the other scopes stay untouched."""
-    (
-        changes.select(*SNAPSHOT.names)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("escopo")
-        .parquet(path)
+def add_snapshots(changes: DataFrame, path: str) -> None:
+    """Append versions of snapshots. Nothing stored is touched, so a reader finds each
+    scope at all times, and an older version that comes later does not win."""
+    changes.select(*SNAPSHOT.names).write.mode("append").partitionBy("escopo").parquet(path)
+
+
+def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
+    """The newest version of every scope, one row each."""
+    newest = spark.read.schema(SNAPSHOT).parquet(path).groupBy("escopo").agg(
+        F.max(F.struct("atualizado_em", "html")).alias("_newest")
     )
+    return newest.select("_newest.html", "_newest.atualizado_em", "escopo")
 
 
 def read_snapshot(spark: SparkSession, path: str, scope: str) -> DataFrame:
-    return spark.read.schema(SNAPSHOT).parquet(path).where(F.col("escopo") == scope)
+    """The newest version of one scope; only its folder is read."""
+    return read_snapshots(spark, path).where(F.col("escopo") == scope)
 
 
 def snapshot_changed(spark: SparkSession, path: str, scope: str, seen) -> bool:
     """True when the stored time of the scope is not the one last seen."""
-    newest = read_snapshot(spark, path, scope).agg(F.max("atualizado_em").alias("t")).first()["t"]
-    return newest is not None and newest != seen
+    newest = read_snapshot(spark, path, scope).first()
+    return newest is not None and newest["atualizado_em"] != seen
+
+
+def compact_snapshots(spark: SparkSession, path: str, target: str) -> None:
+    """The newest versions alone, in a new folder that readers are then pointed to."""
+    read_snapshots(spark, path).write.mode("errorifexists").partitionBy("escopo").parquet(target)

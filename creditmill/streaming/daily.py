@@ -4,53 +4,48 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditmill.functions.cleaning import utc_wall_clock
+from creditmill.functions import measures as ms
 from creditmill.schema import MONEY
 
+# The share of one batch in the totals of a day.
+PARTIAL = "dia date, C bigint, soma decimal(38,6), lote bigint"
 
-def daily_totals(events: DataFrame, ts: str, value: str, delay: str | None = "7 days") -> DataFrame:
-    """Rows and amount per day. On a stream, `delay` is how late a row may come.
-
-    The day enters the watermark as its UTC midnight, as a watermark needs a zoned
-    timestamp; so the result does not depend on the session time zone.
-    """
-    midnight = F.timestamp_seconds(F.unix_date(F.to_date(ts)).cast("bigint") * 86_400)
-    dated = events.select(midnight.alias("day"), F.col(value).cast(MONEY).alias("value"))
-    if delay is not None:
-        dated = dated.withWatermark("day", delay)
-    return (
-        dated.groupBy("day")
-        .agg(F.count(F.lit(1)).alias("C"), F.sum("value").alias("B"))
-        .select(utc_wall_clock(F.col("day")).cast("date").alias("dia"), "C", "B")
-    )
+
+def partial_totals(events: DataFrame, ts: str, value: str) -> DataFrame:
+    """Rows and unrounded amount per day of the wall clock."""
+    dated = events.select(F.to_date(ts).alias("dia"), F.col(value).cast(MONEY).alias("value"))
+    return dated.groupBy("dia").agg(F.count(F.lit(1)).alias("C"), F.sum("value").cast("decimal(38,6)").alias("soma"))
+
+
+def merged_totals(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("dia").agg(F.sum("C").alias("C"), ms.total(F.col("soma")).alias("B"))
+
+
+def daily_totals(events: DataFrame, ts: str, value: str) -> DataFrame:
+    """Rows and amount per day of a whole table."""
+    return merged_totals(partial_totals(events, ts, value))
 
 
-def replace_days(path: str) -> Callable[[DataFrame, int], None]:
-    """Batch writer that replaces the days a batch brings; a repeated batch is harmless."""
+def add_batch(path: str, ts: str, value: str) -> Callable[[DataFrame, int], None]:
+    """Batch writer that stores a batch's share of its days under the batch's number; a
+    repeated batch replaces its own share and is harmless."""
 
-    def write(batch: DataFrame, _: int) -> None:
-        (
-            batch.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("dia")
-            .parquet(path)
-        )
+    def write(batch: DataFrame, number: int) -> None:
+        partial_totals(batch, ts, value).write.mode("overwrite").parquet(f"{path}/lote={number}")
 
     return write
 
 
-def run_daily_totals(
-    events: DataFrame, ts: str, value: str, output: str, checkpoint: str, delay: str = "7 days"
-) -> None:
-    """Take in what has arrived since the last run, then stop."""
+def run_daily_totals(events: DataFrame, ts: str, value: str, output: str, checkpoint: str) -> None:
+    """Take in what has arrived since the last run, then stop. There is no watermark: a row
+    counts however late it comes."""
     query = (
-        daily_totals(events, ts, value, delay)
-        .writeStream.outputMode("update")
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(replace_days(output))
+        events.writeStream.option("checkpointLocation", checkpoint)
+        .foreachBatch(add_batch(output, ts, value))
         .trigger(availableNow=True)
         .start()
     )
@@ -58,4 +53,11 @@ def run_daily_totals(
 
 
 def read_daily_totals(spark: SparkSession, output: str) -> DataFrame:
-    return spark.read.schema("C bigint, B decimal(28,2), dia date").parquet(output)
+    """Totals of all batches; none yet is an empty table."""
+    try:
+        parts = spark.read.schema(PARTIAL).parquet(output)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        parts = spark.createDataFrame([], PARTIAL)
+    return merged_totals(parts)

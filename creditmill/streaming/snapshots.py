@@ -3,36 +3,22 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
 
-from creditmill.operators.materialize import computed_once
-from creditmill.sources.sinks import SNAPSHOT, merge_snapshots, upsert_snapshots
+from creditmill.sources.sinks import SNAPSHOT, add_snapshots, merge_snapshots
 
 
-def merge_batch(batch: DataFrame, path: str) -> None:
-    """Keep the newest of the stored and the arriving snapshot of each scope.
-
-    The result is computed before the scopes it replaces are overwritten.
-    """
-    spark = batch.sparkSession
+def add_batch(batch: DataFrame, path: str) -> None:
+    """Append the newest update of each scope in the batch. A repeated batch adds versions
+    that are there already, which changes no reader's result."""
     changes = batch.select(*SNAPSHOT.names)
-    try:
-        stored = spark.read.schema(SNAPSHOT).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        stored = spark.createDataFrame([], SNAPSHOT)
-    touched = changes.select(F.col("escopo").alias("_scope")).distinct()
-    stored = stored.join(touched, stored["escopo"] == touched["_scope"], "left_semi")
-    upsert_snapshots(computed_once(merge_snapshots(stored, changes, "escopo", "atualizado_em")), path)
+    add_snapshots(merge_snapshots(changes.limit(0), changes, "escopo", "atualizado_em"), path)
 
 
 def run_snapshots(updates: DataFrame, path: str, checkpoint: str) -> None:
     """Take in the updates that have arrived since the last run, then stop."""
     query = (
         updates.writeStream.option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda batch, _: merge_batch(batch, path))
+        .foreachBatch(lambda batch, _: add_batch(batch, path))
         .trigger(availableNow=True)
         .start()
     )

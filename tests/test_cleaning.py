@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from creditmill.functions import calendar as cal
 from creditmill.functions import cleaning as cl
 from creditmill.functions import display
+from creditmill.functions import measures as ms
 
 DATES = {
     "2026-01-02": dt.datetime(2026, 1, 2),
@@ -24,6 +25,15 @@ DATES = {
     "31.12.2025": dt.datetime(2025, 12, 31),
     "2026/1/2": dt.datetime(2026, 1, 2),
     "20260102": dt.datetime(2026, 1, 2),
+    "31/12/25": dt.datetime(2025, 12, 31),
+    "1/2/70 07:05": dt.datetime(1970, 2, 1, 7, 5),
+    "05 Jan 2026": dt.datetime(2026, 1, 5),
+    "5 december 2025 10:20": dt.datetime(2025, 12, 5, 10, 20),
+    "Jan 5, 2026": dt.datetime(2026, 1, 5),
+    "September 30 2025 11:20 pm": dt.datetime(2025, 9, 30, 23, 20),
+    "20260511103000": dt.datetime(2026, 5, 11, 10, 30),
+    "2026-05-11 10:20:30 PM": dt.datetime(2026, 5, 11, 22, 20, 30),
+    "11/05/2026 12:00 AM": dt.datetime(2026, 5, 11), "5 Foo 2026": None, "FM": None,
     "2018-11-04": dt.datetime(2018, 11, 4),  # midnight that São Paulo's clocks skip
     "0000-00-00": None, "0000-00-00 00:00:00": None, "": None, "lixo": None, None: None,
     "NaT": None, "10:20": None, "31/31/2025": None,
@@ -60,10 +70,20 @@ def test_numbers(spark):
     ]
 
 
+def test_amounts_keep_their_places_and_size(spark):
+    df = spark.createDataFrame([("1.005",), ("1.005",), ("10000000000000000",)], "v string")
+    found = df.select(cl.money(F.col("v"), T.StringType()).alias("v"))
+    assert found.where("v < 2").agg(ms.total(F.col("v"))).first()[0] == Decimal("2.01")
+    assert found.agg(F.max("v")).first()[0] == 10**16
+    halves = spark.createDataFrame([("0.125",), ("0.375",)], "v string").select(cl.money(F.col("v"), T.StringType()).alias("v"))
+    assert [r[0] for r in halves.groupBy("v").agg(ms.total(F.col("v")).alias("t")).orderBy("v").select("t").collect()] == [
+        Decimal("0.12"), Decimal("0.38")]
+
+
 def test_table_keys(spark):
-    df = spark.createDataFrame([(" AB1 ",), ("123.0",), ("nan",), ("None",), (None,)], "v string")
+    df = spark.createDataFrame([(" AB1 ",), ("123.0",), ("nan",), ("None",), (None,), ("v1.0",), ("v1",), ("tab.0",)], "v string")
     found = [r[0] for r in df.select(cl.text_key(F.col("v"))).collect()]
-    assert found == ["ab1", "123", None, None, None]
+    assert found == ["ab1", "123", None, None, None, "v1.0", "v1", "tab.0"]
 
 
 def test_status_labels(spark):

@@ -1,12 +1,14 @@
 """From a raw source table to the stored panel, as the README shows it."""
 
 import datetime as dt
+import glob
 import json
 
 from creditmill import jobs
 from creditmill import schema as s
 from creditmill.operators.align import resolve_contracts
 from creditmill.operators.enrich import enrich_contracts
+from creditmill.operators.materialize import checkpoint_root
 from creditmill.plans import production
 from creditmill.plans.panel import panel_metrics, write_panel
 from creditmill.sources.readers import read_table
@@ -22,7 +24,7 @@ RAW = """ccb_numero,data_pagamento,created_at,status_proposta,tabela_id,tabela_n
 """
 
 
-def test_the_three_jobs(spark, tmp_path):
+def test_the_three_jobs(spark, tmp_path, monkeypatch):
     (tmp_path / "raw.csv").write_text(RAW, encoding="utf-8")
     raw = read_table(spark, f"{tmp_path}/raw.csv")
     base, store = f"{tmp_path}/contracts", f"{tmp_path}/snapshots"
@@ -30,10 +32,15 @@ def test_the_three_jobs(spark, tmp_path):
     before = read_run(spark, base, "1").schema
     assert jobs.refresh_contracts(raw.drop("fundo", "tabela_nome"), base, "2", before) == 5
     assert read_run(spark, base, "2").columns == before.names
+    seen = []
+    monkeypatch.setattr(jobs, "write_panel", lambda *a: (seen.append(spark.conf.get("spark.sql.shuffle.partitions")), write_panel(*a)))
+    before = set(glob.glob(f"{checkpoint_root(spark)}/table-*".removeprefix("file:")))
     location = jobs.build_panel(
         read_run(spark, base, "1"), *dims(spark).values(), AS_OF, str(tmp_path), "1",
-        [s.DISBURSED_ON, s.GROSS, s.NET],
+        [s.DISBURSED_ON, s.GROSS, s.NET], shuffled_bytes=30 * 2**30,
     )
+    assert seen == ["240"]
+    assert set(glob.glob(f"{checkpoint_root(spark)}/table-*".removeprefix("file:"))) <= before
     first, second = dt.datetime(2026, 3, 10, 8), dt.datetime(2026, 3, 10, 9)
     jobs.publish_panel(spark, store, "painel", "elsewhere", first)
     jobs.publish_panel(spark, store, "painel", location, second)

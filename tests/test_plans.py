@@ -8,8 +8,9 @@ from check import canonical
 from creditmill.operators.enrich import attach_sales
 from creditmill.queries import QUERIES
 from fixtures import enriched
-from creditmill.sources import star
-from creditmill.plans import production
+from creditmill import schema as s
+from creditmill.sources import sinks, star
+from creditmill.plans import funnel, hierarchy, production, tables
 
 SF = "/root/testdata/sf0.001"
 PLAIN = sorted(set(QUERIES) - {"stream_daily_totals"})
@@ -85,8 +86,28 @@ def test_a_broker_with_most_contracts_is_split_when_its_table_is_large(spark):
 
 
 @pytest.mark.parametrize("name", ["dense_month_product", "partner_month"])
-def test_shared_cells_are_computed_once(spark, name):
-    assert "lineitem.parquet" not in plan(QUERIES[name](spark, SF))
+def test_shared_cells_start_no_job_and_are_computed_once(spark, name):
+    df = star.enriched(spark, SF, products=True, sales=True)
+    metric = {"dense_month_product": funnel.dense_month_product, "partner_month": hierarchy.partner_month}[name]
+    group = f"planning {name}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        result = metric(df)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    result.collect()
+    final = result._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in final or "Reused" in final
+
+
+def test_table_mix_reads_one_month_folder_for_the_disbursed(spark, tmp_path):
+    df = star.enriched(spark, SF, products=True, table_names=True)
+    sinks.write_run(df, str(tmp_path), "1", (s.MONTH,))
+    mix = tables.table_cells(sinks.read_run(spark, str(tmp_path), "1"), star.AS_OF)
+    text = mix._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan") == 2
+    assert "PartitionFilters: [isnotnull(Mes" in text and f"= {star.AS_OF:%Y-%m})" in text
 
 
 @pytest.mark.parametrize(

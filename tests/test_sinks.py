@@ -21,7 +21,7 @@ def snaps(spark, *rows):
 
 
 def stored(spark, path):
-    df = spark.read.schema(sinks.SNAPSHOT).parquet(path)
+    df = sinks.read_snapshots(spark, path)
     return {r.escopo: (r.html, r.atualizado_em) for r in df.collect()}
 
 
@@ -34,6 +34,8 @@ def test_a_run_is_read_back_and_leaves_other_runs_alone(spark, tmp_path):
     assert sinks.read_run(spark, root, "1").count() == 10
     assert production.grand_totals(again).first() == production.grand_totals(df).first()
     assert sinks.write_run(df.limit(0), root, "3") == 0
+    with pytest.raises(Exception, match="ALREADY_EXISTS"):
+        sinks.write_run(df, root, "1")
 
 
 def test_month_partitions_are_pruned(spark, tmp_path):
@@ -70,13 +72,18 @@ def test_the_panel_is_written_as_json(spark, tmp_path):
 
 def test_snapshots_are_replaced_by_scope(spark, tmp_path):
     path = str(tmp_path / "s")
-    sinks.upsert_snapshots(snaps(spark, ("a", "1", at(1)), ("b", "1", at(1))), path)
-    sinks.upsert_snapshots(snaps(spark, ("b", "2", at(2)), ("c", "2", at(2))), path)
+    sinks.add_snapshots(snaps(spark, ("a", "1", at(1)), ("b", "1", at(1))), path)
+    sinks.add_snapshots(snaps(spark, ("b", "2", at(2)), ("c", "2", at(2))), path)
     assert stored(spark, path) == {"a": ("1", at(1)), "b": ("2", at(2)), "c": ("2", at(2))}
     assert [r.html for r in sinks.read_snapshot(spark, path, "b").collect()] == ["2"]
     assert sinks.snapshot_changed(spark, path, "b", at(1))
     assert not sinks.snapshot_changed(spark, path, "b", at(2))
     assert not sinks.snapshot_changed(spark, path, "zz", at(2))
+    sinks.add_snapshots(snaps(spark, ("b", "late", at(1)), ("c", "3", at(3)), ("c", "4", at(4))), path)
+    newest = {"a": ("1", at(1)), "b": ("2", at(2)), "c": ("4", at(4))}
+    assert stored(spark, path) == newest
+    sinks.compact_snapshots(spark, path, f"{path}-2")
+    assert stored(spark, f"{path}-2") == newest and spark.read.parquet(f"{path}-2").count() == 3
 
 
 def test_merge_keeps_the_newest_snapshot(spark):
@@ -123,10 +130,29 @@ def test_daily_stream_adds_to_its_days_and_equals_the_batch(spark, tmp_path, zon
     assert found == {
         (dt.date(2026, 3, 1), 2, 9.5), (dt.date(2026, 3, 2), 2, 6.25), (dt.date(2026, 3, 9), 1, 1.0),
     }
-    batch = daily.daily_totals(spark.read.parquet(source), "ts", "value", delay=None)
+    run((dt.datetime(2025, 3, 1, 12), 3.0))  # a year late
+    found |= {(dt.date(2025, 3, 1), 1, 3.0)}
+    assert {(r.dia, r.C, float(r.B)) for r in daily.read_daily_totals(spark, table).collect()} == found
+    batch = daily.daily_totals(spark.read.parquet(source), "ts", "value")
     assert {(r.dia, r.C, float(r.B)) for r in batch.collect()} == found
 
 
+def test_a_stream_that_brought_nothing_is_empty(spark, tmp_path):
+    assert daily.read_daily_totals(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_the_stream_reads_a_file_and_a_folder(spark, tmp_path, small):
+    events = spark.read.parquet(f"{small}/events.parquet")
+    events.repartition(3).write.parquet(f"{tmp_path}/events.parquet")
+    from creditmill.queries import QUERIES
+
+    def rows(name, folder):
+        return sorted(map(tuple, QUERIES[name](spark, folder).collect()))
+
+    wanted = rows("batch_daily_totals", small)
+    assert rows("stream_daily_totals", small) == wanted == rows("stream_daily_totals", str(tmp_path))
+
+
 # --- readers ----------------------------------------------------------------
 
 

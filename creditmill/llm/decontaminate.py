@@ -23,14 +23,14 @@ from creditmill.llm.words import Words, chunks, mixed, rows_kept, texts_of
 # Edits per word of an item, at most.
 EDIT_SHARE = 0.2
 # Walks, tables per walk, and steps sampled per table. With six of ten steps equal a table
-# finds a window with probability 0.6^3, and 16 tables miss it with (1 - 0.6^3)^16 = 2 %.
-WALKS, TABLES, SAMPLED = 8, 2, 3
+# finds a window with probability 0.6^4, and 32 tables miss it with (1 - 0.6^4)^32 = 1 %.
+WALKS, TABLES, SAMPLED = 8, 4, 4
 # Shortest items of a class of lengths, and steps its walks take: about as many as keep
 # a walk inside the shortest item.
 CLASSES = ((1, 1), (3, 4), (6, 9), (12, 18))
 # Text of items that goes along with a task; more items are searched for in several passes.
 BLOCK_BYTES = 8 << 20
-BITMAP = 1 << 22
+BITMAP, BAG = 1 << 19, 1 << 22
 SEED = 11
 
 
@@ -52,8 +52,9 @@ class Walk:
         for t in range(self.steps):
             for key, sample in zip(keys, self.samples):
                 if t in sample:
-                    key += hashes[at] * self.factors[t]
-            at += ((bits[at] >> np.uint64(t)) & np.uint64(1)).astype(at.dtype)
+                    key += hashes.take(at) * self.factors[t]
+            step = ((bits >> np.uint64(t)) & np.uint64(1)).astype(np.int8)
+            at += step.take(at)
         return [mixed(k) for k in keys]
 
 
@@ -78,11 +79,12 @@ class Items:
                 marked[keys & np.uint64(BITMAP - 1)] = True
                 self.tables.append((keys[order], order, marked))
         own = np.repeat(np.arange(len(sequences)), self.sizes)
-        self.bag = np.zeros(BITMAP, bool)
+        self.bag = np.zeros(BAG, bool)
         self.bag[self.bag_place(own, self.words)] = True
 
     def bag_place(self, item: np.ndarray, words: np.ndarray) -> np.ndarray:
-        return (mixed(words + item.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) & np.uint64(BITMAP - 1)).astype(np.int64)
+        spread = (words + item.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xD6E8FEB86659FD93)
+        return (spread >> np.uint64(65 - BAG.bit_length())).astype(np.int64)
 
     def candidates(self, hashes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Window starts and items that share a key, each pair once."""
@@ -91,7 +93,7 @@ class Items:
         for walk in self.walks:
             for keys in walk.keys(hashes, starts):
                 ordered, items, marked = next(table)
-                near = np.flatnonzero(marked[keys & np.uint64(BITMAP - 1)])
+                near = np.flatnonzero(marked.take((keys & np.uint64(BITMAP - 1)).astype(np.int64)))
                 low = np.searchsorted(ordered, keys[near])
                 count = np.searchsorted(ordered, keys[near], "right") - low
                 near, low, count = near[count > 0], low[count > 0], count[count > 0]

@@ -33,9 +33,9 @@ FILE_BYTES = 32 << 20
 FRAME_IDS = 128 * 1024
 LEVEL = 3
 # Text bytes encoded together.
-CHUNK_BYTES = 6 << 20
+CHUNK_BYTES = 4 << 20
 # Different pre-tokens a task keeps.
-KEPT_PIECES = 600_000
+KEPT_PIECES = 400_000
 # Fixed values of the seekable format: magic numbers, and the flag for checksums.
 SKIPPABLE_MAGIC, SEEKABLE_MAGIC, WITH_CHECKSUMS = 0x184D2A5E, 0x8F92EAB1, 0x80
 

@@ -1,6 +1,6 @@
 """Words of many texts at once, as numpy arrays over one byte buffer.
 
-The texts of an Arrow batch are cut to chunks of a few megabytes. In a chunk, words
+The texts of an Arrow batch are cut to chunks of about a megabyte. In a chunk, words
 and their 64-bit hashes come from a handful of array operations, so nothing in Python
 is done per word.
 """
@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 # Fixed odd multipliers of the two independent hashes.
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 

@@ -1,7 +1,7 @@
 """Aggregates and ratios the metrics share.
 
 Counts are sums of the counts each row carries, so a metric gives the same result
-over enriched contracts and over the daily cells they were folded to. Amounts are
+over enriched contracts and over the cubes they were folded to. Amounts are
 summed as decimals, so a result does not depend on the order in which partitions
 arrive. Ratios are taken in double and rounded half-even.
 """
@@ -36,6 +36,11 @@ def production(counter: str = N_IDS) -> list[Column]:
     return [counted(counter).alias("C"), total(F.col(GROSS)).alias("B"), total(F.col(NET)).alias("L")]
 
 
+def production_parts(counter: str = N_IDS) -> list[Column]:
+    """`C`, `B`, `L` of groups that are merged further, so amounts are not rounded yet."""
+    return [counted(counter).alias("C"), F.sum(GROSS).alias("B"), F.sum(NET).alias("L")]
+
+
 def merged_production() -> list[Column]:
     """`C`, `B`, `L` of groups that already hold them."""
     return [F.sum("C").alias("C"), total(F.col("B")).alias("B"), total(F.col("L")).alias("L")]

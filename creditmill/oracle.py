@@ -254,6 +254,37 @@ _SUP_FIELDS = ", ".join(
 )
 _SUP_NAME = "CASE WHEN contains(sup, ' - ') THEN substr(sup, strpos(sup, ' - ') + 3) ELSE sup END"
 
+# Group keys of each cube: those that are columns of the result, and the others.
+_PAID_BUCKET = f"""CASE WHEN strftime(pago, '%Y-%m') = strftime({TODAY}, '%Y-%m')
+  THEN strftime(pago, '%Y-%m-%d') ELSE mes END"""
+_TYPED_BUCKET = f"""CASE WHEN digitado < least(date_trunc('month', {TODAY}), {TODAY} - INTERVAL 6 DAY) THEN 'antes'
+  WHEN digitado >= {TODAY} + INTERVAL 1 DAY THEN 'depois' ELSE strftime(digitado, '%Y-%m-%d') END"""
+_STATUS, _PRODUCT, _FUND = 'status AS "Status"', 'produto AS "Produto"', 'fundo AS "Fundo"'
+_LEVELS = ('sup AS "Superintendente"', 'regional AS "Regional"', 'comercial AS "Comercial"', 'parceiro AS "Parceiro"')
+CUBE_KEYS = {
+    "months": ((_STATUS, _PRODUCT, _FUND), ("mes",)),
+    "sales": ((_STATUS, _PRODUCT, *_LEVELS), ("mes",)),
+    "cohorts": ((_STATUS,), ("mes", "mes2")),
+    "recent": ((f"{_PAID_BUCKET} AS _pago", _STATUS, _PRODUCT, _FUND), ()),
+    "partners": ((f"{_PAID_BUCKET} AS _pago", _STATUS, _LEVELS[3]), ()),
+    "periods": ((f"{_TYPED_BUCKET} AS _digitado", _STATUS, _PRODUCT, _FUND), ()),
+}
+
+
+def _cube(name: str) -> str:
+    shown, hidden = CUBE_KEYS[name]
+    shown = [k for k in shown if not k.endswith((" AS _pago", " AS _digitado"))]
+    buckets = [k.rsplit(" AS ", 1)[0] for k in CUBE_KEYS[name][0] if k.endswith((" AS _pago", " AS _digitado"))]
+    keys = ", ".join([*[k.rsplit(" AS ", 1)[0] for k in shown], *hidden, *buckets])
+    return _over_facts(
+        f"""SELECT {", ".join(shown)}, min(pago) AS "Data do Desembolso", min(digitado) AS "Data de Digitação",
+          count(*) AS _linhas, count(ccb) AS _contratos, count(bruto) AS _com_valor,
+          CAST(sum(bruto) AS DOUBLE) AS "Valor Bruto", CAST(sum(liq) AS DOUBLE) AS "Valor Líquido",
+          strftime(min(pago), '%Y-%m') AS "Mes", strftime(min(digitado), '%Y-%m') AS "Mes2", min(cat) AS "Categoria"
+        FROM fato GROUP BY {keys}"""
+    )
+
+
 ORACLE: dict[str, str] = {
     "scan_contracts": (
         "SELECT l_orderkey * 10 + l_linenumber AS contrato, l_shipdate AS data, l_extendedprice AS valor "
@@ -281,15 +312,7 @@ ORACLE: dict[str, str] = {
     "distinct_products": _over_facts(
         'SELECT DISTINCT produto AS "Produto" FROM pago WHERE produto IS NOT NULL'
     ),
-    "daily_cells": _over_facts(
-        """SELECT date_trunc('day', pago) AS "Data do Desembolso", date_trunc('day', digitado) AS "Data de Digitação",
-          status AS "Status", produto AS "Produto", fundo AS "Fundo", sup AS "Superintendente",
-          regional AS "Regional", comercial AS "Comercial", parceiro AS "Parceiro",
-          count(*) AS _linhas, count(ccb) AS _contratos, count(bruto) AS _com_valor,
-          CAST(sum(bruto) AS DOUBLE) AS "Valor Bruto", CAST(sum(liq) AS DOUBLE) AS "Valor Líquido",
-          min(mes) AS "Mes", min(mes2) AS "Mes2", min(cat) AS "Categoria"
-        FROM fato GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9"""
-    ),
+    **{f"cube_{name}": _cube(name) for name in CUBE_KEYS},
     "grand_totals": _over_facts(
         """SELECT count(*) AS total_reg, count(CASE WHEN dd THEN 1 END) AS total_des,
         CAST(coalesce(sum(CASE WHEN dd THEN bruto END), 0) AS DOUBLE) AS total_bruto,

@@ -21,7 +21,7 @@ def _chains(df: DataFrame, *keys: str) -> DataFrame:
     return (
         disbursed(df)
         .groupBy(*keys, *s.LEVELS)
-        .agg(*ms.production(s.N_GROSS), F.min(s.DISBURSED_ON).alias("_first"))
+        .agg(*ms.production_parts(s.N_GROSS), F.min(s.DISBURSED_ON).alias("_first"))
     )
 
 

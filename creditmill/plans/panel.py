@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from creditmill import schema as s
 from creditmill.functions import display
 from creditmill.functions.calendar import day_literal
-from creditmill.operators.cells import daily_cells
+from creditmill.operators.cells import cube, cubes
 from creditmill.operators.materialize import computed_once
 from creditmill.plans import funnel, hierarchy, production, tables
 from creditmill.sources.sinks import panel_rows, write_json
@@ -29,44 +29,45 @@ def panel_metrics(
     """Every metric by name, not yet run.
 
     Store the enriched contracts first (`write_run`, by month) and pass what `read_run`
-    gives. They are then read once, into daily cells that every metric shares; only
-    the table mix goes back to the contracts, with its month pushed to the scan.
+    gives. They are then read once, into cubes that the metrics share; only the table mix
+    goes back to the contracts, with its month pushed to the scan.
     """
-    df = computed_once(daily_cells(contracts))
+    stored = computed_once(cubes(contracts, as_of))
+    months, sales, cohorts, recent, partners, periods = (
+        cube(stored, name) for name in ("months", "sales", "cohorts", "recent", "partners", "periods")
+    )
     mix = computed_once(tables.table_cells(contracts, as_of))
-    whole = {
-        f.__name__: f(df)
-        for f in (
-            production.monthly_production, production.product_month, production.fund_month,
-            production.fund_totals, production.grand_totals, production.rank_superintendent,
-            production.rank_partner, production.distinct_products, production.top4_wide,
-            hierarchy.level_rankings, hierarchy.level_rankings_product,
-            hierarchy.rank_partner_enriched, hierarchy.sup_month, hierarchy.reg_month,
-            hierarchy.sup_month_product, hierarchy.reg_month_product, hierarchy.partner_month,
-            funnel.status_mix, funnel.status_rollup, funnel.conversion_product,
-            funnel.conversion_fund, funnel.funnel_product, funnel.funnel_fund,
-            funnel.dense_month_product, funnel.product_fund_pairs,
-        )
-    }
-    dated = {
-        f.__name__: f(df, as_of)
-        for f in (
-            production.mtd_totals, production.mtd_product, production.mtd_fund,
-            production.today_totals, production.today_partner, production.today_product,
-            production.today_fund, production.day_by_day, production.run_rate,
-            funnel.period_slices, funnel.period_slices_product, funnel.period_slices_fund,
-            funnel.period_slices_status,
-        )
-    }
+    of_months = (
+        production.monthly_production, production.product_month, production.fund_month,
+        production.fund_totals, production.grand_totals, production.distinct_products,
+        funnel.status_mix, funnel.status_rollup, funnel.conversion_product, funnel.conversion_fund,
+        funnel.funnel_product, funnel.funnel_fund, funnel.dense_month_product, funnel.product_fund_pairs,
+    )
+    of_sales = (
+        production.rank_superintendent, production.rank_partner, production.top4_wide,
+        hierarchy.level_rankings, hierarchy.level_rankings_product, hierarchy.rank_partner_enriched,
+        hierarchy.sup_month, hierarchy.reg_month, hierarchy.sup_month_product,
+        hierarchy.reg_month_product, hierarchy.partner_month,
+    )
+    of_recent = (
+        production.mtd_totals, production.mtd_product, production.mtd_fund, production.today_totals,
+        production.today_product, production.today_fund, production.day_by_day, production.run_rate,
+    )
+    of_periods = (
+        funnel.period_slices, funnel.period_slices_product, funnel.period_slices_fund, funnel.period_slices_status,
+    )
     return {
-        **whole,
-        **dated,
+        **{f.__name__: f(months) for f in of_months},
+        **{f.__name__: f(sales) for f in of_sales},
+        **{f.__name__: f(recent, as_of) for f in of_recent},
+        **{f.__name__: f(periods, as_of) for f in of_periods},
+        "today_partner": production.today_partner(partners, as_of),
         "table_mix_month": tables.mix_of(mix),
         "table_mix_month_product": tables.mix_of(mix, s.PRODUCT),
-        "cohort_conversion": funnel.cohort_conversion(df, dense=True),
-        "product_series": funnel.product_series(df, lead, seconds),
-        "product_kpis": production.product_kpis(df, as_of, lead, seconds[0]),
-        "panel_texts": panel_texts(df, as_of),
+        "cohort_conversion": funnel.cohort_conversion(cohorts, dense=True),
+        "product_series": funnel.product_series(months, lead, seconds),
+        "product_kpis": production.product_kpis(recent, as_of, lead, seconds[0]),
+        "panel_texts": panel_texts(months, as_of),
     }
 
 

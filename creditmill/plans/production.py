@@ -193,7 +193,7 @@ def run_rate(df: DataFrame, as_of: dt.date) -> DataFrame:
     The month before is the second-last month that has a disbursement. All of it
     comes from the monthly totals, whose number the calendar bounds.
     """
-    months = disbursed(df).groupBy(s.MONTH).agg(ms.counted().alias("N"), *ms.production())
+    months = disbursed(df).groupBy(s.MONTH).agg(ms.counted().alias("N"), *ms.production_parts())
     current = F.col(s.MONTH) >= cal.month_of(as_of)
     listed = F.sort_array(F.collect_list(F.struct(s.MONTH, "B", "C")), asc=False)
     sums = months.agg(
@@ -214,7 +214,7 @@ def run_rate(df: DataFrame, as_of: dt.date) -> DataFrame:
                 "mes": cal.month_label(F.lit(cal.month_of(as_of))),
                 "pdu": cal.business_days_elapsed(today),
                 "tdu": cal.business_days_total(today),
-                "ant_b": F.coalesce(F.col("_previous.B"), F.lit(0).cast(s.TOTAL)),
+                "ant_b": F.bround(F.coalesce(F.col("_previous.B"), F.lit(0)), 2).cast(s.TOTAL),
                 "ant_c": F.coalesce(F.col("_previous.C"), F.lit(0)),
             }
         )

@@ -15,7 +15,7 @@ from creditmill.functions import calendar as cal
 from creditmill.functions import cleaning as cl
 from creditmill.functions import display
 from creditmill.operators.align import align_to, resolve_contracts
-from creditmill.operators.cells import daily_cells
+from creditmill.operators.cells import CUBES, cube, cubes
 from creditmill.operators.enrich import enrich_contracts as enrich
 from creditmill.operators.keys import first_per_key
 from creditmill.operators.materialize import checkpoint_root, computed_once
@@ -235,16 +235,22 @@ def value_counts_top10(df: DataFrame) -> DataFrame:
 
 def metrics_json(df: DataFrame) -> DataFrame:
     """Three metrics as JSON records, the contracts read once for all of them."""
-    cells = computed_once(daily_cells(df))
+    read_by = {
+        "months": production.monthly_production, "sales": production.rank_partner,
+        "cohorts": funnel.cohort_conversion,
+    }
+    stored = computed_once(cubes(df, AS_OF, *read_by))
     parts = [
-        sinks.json_records(sinks.panel_rows(metric(cells)), metric.__name__)
-        for metric in (
-            production.monthly_production, production.rank_partner, funnel.cohort_conversion,
-        )
+        sinks.json_records(sinks.panel_rows(metric(cube(stored, name))), metric.__name__)
+        for name, metric in read_by.items()
     ]
     return parts[0].union(parts[1]).union(parts[2])
 
 
+def one_cube(df: DataFrame, name: str) -> DataFrame:
+    return cube(cubes(df, AS_OF, name), name)
+
+
 def latest_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     """Stored snapshots and changes: some users have a newer row on either side only, and
     some are in one of them alone."""
@@ -350,7 +356,7 @@ QUERIES: dict[str, Query] = {
     "fund_month": _metric(production.fund_month, needs="products"),
     "fund_totals": _metric(production.fund_totals, needs="products"),
     "distinct_products": _metric(production.distinct_products, needs="products"),
-    "daily_cells": _metric(daily_cells, needs="products sales"),
+    **{f"cube_{name}": _metric(one_cube, name, needs="products sales") for name in CUBES},
     "grand_totals": _metric(production.grand_totals),
     "rank_superintendent": _metric(production.rank_superintendent, needs="sales"),
     "rank_partner": _metric(production.rank_partner, needs="sales"),

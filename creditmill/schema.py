@@ -38,7 +38,7 @@ COHORT = "Mes2"
 CATEGORY = "Categoria"
 
 # How many rows, rows with an id and rows with an amount a row stands for: 1 or 0 in
-# the enriched contracts, more in the daily cells they are folded to.
+# the enriched contracts, more in the cubes they are folded to.
 N_ROWS = "_linhas"
 N_IDS = "_contratos"
 N_GROSS = "_com_valor"

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from creditmill import schema as s
 from creditmill.functions.cleaning import INTERNAL_LABEL
-from creditmill.operators.cells import daily_cells
+from creditmill.operators.cells import CUBES, cube, cubes
+from creditmill.sources import star
 from creditmill.plans import funnel, hierarchy, production, quality, tables
 from creditmill.plans.panel import panel_metrics
 from fixtures import AS_OF, CONTRACTS, C, D, contract, enriched, rows_of
@@ -268,7 +269,7 @@ def test_product_rows_sum_to_no_more_than_the_month(spark):
     assert all(found[m] <= monthly[m] for m in found) and found["2026-01"] == monthly["2026-01"] - 1
 
 
-def test_metrics_over_daily_cells_equal_those_over_contracts(spark):
+def test_metrics_over_cubes_equal_those_over_contracts(spark):
     contracts = [
         *CONTRACTS,
         contract("k", "2026-03-10 15:00", "2026-03-10", D, "t1", "1.00", broker="9"),
@@ -276,24 +277,39 @@ def test_metrics_over_daily_cells_equal_those_over_contracts(spark):
         contract(None, "2026-03-10 17:00", "2026-03-10 18:00", D, "t1", "2.00", broker="9"),
     ]
     df = enriched(spark, contracts)
-    cells = daily_cells(df)
-    assert (cells.count(), df.count()) == (10, 13)
-    for metric in (
-        production.monthly_production, production.fund_month, production.grand_totals,
-        production.top4_wide, hierarchy.level_rankings, hierarchy.level_rankings_product,
-        hierarchy.partner_month, hierarchy.reg_month_product, funnel.status_mix,
-        funnel.status_rollup, funnel.conversion_fund, funnel.funnel_product,
-        funnel.cohort_conversion, funnel.dense_month_product, funnel.product_series,
-        funnel.product_fund_pairs,
-    ):
-        assert rows(metric(cells)) == rows(metric(df)), metric.__name__
-    for metric in (
-        production.mtd_totals, production.mtd_fund, production.today_totals,
-        production.today_partner, production.day_by_day, production.run_rate,
-        production.product_kpis, funnel.period_slices, funnel.period_slices_product,
-        funnel.period_slices_fund, funnel.period_slices_status,
-    ):
-        assert rows(metric(cells, AS_OF)) == rows(metric(df, AS_OF)), metric.__name__
+    found = panel_metrics(df, AS_OF)
+    over = {
+        **{f.__name__: f(df) for f in (
+            production.monthly_production, production.product_month, production.fund_month, production.fund_totals,
+            production.grand_totals, production.distinct_products, production.rank_superintendent,
+            production.rank_partner, production.top4_wide, hierarchy.level_rankings, hierarchy.level_rankings_product,
+            hierarchy.rank_partner_enriched, hierarchy.sup_month, hierarchy.reg_month, hierarchy.sup_month_product,
+            hierarchy.partner_month, hierarchy.reg_month_product, funnel.status_mix, funnel.status_rollup,
+            funnel.conversion_product, funnel.conversion_fund, funnel.funnel_product, funnel.funnel_fund,
+            funnel.dense_month_product, funnel.product_series, funnel.product_fund_pairs,
+        )},
+        **{f.__name__: f(df, AS_OF) for f in (
+            production.mtd_totals, production.mtd_product, production.mtd_fund, production.today_totals,
+            production.today_partner, production.today_product, production.today_fund, production.day_by_day,
+            production.run_rate, production.product_kpis, funnel.period_slices, funnel.period_slices_product,
+            funnel.period_slices_fund, funnel.period_slices_status,
+        )},
+        "cohort_conversion": funnel.cohort_conversion(df, dense=True),
+    }
+    for name, metric in over.items():
+        assert rows(found[name]) == rows(metric), name
+
+
+def test_cubes_do_not_grow_with_the_contracts(spark):
+    def sizes(folder):
+        df = star.enriched(spark, folder, products=True, sales=True)
+        return {r[0]: r[1] for r in cubes(df, star.AS_OF).groupBy("_cubo").count().collect()}, df.count()
+
+    (small, few), (large, many) = sizes("/root/testdata/sf0.001"), sizes("/root/testdata/sf0.01")
+    assert set(large) == set(CUBES) and many > 9 * few
+    growth = many / few
+    assert large["cohorts"] < 0.4 * growth * small["cohorts"] and large["partners"] < many / 3
+    assert "lineitem" in cubes(star.enriched(spark, "/root/testdata/sf0.001"), star.AS_OF)._jdf.queryExecution().executedPlan().toString()
 
 
 def test_every_panel_metric_runs(df):

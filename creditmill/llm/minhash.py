@@ -8,7 +8,8 @@ size, and pairs that may be similar are verified on the full sets.
 
 No group is expanded into all its pairs: a group first gives the heaviest spanning forest
 of its signature similarities. Once these pairs are verified and joined to components,
-only pairs between different components are left to compare.
+only links between different components are left to find, and only such links leave a
+group.
 """
 
 from __future__ import annotations
@@ -37,6 +38,8 @@ SLACK = 4.5
 # Members of a group: above the first number it is split by the next band, above the
 # second by chance; and of a block where all of a group meet all others.
 SPLIT_ABOVE, HOT_ABOVE, BLOCK = 256, 2048, 512
+# Shingles of a block, about.
+BLOCK_SHINGLES = 1_000_000
 
 _SPREAD, _STIR = np.uint32(0x9E3779B1), np.uint32(0x85EBCA6B)
 _SHIFTS = (np.arange(COORDINATES, dtype=np.uint32) * _SPREAD)[:, None]
@@ -108,73 +111,110 @@ def text_sets(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(sets, "class binary, shingles binary")
 
 
-class Forest:
-    """Union-find over small integers."""
+def least_equal(similarity: int) -> float:
+    """Coordinates that two signatures of that similarity share at least."""
+    share = similarity / 100
+    return (share - SLACK * np.sqrt(share * (1 - share) / COORDINATES)) * COORDINATES
 
-    def __init__(self, labels: np.ndarray):
-        self.parent = np.unique(labels, return_inverse=True)[1].tolist()
-        first: dict[int, int] = {}
-        self.parent = [first.setdefault(label, i) for i, label in enumerate(self.parent)]
 
-    def root(self, i: int) -> int:
-        while self.parent[i] != i:
-            self.parent[i] = self.parent[self.parent[i]]
-            i = self.parent[i]
-        return i
+class Members:
+    """The classes of a group: names, sizes, signatures, and component labels that merge."""
 
-    def join(self, i: int, j: int) -> bool:
-        i, j = self.root(i), self.root(j)
-        self.parent[max(i, j)] = min(i, j)
-        return i != j
+    def __init__(self, table: pa.Table):
+        self.names = table.column("class").to_pylist()
+        self.sizes = table.column("n_shingles").to_numpy()
+        self.sigs = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(len(table), COORDINATES)
+        labels = table.column("label").to_pylist()
+        place = {label: i for i, label in enumerate(dict.fromkeys(labels))}
+        self.labels = np.array([place[label] for label in labels], np.int64)
 
+    def likely(self, i: int, rest: np.ndarray, similarity: int) -> tuple[np.ndarray, np.ndarray]:
+        """Those of `rest` in other components that i may be similar to, and how many
+        coordinates they share with it."""
+        small, large = np.minimum(self.sizes[rest], self.sizes[i]), np.maximum(self.sizes[rest], self.sizes[i])
+        rest = rest[(self.labels[rest] != self.labels[i]) & (100 * small >= similarity * large)]
+        equal = (self.sigs[rest] == self.sigs[i]).sum(axis=1)
+        near = equal >= least_equal(similarity)
+        return rest[near], equal[near]
 
-def likely_pairs(similarity: int, forest: bool):
-    """Pairs of a group, in different components, whose signatures allow the similarity."""
-    share = similarity / 100
-    least = (share - SLACK * np.sqrt(share * (1 - share) / COORDINATES)) * COORDINATES
-    schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
-
-    def pairs(table: pa.Table) -> pa.Table:
-        n = len(table)
-        sigs = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(n, COORDINATES)
-        sizes = table.column("n_shingles").to_numpy()
-        names, labels = table.column("class").to_pylist(), np.array(table.column("label").to_pylist(), object)
-        labels = np.unique(labels, return_inverse=True)[1]
-        side = table.column("side").to_numpy()
-        crossed = side.any()  # two blocks meet: pairs lie between them
+    def join(self, i: int, j: int) -> None:
+        self.labels[self.labels == self.labels[j]] = self.labels[i]
+
+
+LINKS = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+
+
+def links_table(pairs: list[tuple[bytes, bytes]]) -> pa.Table:
+    both = [(min(p), max(p)) for p in pairs]
+    return pa.Table.from_arrays([pa.array([a for a, _ in both], pa.binary()), pa.array([b for _, b in both], pa.binary())], schema=LINKS)
+
+
+def likely_forest(similarity: int):
+    """The heaviest spanning forest of a group by its signatures."""
+
+    def forest(table: pa.Table) -> pa.Table:
+        members = Members(table)
         left, right, same = [], [], []
-        for i in range(n - 1):
-            rest = np.arange(i + 1, n)
-            fits = (labels[rest] != labels[i]) & (100 * np.minimum(sizes[rest], sizes[i]) >= similarity * np.maximum(sizes[rest], sizes[i]))
-            if crossed:
-                fits &= side[rest] != side[i]
-            rest = rest[fits]
-            if len(rest):
-                equal = (sigs[rest] == sigs[i]).sum(axis=1)
-                rest, equal = rest[equal >= least], equal[equal >= least]
-                left.append(np.full(len(rest), i))
-                right.append(rest)
-                same.append(equal)
+        for i in range(len(table) - 1):
+            rest, equal = members.likely(i, np.arange(i + 1, len(table)), similarity)
+            left.append(np.full(len(rest), i))
+            right.append(rest)
+            same.append(equal)
         if not left:
-            return schema.empty_table()
+            return links_table([])
         left, right, same = np.concatenate(left), np.concatenate(right), np.concatenate(same)
-        if forest:
-            order = np.argsort(-same, kind="stable")
-            tree = Forest(labels)
-            order = [k for k in order.tolist() if tree.join(int(left[k]), int(right[k]))]
-            left, right = left[order], right[order]
-        both = [sorted((names[i], names[j])) for i, j in zip(left.tolist(), right.tolist())]
-        return pa.table({"a": pa.array([a for a, _ in both], pa.binary()), "b": pa.array([b for _, b in both], pa.binary())})
+        pairs = []
+        for k in np.argsort(-same, kind="stable").tolist():
+            i, j = int(left[k]), int(right[k])
+            if members.labels[i] != members.labels[j]:
+                members.join(i, j)
+                pairs.append((members.names[i], members.names[j]))
+        return links_table(pairs)
 
-    return pairs
+    return forest
 
 
-def verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, similarity: int) -> DataFrame:
-    """The pairs whose full sets are similar: 100 * common >= similarity * all."""
-    nodes = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
+def similar(one: np.ndarray, two: np.ndarray, similarity: int) -> bool:
+    both = len(np.intersect1d(one, two, assume_unique=True))
+    return 100 * both >= similarity * (len(one) + len(two) - both)
+
+
+def exact_links(similarity: int):
+    """Links between the components of a group, verified on the full sets, until none is
+    left: at most one less than components. Of a pair that shares several bands only the
+    first one's group takes care."""
+
+    def links(table: pa.Table) -> pa.Table:
+        members = Members(table)
+        bands = members.sigs.reshape(len(table), BANDS, BAND_ROWS)
+        sets = [np.frombuffer(b, np.uint64) for b in table.column("shingles").to_pylist()]
+        side, band = table.column("side").to_numpy(), table.column("band")[0].as_py()
+        crossed = side.any()  # two blocks meet: pairs lie between them
+        pairs = []
+        for i in range(len(table) - 1):
+            rest = np.arange(i + 1, len(table))
+            rest, equal = members.likely(i, rest[side[rest] != side[i]] if crossed else rest, similarity)
+            rest = rest[np.argsort(-equal, kind="stable")]
+            rest = rest[~(bands[rest, :band] == bands[i, :band]).all(axis=2).any(axis=1)]
+            for j in rest.tolist():
+                if members.labels[i] != members.labels[j] and similar(sets[i], sets[j], similarity):
+                    members.join(i, j)
+                    pairs.append((members.names[i], members.names[j]))
+        return links_table(pairs)
+
+    return links
+
+
+def sets_of(nodes: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame:
+    """class, shingles of the classes in `nodes`, from one text of each."""
     ids = computed_once(classes.join(nodes, "class", "left_semi").select("rep").distinct())
     wanted = rows.join(broadcast_if_small(ids), F.col("doc_id") == F.col("rep"), "left_semi")
-    sets = computed_once(text_sets(wanted).dropDuplicates(["class"]))
+    return computed_once(text_sets(wanted).dropDuplicates(["class"]))
+
+
+def verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, similarity: int) -> DataFrame:
+    """The pairs whose full sets are similar: 100 * common >= similarity * all."""
+    sets = sets_of(pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct(), classes, rows)
     one = sets.select(F.col("class").alias("a"), F.col("shingles").alias("_one"))
     two = sets.select(F.col("class").alias("b"), F.col("shingles").alias("_two"))
     joined = pairs.join(one, "a").join(two, "b").select("a", "b", "_one", "_two")
@@ -183,9 +223,7 @@ def verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, similarity:
         for batch in batches:
             good = []
             for x, y in zip(batch.column("_one"), batch.column("_two")):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(100 * both >= similarity * (len(x) + len(y) - both))
+                good.append(similar(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), similarity))
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     return joined.mapInArrow(compare, "a binary, b binary")
@@ -226,29 +264,31 @@ def near_components(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     following = F.pmod(F.xxhash64(band_key((F.col("band") + 1) % BANDS)), F.ceil(F.col("members") / (SPLIT_ABOVE / 2)))
     by_chance = F.pmod(F.xxhash64("class", "band"), F.ceil(F.col("members") / HOT_ABOVE))
     small = F.when(F.col("members") <= SPLIT_ABOVE, F.col("bucket")).otherwise(F.xxhash64("bucket", following, by_chance))
-    groups = placed.select(small.alias("group"), "class", F.col("class").alias("label"), "sig", "n_shingles", F.lit(0).alias("side"))
-    likely = groups.groupBy("group").applyInArrow(likely_pairs(similarity, forest=True), "a binary, b binary")
-    tried = computed_once(likely.distinct())
-    links = computed_once(verified(tried, classes, rows, similarity))
+    groups = placed.select(small.alias("group"), "class", F.col("class").alias("label"), "sig", "n_shingles")
+    likely = groups.groupBy("group").applyInArrow(likely_forest(similarity), "a binary, b binary")
+    links = computed_once(verified(computed_once(likely.distinct()), classes, rows, similarity))
     labels = connected_components(links)
 
-    # Then all that may link different components, block against block.
-    labelled = members.join(labels, F.col("class") == F.col("node"), "left").select("class", "bucket", F.coalesce("label", "class").alias("label"))
+    # Then all that may link different components, block against block with the full sets,
+    # so that only links leave a group.
+    labelled = members.join(labels, F.col("class") == F.col("node"), "left").select(
+        "class", "band", "bucket", F.coalesce("label", "class").alias("label")
+    ).join(classes.select("class", "sig", "n_shingles"), "class")
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int")
     open_buckets = labelled.groupBy("bucket").agg(
-        F.min("label").alias("_low"), F.max("label").alias("_high"), F.count(F.lit(1)).alias("members")
-    ).where("_low != _high").select("bucket", "members")
-    left = labelled.join(open_buckets, "bucket").join(classes.select("class", "sig", "n_shingles"), "class")
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("class"), blocks).cast("int")
-    left = left.select("*", blocks.alias("_blocks"), own.alias("_own")).select(
+        F.min("label").alias("_low"), F.max("label").alias("_high"), blocks.alias("_blocks")
+    ).where("_low != _high").select("bucket", "_blocks")
+    left = computed_once(labelled.join(open_buckets, "bucket"))
+    left = left.join(sets_of(left.select("class").distinct(), classes, rows), "class")
+    left = left.withColumn("_own", F.pmod(F.xxhash64("class"), "_blocks").cast("int")).select(
         "*", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_other")
     )
     low, high = F.least("_own", "_other"), F.greatest("_own", "_other")
     side = F.when(F.col("_own") < F.col("_other"), 1).when(F.col("_own") > F.col("_other"), 2).otherwise(0)
-    meeting = left.select(F.xxhash64("bucket", low, high).alias("group"), "class", "label", "sig", "n_shingles", side.alias("side"))
-    rest = meeting.groupBy("group").applyInArrow(likely_pairs(similarity, forest=False), "a binary, b binary").distinct()
-    rest = computed_once(rest.join(tried, ["a", "b"], "left_anti"))
-    more = verified(rest, classes, rows, similarity)
+    meeting = left.select(
+        F.xxhash64("bucket", low, high).alias("group"), "band", "class", "label", "sig", "n_shingles", "shingles", side.alias("side")
+    )
+    more = meeting.groupBy("group").applyInArrow(exact_links(similarity), "a binary, b binary")
     labels = connected_components(links.union(more))
 
     found = classes.join(labels, F.col("class") == F.col("node"), "left").select("class", "rep", F.coalesce("label", "class").alias("label"))

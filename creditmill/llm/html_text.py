@@ -52,7 +52,8 @@ NAMES = re.compile(
     r"disqus|footer|gdpr|header|masthead|menu|modal|nav|navbar|navigation|newsletter|notices?|pagination|popup|promo|"
     r"promotion|related|respond|share|sharing|sidebar|signup|social|sponsor|sponsored|subscribe|toolbar|widgets?)(?:$|[\s_-])"
 )
-MAIN = frozenset({"html", "body", "article", "main"})
+ARTICLES = frozenset({"article", "main"})
+MAIN = frozenset({"html", "body"}) | ARTICLES
 
 
 class Node:
@@ -168,21 +169,41 @@ def measure(tree: Tree) -> Node:
     return body
 
 
-def main_text(html: str) -> str:
-    """Blocks of the main part, one per line."""
-    tree = Tree()
-    tree.feed(html)
-    tree.close()
-    body = measure(tree)
+def main_part(tree: Tree, body: Node) -> tuple[Node, float]:
+    """The main element, and the lowest density on its path up to the body.
+
+    From the element with the largest sum, the path up is followed as long as the density
+    stays above half of that element's, which takes in headings beside it. An article
+    element that holds half of the characters, or lies on that path, is the main element.
+    """
     best = body
     for node in tree.order:
         if node.total > best.total and node.tag not in INLINE:
             best = node
-    # An element that lies alone in its parents is all that these hold.
     threshold, node = best.density, best
     while node is not None:
         threshold = min(threshold, node.density)
         node = None if node is body else node.parent
+    node, least = best, best.density / 2
+    while node is not body and node is not None:
+        if node.tag in ARTICLES:
+            return node, threshold
+        node = node.parent
+    inside = [n for n in tree.order if n.tag in ARTICLES and 2 * n.chars >= best.chars > 0]
+    if inside:
+        return inside[0], threshold
+    while best is not body and best.parent not in (None, body) and best.parent.density >= least:
+        best = best.parent
+    return best, threshold
+
+
+def main_text(html: str) -> str:
+    """Blocks of the main part, one per line."""
+    tree = Tree()
+    tree.feed(html)
+    tree.close()
+    body = measure(tree)
+    best, threshold = main_part(tree, body)
     lines: list[str] = []
     line: list[str] = []
 

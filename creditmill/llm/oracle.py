@@ -4,7 +4,52 @@ from __future__ import annotations
 
 PLAIN = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
 
+WORDS = r"regexp_extract_all(coalesce({text}, ''), '[^\x20\x09-\x0D]+')"
+LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 ORACLE: dict[str, str] = {
+    "op4_substring_dedup": f"""
+        WITH split AS (SELECT doc_id, {WORDS.format(text="text")} AS w FROM documents),
+        starts AS (
+            SELECT doc_id, i, sha256(array_to_string(list_slice(w, i, i + 34), ' ')) AS passage
+            FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 33, 1))) AS i FROM split)),
+        repeated AS (SELECT passage FROM starts GROUP BY passage HAVING count(*) > 1),
+        hits AS (SELECT doc_id, i FROM starts JOIN repeated USING (passage)),
+        single AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word FROM split),
+        marked AS (
+            SELECT doc_id, i, word,
+                   count(h.i) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) > 0 AS gone
+            FROM single s LEFT JOIN hits h USING (doc_id, i)),
+        kept AS (
+            SELECT doc_id, count(*) AS n_words, count(CASE WHEN gone THEN 1 END) AS n_removed,
+                   coalesce(string_agg(CASE WHEN NOT gone THEN word END, ' ' ORDER BY i), '') AS kept
+            FROM marked GROUP BY doc_id)
+        SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
+               sha256(coalesce(kept, '')) AS kept_sha256
+        FROM documents LEFT JOIN kept USING (doc_id)
+    """,
+    "op5_minhash": f"""
+        WITH RECURSIVE split AS (SELECT doc_id, {WORDS.format(text=LOWERED)} AS w FROM documents),
+        sets AS (
+            SELECT doc_id, list_sort(list_distinct(list_transform(
+                range(1, greatest(len(w) - 3, 2)), lambda i: array_to_string(list_slice(w, i, i + 4), ' ')))) AS s
+            FROM split WHERE len(w) > 0),
+        classes AS (SELECT s, min(doc_id) AS rep, len(s) AS n FROM sets GROUP BY s),
+        shingles AS (SELECT rep, n, unnest(s) AS x FROM classes),
+        links AS (
+            SELECT a.rep AS a, b.rep AS b FROM shingles a JOIN shingles b ON a.x = b.x AND a.rep <> b.rep
+            GROUP BY a.rep, b.rep HAVING 100 * count(*) >= 85 * (max(a.n) + max(b.n) - count(*))),
+        reached AS (
+            SELECT rep, rep AS other FROM classes
+            UNION SELECT reached.rep, links.b FROM reached JOIN links ON reached.other = links.a),
+        components AS (SELECT rep, min(other) AS component_id FROM reached GROUP BY rep),
+        found AS (
+            SELECT doc_id, len(sets.s) AS n_shingles, component_id
+            FROM sets JOIN classes ON sets.s = classes.s JOIN components USING (rep))
+        SELECT doc_id, coalesce(n_shingles, 0) AS n_shingles, coalesce(component_id, doc_id) AS component_id,
+               coalesce(component_id, doc_id) = doc_id AS kept
+        FROM documents LEFT JOIN found USING (doc_id)
+    """,
     "op1_exact_dedup": f"""
         WITH plain AS (SELECT doc_id, {PLAIN} AS plain FROM documents),
         grouped AS (

@@ -12,17 +12,25 @@ from pyspark.sql import types as T
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
 
-def measured_bytes(*parts: DataFrame) -> int:
-    """Payload size of `parts` together, counted by one distributed aggregate."""
+def measured_each(*groups: Sequence[DataFrame]) -> list[int]:
+    """Payload size of the tables of each group together, all counted by one distributed
+    aggregate with one result row."""
     widths = None
-    for df in parts:
-        width = F.lit(8 * len(df.columns))
-        for field in df.schema.fields:
-            if isinstance(field.dataType, T.StringType):
-                width = width + F.coalesce(F.octet_length(f"`{field.name}`"), F.lit(0))
-        one = df.select(width.cast("bigint").alias("n"))
-        widths = one if widths is None else widths.union(one)
-    return widths.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    for i, parts in enumerate(groups):
+        for df in parts:
+            width = F.lit(8 * len(df.columns))
+            for field in df.schema.fields:
+                if isinstance(field.dataType, T.StringType):
+                    width = width + F.coalesce(F.octet_length(f"`{field.name}`"), F.lit(0))
+            one = df.select(F.lit(i).alias("g"), width.cast("bigint").alias("n"))
+            widths = one if widths is None else widths.union(one)
+    sums = [F.coalesce(F.sum(F.when(F.col("g") == i, F.col("n"))), F.lit(0)) for i in range(len(groups))]
+    return list(widths.agg(*[c.alias(f"n{i}") for i, c in enumerate(sums)]).first())
+
+
+def measured_bytes(*parts: DataFrame) -> int:
+    """Payload size of `parts` together."""
+    return measured_each(parts)[0]
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
@@ -39,11 +47,12 @@ def keyed_join(
     limit: int = BROADCAST_LIMIT_BYTES,
     parts: Sequence[DataFrame] = (),
     null_keys_match: bool = False,
+    size: int | None = None,
 ) -> DataFrame:
     """Join to a table with one row per key, which is broadcast within `limit`.
 
     `parts` are measured in place of `right` where they are known to hold no less,
-    which saves deriving it for that. Beyond the limit both sides are shuffled, and
+    which saves deriving it for that; `size` is what was measured already. Beyond the limit both sides are shuffled, and
     adaptive execution splits a key that has too many rows on the left.
     """
     def match(a: Column, b: Column) -> Column:
@@ -51,7 +60,9 @@ def keyed_join(
 
     found = right[right_key]
     condition = match(key, found)
-    if measured_bytes(*(parts or (right,))) <= limit:
+    if size is None:
+        size = measured_bytes(*(parts or (right,)))
+    if size <= limit:
         return left.join(F.broadcast(right), condition, how)
     # Adaptive execution splits only between two shuffles, and the table, grouped by
     # its key, would need none. The second key says nothing new but asks for one.

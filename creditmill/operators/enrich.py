@@ -15,6 +15,7 @@ from creditmill.operators.align import clean_headers, regional_column
 from creditmill.operators.dims import (
     BROADCAST_LIMIT_BYTES,
     keyed_join,
+    measured_each,
     one_per_key,
 )
 from creditmill.operators.keys import first_per_key
@@ -72,11 +73,11 @@ def sales_dim(
 
 
 def attach_products(
-    contracts: DataFrame, tables: DataFrame, limit: int = BROADCAST_LIMIT_BYTES
+    contracts: DataFrame, tables: DataFrame, limit: int = BROADCAST_LIMIT_BYTES, size: int | None = None
 ) -> DataFrame:
     key = cl.text_key(F.col(s.TABLE_ID))
     return keyed_join(
-        contracts, product_dim(tables), key, "_table", "left", limit, [product_columns(tables)]
+        contracts, product_dim(tables), key, "_table", "left", limit, [product_columns(tables)], size=size
     ).drop("_table")
 
 
@@ -86,6 +87,7 @@ def attach_sales(
     hierarchy: DataFrame,
     null_keys_match: bool = False,
     limit: int = BROADCAST_LIMIT_BYTES,
+    size: int | None = None,
 ) -> DataFrame:
     """Sales attributes; a contract without superintendent is the house's own."""
     integral = (
@@ -98,7 +100,7 @@ def attach_sales(
     # Each row of either table appears in the joined one at most once.
     parts = [broker_columns(broker), hierarchy_columns(hierarchy)]
     joined = keyed_join(
-        contracts, dim, key, "_broker", "left", limit, parts, null_keys_match
+        contracts, dim, key, "_broker", "left", limit, parts, null_keys_match, size
     ).drop("_broker")
     orphan = F.col(s.SUPERINTENDENT).isNull()
     names = [c for c in (s.BROKER, *reversed(s.LEVELS)) if c in joined.columns]
@@ -125,10 +127,14 @@ def enrich_contracts(
     that are left out leave out their attributes.
     """
     df = contracts if order is None else first_per_key(contracts, s.CCB, order)
-    if tables is not None:
-        df = attach_products(df, tables, limit)
-    if broker is not None and hierarchy is not None:
-        df = attach_sales(df, broker, hierarchy, null_keys_match, limit)
+    # The reference tables are measured together, by one job before the plan is made.
+    products = [] if tables is None else [product_columns(tables)]
+    sales = [] if broker is None or hierarchy is None else [broker_columns(broker), hierarchy_columns(hierarchy)]
+    sizes = measured_each(products, sales) if products or sales else None
+    if products:
+        df = attach_products(df, tables, limit, sizes[0])
+    if sales:
+        df = attach_sales(df, broker, hierarchy, null_keys_match, limit, sizes[1])
     one = F.lit(1).cast("bigint")
     none = F.lit(0).cast("bigint")
     counted = df.withColumns(

@@ -33,9 +33,9 @@ FILE_BYTES = 32 << 20
 FRAME_IDS = 128 * 1024
 LEVEL = 3
 # Text bytes encoded together.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 # Different pre-tokens a task keeps.
-KEPT_PIECES = 400_000
+KEPT_PIECES = 300_000
 # Fixed values of the seekable format: magic numbers, and the flag for checksums.
 SKIPPABLE_MAGIC, SEEKABLE_MAGIC, WITH_CHECKSUMS = 0x184D2A5E, 0x8F92EAB1, 0x80
 
@@ -112,6 +112,7 @@ class Encoder:
         self.library = Tokenizer(self.split.library.model)
         self.library.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         suffix = self.split.spec["model"]["end_of_word_suffix"]
+        self.split.spec = None  # the parsed file is not needed any more
         self.closing = np.zeros(self.library.get_vocab_size(), bool)
         self.closing[[i for t, i in self.library.get_vocab().items() if t.endswith(suffix)]] = True
         self.forget()

@@ -95,24 +95,24 @@ def train(labels: np.ndarray, rows: np.ndarray, found: np.ndarray, seed: int = 7
     nothing = Machine(np.zeros(0, np.int64), bias, np.zeros(0), np.zeros((0, FACTORS)))
     if not 0 < positive < n:
         return nothing
-    buckets, number = np.unique(found, return_inverse=True)
-    total = np.bincount(number)
-    with_label = np.bincount(number, labels[rows])
+    total = np.bincount(found, minlength=BUCKETS)
+    with_label = np.bincount(found[(labels > 0)[rows]], minlength=BUCKETS)
     # Likelihood ratio of each term with the label.
     share = positive / n
-    inside = np.clip(with_label / total, 1e-9, 1 - 1e-9)
+    inside = np.clip(with_label / np.maximum(total, 1), 1e-9, 1 - 1e-9)
     gain = total * (inside * np.log(inside / share) + (1 - inside) * np.log((1 - inside) / (1 - share)))
     gain[total < LEAST_ROWS] = 0
     chosen = np.flatnonzero(gain > LEAST_GAIN)
     chosen = chosen[np.argsort(-gain[chosen], kind="stable")[:TERMS]]
     if not len(chosen):
         return nothing
-    place = np.full(len(buckets), -1, np.int64)
-    place[chosen] = np.arange(len(chosen))
-    known = place[number] >= 0
-    rows, found = rows[known], place[number[known]]
+    place = np.full(BUCKETS, -1, np.int32)
+    place[chosen] = np.arange(len(chosen), dtype=np.int32)
+    known = place[found] >= 0
+    rows, found = rows[known], place[found[known]]
+    del total, with_label, inside, gain, known
     random = np.random.default_rng(seed)
-    machine = Machine(buckets[chosen], bias, np.zeros(len(chosen)), random.normal(0, 0.01, (len(chosen), FACTORS)))
+    machine = Machine(chosen, bias, np.zeros(len(chosen)), random.normal(0, 0.01, (len(chosen), FACTORS)))
     order = np.argsort(rows, kind="stable")
     rows, found = rows[order], found[order]
     first = np.searchsorted(rows, np.arange(n + 1))

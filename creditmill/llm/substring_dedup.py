@@ -274,7 +274,7 @@ def substring_dedup(docs: DataFrame, size: int = WINDOW, with_text: bool = False
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     count = max(LEAST_PARTS, -(-total // PART_BYTES))
     cells, owners = power_of_two(max(total * CELLS_PER_BYTE, 1 << 16)), power_of_two(count)
-    part = F.pmod(F.xxhash64("doc_id", F.substring("text", 1, 64), F.octet_length("text")), F.lit(count))
+    part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(count))
     parts = rows.withColumn("part", part.cast("bigint"))
     by_part = parts.groupBy("part")
     first = by_part.applyInArrow(sketch(size, cells, owners), EXCHANGE_SQL).groupBy("to").applyInArrow(add_sketches(cells, owners), EXCHANGE_SQL)

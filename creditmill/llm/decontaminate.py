@@ -3,9 +3,12 @@
 A random walk reads a sequence of words: at step t it writes down the word under it, and
 a random bit of (t, word) says whether it moves on. Two sequences that differ by few
 edits give walks that mostly write the same words at the same steps, so edit distance
-becomes Hamming distance. Windows start at every word of a document and are as long as
-the item they meet; a sample of steps, hashed, is the key of a table, and windows that
-share a key with an item in one of the tables are compared with it exactly.
+becomes Hamming distance. Walks start at every word of a document and, all along an item,
+at every few of its words: wherever the edits of a passage gather, some walk of the item
+runs through words with no more than the usual share of them. A sample of steps, hashed,
+is the key of a table. Where a document and an item share a key in one of the tables, the
+place of that walk in the item says about where the whole item would begin, and all
+windows that begin up to the limit of edits before or behind are compared exactly.
 """
 
 from __future__ import annotations
@@ -25,13 +28,17 @@ EDIT_SHARE = 0.2
 # Walks, tables per walk, and steps sampled per table. With six of ten steps equal a table
 # finds a window with probability 0.6^4, and 32 tables miss it with (1 - 0.6^4)^32 = 1 %.
 WALKS, TABLES, SAMPLED = 8, 4, 4
-# Shortest items of a class of lengths, and steps its walks take: about as many as keep
-# a walk inside the shortest item.
-CLASSES = ((1, 1), (3, 4), (6, 9), (12, 18))
+# Shortest items of a class of lengths, steps its walks take (about as many as keep a walk
+# inside the shortest item), and words from one walk of an item to the next.
+CLASSES = ((1, 1, 1), (3, 4, 1), (6, 9, 1), (12, 18, 4))
+# Words that the last walk of an item has before it, at least.
+TAIL = 2
 # Text of items that goes along with a task; more items are searched for in several passes.
 BLOCK_BYTES = 8 << 20
 BITMAP, BAG = 1 << 19, 1 << 22
-SEED = 11
+# Cells of all windows that are compared at once.
+CELLS = 1 << 17
+SEED, SPREAD = 11, np.uint64(0xD6E8FEB86659FD93)
 
 
 class Walk:
@@ -50,9 +57,10 @@ class Walk:
         at = starts.copy()
         keys = [np.zeros(len(starts), np.uint64) for _ in self.samples]
         for t in range(self.steps):
-            for key, sample in zip(keys, self.samples):
-                if t in sample:
-                    key += hashes.take(at) * self.factors[t]
+            if own := [key for key, sample in zip(keys, self.samples) if t in sample]:
+                written = hashes.take(at) * self.factors[t]
+                for key in own:
+                    key += written
             step = ((bits >> np.uint64(t)) & np.uint64(1)).astype(np.int8)
             at += step.take(at)
         return [mixed(k) for k in keys]
@@ -61,82 +69,108 @@ class Walk:
 class Items:
     """Items of one class of lengths, with their keys in all tables."""
 
-    def __init__(self, numbers: list[int], sequences: list[np.ndarray], steps: int, seed: int):
+    def __init__(self, numbers: list[int], sequences: list[np.ndarray], steps: int, stride: int, seed: int):
         self.numbers = np.array(numbers, np.int64)
         self.sizes = np.array([len(s) for s in sequences], np.int64)
         self.limits = np.floor(self.sizes * EDIT_SHARE).astype(np.int64)
         self.first = np.cumsum(self.sizes) - self.sizes
         self.words = np.concatenate(sequences)
         self.walks = [Walk(i, steps, seed) for i in range(WALKS)]
+        # Without edits the first walk is enough.
+        count = np.where(self.limits > 0, np.maximum(1, (self.sizes - TAIL - 1) // stride + 1), 1)
+        self.item = np.repeat(np.arange(len(sequences)), count)  # of each walk, and the word it starts at
+        self.offset = (np.arange(len(self.item)) - np.repeat(np.cumsum(count) - count, count)) * stride
         padding = np.zeros(steps + 1, np.uint64)
         flat = np.concatenate([np.concatenate((s, padding)) for s in sequences])
-        starts = np.cumsum(self.sizes + steps + 1) - (self.sizes + steps + 1)
-        self.tables = []  # sorted keys, their items, and a bitmap of them, per table
+        starts = (np.cumsum(self.sizes + steps + 1) - (self.sizes + steps + 1))[self.item] + self.offset
+        self.tables = []  # sorted keys, their walks of items, and a bitmap of them, per table
         for walk in self.walks:
             for keys in walk.keys(flat, starts):
                 order = np.argsort(keys, kind="stable")
                 marked = np.zeros(BITMAP, bool)
                 marked[keys & np.uint64(BITMAP - 1)] = True
-                self.tables.append((keys[order], order, marked))
+                self.tables.append((keys[order], order.astype(np.int32), marked))
         own = np.repeat(np.arange(len(sequences)), self.sizes)
         self.bag = np.zeros(BAG, bool)
-        self.bag[self.bag_place(own, self.words)] = True
+        self.bag[self.bag_place(own, self.words * SPREAD)] = True
 
     def bag_place(self, item: np.ndarray, words: np.ndarray) -> np.ndarray:
-        spread = (words + item.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xD6E8FEB86659FD93)
-        return (spread >> np.uint64(65 - BAG.bit_length())).astype(np.int64)
-
-    def candidates(self, hashes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Window starts and items that share a key, each pair once."""
+        """Of words that are multiplied by SPREAD."""
+        spread = words + item.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) * SPREAD
+        return (spread >> np.uint64(65 - BAG.bit_length())).view(np.int64)
+
+    def candidates(self, hashes: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Items, and the first of `limit` + 1 words at which a walk that shares a key would
+        have its item begin, each pair once. `firsts` has the first word of each word's text;
+        what would begin before it begins there."""
+        starts = np.arange(len(firsts))
         found = []
         table = iter(self.tables)
         for walk in self.walks:
             for keys in walk.keys(hashes, starts):
-                ordered, items, marked = next(table)
-                near = np.flatnonzero(marked.take((keys & np.uint64(BITMAP - 1)).astype(np.int64)))
+                ordered, order, marked = next(table)
+                near = np.flatnonzero(marked.take((keys & np.uint64(BITMAP - 1)).view(np.int64)))
                 low = np.searchsorted(ordered, keys[near])
                 count = np.searchsorted(ordered, keys[near], "right") - low
                 near, low, count = near[count > 0], low[count > 0], count[count > 0]
-                place = np.repeat(low - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
-                found.append(np.repeat(starts[near].astype(np.int64), count) * len(self.sizes) + items[place])
+                met = order[np.repeat(low - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))]
+                near, item = np.repeat(near, count), self.item[met]
+                first, wide = firsts[near], self.limits[item] + 1
+                begin = first + np.maximum(0, near - self.offset[met] - first) // wide * wide
+                found.append(np.unique(begin * len(self.sizes) + item))
         pairs = np.unique(np.concatenate(found))
-        return pairs // len(self.sizes), pairs % len(self.sizes)
-
-    def verified(self, hashes: np.ndarray, starts: np.ndarray, items: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Edits between each item and its window, to the best end; -1 above the limit."""
-        edits = np.full(len(starts), -1, np.int64)
-        for at in range(0, len(starts), 4096):
-            part = slice(at, at + 4096)
-            edits[part] = self.compared(hashes, starts[part], items[part], ends[part])
-        return edits
-
-    def compared(self, hashes: np.ndarray, starts: np.ndarray, items: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        sizes, limits = self.sizes[items], self.limits[items]
-        width = int((sizes + limits).max())
-        places = starts[:, None] + np.arange(width)
-        inside = (places < ends[:, None]) & (np.arange(width) < (sizes + limits)[:, None])
-        window = np.where(inside, hashes[np.minimum(places, len(hashes) - 1)], np.uint64(0))
-        # At least size - limit words of the window must be words of the item.
-        common = (self.bag[self.bag_place(items[:, None], window)] & inside).sum(axis=1)
-        out = np.full(len(starts), -1, np.int64)
-        for size in np.unique(sizes):
-            own = np.flatnonzero((sizes == size) & (common >= sizes - limits))
-            if not len(own):
-                continue
-            width = int(size + limits[own[0]])
-            given = self.words[self.first[items[own]][:, None] + np.arange(size)]
-            seen, valid = window[own, :width], inside[own, :width]
-            column = np.arange(width + 1)
-            row = np.broadcast_to(column, (len(own), width + 1)).astype(np.int32)
-            for i in range(size):
-                step = np.empty_like(row)
-                step[:, 0] = i + 1
-                np.minimum(row[:, 1:] + 1, row[:, :-1] + (seen != given[:, i : i + 1]), out=step[:, 1:])
-                row = np.minimum.accumulate(step - column, axis=1) + column
-            row[:, 1:][~valid] = size + width
-            best = row.min(axis=1)
-            out[own] = np.where(best <= limits[own], best, -1)
-        return out
+        return pairs % len(self.sizes), pairs // len(self.sizes)
+
+    def verified(self, hashes: np.ndarray, items: np.ndarray, begins: np.ndarray, firsts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Least edits between each item and a window around its begin, -1 above the limit,
+        and the first word of the first window that has them. `firsts` and `ends` are the
+        bounds of the texts."""
+        edits, starts = np.full(len(items), -1, np.int64), np.zeros(len(items), np.int64)
+        spread = hashes * SPREAD
+        order = np.argsort(self.sizes[items], kind="stable")
+        ordered, first = self.sizes[items][order], 0
+        for size in np.unique(ordered).tolist():
+            end, step = int(np.searchsorted(ordered, size, "right")), max(1, CELLS // (2 * size))
+            for at in range(first, end, step):
+                part = order[at : min(at + step, end)]
+                edits[part], starts[part] = self.compared(hashes, spread, size, items[part], begins[part], firsts[part], ends[part])
+            first = end
+        return edits, starts
+
+    def compared(self, hashes: np.ndarray, spread: np.ndarray, size: int, items: np.ndarray, begins: np.ndarray, firsts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As `verified`, for items of one size."""
+        limit = int(self.limits[items[0]])
+        # Windows begin at up to `limit` words on both sides of the limit + 1 words.
+        left, width = begins - limit, 3 * limit + size + limit
+        places = left[:, None] + np.arange(width)
+        inside = (places >= firsts[:, None]) & (places < ends[:, None])
+        places = np.clip(places, 0, len(hashes) - 1)
+        # At least size - limit words of some window must be words of the item.
+        common = np.zeros((len(items), width + 1), np.int32)
+        np.cumsum(self.bag.take(self.bag_place(items[:, None], spread.take(places))) & inside, axis=1, out=common[:, 1:])
+        reach = size + limit
+        own = np.flatnonzero((common[:, reach:] - common[:, :-reach]).max(axis=1) >= size - limit)
+        edits, starts = np.full(len(items), -1, np.int64), np.zeros(len(items), np.int64)
+        if not len(own):
+            return edits, starts
+        given = self.words[self.first[items[own]][:, None] + np.arange(size)]
+        seen = np.where(inside[own], hashes[places[own]], np.uint64(0))
+        # A cell holds the edits and the window's first column as one number, so the least
+        # number is that of the first window with the least edits.
+        one = width + 1
+        column = np.arange(one)
+        border = left[own][:, None] + column
+        out_of_text = (border < firsts[own][:, None]) | (border > ends[own][:, None])
+        row = np.where(out_of_text, one * (size + width), column[None, :]).astype(np.int64)
+        for i in range(size):
+            step = row + one
+            np.minimum(step[:, 1:], row[:, :-1] + one * (seen != given[:, i : i + 1]), out=step[:, 1:])
+            row = np.minimum.accumulate(step - column * one, axis=1) + column * one
+        row[out_of_text] = one * (size + width)
+        best = row.min(axis=1)
+        near = best // one <= limit
+        edits[own[near]], starts[own[near]] = best[near] // one, left[own[near]] + best[near] % one
+        return edits, starts
 
 
 class Benchmark:
@@ -147,11 +181,11 @@ class Benchmark:
         hashes = words.hashes() | np.uint64(1)
         sequences = [hashes[a:b] for a, b in zip(words.first[:-1], words.first[1:])]
         self.ids, self.classes = ids, []
-        for k, (least, steps) in enumerate(CLASSES):
+        for k, (least, steps, stride) in enumerate(CLASSES):
             most = CLASSES[k + 1][0] if k + 1 < len(CLASSES) else np.inf
             numbers = [i for i, s in enumerate(sequences) if least <= len(s) < most]
             if numbers:
-                self.classes.append((least, Items(numbers, [sequences[i] for i in numbers], steps, seed)))
+                self.classes.append(Items(numbers, [sequences[i] for i in numbers], steps, stride, seed))
 
     def find(self, texts: pa.Array) -> list[tuple[int, int, int, int]]:
         """(text, item, first word, edits) of the best place of every item in every text."""
@@ -161,14 +195,13 @@ class Benchmark:
             return []
         hashes = np.concatenate((words.hashes() | np.uint64(1), np.zeros(CLASSES[-1][1] + 1, np.uint64)))
         rows = words.rows()
-        ends = words.first[1:][rows]
+        firsts, ends = words.first[:-1][rows], words.first[1:][rows]
         hits: list[tuple[int, int, int, int]] = []
-        for least, items in self.classes:
-            enough = ends - np.arange(n) >= least - int(least * EDIT_SHARE)
-            starts, found = items.candidates(hashes, np.flatnonzero(enough).astype(np.int32))
-            edits = items.verified(hashes, starts, found, ends[starts])
+        for items in self.classes:
+            met, begins = items.candidates(hashes, firsts)
+            edits, starts = items.verified(hashes, met, begins, firsts[begins], ends[begins])
             kept = np.flatnonzero(edits >= 0)
-            hits += zip(rows[starts[kept]].tolist(), items.numbers[found[kept]].tolist(), edits[kept].tolist(), starts[kept].tolist())
+            hits += zip(rows[begins[kept]].tolist(), items.numbers[met[kept]].tolist(), edits[kept].tolist(), starts[kept].tolist())
         best: dict[tuple[int, int], tuple[int, int]] = {}
         for text, item, edits, start in hits:
             best[text, item] = min(best.get((text, item), (edits, start)), (edits, start))

@@ -250,6 +250,32 @@ def test_recall_at_the_limit():
     assert sum((k, k % 60) in hits for k in range(300)) >= 0.9 * 300
 
 
+@pytest.mark.parametrize("size", [5, 8, 12, 15, 25, 40, 55, 100, 300])
+@pytest.mark.parametrize("place", ["start", "middle", "end"])
+def test_recall_with_edits_gathered(size, place):
+    from creditmill.llm.decontaminate import Benchmark
+
+    items, edits = [prose(700 + k, size, 5000) for k in range(20)], int(0.2 * size)
+    first = {"start": 0, "middle": (size - edits) // 2, "end": size - edits}[place]
+    for changed in (lambda w: [f"new{i}" for i in range(edits)], lambda w: [], lambda w: [x for y in w for x in ("more", y)]):
+        texts = []
+        for k, item in enumerate(items):
+            w = item.split()
+            w[first : first + edits] = changed(w[first : first + edits])
+            texts.append(" ".join([prose(k, 9), *w, prose(k + 1, 9)]))
+        hits = {t: n for t, i, _, n in Benchmark(list(range(20)), items).find(pa.array(texts)) if t == i}
+        assert len(hits) >= 19 and max(hits.values()) <= edits
+
+
+def test_place_of_a_passage_without_its_beginning():
+    from creditmill.llm.decontaminate import Benchmark
+
+    item = prose(3, 40, 5000)
+    texts = [" ".join(item.split()[8:]), "before " * 30 + " ".join([*["new"] * 8, *item.split()[8:]]), "a b", " ".join(item.split()[:32])]
+    found = Benchmark([7], [item]).find(pa.array(texts))
+    assert [(t, n) for t, _, _, n in found] == [(0, 8), (1, 8), (3, 8)] and [p for _, _, p, _ in found] == [0, 30, 0]
+
+
 # --- tokens
 
 

@@ -32,15 +32,18 @@ CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header "
     "hgroup hr main menu nav ol p pre section table ul".split()
 )
+PARTS = frozenset("table td th nav aside section article main header footer form dialog button select template object svg".split())
 ENDS = {
-    "li": (frozenset({"li"}), frozenset({"ul", "ol", "menu"})),
-    "dt": (frozenset({"dt", "dd"}), frozenset({"dl"})),
-    "dd": (frozenset({"dt", "dd"}), frozenset({"dl"})),
+    "li": (frozenset({"li"}), frozenset({"ul", "ol", "menu"}) | PARTS),
+    "dt": (frozenset({"dt", "dd"}), frozenset({"dl"}) | PARTS),
+    "dd": (frozenset({"dt", "dd"}), frozenset({"dl"}) | PARTS),
     "tr": (frozenset({"tr", "td", "th"}), frozenset({"table"})),
     "td": (frozenset({"td", "th"}), frozenset({"tr", "table"})),
     "th": (frozenset({"td", "th"}), frozenset({"tr", "table"})),
     "option": (frozenset({"option"}), frozenset({"select"})),
 }
+# All that a head holds; anything else ends it.
+HEAD = frozenset("html head base link meta title style script noscript template".split())
 # Boilerplate by element, by role and by words in class or id.
 DROPPED = frozenset(
     "head title script style noscript template nav menu footer aside form button select textarea input iframe object "
@@ -57,12 +60,13 @@ MAIN = frozenset({"html", "body"}) | ARTICLES
 
 
 class Node:
-    """An element with what it holds, and counts over all that is below it."""
+    """An element with what it holds, and counts over all that is below it. A dropped one
+    and what is below it are in no element's parts, but end like others."""
 
-    __slots__ = ("tag", "parent", "parts", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "dropped", "parts", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
-    def __init__(self, tag: str, parent: Node | None):
-        self.tag, self.parent, self.parts = tag, parent, []
+    def __init__(self, tag: str, parent: Node | None, dropped: bool = False):
+        self.tag, self.parent, self.dropped, self.parts = tag, parent, dropped, []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
 
@@ -73,7 +77,6 @@ class Tree(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = self.node = Node("html", None)
-        self.skipped: list[str] = []
         self.order: list[Node] = [self.root]
 
     def boilerplate(self, tag: str, attributes: list) -> bool:
@@ -105,40 +108,34 @@ class Tree(HTMLParser):
             self.node = found.parent
 
     def handle_starttag(self, tag: str, attributes: list) -> None:
-        if self.skipped:
-            if tag not in VOID:
-                self.skipped.append(tag)
-            return
+        if tag == "body" or self.node.tag == "head" and tag not in HEAD:
+            self.end_until(frozenset({"head"}), frozenset({"body"}))
         if tag in CLOSES_P:
             self.end_until(frozenset({"p"}), frozenset({"button", "td", "th", "table"}))
         elif tag in ENDS:
             self.end_until(*ENDS[tag])
         if tag in ("html", "body") and self.inside("body"):
             return
-        if self.boilerplate(tag, attributes):
-            if tag not in VOID:
-                self.skipped.append(tag)
-            return
-        node = Node(tag, self.node)
-        self.node.parts.append(node)
-        self.order.append(node)
+        node = Node(tag, self.node, self.node.dropped or self.boilerplate(tag, attributes))
+        if not node.dropped:
+            self.node.parts.append(node)
+            self.order.append(node)
         if tag not in VOID:
             self.node = node
 
     def handle_endtag(self, tag: str) -> None:
-        if self.skipped:
-            if tag in self.skipped:
-                while self.skipped.pop() != tag:
-                    pass
-            return
         node = self.node
         while node is not None and node.tag != tag:
+            if node.dropped and tag in INLINE and node.tag not in INLINE:
+                return  # the end of a part of a line ends no block
             node = node.parent
         if node is not None and node.parent is not None:
             self.node = node.parent
 
     def handle_data(self, text: str) -> None:
-        if not self.skipped:
+        if self.node.tag == "head" and text.strip():
+            self.node = self.node.parent
+        if not self.node.dropped:
             self.node.parts.append(text)
 
 

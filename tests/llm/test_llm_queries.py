@@ -98,6 +98,20 @@ def test_main_text_of_a_page_without_article():
         "Second one here, of good length as well, to be read.", "one", "two", "a", "b"])
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<html><head><title>T</title><meta charset=utf-8><body><p>First<p>Second", "First\nSecond"),
+    ("<head><title>T</title><style>p{}</style><p>First<p>Second", "First\nSecond"),
+    ("<head><title>T</title>First<p>Second", "First\nSecond"),
+    ("<article><p>First<p class=notice>Mind the gap<p>Second<p>Third</article>", "First\nSecond\nThird"),
+    ("<article><p>First</p><ul><li>one<li class=share>tell<li>two</ul><p>Second</article>", "First\none\ntwo\nSecond"),
+    ("<article><div><p>First</p><nav><a href=x>up</a></div><p>Second</article>", "First\nSecond"),
+    ("<article><dl><dt hidden>a<dd>b</dl><table><tr><td hidden>c<td>d<tr><td>e</table></article>", "b\nd\ne"),
+    ("<article><p>First</p><b><nav>menu</b> more</nav></b><ul><li>one<nav><li>x</nav> two</ul></article>", "First\none two"),
+])
+def test_dropped_elements_without_end_tags(page, text):
+    assert main_text(page) == text
+
+
 def test_odd_pages(spark):
     deep = "<div>" * 3000 + "deep" + "</div>" * 3000
     pages = [None, "", "   ", "plain text", "<p>open", "<script>var a = '<p>no</p>';</script>", "<!-- x -->", "</p></div>", "&am &quo; &lt;b&gt; &#x41;", deep, "<p>é\u00a0\u2003x</p>" * 5000]

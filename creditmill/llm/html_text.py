@@ -3,8 +3,9 @@
 For every element that is no mere part of a line, the characters per tag below it are
 weighed down by the share of characters that are links. The element whose children have
 the largest sum of densities is the main part; the lowest density on its path up to the
-body is the threshold under which link lists inside it go. Elements that a page itself
-names as menus, footers, adverts and the like never take part.
+body is the threshold under which link lists inside it go. Elements that are menus,
+footers and the like by their tag or role never take part. Those that a page only names
+so by a class or id take no part unless they hold the main part or are headings.
 """
 
 from __future__ import annotations
@@ -44,17 +45,20 @@ ENDS = {
 }
 # All that a head holds; anything else ends it.
 HEAD = frozenset("html head base link meta title style script noscript template".split())
-# Boilerplate by element, by role and by words in class or id.
+# Boilerplate by element, by role, and by a whole class or id.
 DROPPED = frozenset(
     "head title script style noscript template nav menu footer aside form button select textarea input iframe object "
     "embed svg canvas audio video dialog".split()
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
-NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|adsense|banner|breadcrumbs?|comments?|cookies?|consent|"
-    r"disqus|footer|gdpr|header|masthead|menu|modal|nav|navbar|navigation|newsletter|notices?|pagination|popup|promo|"
-    r"promotion|related|respond|share|sharing|sidebar|signup|social|sponsor|sponsored|subscribe|toolbar|widgets?)(?:$|[\s_-])"
+NAMES = frozenset(
+    "ad ads advert adverts advertisement advertisements advertising adsense banner breadcrumb breadcrumbs comment comments "
+    "cookie cookies consent disqus footer gdpr header masthead menu modal nav navbar navigation newsletter notice notices "
+    "pagination popup promo promotion related respond share sharing sidebar signup social sponsor sponsored subscribe "
+    "toolbar widget widgets".split()
 )
+PIECES = re.compile(r"[\s_-]+")
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 header hgroup".split())
 ARTICLES = frozenset({"article", "main"})
 MAIN = frozenset({"html", "body"}) | ARTICLES
 
@@ -63,10 +67,11 @@ class Node:
     """An element with what it holds, and counts over all that is below it. A dropped one
     and what is below it are in no element's parts, but end like others."""
 
-    __slots__ = ("tag", "parent", "dropped", "parts", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "dropped", "named", "hinted", "parts", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
     def __init__(self, tag: str, parent: Node | None, dropped: bool = False):
         self.tag, self.parent, self.dropped, self.parts = tag, parent, dropped, []
+        self.named = self.hinted = False  # boilerplate by its name, or by a part of its name
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
 
@@ -85,12 +90,20 @@ class Tree(HTMLParser):
         if tag in MAIN:
             return False
         for name, value in attributes:
-            if name in ("class", "id") and value and NAMES.search(value.lower()):
-                return True
             if name == "role" and value and value.lower() in ROLES or name == "hidden":
                 return True
         return False
 
+    def name(self, node: Node, attributes: list) -> None:
+        """Marks what the class and id of a node say; headings are named after their text."""
+        if node.tag in HEADINGS:
+            return
+        for name, value in attributes:
+            if name in ("class", "id") and value:
+                value = value.lower()
+                node.named |= not NAMES.isdisjoint(value.split() if name == "class" else [value.strip()])
+                node.hinted |= name == "class" and not NAMES.isdisjoint(PIECES.split(value))
+
     def inside(self, tag: str) -> bool:
         node = self.node
         while node is not None and node.tag != tag:
@@ -118,6 +131,7 @@ class Tree(HTMLParser):
             return
         node = Node(tag, self.node, self.node.dropped or self.boilerplate(tag, attributes))
         if not node.dropped:
+            self.name(node, attributes)
             self.node.parts.append(node)
             self.order.append(node)
         if tag not in VOID:
@@ -143,6 +157,8 @@ def measure(tree: Tree) -> Node:
     """Counts and densities of all elements; returns the body."""
     for node in reversed(tree.order):  # children stand behind their parents
         link = node.tag == "a"
+        node.chars = node.tags = node.link_chars = node.link_tags = 0
+        node.density = node.total = 0.0
         for part in node.parts:
             if isinstance(part, str):
                 node.chars += len(part.strip())
@@ -194,12 +210,34 @@ def main_part(tree: Tree, body: Node) -> tuple[Node, float]:
     return best, threshold
 
 
+def without_named(tree: Tree, body: Node) -> Node:
+    """Takes out the named elements that hold neither an article nor, on a page without one
+    of a tenth of its text, the main part; returns the body, measured anew."""
+    if not any(n.named and n.tag not in MAIN for n in tree.order):
+        return body
+    articles = [n for n in tree.order if n.tag in ARTICLES and not n.named]
+    holders = {id(body)}
+    best = main_part(tree, body)[0]
+    for node in articles if any(10 * n.chars >= best.chars for n in articles) else [*articles, best]:
+        while node is not None and id(node) not in holders:
+            holders.add(id(node))
+            node = node.parent
+    gone = set()
+    for node in tree.order:
+        if id(node.parent) in gone or node.named and node.tag not in MAIN and id(node) not in holders:
+            gone.add(id(node))
+    tree.order = [n for n in tree.order if id(n) not in gone]
+    for node in tree.order:
+        node.parts = [p for p in node.parts if id(p) not in gone]
+    return measure(tree)
+
+
 def main_text(html: str) -> str:
     """Blocks of the main part, one per line."""
     tree = Tree()
     tree.feed(html)
     tree.close()
-    body = measure(tree)
+    body = without_named(tree, measure(tree))
     best, threshold = main_part(tree, body)
     lines: list[str] = []
     line: list[str] = []
@@ -223,7 +261,7 @@ def main_text(html: str) -> str:
             stack.extend(reversed(part.parts))
         else:
             end_line()
-            links = part is not best and part.link_tags > 1 and part.link_chars > 0.6 * part.chars
+            links = part is not best and part.link_tags > (not part.hinted) and part.link_chars > 0.6 * part.chars
             if not (links and part.density < threshold):
                 stack.append(None)
                 stack.extend(reversed(part.parts))

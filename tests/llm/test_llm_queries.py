@@ -112,6 +112,24 @@ def test_dropped_elements_without_end_tags(page, text):
     assert main_text(page) == text
 
 
+LONG = " ".join(["A sentence of the text with a good number of words in it."] * 5)
+
+
+@pytest.mark.parametrize("page, text", [
+    (f'<div class="content has-sidebar"><p>{LONG}</p><p>{LONG}</p></div><div class=sidebar><p>Side</p></div>', f"{LONG}\n{LONG}"),
+    (f'<div id="content-sidebar-wrap"><div><p>{LONG}<p>{LONG}</div></div>', f"{LONG}\n{LONG}"),
+    (f'<div class=widget><p>{LONG}</p><p>{LONG}</p></div><div class=widget><p>Other</p></div>', f"{LONG}\n{LONG}"),
+    (f'<article><header class="entry-header"><h1>Head</h1></header><p>{LONG}</p></article>', f"Head\n{LONG}"),
+    (f'<article><div class="article-header"><h1>Head</h1></div><p>{LONG}</p></article>', f"Head\n{LONG}"),
+    (f'<article><h2 id="menu">Menu</h2><p>{LONG}</p><h2 id="social-impact">Impact</h2><p>{LONG}</p></article>', f"Menu\n{LONG}\nImpact\n{LONG}"),
+    (f'<article><p>{LONG}</p><section id="related-work"><h2>Related work</h2><p>{LONG}</p></section></article>', f"{LONG}\nRelated work\n{LONG}"),
+    (f'<article><p>{LONG}</p><div class="x ad">Buy</div></article><div class=comments><p>{LONG}<p>{LONG}<p>{LONG}</div>', LONG),
+    (f'<article><p>More</p></article><div class=widget><p>{LONG}</p><p>{LONG}</p></div>', f"{LONG}\n{LONG}"),
+])
+def test_names_are_evidence_only(page, text):
+    assert main_text(f"<html><head><title>T</title></head><body>{page}</body></html>") == text
+
+
 def test_odd_pages(spark):
     deep = "<div>" * 3000 + "deep" + "</div>" * 3000
     pages = [None, "", "   ", "plain text", "<p>open", "<script>var a = '<p>no</p>';</script>", "<!-- x -->", "</p></div>", "&am &quo; &lt;b&gt; &#x41;", deep, "<p>é\u00a0\u2003x</p>" * 5000]

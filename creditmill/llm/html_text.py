@@ -3,7 +3,8 @@
 For every element that is no mere part of a line, the characters per tag below it are
 weighed down by the share of characters that are links. The element whose children have
 the largest sum of densities is the main part; the lowest density on its path up to the
-body is the threshold under which link lists inside it go. Elements that are menus,
+body is the threshold under which link lists inside it go, and which blocks beside it and
+beside the elements that hold it must reach to belong to it. Elements that are menus,
 footers and the like by their tag or role never take part. Those that a page only names
 so by a class or id take no part unless they hold the main part or are headings.
 """
@@ -153,6 +154,16 @@ class Tree(HTMLParser):
             self.node.parts.append(text)
 
 
+def density(node: Node, share: float) -> float:
+    """Of an element, on a page with this share of link characters."""
+    if not node.chars:
+        return 0.0
+    plain = max(1, node.chars - node.link_chars)
+    base = math.log(node.chars / plain * node.link_chars + share * node.chars + math.e)
+    ratio = node.chars / max(1, node.link_chars) * max(1, node.tags) / max(1, node.link_tags)
+    return node.chars / max(1, node.tags) * max(0.0, math.log(max(ratio, 1e-9), max(base, 1.0001)))
+
+
 def measure(tree: Tree) -> Node:
     """Counts and densities of all elements; returns the body."""
     for node in reversed(tree.order):  # children stand behind their parents
@@ -172,11 +183,7 @@ def measure(tree: Tree) -> Node:
     body = next((n for n in tree.order if n.tag == "body"), tree.root)
     share = body.link_chars / body.chars if body.chars else 0.0
     for node in tree.order:
-        if node.chars:
-            plain = max(1, node.chars - node.link_chars)
-            base = math.log(node.chars / plain * node.link_chars + share * node.chars + math.e)
-            ratio = node.chars / max(1, node.link_chars) * max(1, node.tags) / max(1, node.link_tags)
-            node.density = node.chars / max(1, node.tags) * max(0.0, math.log(max(ratio, 1e-9), max(base, 1.0001)))
+        node.density = density(node, share)
     for node in tree.order:
         node.total = sum([p.density for p in node.parts if not isinstance(p, str) and p.tag not in INLINE])
     return body
@@ -210,6 +217,58 @@ def main_part(tree: Tree, body: Node) -> tuple[Node, float]:
     return best, threshold
 
 
+def line_of(parent: Node, parts: list, share: float) -> Node:
+    """Text and parts of a line that stand together, as an element."""
+    line = Node("div", parent)
+    line.parts = parts
+    for part in parts:
+        if isinstance(part, str):
+            line.chars += len(part.strip())
+        else:
+            line.chars += part.chars
+            line.tags += part.tags + 1
+            line.link_chars += part.link_chars
+            line.link_tags += part.link_tags + (part.tag == "a")
+    line.density = density(line, share)
+    return line
+
+
+def main_parts(best: Node, body: Node, threshold: float) -> list[Node]:
+    """The main element and, unless it is an article, the blocks beside it and beside what
+    holds it whose density reaches the threshold, if links are not most of them, in page
+    order. Where a part of its class speaks against a block, its sum must also be a quarter
+    of the main element's. The headings before a block that stays, stay."""
+    found = [best]
+    share = body.link_chars / body.chars if body.chars else 0.0
+    node = best
+    while node is not body and node.parent is not None and best.tag not in ARTICLES:
+        beside: list[Node] = []
+        run: list = []
+        for part in [*node.parent.parts, None]:
+            if part is not None and (isinstance(part, str) or part.tag in INLINE and part is not node):
+                run.append(part)
+                continue
+            if run:
+                beside.append(line_of(node.parent, run, share))
+                run = []
+            if part is not None:
+                beside.append(part)
+        kept: list[Node] = []
+        behind = False  # the block behind stays
+        for part in reversed(beside):
+            if part is node:
+                kept += reversed(found)
+                behind = True
+            elif part.chars:
+                heading = part.tag in HEADINGS and behind
+                behind = part.link_chars <= 0.6 * part.chars and (heading or part.density >= threshold)
+                behind &= not part.hinted or 4 * part.total >= best.total
+                if behind:
+                    kept.append(part)
+        found, node = kept[::-1], node.parent
+    return found
+
+
 def without_named(tree: Tree, body: Node) -> Node:
     """Takes out the named elements that hold neither an article nor, on a page without one
     of a tenth of its text, the main part; returns the body, measured anew."""
@@ -248,7 +307,9 @@ def main_text(html: str) -> str:
             lines.append(text)
         line.clear()
 
-    stack: list = [best]
+    parts = main_parts(best, body, threshold)
+    outer = {id(p) for p in parts}
+    stack: list = [x for p in reversed(parts) for x in (None, p)]
     while stack:
         part = stack.pop()
         if isinstance(part, str):
@@ -261,7 +322,7 @@ def main_text(html: str) -> str:
             stack.extend(reversed(part.parts))
         else:
             end_line()
-            links = part is not best and part.link_tags > (not part.hinted) and part.link_chars > 0.6 * part.chars
+            links = id(part) not in outer and part.link_tags > (not part.hinted) and part.link_chars > 0.6 * part.chars
             if not (links and part.density < threshold):
                 stack.append(None)
                 stack.extend(reversed(part.parts))

@@ -130,6 +130,14 @@ def test_names_are_evidence_only(page, text):
     assert main_text(f"<html><head><title>T</title></head><body>{page}</body></html>") == text
 
 
+@pytest.mark.parametrize("before, behind", [(3, 4), (4, 3), (1, 6), (6, 1)])
+def test_blocks_beside_the_largest(before, behind):
+    first, last = (f"<section><h2>Part</h2>{f'<p>{LONG}</p>' * n}</section>" for n in (before, behind))
+    links = "".join(f"<li><a href={i}>Page number {i}</a></li>" for i in range(9))
+    page = f"<body><ul>{links}</ul><h1>Head</h1><p>{LONG}</p>{first}<div>{last}</div>{LONG} <b>bold</b><ul>{links}</ul><div>Imprint</div></body>"
+    assert main_text(page) == "\n".join(["Head", LONG, "Part", *[LONG] * before, "Part", *[LONG] * behind, f"{LONG} bold"])
+
+
 def test_odd_pages(spark):
     deep = "<div>" * 3000 + "deep" + "</div>" * 3000
     pages = [None, "", "   ", "plain text", "<p>open", "<script>var a = '<p>no</p>';</script>", "<!-- x -->", "</p></div>", "&am &quo; &lt;b&gt; &#x41;", deep, "<p>é\u00a0\u2003x</p>" * 5000]

@@ -79,3 +79,45 @@ ORACLE: dict[str, str] = {
         FROM split LEFT JOIN fits USING (page_id)
     """,
 }
+
+
+def vector_codes_sql(rounds: int = 4, entries: int = 256, parts: int = 4) -> str:
+    """k-means of integer parts, one CTE per round; distances and means in exact integers."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+        d{r} AS (
+            SELECT rid, p, e, coalesce(list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - c[i]) * (x[i] - c[i]))), 0) AS dist
+            FROM parts JOIN cb{r} USING (p)),
+        a{r} AS (SELECT rid, p, arg_min(e, dist * {entries} + e) AS e, min(dist) AS dist FROM d{r} GROUP BY rid, p)""")
+        if r < rounds:
+            steps.append(f"""
+        s{r} AS (
+            SELECT p, e, i, CAST(floor(sum(xi)::DOUBLE / count(*)) AS BIGINT) AS ci
+            FROM (SELECT a.p, a.e, unnest(range(1, len(x) + 1)) AS i, unnest(x) AS xi FROM a{r} a JOIN parts USING (rid, p))
+            GROUP BY p, e, i),
+        u{r} AS (SELECT p, e, list(ci ORDER BY i) AS c FROM s{r} GROUP BY p, e),
+        cb{r + 1} AS (SELECT cb.p, cb.e, coalesce(u.c, cb.c) AS c FROM cb{r} cb LEFT JOIN u{r} u USING (p, e))""")
+    return f"""
+        WITH clean AS (
+            SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+        numbered AS (SELECT row_number() OVER (ORDER BY vec_id, v, label) AS rid, vec_id, label, v, len(v) // {parts} AS w FROM clean),
+        parts AS (SELECT rid, p, list_slice(v, p * w + 1, (p + 1) * w) AS x FROM numbered, range({parts}) t(p)),
+        seeds AS (SELECT rid, row_number() OVER (ORDER BY vec_id NULLS LAST, v) - 1 AS e FROM numbered),
+        cb0 AS (SELECT p, e, x AS c FROM parts JOIN seeds USING (rid) WHERE e < {entries}),{",".join(steps)},
+        digest AS (
+            SELECT sha256(coalesce(string_agg(CAST(ci AS VARCHAR), ',' ORDER BY p, e, i), '')) AS codebooks_sha256
+            FROM (SELECT p, e, unnest(range(1, len(c) + 1)) AS i, unnest(c) AS ci FROM cb{rounds})),
+        coded AS (
+            SELECT rid, string_agg(format('{{:02x}}', e), '' ORDER BY p) AS code, CAST(sum(dist) AS BIGINT) AS error
+            FROM a{rounds} GROUP BY rid)
+        SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+               codebooks_sha256, label
+        FROM numbered JOIN coded USING (rid), digest
+    """
+
+
+ORACLE["op11_vector_codes"] = vector_codes_sql()

@@ -18,6 +18,7 @@ from creditmill.llm.token_store import read_tokens, store_tokens
 from creditmill.llm.toxicity import THRESHOLD, fit, score_toxicity
 from creditmill.llm.url_filter import RULE_SCHEMA, judge_urls
 from creditmill.llm.vector_codes import vector_codes
+from creditmill.llm.whitening import whitening
 from creditmill.sources.readers import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -98,7 +99,11 @@ def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
     return vector_codes(table(spark, folder, "embeddings"))
 
 
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (op1_exact_dedup, op2_mixing, op3_html_text, op4_substring_dedup, op5_minhash, op6_token_counts, op7_decontaminate, op8_toxicity, op9_url_filter, op10_token_store,
-        op11_vector_codes)
+        op11_vector_codes, op12_whitening)
 }

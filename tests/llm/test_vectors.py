@@ -130,3 +130,57 @@ def test_limb_products_are_exact(bits):
     assert (found.astype(object) == wanted).all()
     if bits > 24:
         assert count > 1
+
+
+def brute_whitening(rows, components=32):
+    """Plain moments with Python integers, numpy eigh; (n, S, V, values, vectors, kept rows)."""
+    kept = [(i, [math.floor(64 * float(c)) + 1_000_000 for c in v]) for i, v, _ in rows
+            if v is not None and all(c is not None and math.isfinite(c) for c in v)]
+    n, dim = len(kept), len(kept[0][1])
+    s = [sum(v[d] for _, v in kept) for d in range(dim)]
+    cov = np.array([[sum((n * v[a] - s[a]) * (n * v[b] - s[b]) for _, v in kept) for b in range(dim)] for a in range(dim)], dtype=float) / n**3
+    values, vectors = np.linalg.eigh(cov)
+    order = np.argsort(-values)[:components]
+    return n, s, cov, values[order], vectors[:, order], kept
+
+
+def test_whitening_against_brute_force(spark):
+    from creditmill.llm.whitening import whitening
+
+    rows = odd_vectors(300, dim=8, seed=5)
+    found = whitening(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()
+    n, s, cov, values, vectors, kept = brute_whitening(rows)
+    assert len(found) == len(kept) * 8 and {r.n for r in found} == {n}
+    deviations = sorted((i is None, i or 0, sum((n * v[d] - s[d]) ** 2 for d in range(8))) for i, v in kept)
+    assert sorted((r.vec_id is None, r.vec_id or 0, r.deviation) for r in found if r.component == 1) == deviations
+    for r in found:
+        assert r.explained == pytest.approx(values[r.component - 1] / np.trace(cov), rel=1e-4)
+    assert found[0].identity_error <= 1e-4
+    by_row = {}
+    for r in found:
+        by_row.setdefault((r.vec_id, r.deviation), {})[r.component] = r.whitened
+    for i, v in kept:
+        centred = np.array([(n * v[d] - s[d]) / n for d in range(8)])
+        wanted = centred @ vectors / np.sqrt(values)
+        got = np.array([by_row[(i, sum((n * v[d] - s[d]) ** 2 for d in range(8)))][c + 1] for c in range(8)])
+        assert np.allclose(np.abs(got), np.abs(wanted), rtol=1e-6, atol=1e-9)
+
+
+def test_bit_planes_give_exact_cross_products():
+    from creditmill.llm.whitening import plane_cross_products
+
+    rng = np.random.default_rng(1)
+    u = rng.integers(0, 1 << 11, (1000, 6))
+    cross, sums = plane_cross_products(u, 11)
+    assert (cross == u.T @ u).all() and (sums == u.sum(axis=0)).all()
+
+
+def test_whitening_of_odd_tables(spark):
+    from creditmill.llm.whitening import whitening
+
+    assert whitening(spark.createDataFrame([], SCHEMA)).count() == 0
+    equal = whitening(spark.createDataFrame([(i, [0.5] * 4, 1) for i in range(50)], SCHEMA)).collect()
+    assert len(equal) == 200 and all(r.whitened is None and r.deviation == 0 for r in equal)
+    assert equal[0].identity_error is None and equal[0].explained is None
+    with pytest.raises(ValueError):
+        whitening(spark.createDataFrame([(1, [0.0] * 4, 1), (2, [0.0] * 8, 1)], SCHEMA))

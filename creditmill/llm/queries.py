@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from creditmill.llm.backoff_lm import backoff_scores
 from creditmill.llm.decontaminate import find_leaks
 from creditmill.llm.exact_dedup import exact_dedup
 from creditmill.llm.html_text import extract_pages
@@ -103,7 +104,12 @@ def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitening(table(spark, folder, "embeddings"))
 
 
+def op13_backoff_lm(spark: SparkSession, folder: str) -> DataFrame:
+    """Learned from rows outside one fold of five, which is held out."""
+    return backoff_scores(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (op1_exact_dedup, op2_mixing, op3_html_text, op4_substring_dedup, op5_minhash, op6_token_counts, op7_decontaminate, op8_toxicity, op9_url_filter, op10_token_store,
-        op11_vector_codes, op12_whitening)
+        op11_vector_codes, op12_whitening, op13_backoff_lm)
 }

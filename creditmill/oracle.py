@@ -636,3 +636,4 @@ ORACLE: dict[str, str] = {
           CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS "B" FROM events GROUP BY 1""",
 }
 ORACLE["stream_daily_totals"] = ORACLE["batch_daily_totals"]
+ORACLE["current_run"] = ORACLE["monthly_production"]

@@ -21,7 +21,7 @@ from creditmill.operators.keys import first_per_key
 from creditmill.operators.materialize import checkpoint_root, computed_once
 from creditmill.plans import access, funnel, hierarchy, pricing, production, quality, tables
 from creditmill.plans.panel import panel_texts
-from creditmill.sources import sinks, star
+from creditmill.sources import runs, sinks, star
 from creditmill.sources.readers import read_first_existing
 from creditmill.streaming import daily
 
@@ -251,6 +251,14 @@ def one_cube(df: DataFrame, name: str) -> DataFrame:
     return cube(cubes(df, AS_OF, name), name)
 
 
+def current_run(spark: SparkSession, folder: str) -> DataFrame:
+    """Monthly production stored as a run, checked by its digest on read-back and named in
+    the manifest; the rows a reader of the manifest finds."""
+    root = f"{checkpoint_root(spark)}/runs-{uuid.uuid4().hex}"
+    sinks.publish_run(QUERIES["monthly_production"](spark, folder), root, "1")
+    return runs.read_current(spark, root)
+
+
 def latest_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     """Stored snapshots and changes: some users have a newer row on either side only, and
     some are in one of them alone."""
@@ -419,6 +427,7 @@ QUERIES: dict[str, Query] = {
     "spread_scenarios": _metric(spread_scenarios, needs="products"),
     "spread_by_fund": _metric(pricing.spread_by, needs="products"),
     "metrics_json": _metric(metrics_json, needs="sales"),
+    "current_run": current_run,
     "latest_snapshot": latest_snapshot,
     "semi_join_entitled": semi_join_entitled,
     "roster_left_join": roster_left_join,

@@ -1,14 +1,15 @@
-"""Sinks: run folders with a read-back check, JSON records, keyed snapshots."""
+"""Sinks: run folders checked by digest on read-back, JSON records, keyed snapshots."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from creditmill import schema as s
 from creditmill.functions.calendar import month_label
 from creditmill.operators.keys import first_per_key
+from creditmill.sources import runs
 
 # Columns of the snapshot table.
 SNAPSHOT = T.StructType(
@@ -22,23 +23,28 @@ SNAPSHOT = T.StructType(
 
 def write_run(df: DataFrame, root: str, run: str, partition_by: tuple[str, ...] = ()) -> int:
     """Full refresh into a folder of its own, so no reader sees half a table and the
-    table being read is never overwritten. Returns the rows, counted while writing
-    and checked against what can be read back. A run that exists is an error.
+    table being read is never overwritten. Returns the rows; their content digest,
+    taken while writing, must equal the digest of what is read back. A run that exists
+    is an error.
 
     A partitioned run is rebalanced first: each partition value gets few files, and one
     that holds most rows (contracts without a month) is still written by many tasks.
     """
-    path = f"{root}/run={run}"
+    return store_run(df, root, run, partition_by).rows
+
+
+def store_run(df: DataFrame, root: str, run: str, partition_by: tuple[str, ...] = ()) -> runs.Digest:
+    """As `write_run`; returns the digest of the run."""
     if partition_by:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
-    seen = Observation()
-    observed = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    observed.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
-    written = seen.get["rows"]
-    stored = df.sparkSession.read.parquet(path).count() if written else 0
-    if stored != written:
-        raise RuntimeError(f"{path}: wrote {written} rows, found {stored}")
-    return written
+    return runs.store_parquet(df, runs.run_path(root, run), partition_by)
+
+
+def publish_run(df: DataFrame, root: str, run: str, partition_by: tuple[str, ...] = ()) -> runs.Digest:
+    """Writes and checks the run, then names it current in the manifest of `root`."""
+    digest = store_run(df, root, run, partition_by)
+    runs.publish(df.sparkSession, root, run, digest)
+    return digest
 
 
 def read_run(spark: SparkSession, root: str, run: str) -> DataFrame:
@@ -68,15 +74,9 @@ def json_records(df: DataFrame, name: str) -> DataFrame:
 
 
 def write_json(df: DataFrame, path: str) -> int:
-    """JSON records in a new folder. Returns the rows, checked against what can be read back."""
-    seen = Observation()
-    observed = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    observed.write.mode("errorifexists").option("ignoreNullFields", False).json(path)
-    written = seen.get["rows"]
-    stored = df.sparkSession.read.schema(df.schema).json(path).count() if written else 0
-    if stored != written:
-        raise RuntimeError(f"{path}: wrote {written} rows, found {stored}")
-    return written
+    """JSON records in a new folder. Returns the rows; their digest must equal that of
+    the records read back."""
+    return runs.store_json(df, path).rows
 
 
 def merge_snapshots(stored: DataFrame, changes: DataFrame, key: str, changed_at: str) -> DataFrame:

@@ -23,7 +23,7 @@ from creditmill.plans import access, funnel, hierarchy, pricing, production, qua
 from creditmill.plans.panel import panel_texts
 from creditmill.sources import runs, sinks, star
 from creditmill.sources.readers import read_first_existing
-from creditmill.streaming import daily
+from creditmill.streaming import daily, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -350,6 +350,20 @@ def stream_daily_totals(spark: SparkSession, folder: str) -> DataFrame:
     return as_doubles(daily.read_daily_totals(spark, f"{run}/table"))
 
 
+def stream_window_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """Events through one run of the windowed stream with a watermark and its late side;
+    the day windows a reader finds."""
+
+    def source() -> DataFrame:
+        return spark.readStream.schema(star.SCHEMAS["events"]).option("maxFilesPerTrigger", 1).parquet(
+            f"{folder}/events.parque[t]")
+
+    run = f"{checkpoint_root(spark)}/windows-{uuid.uuid4().hex}"
+    windows.run_window_totals(source, "ts", "value", f"{run}/table", f"{run}/state")
+    totals = windows.read_window_totals(spark, f"{run}/table")
+    return as_doubles(totals.select(F.to_date("inicio").alias("dia"), "C", "B"))
+
+
 def batch_daily_totals(spark: SparkSession, folder: str) -> DataFrame:
     events = star.table(spark, folder, "events")
     return as_doubles(daily.daily_totals(events, "ts", "value"))
@@ -433,4 +447,5 @@ QUERIES: dict[str, Query] = {
     "roster_left_join": roster_left_join,
     "stream_daily_totals": stream_daily_totals,
     "batch_daily_totals": batch_daily_totals,
+    "stream_window_totals": stream_window_totals,
 }

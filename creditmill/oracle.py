@@ -638,3 +638,4 @@ ORACLE: dict[str, str] = {
 ORACLE["stream_daily_totals"] = ORACLE["batch_daily_totals"]
 ORACLE["current_run"] = ORACLE["monthly_production"]
 ORACLE["stream_window_totals"] = ORACLE["batch_daily_totals"]
+ORACLE["stream_latest_snapshot"] = ORACLE["latest_snapshot"]

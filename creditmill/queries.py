@@ -23,7 +23,7 @@ from creditmill.plans import access, funnel, hierarchy, pricing, production, qua
 from creditmill.plans.panel import panel_texts
 from creditmill.sources import runs, sinks, star
 from creditmill.sources.readers import read_first_existing
-from creditmill.streaming import daily, windows
+from creditmill.streaming import daily, snapshots, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -267,6 +267,17 @@ def latest_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     return sinks.merge_snapshots(events.where(stored), events.where(~stored | stored.isNull()), "user_id", "ts")
 
 
+def stream_latest_snapshot(spark: SparkSession, folder: str) -> DataFrame:
+    """The latest event of every user, kept as keyed state by one run of a stream."""
+    schema = star.table(spark, folder, "events").select("user_id", "ts", "event_id", "event_type", "value").schema
+    updates = spark.readStream.schema(star.SCHEMAS["events"]).option("maxFilesPerTrigger", 1).parquet(
+        f"{folder}/events.parque[t]").select(*schema.names)
+    run = f"{checkpoint_root(spark)}/latest-{uuid.uuid4().hex}"
+    order = ["ts", "event_id", "event_type", "value"]
+    snapshots.run_latest(updates, "user_id", order, f"{run}/table", f"{run}/state")
+    return snapshots.read_latest(spark, f"{run}/table", schema, "user_id", order)
+
+
 def semi_join_entitled(spark: SparkSession, folder: str) -> DataFrame:
     df = star.enriched(spark, folder)
     readers = star.table(spark, folder, "supplier").where(F.col("s_acctbal") > 0)
@@ -443,6 +454,7 @@ QUERIES: dict[str, Query] = {
     "metrics_json": _metric(metrics_json, needs="sales"),
     "current_run": current_run,
     "latest_snapshot": latest_snapshot,
+    "stream_latest_snapshot": stream_latest_snapshot,
     "semi_join_entitled": semi_join_entitled,
     "roster_left_join": roster_left_join,
     "stream_daily_totals": stream_daily_totals,

@@ -25,6 +25,9 @@ COLUMNS = {
     "op8_toxicity": "doc_id held_out score predicted",
     "op9_url_filter": "page_id host path rule verdict",
     "op10_token_store": "doc_id start n_tokens ids_crc32",
+    "op11_vector_codes": "vec_id code error label_error codebooks_sha256",
+    "op12_whitening": "vec_id component n deviation whitened explained identity_error",
+    "op13_backoff_lm": "doc_id held_out n_tokens n_known train_tokens base_score score",
 }
 
 
@@ -34,12 +37,16 @@ def test_query_agrees_with_sql(spark, small, name):
     assert differences(found, oracle_frame(ORACLE[name], small)) is None
 
 
-def test_all_ten_are_registered_with_their_columns(spark, small):
+def test_all_are_registered_with_their_columns(spark, small):
     assert set(QUERIES) == set(COLUMNS) and set(QUERIES) | {"pipeline"} <= set(contract.queries())
     rows = spark.read.parquet(f"{small}/documents.parquet").count()
-    for name in ("op2_mixing", "op6_token_counts", "op8_toxicity"):
+    for name in ("op2_mixing", "op6_token_counts", "op8_toxicity", "op13_backoff_lm"):
         df = QUERIES[name](spark, small)
         assert set(COLUMNS[name].split()) <= set(df.columns) and df.count() == rows
+    vectors = spark.read.parquet(f"{small}/embeddings.parquet").count()
+    assert QUERIES["op11_vector_codes"](spark, small).count() == vectors
+    whitened = QUERIES["op12_whitening"](spark, small)
+    assert set(COLUMNS["op12_whitening"].split()) <= set(whitened.columns) and whitened.count() == vectors * 32
 
 
 def test_leaks_query_against_brute_force(spark, small):

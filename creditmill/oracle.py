@@ -639,3 +639,21 @@ ORACLE["stream_daily_totals"] = ORACLE["batch_daily_totals"]
 ORACLE["current_run"] = ORACLE["monthly_production"]
 ORACLE["stream_window_totals"] = ORACLE["batch_daily_totals"]
 ORACLE["stream_latest_snapshot"] = ORACLE["latest_snapshot"]
+
+
+def _frequent_values(table: str, columns: list[str], n: int = 10) -> str:
+    parts = [
+        f"""SELECT * FROM (SELECT '{c}' AS coluna, CAST({c} AS VARCHAR) AS valor, count(*) AS n,
+              row_number() OVER (ORDER BY count(*) DESC, CAST({c} AS VARCHAR)) AS ordem
+            FROM {table} WHERE {c} IS NOT NULL GROUP BY CAST({c} AS VARCHAR)) WHERE ordem <= {n}"""
+        for c in columns
+    ]
+    return " UNION ALL ".join(parts)
+
+
+# The columns of the raw contract source, in their order.
+LINEITEM_COLUMNS = [
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+    "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
+]
+ORACLE["value_counts_all_columns"] = _frequent_values("lineitem", LINEITEM_COLUMNS)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -86,3 +86,51 @@ def match_rate(contracts: DataFrame, tables: DataFrame) -> DataFrame:
         F.count(s.FUND).alias("com_fundo"),
         F.count(F.lit(1)).alias("total"),
     ).withColumn("pct", ms.percent(F.col("com_fundo"), F.col("total")))
+
+
+
+# Candidates per column that the sketch returns, and the items it tracks.
+CANDIDATES = 1000
+TRACKED = 10000
+
+
+def frequent_values(df: DataFrame, n: int = 10, candidates: int = CANDIDATES, tracked: int = TRACKED) -> DataFrame:
+    """coluna, valor (as text), n, ordem: the `n` most frequent non-null values of every
+    column with exact counts, ties by text.
+
+    One aggregate gives every column's frequent-items sketch (`approx_top_k`, partial
+    in each task, merged at the end) and its non-null rows; nothing is shuffled by value.
+    A second pass counts the candidates exactly. Any other value occurs at most as often
+    as the rows the candidates leave over, so when the n-th count is above that, the
+    list is exact; a column where it is not (many distinct values) is counted by a
+    group on its values instead.
+    """
+    names = df.columns
+    spark = df.sparkSession
+    texts = df.select(*[F.col(f"`{c}`").cast("string").alias(f"c{i}") for i, c in enumerate(names)])
+    first = texts.agg(*[x for i in range(len(names)) for x in (
+        F.expr(f"approx_top_k(c{i}, {candidates}, {tracked})").alias(f"t{i}"), F.count(f"c{i}").alias(f"n{i}"))]).first()
+    found = [(i, item["item"]) for i in range(len(names)) for item in (first[f"t{i}"] or []) if item["item"] is not None]
+    exact: dict[tuple[int, str], int] = {}
+    if found:
+        wanted = F.broadcast(spark.createDataFrame(found, "col int, valor string"))
+        pairs = texts.select(F.explode(F.array(*[F.struct(F.lit(i).alias("col"), F.col(f"c{i}").alias("valor"))
+                                                 for i in range(len(names))])).alias("p")).select("p.*")
+        counted = pairs.join(wanted, ["col", "valor"], "left_semi").groupBy("col", "valor").agg(F.count(F.lit(1)).alias("n"))
+        exact = {(r["col"], r["valor"]): r["n"] for r in counted.collect()}
+    parts = []
+    for i, name in enumerate(names):
+        ranked = sorted(((c, v) for (col, v), c in exact.items() if col == i), key=lambda x: (-x[0], x[1]))
+        left_over = first[f"n{i}"] - sum(c for c, _ in ranked)
+        if (len(ranked) >= n and ranked[n - 1][0] > left_over) or left_over == 0:
+            rows = [(name, v, c, k + 1) for k, (c, v) in enumerate(ranked[:n])]
+            parts.append(spark.createDataFrame(rows, "coluna string, valor string, n long, ordem long"))
+        else:
+            values = texts.where(F.col(f"c{i}").isNotNull()).groupBy(F.col(f"c{i}").alias("valor")).agg(F.count(F.lit(1)).alias("n"))
+            ordem = F.row_number().over(Window.orderBy(F.desc("n"), "valor"))
+            parts.append(values.orderBy(F.desc("n"), "valor").limit(n).select(
+                F.lit(name).alias("coluna"), "valor", "n", ordem.cast("long").alias("ordem")))
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.unionByName(part)
+    return result

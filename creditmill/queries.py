@@ -229,6 +229,11 @@ def match_rate(spark: SparkSession, folder: str) -> DataFrame:
     return quality.match_rate(star.contracts(spark, folder), star.product_tables(spark, folder))
 
 
+def value_counts_all_columns(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten most frequent values of every column of the raw contract source."""
+    return quality.frequent_values(star.table(spark, folder, "lineitem"))
+
+
 def value_counts_top10(df: DataFrame) -> DataFrame:
     return quality.value_counts_top(df, s.STATUS)
 
@@ -443,6 +448,7 @@ QUERIES: dict[str, Query] = {
     "headline_texts": _metric(headline_texts),
     "match_rate": match_rate,
     "value_counts_top10": _metric(value_counts_top10),
+    "value_counts_all_columns": value_counts_all_columns,
     "date_coverage": _metric(quality.date_coverage),
     "spread_waterfall": _metric(spread_waterfall),
     "breakeven_ticket": _metric(breakeven_ticket, needs="products"),

@@ -651,6 +651,18 @@ def _frequent_values(table: str, columns: list[str], n: int = 10) -> str:
     return " UNION ALL ".join(parts)
 
 
+ORACLE["business_days_holidays"] = """
+    WITH days AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS dia FROM orders),
+    cal AS (
+        SELECT CAST(d AS DATE) AS d,
+               isodow(d) <= 5 AND strftime(d, '%m-%d') NOT IN
+                 ('01-01', '04-21', '05-01', '09-07', '10-12', '11-02', '11-15', '12-25') AS util
+        FROM generate_series((SELECT CAST(min(date_trunc('month', dia)) AS TIMESTAMP) FROM days),
+                             (SELECT CAST(max(last_day(dia)) AS TIMESTAMP) FROM days), INTERVAL 1 DAY) t(d))
+    SELECT dia, count(CASE WHEN util THEN 1 END) AS tdu, count(CASE WHEN util AND d <= dia THEN 1 END) AS pdu
+    FROM days JOIN cal ON date_trunc('month', d) = date_trunc('month', dia) GROUP BY dia"""
+
+
 # The columns of the raw contract source, in their order.
 LINEITEM_COLUMNS = [
     "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",

@@ -197,6 +197,19 @@ def business_days(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def business_days_holidays(spark: SparkSession, folder: str) -> DataFrame:
+    """Working days of each order day's month, in all and up to the day, with holidays:
+    running counts of a calendar over the span of the days, looked up twice per range."""
+    days = star.table(spark, folder, "orders").select(F.to_date("o_orderdate").alias("dia")).distinct()
+    span = days.agg(F.min("dia").alias("a"), F.max("dia").alias("b")).first()
+    if span["a"] is None:
+        return days.select("dia", F.lit(None).cast("bigint").alias("tdu"), F.lit(None).cast("bigint").alias("pdu"))
+    first = span["a"].replace(day=1) - dt.timedelta(days=1)
+    last = (span["b"].replace(day=28) + dt.timedelta(days=4)).replace(day=1) - dt.timedelta(days=1)
+    calendar = cal.working_calendar(spark, first, last)
+    return cal.with_working_days(days, "dia", calendar).select("dia", "tdu", "pdu")
+
+
 def month_label(spark: SparkSession, folder: str) -> DataFrame:
     months = star.table(spark, folder, "orders").groupBy(
         cal.month_key(F.col("o_orderdate")).alias("mes")
@@ -442,6 +455,7 @@ QUERIES: dict[str, Query] = {
     "status_translate": status_translate,
     "schema_align": schema_align,
     "business_days": business_days,
+    "business_days_holidays": business_days_holidays,
     "month_label": month_label,
     "strip_prefix": strip_prefix,
     "display_formats": _metric(display_formats),

@@ -114,3 +114,14 @@ def snapshot_changed(spark: SparkSession, path: str, scope: str, seen) -> bool:
 def compact_snapshots(spark: SparkSession, path: str, target: str) -> None:
     """The newest versions alone, in a new folder that readers are then pointed to."""
     read_snapshots(spark, path).write.mode("errorifexists").partitionBy("escopo").parquet(target)
+
+
+def write_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> runs.Digest:
+    """A run as a table of the warehouse, hashed into `buckets` by `key` and sorted by it
+    in each bucket. Later reads that group, rank or join by `key` (the dedupe of a
+    refresh, joins on the contract id) find the rows already placed and need no
+    exchange. Returns the digest of the rows, checked on the table read back; a table
+    that exists is an error."""
+    watched, seen = runs.observed(df)
+    watched.write.mode("errorifexists").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+    return runs.verified(table, runs.as_digest(seen.get), df.sparkSession.table(table), df.columns)

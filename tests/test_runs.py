@@ -126,3 +126,22 @@ def test_a_run_that_fails_its_check_is_not_published(spark, tmp_path, monkeypatc
         sinks.publish_run(df, root, "2")
     assert runs.current(spark, root)["run"] == "1"
     assert runs.manifest(spark, root).count() == 1
+
+
+def test_a_bucketed_run_is_read_without_an_exchange(spark):
+    from creditmill.operators.keys import first_per_key
+
+    df = enriched(spark)
+    name = "bucketed_contracts_test"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    try:
+        digest = sinks.write_bucketed(df, name, s.CCB, 4)
+        stored = spark.table(name)
+        assert runs.digest_of(stored.select(*df.columns)) == digest
+        order = [F.desc(s.GROSS)]
+        kept = first_per_key(stored, s.CCB, order)
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Window" in plan
+        assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, first_per_key(df, s.CCB, order).select(*stored.columns).collect()))
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")

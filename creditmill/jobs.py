@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from creditmill import schema as s
-from creditmill.operators.align import align_to, resolve_contracts
+from creditmill.operators.align import align_to, clean_headers, contract_sources, resolve_contracts
 from creditmill.operators.enrich import enrich_contracts
 from creditmill.operators.materialize import tables_dropped
 from creditmill.plans.panel import panel_metrics, write_panel
@@ -21,7 +21,14 @@ def refresh_contracts(
     raw: DataFrame, root: str, run: str, reference: T.StructType | None = None
 ) -> int:
     """Store the canonical contracts of a raw table as a run. Columns come in the order
-    of `reference`, usually the schema of the run before. Returns the rows stored."""
+    of `reference`, usually the schema of the run before. Returns the rows stored.
+
+    A source none of whose columns is a contract column or a known alias of one is an
+    error: the run would hold nulls only. `quality.parse_coverage(raw)` then tells, per
+    recognised date and amount column, what could not be read."""
+    found = contract_sources(clean_headers(raw).columns)
+    if not found:
+        raise ValueError(f"no column of the source is known; it has {raw.columns[:20]}")
     contracts = resolve_contracts(raw)
     return write_run(contracts if reference is None else align_to(contracts, reference), root, run)
 

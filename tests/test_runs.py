@@ -145,3 +145,11 @@ def test_a_bucketed_run_is_read_without_an_exchange(spark):
         assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, first_per_key(df, s.CCB, order).select(*stored.columns).collect()))
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_a_source_without_known_columns_is_refused(spark, tmp_path):
+    from creditmill.jobs import refresh_contracts
+
+    raw = spark.createDataFrame([(1, "x")], "coluna_a int, coluna_b string")
+    with pytest.raises(ValueError, match="no column"):
+        refresh_contracts(raw, str(tmp_path), "1")

@@ -134,25 +134,57 @@ def _twelve_hours(text: Column) -> Column:
     return F.when(text.rlike(pattern), written).otherwise(text)
 
 
-def iso_text(c: Column) -> Column:
-    """ISO spelling of a date text. The usual ISO forms pass as they are; day-first,
-    slashed and compact dates, English month names, years of two digits (1970 to 2069),
-    twelve-hour times and zoned times without seconds are rewritten."""
-    text = stripped(c)
-    usual = (
+def _usual(text: Column) -> Column:
+    """The usual ISO forms, which pass as they are."""
+    return (
         (F.substring(text, 5, 1) == "-")
         & ((F.length(text) <= 16) | (F.substring(text, 17, 1) == ":"))
         & (F.upper(F.substring(text, -1, 1)) != "M")
     )
-    iso = _twelve_hours(_named_month(text))
+
+
+def _numeric_forms(iso: Column) -> Column:
+    """Day-first, slashed and compact dates, years of two digits, zoned times without seconds."""
     iso = F.regexp_replace(iso, r"^(\d{1,2})[/.](\d{1,2})[/.]([0-6]\d)(?!\d)", "$1-$2-20$3")
     iso = F.regexp_replace(iso, r"^(\d{1,2})[/.](\d{1,2})[/.]([7-9]\d)(?!\d)", "$1-$2-19$3")
     iso = F.regexp_replace(iso, r"^(\d{4})(\d{2})(\d{2})(\d{2})(\d{2})(\d{2})$", "$1-$2-$3 $4:$5:$6")
     iso = F.regexp_replace(iso, r"^(\d{1,2})[/.-](\d{1,2})[/.-](\d{4})", "$3-$2-$1")
     iso = F.regexp_replace(iso, r"^(\d{4})/(\d{1,2})/(\d{1,2})", "$1-$2-$3")
     iso = F.regexp_replace(iso, r"^(\d{4})(\d{2})(\d{2})\b", "$1-$2-$3")
-    iso = F.regexp_replace(iso, r"([T ]\d{1,2}:\d{2})(Z|[+-]\d{2}:?\d{2})?$", "$1:00$2")
-    return F.when(usual, text).otherwise(iso)
+    return F.regexp_replace(iso, r"([T ]\d{1,2}:\d{2})(Z|[+-]\d{2}:?\d{2})?$", "$1:00$2")
+
+
+def iso_text(c: Column) -> Column:
+    """ISO spelling of a date text. The usual ISO forms pass as they are; day-first,
+    slashed and compact dates, English month names, years of two digits (1970 to 2069),
+    twelve-hour times and zoned times without seconds are rewritten.
+
+    One expression; `iso_columns` gives the same texts in projections of their own,
+    which is what a plan over many rows should use."""
+    text = stripped(c)
+    return F.when(_usual(text), text).otherwise(_numeric_forms(_twelve_hours(_named_month(text))))
+
+
+def iso_columns(df: DataFrame, names: list[str]) -> DataFrame:
+    """`iso_text` of the named columns, stage by stage: each stage is a projection of its
+    own, so a stage refers to the text before it as a column and no expression is
+    repeated inside another; the stages for month names and twelve-hour times run only
+    on texts that have a letter, which no other form has."""
+    if not names:
+        return df
+    flag = {name: f"__usual_{i}" for i, name in enumerate(names)}
+    df = df.withColumns({name: stripped(F.col(f"`{name}`")) for name in names})
+    df = df.withColumns({flag[name]: _usual(F.col(f"`{name}`")) for name in names})
+
+    def where_letters(name: str, stage) -> Column:
+        c = F.col(f"`{name}`")
+        return F.when(~F.col(flag[name]) & c.rlike("[A-Za-z]"), stage(c)).otherwise(c)
+
+    df = df.withColumns({name: where_letters(name, _named_month) for name in names})
+    df = df.withColumns({name: where_letters(name, _twelve_hours) for name in names})
+    df = df.withColumns({name: F.when(F.col(flag[name]), F.col(f"`{name}`")).otherwise(_numeric_forms(F.col(f"`{name}`")))
+                         for name in names})
+    return df.drop(*flag.values())
 
 
 def iso_timestamp(c: Column) -> Column:
@@ -180,20 +212,20 @@ def parse_timestamps(df: DataFrame, *columns: str) -> DataFrame:
     ``yyyyMMdd`` with or without ``HHmmss``, day-first with slashes, dots or dashes and
     years of four or (after slashes or dots) two digits, or with an English month name;
     times may be of twelve hours with AM or PM. Anything else is null.
-    Two projections, so that each text is rewritten once and not per use.
+    Text goes through the projections of `iso_columns`, so that each is rewritten once
+    and not per use.
     """
-    rewritten, parsed = {}, {}
+    texts, parsed = [], {}
     for name in columns:
         c, found = df[f"`{name}`"], df.schema[name].dataType
         if isinstance(found, T.TimestampType):
             parsed[name] = utc_wall_clock(c)
         elif isinstance(found, T.StringType):
-            rewritten[name] = iso_text(c)
+            texts.append(name)
             parsed[name] = iso_timestamp(F.col(f"`{name}`"))
         else:
             parsed[name] = c.cast("timestamp_ntz")
-    if rewritten:
-        df = df.withColumns(rewritten)
+    df = iso_columns(df, texts)
     return df.withColumns(parsed) if parsed else df
 
 

@@ -36,7 +36,7 @@ def panel_metrics(
     months, sales, cohorts, recent, partners, periods = (
         cube(stored, name) for name in ("months", "sales", "cohorts", "recent", "partners", "periods")
     )
-    mix = computed_once(tables.table_cells(contracts, as_of))
+    mix = computed_once(tables.table_cells(contracts, as_of, stored=True))
     of_months = (
         production.monthly_production, production.product_month, production.fund_month,
         production.fund_totals, production.grand_totals, production.distinct_products,

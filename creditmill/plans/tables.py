@@ -14,16 +14,19 @@ from creditmill.functions import measures as ms
 from creditmill.operators.enrich import by_status
 
 
-def active_in_month(df: DataFrame, as_of: dt.date) -> DataFrame:
+def active_in_month(df: DataFrame, as_of: dt.date, stored: bool = False) -> DataFrame:
     """Contracts typed or disbursed in the month of `as_of`.
 
-    Two halves instead of an OR: the disbursed one reads a single month folder of a stored
-    run, the other one filters by a range of typing dates, which skips row groups.
+    Over a `stored` run (partitioned by month) two halves: the disbursed one reads a
+    single month folder, the other filters by a range of typing dates, which skips row
+    groups. Over any other plan one filter with OR, so what lies beneath is computed
+    once. The halves are disjoint, so both ways give the same rows.
     """
-    paid = cal.within_month(F.col(s.DISBURSED_ON), as_of)
-    first = df.where(paid & (F.col(s.MONTH) == cal.month_of(as_of)))
-    typed = cal.within_month(F.col(s.TYPED_ON), as_of)
-    return first.union(df.where(typed & ~F.coalesce(paid, F.lit(False))))
+    paid = cal.within_month(F.col(s.DISBURSED_ON), as_of) & (F.col(s.MONTH) == cal.month_of(as_of))
+    typed = cal.within_month(F.col(s.TYPED_ON), as_of) & ~F.coalesce(cal.within_month(F.col(s.DISBURSED_ON), as_of), F.lit(False))
+    if stored:
+        return df.where(paid).union(df.where(typed))
+    return df.where(F.coalesce(paid, F.lit(False)) | F.coalesce(typed, F.lit(False)))
 
 
 def effective_fund() -> Column:
@@ -33,11 +36,12 @@ def effective_fund() -> Column:
     )
 
 
-def table_cells(df: DataFrame, as_of: dt.date) -> DataFrame:
+def table_cells(df: DataFrame, as_of: dt.date, stored: bool = False) -> DataFrame:
     """Activity and disbursed amounts of the month per product, table and fund: what both
-    mixes are made of. A missing product or fund is a group too."""
+    mixes are made of. A missing product or fund is a group too. `stored`: `df` is a run
+    read back, partitioned by month."""
     done = by_status()
-    named = active_in_month(df, as_of).where(cl.known_name(F.col(s.TABLE_NAME)).isNotNull())
+    named = active_in_month(df, as_of, stored).where(cl.known_name(F.col(s.TABLE_NAME)).isNotNull())
     return named.groupBy(s.PRODUCT, s.TABLE_NAME, effective_fund().alias("_fund")).agg(
         ms.counted(s.N_IDS).alias("C"),
         ms.count_where(done, s.N_IDS).alias("Cdes"),

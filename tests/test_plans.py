@@ -104,10 +104,21 @@ def test_shared_cells_start_no_job_and_are_computed_once(spark, name):
 def test_table_mix_reads_one_month_folder_for_the_disbursed(spark, tmp_path):
     df = star.enriched(spark, SF, products=True, table_names=True)
     sinks.write_run(df, str(tmp_path), "1", (s.MONTH,))
-    mix = tables.table_cells(sinks.read_run(spark, str(tmp_path), "1"), star.AS_OF)
+    mix = tables.table_cells(sinks.read_run(spark, str(tmp_path), "1"), star.AS_OF, stored=True)
     text = mix._jdf.queryExecution().executedPlan().toString()
     assert text.count("FileScan") == 2
     assert "PartitionFilters: [isnotnull(Mes" in text and f"= {star.AS_OF:%Y-%m})" in text
+    derived = tables.table_cells(df, star.AS_OF)
+    assert sorted(map(repr, derived.collect())) == sorted(map(repr, mix.collect()))
+
+
+def test_table_mix_over_a_derived_plan_reads_the_contracts_once(spark):
+    df = star.enriched(spark, SF, products=True, table_names=True)
+    one = tables.table_cells(df, star.AS_OF)
+    text = one._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in text
+    both = tables.table_cells(df, star.AS_OF, stored=True)
+    assert sorted(map(repr, one.collect())) == sorted(map(repr, both.collect()))
 
 
 @pytest.mark.parametrize(

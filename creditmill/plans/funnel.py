@@ -217,7 +217,10 @@ def _in_periods(df: DataFrame, as_of: dt.date, *keys: str) -> DataFrame:
 
 
 def period_slices(df: DataFrame, as_of: dt.date) -> DataFrame:
-    """Totals per period in one aggregate; empty periods show zeros."""
+    """Totals per period; empty periods show zeros. The contracts are folded by typing
+    day, status and category first, and the periods' conditions applied to the folded
+    rows, a few per day."""
+    df = folded(df, day_of(s.TYPED_ON), s.STATUS, s.CATEGORY)
     done, cancelled = by_status(), F.col(s.CATEGORY) == cl.CANCELLED
     periods = period_conditions(as_of)
     measures = []

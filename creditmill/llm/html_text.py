@@ -85,6 +85,17 @@ class Tree(HTMLParser):
         self.root = self.node = Node("html", None)
         self.order: list[Node] = [self.root]
 
+    def parse_html_declaration(self, i: int) -> int:
+        """`<![` that opens no marked section the parser knows is read as browsers read it:
+        a bogus comment up to the next `>`, and not an error that would end the task."""
+        if self.rawdata.startswith("<![", i):
+            try:
+                return self.parse_marked_section(i)
+            except AssertionError:
+                end = self.rawdata.find(">", i + 3)
+                return -1 if end < 0 else end + 1
+        return super().parse_html_declaration(i)
+
     def boilerplate(self, tag: str, attributes: list) -> bool:
         if tag in DROPPED or tag == "header" and not self.inside("article"):
             return True

@@ -199,3 +199,18 @@ def test_pipeline_stages_on_odd_and_empty_rows(spark, small, tmp_path):
         for _, stage in corpus_pipeline.STAGES:
             docs = corpus_pipeline.computed_once(stage(spark, docs, small))
         assert docs.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
+
+
+def test_stray_markup_raises_nothing_and_keeps_later_text(spark, small):
+    import random
+
+    pages = [r.html or "" for r in spark.read.parquet(f"{small}/pages.parquet").select("html").collect()]
+    stray = ["<![", "<![x[", "<![foo[bar]]>", "]]>", "<![>", "<p", "\x00", "<![ y"]
+    rng = random.Random(7)
+    mutated = 0
+    while mutated < 1000:
+        page = pages[mutated % len(pages)]
+        at = rng.randrange(len(page) + 1)
+        main_text(page[:at] + rng.choice(stray) + page[at:])
+        mutated += 1
+    assert main_text("<p>a<![foo[bar]]>b</p><p>after the stray markup</p>") == "ab\nafter the stray markup"

@@ -4,8 +4,9 @@ The mix is a number of equal-token blocks, dealt to shards in equal parts. Block
 sources one after the other, each to the source with the highest quotient
 target / (2 * blocks so far + 1); cut at the shards' borders this gives whole quotas per
 shard. The documents of a source lie one behind the other in seeded order, so its stream
-of words is cut to blocks, and the shards take the next blocks of it, from a seeded
-start, passing its end at most once.
+of words is cut to blocks, and each shard takes as many of the next blocks as its quota
+of the source says, from a seeded start, in a circle. What a document gives to one shard in
+one reading is a part of it; the parts are the mix.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from creditmill.llm.tables import WORD, pick, text_of, word_count
-from creditmill.operators.dims import broadcast_if_small
+from creditmill.operators.dims import BROADCAST_LIMIT_BYTES, broadcast_if_small, measured_bytes
 from creditmill.operators.materialize import computed_once
 
 SHARDS = 256
@@ -89,6 +90,33 @@ def shard_quotas(targets: DataFrame, shards: int = SHARDS, blocks: int = BLOCKS_
     )
 
 
+def shard_segments(plan: DataFrame, quotas: DataFrame, shards: int = SHARDS) -> DataFrame:
+    """source, reading, shard, seg_from, seg_to: the words of a source's stream that each
+    shard takes in each reading of it, by the quotas.
+
+    The first shard begins at the seeded start, each next one where that before it ends:
+    after as many whole blocks as its quota. The last one with a quota closes at the words
+    `take` of the source; a source without a block gives its words to the last shard.
+    """
+    ahead = Window.partitionBy("rank").orderBy("shard")
+    upto = quotas.select(F.col("rank").alias("_rank"), "shard", F.sum("quota").over(ahead).alias("upto"))
+    ends = plan.where("take > 0").join(upto, F.col("rank") == F.col("_rank"), "left").select(
+        "source", "rank", "source_size", "start", F.coalesce("shard", F.lit(shards - 1)).alias("shard"),
+        F.when(F.coalesce("upto", F.lit(0)) == F.col("blocks"), F.col("take"))
+        .otherwise(F.least(F.col("take"), F.round(F.col("upto") * F.col("block")).cast("bigint"))).alias("_end"),
+    )
+    spans = ends.select(
+        "source", "source_size", "shard",
+        (F.col("start") + F.lag("_end", 1, 0).over(ahead)).alias("_lo"), (F.col("start") + F.col("_end")).alias("_hi"),
+    ).where("_hi > _lo")
+    readings = spans.withColumn("reading", F.explode(F.expr("sequence(_lo div source_size, (_hi - 1) div source_size)")))
+    zero = F.col("reading") * F.col("source_size")
+    return readings.select(
+        "source", F.col("reading").cast("int").alias("reading"), "shard",
+        (F.greatest("_lo", zero) - zero).alias("seg_from"), (F.least("_hi", zero + F.col("source_size")) - zero).alias("seg_to"),
+    )
+
+
 def overlap(start: Column, end: Column, low: Column, high: Column) -> Column:
     return F.greatest(F.lit(0), F.least(end, high) - F.greatest(start, low))
 
@@ -113,14 +141,16 @@ def mix_plan(
     seed: int = SEED,
 ) -> DataFrame:
     """What the mix takes of every row: doc_id, source, size, source_size, target, taken,
-    passes, cut_from, cut_to, first_shard.
+    passes, cut_from, cut_to, parts.
 
-    `passes` counts the whole readings of the document; of one more reading the words
-    cut_from to cut_to are taken (0-based, end excluded; equal if none). Only the first
-    and the last document of a source's range are cut. taken = passes * size + cut words,
-    at most `most` * size. The whole blocks of a source come from its quotas; a closing
-    part of a block, shorter than one, brings its words to its target, so that small
-    sources do not vanish.
+    `parts` are the mix: an array of (reading, shard, words_from, words_to), the words of
+    the document (0-based, end excluded) that a shard takes in a reading of the source.
+    Every shard takes its quota of blocks from every source (see `shard_segments`); a
+    closing part of a block, shorter than one, brings the source's words to its target in
+    the last of its shards, so that small sources do not vanish. `taken` counts the words of
+    all parts, at most `most` * size. Regardless of shards, `passes` counts the whole
+    readings of the document, and of one more the words cut_from to cut_to are taken (equal
+    if none); taken = passes * size + cut words.
 
     Null texts have no words and are taken 0 times, as are empty ones; the missing source
     is a source. Rows that repeat a doc_id are documents of their own. Rows that tie in
@@ -132,12 +162,12 @@ def mix_plan(
     )
     rows = sizes.count()
     targets = computed_once(source_targets(sizes, weights, share, most))
-    quotas = shard_quotas(targets, shards, blocks)
+    quotas = computed_once(shard_quotas(targets, shards, blocks))
     block = F.greatest(F.lit(1.0), F.sum("target").over(Window.partitionBy()) / (shards * blocks))
     plan = targets.select("*", block.alias("block"))
-    held = quotas.groupBy("rank").agg(F.sum("quota").alias("blocks"), F.min("shard").alias("first_shard"))
+    held = quotas.groupBy("rank").agg(F.sum("quota").alias("blocks"))
     plan = plan.join(held, "rank", "left").select(
-        "source", "rank", "source_size", "target", "first_shard",
+        "source", "rank", "source_size", "target", "block", F.coalesce("blocks", F.lit(0)).alias("blocks"),
         # Whole blocks, corrected by less than a block to the target in whole words.
         F.least(
             F.col("source_size") * most,
@@ -155,10 +185,17 @@ def mix_plan(
     placed = sizes.withColumn("run", F.pmod(F.shiftright("order", 32), F.lit(runs)).cast("int"))
     run_sums = placed.groupBy("source", "run").agg(F.sum("size").alias("run_size"))
     ahead = Window.partitionBy("source").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
-    run_sums = run_sums.select("source", "run", F.coalesce(F.sum("run_size").over(ahead), F.lit(0)).alias("run_start"))
-    starts = run_sums.alias("r").join(F.broadcast(plan.alias("p")), same(F.col("r.source"), F.col("p.source"))).select(
-        F.col("r.source").alias("_source"), F.col("run").alias("_run"), "run_start", "source_size", "target", "take", "start", "first_shard"
+    run_sums = run_sums.select("source", "run", "run_size", F.coalesce(F.sum("run_size").over(ahead), F.lit(0)).alias("run_start"))
+    starts = run_sums.alias("r").join(broadcast_if_small(plan).alias("p"), same(F.col("r.source"), F.col("p.source"))).select(
+        F.col("r.source").alias("_source"), F.col("run").alias("_run"), "run_start", "run_size", "source_size", "target", "take", "start"
     )
+    # The segments that meet a run are few, so a document is compared with few of them.
+    segments = shard_segments(plan, quotas, shards)
+    met = same(F.col("_source"), F.col("source")) & (F.col("seg_from") < F.col("run_start") + F.col("run_size")) & (F.col("seg_to") > F.col("run_start"))
+    met_segments = F.collect_list(F.when(F.col("shard").isNotNull(), F.struct("reading", "shard", "seg_from", "seg_to")))
+    starts = starts.join(broadcast_if_small(segments), met, "left").groupBy(
+        "_source", "_run", "run_start", "source_size", "target", "take", "start"
+    ).agg(F.sort_array(met_segments).alias("segments"))
     inside = Window.partitionBy("source", "run").orderBy("order", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     within = placed.select("*", F.coalesce(F.sum("size").over(inside), F.lit(0)).alias("_at"))
     joined = within.join(starts, same(F.col("source"), F.col("_source")) & (F.col("run") == F.col("_run")))
@@ -177,24 +214,34 @@ def mix_plan(
     cut = F.when(whole, F.lit(0)).otherwise(F.col("_one") + F.col("_two"))
     # A document that both ends of the range cut is read from its beginning and to its end.
     cut_from = F.when(cut == 0, F.lit(0)).when(F.col("_two") > 0, F.lit(0)).otherwise(F.greatest(F.col("start") - F.col("_low"), F.lit(0)))
+    own = F.filter("segments", lambda s: (s["seg_from"] < F.col("_high")) & (s["seg_to"] > F.col("_low")) & (F.col("size") > 0))
+    parts = F.transform(own, lambda s: F.struct(
+        s["reading"].alias("reading"), s["shard"].alias("shard"),
+        (F.greatest(s["seg_from"], F.col("_low")) - F.col("_low")).alias("words_from"),
+        (F.least(s["seg_to"], F.col("_high")) - F.col("_low")).alias("words_to"),
+    ))
+    at = at.withColumn("_parts", parts)
     return at.select(
         "doc_id", "source", "size", "source_size", "target",
-        (F.col("_passes") * F.col("size") + F.col("_one") + F.col("_two")).cast("bigint").alias("taken"),
+        F.aggregate("_parts", F.lit(0).cast("bigint"), lambda n, p: n + p["words_to"] - p["words_from"]).alias("taken"),
         (F.col("_passes") + F.when(whole & (F.col("size") > 0), 1).otherwise(0)).cast("bigint").alias("passes"),
-        cut_from.cast("bigint").alias("cut_from"), (cut_from + cut).cast("bigint").alias("cut_to"), "first_shard",
+        cut_from.cast("bigint").alias("cut_from"), (cut_from + cut).cast("bigint").alias("cut_to"),
+        F.col("_parts").alias("parts"),
     )
 
 
-def mixed_documents(docs: DataFrame, **parameters) -> DataFrame:
-    """The mix itself, with the columns of `docs`: each row once per whole reading, and
-    with the words cut_to - cut_from of a last one, joined by one space. A column n_chars
-    follows a cut text. Parameters as for `mix_plan`."""
+def mixed_documents(docs: DataFrame, shard: str | None = None, **parameters) -> DataFrame:
+    """The mix itself, with the columns of `docs`: a row for each part of each document.
+
+    A part that is the whole document has its text unchanged, any other its words, joined
+    by one space; a column n_chars follows a cut text. `shard` names one more column, at
+    the end, with the shard that a row belongs to. Parameters as for `mix_plan`."""
     plan = computed_once(mix_plan(docs, **parameters)).where("taken > 0")
     names = docs.columns
     places = {n: ([i for i, c in enumerate(names) if c == n] or [i for i, c in enumerate(names) if c.lower() == n])[0] for n in ("doc_id", "text", "source")}
     plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
     key, text, source = (f"c{places[n]}" for n in ("doc_id", "text", "source"))
-    chosen = plan.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "passes", "cut_from", "cut_to")
+    chosen = plan.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "parts")
     alike = same(F.col(key), F.col("_id"))
     if not plan.groupBy("doc_id").count().where("count > 1 or doc_id is null").isEmpty():
         # Rows that share a doc_id are told apart by source and size, and then by number.
@@ -202,12 +249,16 @@ def mixed_documents(docs: DataFrame, **parameters) -> DataFrame:
         plain = plain.withColumn("_words", word_count(body))
         nth = Window.partitionBy(key, source, "_words").orderBy(F.xxhash64(body))
         plain = plain.withColumn("_nth", F.row_number().over(nth))
-        chosen = chosen.withColumn("_number", F.row_number().over(Window.partitionBy("_id", "_source", "_size").orderBy("passes", "cut_from")))
+        chosen = chosen.withColumn("_number", F.row_number().over(Window.partitionBy("_id", "_source", "_size").orderBy("parts")))
         alike = alike & same(F.col(source).cast("string"), F.col("_source")) & (F.col("_words") == F.col("_size")) & (F.col("_nth") == F.col("_number"))
-    whole = F.when(F.col("passes") > 0, F.array_repeat(F.lit(False), F.col("passes").cast("int"))).otherwise(F.array().cast("array<boolean>"))
-    part = F.when(F.col("cut_to") > F.col("cut_from"), F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>"))
-    rows = plain.join(broadcast_if_small(chosen), alike).withColumn("_cut", F.explode(F.concat(whole, part)))
-    words = F.slice(F.regexp_extract_all(F.col(text), F.lit(WORD), F.lit(0)), (F.col("cut_from") + 1).cast("int"), (F.col("cut_to") - F.col("cut_from")).cast("int"))
+    # The limit is meant for all parts, not for one field that holds them.
+    small = measured_bytes(chosen.select("*", F.explode("parts").alias("_part")).select("_id", "_source", "_size", "_part.*")) <= BROADCAST_LIMIT_BYTES
+    rows = plain.join(F.broadcast(chosen) if small else chosen, alike)
+    is_cut = lambda p: (p["words_to"] - p["words_from"]) < F.col("_size")
+    # A text is cut to words once, however many parts it has.
+    rows = rows.withColumn("_list", F.when(F.exists("parts", is_cut), F.regexp_extract_all(F.col(text), F.lit(WORD), F.lit(0))))
+    rows = rows.withColumn("_part", F.explode("parts")).withColumn("_cut", is_cut(F.col("_part")))
+    words = F.slice("_list", (F.col("_part.words_from") + 1).cast("int"), (F.col("_part.words_to") - F.col("_part.words_from")).cast("int"))
     new_text = F.when(F.col("_cut"), F.array_join(words, " ")).otherwise(F.col(text))
     columns = []
     for i, name in enumerate(names):
@@ -217,4 +268,7 @@ def mixed_documents(docs: DataFrame, **parameters) -> DataFrame:
             columns.append(F.when(F.col("_cut"), F.length(new_text)).otherwise(F.col(f"c{i}")).cast(plain.schema[f"c{i}"].dataType).alias(f"c{i}"))
         else:
             columns.append(F.col(f"c{i}"))
+    if shard is not None:
+        columns.append(F.col("_part.shard"))
+        names = [*names, shard]
     return rows.select(*columns).toDF(*names)

@@ -52,7 +52,8 @@ def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
-    return mix_plan(table(spark, folder, "documents"))
+    plan = mix_plan(table(spark, folder, "documents"))
+    return plan.withColumn("parts", F.to_json("parts"))
 
 
 def op3_html_text(spark: SparkSession, folder: str) -> DataFrame:

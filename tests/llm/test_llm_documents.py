@@ -132,6 +132,44 @@ def test_mix_of_odd_rows(odd):
     assert sum(len(brute.words(r.text)) for r in mixed.select("text").collect()) == sum(r.taken for r in rows)
 
 
+def test_parts_follow_the_quotas_of_the_shards(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    shards, blocks = 16, 32
+    rows = mix_plan(docs, shards=shards, blocks=blocks).collect()
+    assert all(r.taken == sum(p.words_to - p.words_from for p in r.parts) for r in rows)
+    assert all(0 <= p.words_from < p.words_to <= r["size"] for r in rows for p in r.parts)
+    # Dealt one by one: the block goes to the highest quotient.
+    order = sorted({(r.source is None, r.source or "") for r in rows})
+    goals = {s: next(r.target for r in rows if (r.source is None, r.source or "") == s) for s in order}
+    block = sum(goals.values()) / (shards * blocks)
+    quota, held = {}, dict.fromkeys(order, 0)
+    for seat in range(shards * blocks):
+        best = max(order, key=lambda s: goals[s] / (2 * held[s] + 1))
+        held[best] += 1
+        quota[best, seat // blocks] = quota.get((best, seat // blocks), 0) + 1
+    words = {}
+    for r in rows:
+        for p in r.parts:
+            at = (r.source is None, r.source or ""), p.shard
+            words[at] = words.get(at, 0) + p.words_to - p.words_from
+    last = {s: max((i for o, i in quota if o == s), default=shards - 1) for s in order}
+    for s, i in quota | words:
+        if i == last[s]:  # closed at the target, by less than a block
+            assert abs(words.get((s, i), 0) - quota.get((s, i), 0) * block) <= block + 2
+        else:
+            assert abs(words.get((s, i), 0) - quota.get((s, i), 0) * block) <= 1
+    # The rows of the mix are the parts, in their shards.
+    mixed = mixed_documents(docs, shard="shard", shards=shards, blocks=blocks)
+    found = {}
+    for r in mixed.select("source", "shard", "text").collect():
+        at = (r.source is None, r.source or ""), r.shard
+        found[at] = found.get(at, 0) + len(brute.words(r.text))
+    assert found == words
+    texts = {r.doc_id: brute.words(r.text) for r in docs.select("doc_id", "text").collect()}
+    wanted = sorted((r.doc_id, p.shard, tuple(texts[r.doc_id][p.words_from : p.words_to])) for r in rows for p in r.parts)
+    assert sorted((r.doc_id, r.shard, tuple(brute.words(r.text))) for r in mixed.select("doc_id", "shard", "text").collect()) == wanted
+
+
 # --- substring dedup
 
 

@@ -37,7 +37,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources in their target shares: documents repeated, left out, or cut at a border."""
+    """Sources in their target shares: documents repeated, left out, or cut where a shard has
+    its quota of the source. Each part is a row, and a document of the token output."""
     return mixed_documents(docs)
 
 

@@ -36,6 +36,8 @@ TAIL = 2
 # Text of items that goes along with a task; more items are searched for in several passes.
 BLOCK_BYTES = 8 << 20
 BITMAP, BAG = 1 << 19, 1 << 22
+# Words that a walk handles at once, so that its arrays stay near the processor.
+BLOCK_WORDS = 1 << 16
 # Cells of all windows that are compared at once.
 CELLS = 1 << 17
 SEED, SPREAD = 11, np.uint64(0xD6E8FEB86659FD93)
@@ -49,21 +51,44 @@ class Walk:
         self.steps = steps
         self.salt = np.uint64(random.integers(1 << 62))
         self.samples = [np.sort(random.choice(steps, min(SAMPLED, steps), replace=False)) for _ in range(TABLES)]
-        self.factors = random.integers(1 << 62, size=steps).astype(np.uint64) * np.uint64(2) + np.uint64(1)
-
-    def keys(self, hashes: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
-        """A key per table of the windows at `starts`; behind the end stands the word 0."""
-        bits = mixed(hashes ^ self.salt)
-        at = starts.copy()
-        keys = [np.zeros(len(starts), np.uint64) for _ in self.samples]
-        for t in range(self.steps):
-            if own := [key for key, sample in zip(keys, self.samples) if t in sample]:
-                written = hashes.take(at) * self.factors[t]
-                for key in own:
-                    key += written
-            step = ((bits >> np.uint64(t)) & np.uint64(1)).astype(np.int8)
-            at += step.take(at)
-        return [mixed(k) for k in keys]
+        self.last = max(int(sample[-1]) for sample in self.samples)
+        self.factors = (random.integers(1 << 62, size=steps).astype(np.uint64) * np.uint64(2) + np.uint64(1)).astype(np.uint32)
+
+    def keys(self, hashes: np.ndarray, n: int) -> Iterator[list[np.ndarray]]:
+        """A key per table of the windows at each of the first `n` words, block by block;
+        behind the end stands the word 0, `steps` times at least.
+
+        The steps are taken from the last to the first: what a walk writes from step t on
+        depends on t and the word under it alone, so all walks that meet there share it.
+        """
+        for first in range(0, n, BLOCK_WORDS):
+            size = min(BLOCK_WORDS, n - first)
+            part = hashes[first : first + size + self.last]
+            words = (part >> np.uint64(32)).astype(np.uint32)
+            # The bit of step t is moved to the sign, which then fills the whole mask.
+            bits = mixed(part ^ self.salt).astype(np.uint32).view(np.int32)
+            keys: list[np.ndarray | None] = [None] * len(self.samples)
+            mask, other = np.empty(len(part), np.int32), np.empty(len(part), np.uint32)
+            for t in range(self.last, -1, -1):
+                length = size + t
+                if t < self.last:
+                    np.left_shift(bits[:length], 31 - t, out=mask[:length])
+                    np.right_shift(mask[:length], 31, out=mask[:length])
+                    moves = mask[:length].view(np.uint32)
+                    for key in keys:
+                        if key is not None:  # key = key moved by one word where the bit is set
+                            np.bitwise_xor(key[1 : length + 1], key[:length], out=other[:length])
+                            np.bitwise_and(other[:length], moves, out=other[:length])
+                            np.bitwise_xor(key[:length], other[:length], out=key[:length])
+                written = None
+                for k, sample in enumerate(self.samples):
+                    if t in sample:
+                        written = words[:length] * self.factors[t] if written is None else written
+                        if keys[k] is None:
+                            keys[k] = written.copy()
+                        else:
+                            keys[k][:length] += written
+            yield [key[:size] for key in keys]
 
 
 class Items:
@@ -85,10 +110,11 @@ class Items:
         starts = (np.cumsum(self.sizes + steps + 1) - (self.sizes + steps + 1))[self.item] + self.offset
         self.tables = []  # sorted keys, their walks of items, and a bitmap of them, per table
         for walk in self.walks:
-            for keys in walk.keys(flat, starts):
+            for blocks in zip(*walk.keys(flat, len(flat) - steps)):
+                keys = np.concatenate(blocks)[starts]
                 order = np.argsort(keys, kind="stable")
                 marked = np.zeros(BITMAP, bool)
-                marked[keys & np.uint64(BITMAP - 1)] = True
+                marked[keys & np.uint32(BITMAP - 1)] = True
                 self.tables.append((keys[order], order.astype(np.int32), marked))
         own = np.repeat(np.arange(len(sequences)), self.sizes)
         self.bag = np.zeros(BAG, bool)
@@ -103,22 +129,23 @@ class Items:
         """Items, and the first of `limit` + 1 words at which a walk that shares a key would
         have its item begin, each pair once. `firsts` has the first word of each word's text;
         what would begin before it begins there."""
-        starts = np.arange(len(firsts))
         found = []
-        table = iter(self.tables)
-        for walk in self.walks:
-            for keys in walk.keys(hashes, starts):
-                ordered, order, marked = next(table)
-                near = np.flatnonzero(marked.take((keys & np.uint64(BITMAP - 1)).view(np.int64)))
-                low = np.searchsorted(ordered, keys[near])
-                count = np.searchsorted(ordered, keys[near], "right") - low
-                near, low, count = near[count > 0], low[count > 0], count[count > 0]
-                met = order[np.repeat(low - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))]
-                near, item = np.repeat(near, count), self.item[met]
-                first, wide = firsts[near], self.limits[item] + 1
-                begin = first + np.maximum(0, near - self.offset[met] - first) // wide * wide
-                found.append(np.unique(begin * len(self.sizes) + item))
-        pairs = np.unique(np.concatenate(found))
+        for w, walk in enumerate(self.walks):
+            for block, tables in enumerate(walk.keys(hashes, len(firsts))):
+                for (ordered, order, marked), keys in zip(self.tables[w * TABLES :], tables):
+                    near = np.flatnonzero(marked.take((keys & np.uint32(BITMAP - 1)).view(np.int32)))
+                    low = np.searchsorted(ordered, keys[near])
+                    count = np.searchsorted(ordered, keys[near], "right") - low
+                    near, low, count = near[count > 0], low[count > 0], count[count > 0]
+                    if not len(near):
+                        continue
+                    near += block * BLOCK_WORDS
+                    met = order[np.repeat(low - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))]
+                    near, item = np.repeat(near, count), self.item[met]
+                    first, wide = firsts[near], self.limits[item] + 1
+                    begin = first + np.maximum(0, near - self.offset[met] - first) // wide * wide
+                    found.append(np.unique(begin * len(self.sizes) + item))
+        pairs = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
         return pairs % len(self.sizes), pairs // len(self.sizes)
 
     def verified(self, hashes: np.ndarray, items: np.ndarray, begins: np.ndarray, firsts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import brute
-from creditmill.llm import minhash, mixing, queries, token_store
+from creditmill.llm import decontaminate, minhash, mixing, queries, token_store
 from creditmill.llm.bitcodes import golomb_decode, golomb_encode, pack, rice_parameter, unpack
 from creditmill.llm.components import connected_components
 from creditmill.llm.decontaminate import find_leaks, without_leaks
@@ -250,6 +250,24 @@ def test_components_of_paths_and_stars(spark):
 # --- decontamination
 
 
+def test_walks_taken_backwards_write_what_single_walks_do(monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 64)
+    random = np.random.default_rng(3)
+    for steps in (1, 4, 9, 18):
+        walk = decontaminate.Walk(2, steps, 7)
+        hashes = np.concatenate((random.integers(1 << 62, size=150).astype(np.uint64) * np.uint64(4) | np.uint64(1), np.zeros(steps + 1, np.uint64)))
+        bits = decontaminate.mixed(hashes ^ walk.salt).tolist()
+        found = [np.concatenate(blocks).tolist() for blocks in zip(*walk.keys(hashes, 150))]
+        for start in range(150):
+            at, path = start, []
+            for t in range(steps):
+                path.append(at)
+                at += bits[at] >> t & 1
+            for table, sample in enumerate(walk.samples):
+                wanted = sum((int(hashes[path[t]]) >> 32) * int(walk.factors[t]) for t in sample) % (1 << 32)
+                assert found[table][start] == wanted
+
+
 def test_leaks_against_brute_force(spark):
     r = random.Random(9)
     items = [(k, prose(50 + k, n, 3000)) for k, n in enumerate((1, 2, 4, 8, 15, 30, 40))] + [(90, None), (91, ""), (4, prose(54, 15, 3000))]

@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 
 from creditmill.llm.pretokens import Pretokenizer, gather, split_words
 from creditmill.llm.tables import pick, text_of
-from creditmill.llm.words import chunks, texts_of
-from creditmill.operators.materialize import checkpoint_root, computed_once
+from creditmill.llm.words import chunks, memory_returned, texts_of
+from creditmill.operators.materialize import batches_within, checkpoint_root, computed_once
 
 END_ID = 1
 # Text bytes per file, and ids per frame, about; a document is never split.
@@ -34,6 +34,8 @@ FRAME_IDS = 128 * 1024
 LEVEL = 3
 # Text bytes encoded together.
 CHUNK_BYTES = 2 << 20
+# Bytes in one Arrow batch of documents, about.
+BATCH_BYTES = 8 << 20
 # Different pre-tokens a task keeps.
 KEPT_PIECES = 300_000
 # Fixed values of the seekable format: magic numbers, and the flag for checksums.
@@ -213,10 +215,14 @@ def write_tokens(docs: DataFrame, vocabulary: str, root: str, end: int = END_ID)
                     at, start = stop, int(total[stop - 1])
                     if held >= FRAME_IDS or at < len(n):
                         yield frame(shard)
+            batch = piece = own = None
+            memory_returned()
         if writer is not None:
             if counts:
                 yield frame(shard)
             writer.close()
+        encoder = writer = None
+        memory_returned()
 
     return ranged.mapInArrow(write, f"shard int, file string, frame int, before bigint, n_ids bigint, docs array<{kind}>")
 
@@ -273,4 +279,5 @@ def read_tokens(frames: DataFrame, wanted: DataFrame | None = None, with_ids: bo
 def store_tokens(docs: DataFrame, vocabulary: str, end: int = END_ID) -> DataFrame:
     """The index of the documents' ids, stored in the shared folder of the session."""
     root = f"{checkpoint_root(docs.sparkSession)}/tokens-{uuid.uuid4().hex}"
-    return computed_once(write_tokens(docs, vocabulary, root, end))
+    with batches_within(docs.sparkSession, BATCH_BYTES):
+        return computed_once(write_tokens(docs, vocabulary, root, end))

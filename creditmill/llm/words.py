@@ -133,6 +133,17 @@ def texts_of(table: pa.Table, column: str = "text") -> pa.Array:
     return array.combine_chunks() if isinstance(array, pa.ChunkedArray) else array
 
 
+def memory_returned() -> None:
+    """Gives freed memory of a worker back to the system. Workers outlive their tasks, and
+    what one stage has freed would else stand beside what the next one needs."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not every C library has it
+    if trim is not None:
+        trim(0)
+
+
 def rows_kept(docs: DataFrame, keep: Callable[[pa.Array], np.ndarray], column: str = "text") -> DataFrame:
     """The rows of `docs`, with all their columns, for whose texts `keep` gives true.
 
@@ -146,5 +157,7 @@ def rows_kept(docs: DataFrame, keep: Callable[[pa.Array], np.ndarray], column: s
         for batch in batches:
             for piece in chunks(batch, place):
                 yield from piece.filter(pa.array(keep(pc.fill_null(texts_of(piece, place), "")), pa.bool_())).to_batches()
+            batch = piece = None
+            memory_returned()
 
     return plain.mapInArrow(run, plain.schema).toDF(*names)

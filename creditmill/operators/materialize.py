@@ -11,6 +11,7 @@ from contextvars import ContextVar
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 _owned: ContextVar[list[str] | None] = ContextVar("owned", default=None)
 
 
@@ -40,6 +41,19 @@ def computed_once(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def batches_within(spark: SparkSession, size: int) -> Iterator[None]:
+    """Arrow batches of at most about `size` bytes, or one row, for what runs inside: by
+    the number of rows alone, their memory grows with the length of texts, in the executor
+    and in its Python workers. The session's own limit holds again afterwards."""
+    before = spark.conf.get(BATCH_SETTING)
+    spark.conf.set(BATCH_SETTING, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_SETTING, before)
+
+
 @contextmanager
 def tables_dropped(spark: SparkSession) -> Iterator[None]:
     """Removes the tables that `computed_once` writes inside; use their readers inside too."""

@@ -394,6 +394,44 @@ def test_files_are_read_frame_by_frame(spark, odd, monkeypatch):
         FrameReader(path).read(0)
 
 
+def test_long_texts_are_stored_in_small_batches(spark, monkeypatch):
+    from creditmill.operators.materialize import BATCH_SETTING
+
+    seen, before = [], spark.conf.get(BATCH_SETTING)
+    write = token_store.write_tokens
+    sizes = "n bigint"
+
+    def measured(docs, *rest):
+        def bytes_of(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_pydict({"n": pa.array([batch.nbytes], pa.int64())})
+
+        seen.extend(r.n for r in docs.select("text").mapInArrow(bytes_of, sizes).collect())
+        return write(docs, *rest)
+
+    monkeypatch.setattr(token_store, "write_tokens", measured)
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), F.repeat(F.lit("many words "), 10_000).alias("text")).coalesce(1)
+    assert read_tokens(store_tokens(docs, vocabulary())).count() == 400
+    # 44 MB of text, each row 110 kB.
+    assert len(seen) >= 4 and max(seen) <= token_store.BATCH_BYTES + 200_000
+    assert spark.conf.get(BATCH_SETTING) == before
+
+
+def test_workers_give_freed_memory_back():
+    from creditmill.llm.words import memory_returned
+
+    def resident():
+        with open("/proc/self/status") as file:
+            return next(int(line.split()[1]) for line in file if line.startswith("VmRSS"))
+
+    kept = [bytes(100_000) for _ in range(2000)]
+    small = kept[::50]
+    full = resident()
+    kept = None
+    memory_returned()
+    assert full - resident() > 100_000 and len(small) == 40
+
+
 # --- toxicity
 
 

@@ -34,8 +34,9 @@ FRAME_IDS = 128 * 1024
 LEVEL = 3
 # Text bytes encoded together.
 CHUNK_BYTES = 2 << 20
-# Bytes in one Arrow batch of documents, about.
-BATCH_BYTES = 8 << 20
+# Bytes in one Arrow batch of documents, about: a little less than four chunks, so that no
+# small chunk is left over.
+BATCH_BYTES = 15 << 19
 # Different pre-tokens a task keeps.
 KEPT_PIECES = 300_000
 # Fixed values of the seekable format: magic numbers, and the flag for checksums.

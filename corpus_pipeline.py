@@ -1,7 +1,9 @@
 """The corpus pipeline: documents without toxic, repeated and leaked ones, mixed to target
 weights and stored as token ids.
 
-Each stage is one operator over all rows that the stage before has kept.
+Each stage is one operator over all rows that the stage before has kept. Arrow batches hold
+a bounded number of bytes: by rows alone, a batch of texts, or of pairs of shingle sets, is
+tens of megabytes in every task, in the executor's native memory and in its Python worker.
 """
 
 from __future__ import annotations
@@ -16,24 +18,32 @@ from creditmill.llm.mixing import mixed_documents
 from creditmill.llm.queries import table, vocabulary
 from creditmill.llm.token_store import read_tokens, store_tokens
 from creditmill.llm.toxicity import fit, without_toxic
-from creditmill.operators.materialize import computed_once
+from creditmill.operators.materialize import batches_within, computed_once
+
+# Bytes in one Arrow batch, about.
+BATCH_BYTES = 4 << 20
+# Text bytes encoded together, half of what the token store takes when it has an executor alone.
+CHUNK_BYTES = 1 << 20
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that a machine learned from all labels does not reject."""
-    return without_toxic(docs, fit(docs, table(spark, sf_dir, "labels")))
+    with batches_within(spark, BATCH_BYTES):
+        return computed_once(without_toxic(docs, fit(docs, table(spark, sf_dir, "labels"))))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that links of similarity 0.8 or more hold together."""
-    return one_of_each(docs)
+    with batches_within(spark, BATCH_BYTES):
+        return one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    return without_leaks(docs, table(spark, sf_dir, "benchmark"))
+    with batches_within(spark, BATCH_BYTES):
+        return computed_once(without_leaks(docs, table(spark, sf_dir, "benchmark")))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +54,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of all documents in files; the rows are read back out of these."""
-    return read_tokens(store_tokens(docs, vocabulary()))
+    return read_tokens(store_tokens(docs, vocabulary(), chunk_bytes=CHUNK_BYTES))
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -160,7 +160,7 @@ class Encoder:
         return counts, ids
 
 
-def write_tokens(docs: DataFrame, vocabulary: str, root: str, end: int = END_ID) -> DataFrame:
+def write_tokens(docs: DataFrame, vocabulary: str, root: str, end: int = END_ID, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """Store the ids of all texts under `root`; one row per frame: shard, file, frame,
     before (ids of the shard in front of it), n_ids, docs (doc_ids in order).
 
@@ -198,7 +198,7 @@ def write_tokens(docs: DataFrame, vocabulary: str, root: str, end: int = END_ID)
 
         shard = 0
         for batch in batches:
-            for piece in chunks(batch, limit=CHUNK_BYTES):
+            for piece in chunks(batch, limit=chunk_bytes):
                 if writer is None:
                     shard = piece.column("shard")[0].as_py()
                     path = f"{root}/ids-{shard:06d}-{uuid.uuid4().hex}.zst"
@@ -277,8 +277,9 @@ def read_tokens(frames: DataFrame, wanted: DataFrame | None = None, with_ids: bo
     return result
 
 
-def store_tokens(docs: DataFrame, vocabulary: str, end: int = END_ID) -> DataFrame:
-    """The index of the documents' ids, stored in the shared folder of the session."""
+def store_tokens(docs: DataFrame, vocabulary: str, end: int = END_ID, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """The index of the documents' ids, stored in the shared folder of the session. Smaller
+    chunks, and batches with them, take less memory and more time for the same ids."""
     root = f"{checkpoint_root(docs.sparkSession)}/tokens-{uuid.uuid4().hex}"
-    with batches_within(docs.sparkSession, BATCH_BYTES):
-        return computed_once(write_tokens(docs, vocabulary, root, end))
+    with batches_within(docs.sparkSession, BATCH_BYTES * chunk_bytes // CHUNK_BYTES):
+        return computed_once(write_tokens(docs, vocabulary, root, end, chunk_bytes))

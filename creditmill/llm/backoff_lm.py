@@ -1,4 +1,4 @@
-"""Language-model scores from a trigram backoff automaton built and traversed as joins.
+"""Language-model scores from a trigram backoff automaton that is spread over parts.
 
 Training counts every trigram of the learning rows (two begin marks, the words, one end
 mark). Smoothing is interpolated absolute discounting (discounts from counts of counts,
@@ -8,24 +8,36 @@ its interpolated log10 probability, and each history a state whose failure arc c
 log10 of its interpolation weight, which is exactly its backoff weight.
 
 A traversal reads a text left to right; the state after two tokens is the longest suffix
-that is a history of the model, so each step depends only on its trigram: take the
-trigram's arc if there is one, else the failure arc of (h2, h1), then the bigram's arc,
-else the failure arc of h1 and the unigram. That step's weight is computed once per
-distinct trigram of the corpus by joins on the model's tables, and every position of
-every text is joined to it and summed per row. Nothing of the model passes the driver
-but six numbers (discounts and totals); it grows with the corpus as Spark tables, and
-adaptive execution splits keys that a third of all positions share.
-
-Tokens are joined as xxhash64 of their text; a job checks that no two distinct tokens
-of the corpus share one, and raises otherwise.
+that is a history of the model, so each step depends only on its trigram (h2, h1, w): take
+the trigram's arc if there is one, else the failure arc of (h2, h1), then the bigram's arc,
+else the failure arc of h1 and the unigram.
+
+Steps are dealt to parts by h1. All steps of the corpus around one h1 meet there, so every
+count the automaton needs is a part's own but one: how often w occurs. As each token but
+the end is the h1 of one step and the begin mark that of one step a text, the part of w has
+that count, and it is exchanged once per part and distinct word. An h1 with more steps
+than half a part, by a sample, is dealt by (h1, h2) instead; its bigram counts are summed
+in the same exchange. The sample moves steps between parts and changes no result. What
+cannot be divided is one (h2, h1).
+
+A word is the low 64 bits of its XXH3-128 hash; 32 of the others go along with each h1, and
+two words that differ in them under one hash raise an error. The words of the sample, up to
+a fixed number, are known to all tasks, and go to the parts as their rank among these.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creditmill.llm.tables import WORD, pick, text_of
+from creditmill.llm.words import chunks, memory_returned, mixed, texts_of
+from creditmill.operators.materialize import batches_within, computed_once
 
 # Fixed values of the contract: remainder of crc32(doc_id) mod 5 that is held out.
 FOLDS = 5
@@ -38,36 +50,36 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Bounds of a discount from counts of counts.
 LEAST_DISCOUNT, MOST_DISCOUNT, PLAIN_DISCOUNT = 0.05, 0.95, 0.5
 
+# Text bytes whose steps make a part, and that are split into words together, about.
+PART_BYTES = 12 << 20
+CHUNK_BYTES = 12 << 20
+LEAST_PARTS = 8
+# Parts per owner of word counts.
+OWNED_PARTS = 4
+# Text bytes of the sample that names frequent words, about, and how many it names at most.
+SAMPLE_BYTES = 4 << 20
+NAMED = 1 << 17
+# Bits of a sort key.
+KEY_BITS = 63
 
-def words_of(text: Column) -> Column:
-    return F.regexp_extract_all(F.translate(text, UPPER, LOWER), F.lit(WORD), 0)
+STEPS = "ranks binary, keys binary, checks binary, n_own int, h1 binary, h2 binary, w binary, sizes binary, held binary, n_docs int"
+ASKED = pa.schema([
+    *((n, pa.int32()) for n in ("owner", "part")), *((n, pa.binary()) for n in ("ask", "have", "checks", "n", "a", "b", "ab")),
+    *((n, pa.int64()) for n in ("ones3", "twos3", "ones2", "twos2")),
+])
+ASKED_SQL = ("owner int, part int, ask binary, have binary, checks binary, n binary, a binary, b binary, ab binary, "
+             "ones3 bigint, twos3 bigint, ones2 bigint, twos2 bigint")
+TOTALS = ("n", "v", "ones3", "twos3", "ones2", "twos2")
+SETTLED = pa.schema([
+    *((n, pa.int32()) for n in ("part", "owner")), ("c1", pa.binary()), ("c2", pa.binary()), *((n, pa.int64()) for n in TOTALS),
+    ("kinds", pa.list_(pa.struct([("h1", pa.int64()), ("n", pa.int64())]))),
+])
+SETTLED_SQL = ("part int, owner int, c1 binary, c2 binary, n bigint, v bigint, ones3 bigint, twos3 bigint, ones2 bigint, "
+               "twos2 bigint, kinds array<struct<h1: bigint, n: bigint>>")
 
 
-def positions(documents: DataFrame, folds: int = FOLDS, held_out: int = HELD_OUT) -> DataFrame:
-    """One row per predicted token of each text: row, doc_id, held_out, n_tokens, h2, h1, w."""
-    docs = pick(documents, "doc_id", "text")
-    words = words_of(text_of("text"))
-    held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == held_out, F.lit(False))
-    ids = F.concat(F.array(F.xxhash64(F.lit(BEGIN)), F.xxhash64(F.lit(BEGIN))), F.transform(words, lambda t: F.xxhash64(t)),
-                   F.array(F.xxhash64(F.lit(END))))
-    rows = docs.select(
-        F.monotonically_increasing_id().alias("row"), "doc_id", held.alias("held_out"),
-        (F.size(words) + 1).cast("long").alias("n_tokens"), ids.alias("ids"),
-    )
-    steps = F.transform(F.sequence(F.lit(3), F.size("ids")), lambda i: F.struct(
-        F.element_at("ids", i - 2).alias("h2"), F.element_at("ids", i - 1).alias("h1"), F.element_at("ids", i).alias("w")))
-    return rows.select("row", "doc_id", "held_out", "n_tokens", F.explode(steps).alias("s")).select(
-        "row", "doc_id", "held_out", "n_tokens", "s.h2", "s.h1", "s.w")
-
-
-def check_hashes(documents: DataFrame) -> None:
-    """Raises if two distinct tokens of the corpus, marks included, share a hash."""
-    tokens = pick(documents, "text").select(F.explode(words_of(text_of("text"))).alias("t"))
-    marks = documents.sparkSession.createDataFrame([(BEGIN,), (END,)], "t string")
-    clashes = tokens.union(marks).groupBy(F.xxhash64("t").alias("h")).agg(F.min("t").alias("a"), F.max("t").alias("b"))
-    clash = clashes.where(F.col("a") != F.col("b")).first()
-    if clash is not None:
-        raise ValueError(f"tokens {clash['a']!r} and {clash['b']!r} share a hash")
+def words_of(text: Column) -> Column:
+    return F.regexp_extract_all(F.translate(text, UPPER, LOWER), F.lit(WORD), 0)
 
 
 def discount(ones: int, twos: int) -> float:
@@ -76,56 +88,375 @@ def discount(ones: int, twos: int) -> float:
     return min(MOST_DISCOUNT, max(LEAST_DISCOUNT, ones / (ones + 2 * twos)))
 
 
-class Model:
-    """The automaton's tables: trigram keys of the corpus with training counts, bigrams,
-    unigrams and histories; totals and discounts."""
-
-    def __init__(self, steps: DataFrame):
-        self.keys = steps.groupBy("h2", "h1", "w").agg(F.sum(F.when(~F.col("held_out"), 1).otherwise(0)).cast("long").alias("c3"))
-        self.bigrams = self.keys.groupBy("h1", "w").agg(F.sum("c3").alias("c2")).where("c2 > 0")
-        self.unigrams = self.bigrams.groupBy("w").agg(F.sum("c2").alias("c1"))
-        one = F.lit(1)
-        totals = self.keys.where("c3 > 0").agg(
-            F.sum(F.when(F.col("c3") == 1, one).otherwise(0)).cast("long").alias("a"),
-            F.sum(F.when(F.col("c3") == 2, one).otherwise(0)).cast("long").alias("b"), F.lit(0).cast("long").alias("c")
-        ).withColumn("k", F.lit(3)).union(self.bigrams.agg(
-            F.sum(F.when(F.col("c2") == 1, one).otherwise(0)).cast("long"), F.sum(F.when(F.col("c2") == 2, one).otherwise(0)).cast("long"),
-            F.lit(0).cast("long")).withColumn("k", F.lit(2))).union(self.unigrams.agg(
-                F.coalesce(F.sum("c1"), F.lit(0)).cast("long"), F.count(one).cast("long"), F.lit(0).cast("long")).withColumn("k", F.lit(1)))
-        found = {r["k"]: r for r in totals.collect()}
-        self.d3 = discount(found[3]["a"] or 0, found[3]["b"] or 0)
-        self.d2 = discount(found[2]["a"] or 0, found[2]["b"] or 0)
-        self.n, self.v = int(found[1]["a"] or 0), int(found[1]["b"] or 0)
-        self.z = self.n + HALF * (self.v + 1)
-
-    def weights(self) -> DataFrame:
-        """h2, h1, w -> lp (log10 of the step's probability), base (log10 of the add-half
-        unigram), known (the token was seen in training)."""
-        h1 = self.bigrams.groupBy(F.col("h1").alias("_h1")).agg(F.sum("c2").alias("ch1"), F.count(F.lit(1)).alias("t1"))
-        h2 = self.keys.where("c3 > 0").groupBy(F.col("h2").alias("_h2"), F.col("h1").alias("_h1b")).agg(
-            F.sum("c3").alias("ch2"), F.count(F.lit(1)).alias("t2"))
-        unigram = self.unigrams.select(F.col("w").alias("_w"), "c1")
-        p1 = (F.coalesce(F.col("c1"), F.lit(0)) + HALF) / F.lit(self.z)
-        bigram = self.bigrams.join(h1, F.col("h1") == F.col("_h1")).join(unigram, F.col("w") == F.col("_w"), "left").select(
-            F.col("h1").alias("_bh1"), F.col("w").alias("_bw"),
-            ((F.col("c2") - self.d2) / F.col("ch1") + self.d2 * F.col("t1") / F.col("ch1") * p1).alias("p2"))
-        steps = (
-            self.keys.join(h2, (F.col("h2") == F.col("_h2")) & (F.col("h1") == F.col("_h1b")), "left")
-            .join(bigram, (F.col("h1") == F.col("_bh1")) & (F.col("w") == F.col("_bw")), "left")
-            .join(h1, F.col("h1") == F.col("_h1"), "left")
-            .join(unigram, F.col("w") == F.col("_w"), "left")
-        )
-        gamma2 = self.d3 * F.col("t2") / F.col("ch2")
-        gamma1 = self.d2 * F.col("t1") / F.col("ch1")
-        lower = F.when(F.col("p2").isNotNull(), F.log10("p2")).otherwise(F.coalesce(F.log10(gamma1), F.lit(0.0)) + F.log10(p1))
-        lp = F.when(F.col("c3") > 0, F.log10((F.col("c3") - self.d3) / F.col("ch2") + gamma2 * F.col("p2"))).otherwise(
-            F.coalesce(F.log10(gamma2), F.lit(0.0)) + lower)
-        return steps.select(
-            F.col("h2").alias("_qh2"), F.col("h1").alias("_qh1"), F.col("w").alias("_qw"), lp.alias("lp"),
-            F.log10(p1).alias("base"), (F.coalesce(F.col("c1"), F.lit(0)) > 0).cast("long").alias("known"))
-
-
-def backoff_scores(documents: DataFrame, folds: int = FOLDS, held_out: int = HELD_OUT) -> DataFrame:
+def packed(values: np.ndarray) -> bytes:
+    """The array, byte by byte of its entries, compressed."""
+    import zstandard
+
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize).T
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
+
+
+def unpacked(data: bytes, kind: type) -> np.ndarray:
+    import zstandard
+
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def hashes(words: list[str | bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Key and check of each word."""
+    from xxhash import xxh3_128_digest
+
+    halves = np.frombuffer(b"".join([xxh3_128_digest(w) for w in words]), ">u8").reshape(-1, 2)
+    return halves[:, 1].astype(np.uint64), halves[:, 0].astype(np.uint64).astype(np.uint32)
+
+
+def agreed(keys: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys, and the place of each; equal keys must have equal checks."""
+    distinct, first, place = np.unique(keys, return_index=True, return_inverse=True)
+    if (checks != checks[first][place]).any():
+        raise ValueError("two different tokens share a hash")
+    return distinct, place
+
+
+def joined(arrays: list[np.ndarray], kind: type) -> np.ndarray:
+    return np.concatenate([np.zeros(0, kind), *arrays])
+
+
+def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First place of each run of equal values, and the run of each place."""
+    head = np.ones(len(values), bool)
+    head[1:] = values[1:] != values[:-1]
+    return np.flatnonzero(head), np.cumsum(head) - 1
+
+
+def owner_of(keys: np.ndarray, owners: int) -> np.ndarray:
+    return (mixed(keys ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(owners)).astype(np.int32)
+
+
+class Frequent:
+    """Frequent words by falling number, of a sample of the texts: their keys, and the
+    number of shares that the steps of each as h1 are dealt to."""
+
+    def __init__(self, rows: DataFrame, size: int, parts: int):
+        sample = rows.sample(min(1.0, SAMPLE_BYTES / max(1, size)), seed=1)
+        tokens = sample.select(F.explode(F.concat(F.array(F.lit(BEGIN)), words_of(F.col("text")))).alias("t"))
+        found = tokens.rollup("t").count().orderBy(F.desc("count"), F.asc_nulls_first("t")).limit(NAMED + 1).collect()
+        total, found = (found[0]["count"] or 1 if found else 1), found[1:]  # the first row is that of all tokens
+        self.keys = hashes([r["t"] for r in found])[0]
+        numbers = np.array([r["count"] for r in found], np.int64)
+        # More than half a part is shared out.
+        self.shares = np.maximum(1, -(-2 * parts * numbers // total))
+        self.order = np.argsort(self.keys)
+
+    def ranks(self, keys: np.ndarray) -> np.ndarray:
+        """Rank of each key; their number for one that is not among them."""
+        if not len(self.keys):
+            return np.zeros(len(keys), np.uint32)
+        known = self.keys[self.order]
+        at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+        return np.where(known[at] == keys, self.order[at], len(known)).astype(np.uint32)
+
+    def shares_of(self, keys: np.ndarray) -> np.ndarray:
+        return np.append(self.shares, 1)[self.ranks(keys)]
+
+
+def deal_steps(parts: int, frequent: Frequent, chunk_bytes: int, schema: pa.Schema):
+    """A function that cuts texts into steps, one row per chunk of texts and part."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+        from xxhash import xxh3_64_intdigest
+
+        number, task = 0, TaskContext.get().partitionId()
+        for batch in batches:
+            for piece in chunks(batch, limit=chunk_bytes):
+                steps = ChunkSteps(texts_of(piece), frequent)
+                # A repeated task gives the same chunks only if it reads the same rows.
+                content = b"".join(np.ascontiguousarray(a).tobytes() for a in (steps.keys, steps.sizes, steps.w))
+                chunk = np.array([xxh3_64_intdigest(content, seed=(task << 24) + number)], np.uint64).view(np.int64)[0]
+                number += 1
+                yield from steps.rows(int(chunk), piece, parts, frequent, schema)
+                del steps, content
+            batch = piece = None
+            memory_returned()
+
+    return deal
+
+
+class ChunkSteps:
+    """The steps of a chunk of texts, as places among its distinct tokens by rank."""
+
+    def __init__(self, texts: pa.Array, frequent: Frequent):
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.large_string())))
+        coded = lists.flatten().dictionary_encode()
+        codes, words = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.cast(pa.large_binary()).to_pylist()
+        offsets = lists.offsets.to_numpy()
+        offsets = offsets - offsets[0]
+        if b"" in words:  # beside white space at an end of a text
+            real = codes != words.index(b"")
+            offsets = np.concatenate(([0], np.cumsum(real)))[offsets]
+            codes = codes[real]
+        keys, checks = hashes([*words, BEGIN, END])
+        if len(np.unique(keys)) < len(keys):
+            raise ValueError("two different tokens share a hash")
+        ranks = frequent.ranks(keys)
+        order = np.argsort(ranks, kind="stable")
+        self.keys, self.checks, self.ranks = keys[order], checks[order], ranks[order]
+        self.known = int((self.ranks < len(frequent.keys)).sum())
+        place = np.empty(len(keys), np.int32)
+        place[order] = np.arange(len(keys))
+        codes, (begin, end) = place[codes], place[-2:]
+        self.sizes = np.diff(offsets) + 1
+        last = np.cumsum(self.sizes) - 1
+        self.w = np.empty(int(self.sizes.sum()), np.int32)
+        inside = np.ones(len(self.w), bool)
+        inside[last] = False
+        self.w[last], self.w[inside] = end, codes
+        first = last - self.sizes + 1
+        self.h1, self.h2 = np.empty_like(self.w), np.empty_like(self.w)
+        self.h1[1:], self.h2[2:] = self.w[:-1], self.w[:-2]
+        self.h1[first] = self.h2[first] = begin
+        self.h2[(first + 1)[self.sizes > 1]] = begin
+
+    def parts(self, count: int, frequent: Frequent) -> np.ndarray:
+        """Part of each step."""
+        spread = np.uint64(0x9E3779B97F4A7C15)
+        of_word = (mixed(self.keys.copy()) % np.uint64(count)).astype(np.uint32)
+        out = of_word[self.h1]
+        shares = frequent.shares_of(self.keys).astype(np.uint64)
+        some = np.flatnonzero((shares > 1)[self.h1])
+        h1 = self.h1[some]
+        share = mixed(self.keys ^ spread)[self.h2[some]] % shares[h1]
+        out[some] = (mixed(self.keys[h1] + share * spread) % np.uint64(count)).astype(np.uint32)
+        return out
+
+    def rows(self, chunk: int, piece: pa.Table, parts: int, frequent: Frequent, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+        part = self.parts(parts, frequent)
+        order = np.argsort(part.astype(np.uint16) if parts < 1 << 16 else part, kind="stable")
+        starts = np.searchsorted(part[order], np.arange(parts + 1))
+        doc = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        filled = np.flatnonzero(np.diff(starts))
+        home = filled[chunk % len(filled)]
+        held = np.packbits(texts_of(piece, "held_out").to_numpy(zero_copy_only=False)).tobytes()
+        ids = texts_of(piece, "doc_id")
+        at = np.zeros(len(self.keys), np.uint32)
+        for p in filled.tolist():
+            own = order[starts[p] : starts[p + 1]]
+            h1, h2, w = self.h1[own], self.h2[own], self.w[own]
+            # Tokens of the row: those that are an h1, then the others.
+            mark = np.zeros(len(self.keys), np.uint8)
+            mark[h2] = mark[w] = 1
+            mark[h1] = 2
+            tokens = np.concatenate((np.flatnonzero(mark == 2), np.flatnonzero(mark == 1)))
+            n_own = int((mark == 2).sum())
+            at[tokens] = np.arange(len(tokens), dtype=np.uint32)
+            docs = pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids) if p == home else pa.nulls(1, schema.field("docs").type)
+            rare = tokens[tokens >= self.known]
+            values = [packed(np.diff(self.ranks[tokens], prepend=np.uint32(0))), self.keys[rare].tobytes(), self.checks[tokens[:n_own]].tobytes(), n_own, packed(at[h1]), packed(at[h2]), packed(at[w]),
+                      packed(np.bincount(doc[own], minlength=len(self.sizes)).astype(np.uint32)), held, len(self.sizes)]
+            columns = [pa.array([v], t) for v, t in zip([p, chunk], schema.types)] + [docs]
+            columns += [pa.array([v], t) for v, t in zip(values, schema.types[3:])]
+            yield pa.RecordBatch.from_arrays(columns, schema=schema)
+
+
+class PartSteps:
+    """The steps of a part, their distinct trigrams, and its own counts of these."""
+
+    def __init__(self, table: pa.Table, frequent: Frequent, bits: int = KEY_BITS):
+        rows = table.select([f.split()[0] for f in STEPS.split(", ")]).to_pylist()
+        keys = []
+        for r in rows:
+            ranks = np.cumsum(unpacked(r["ranks"], np.uint32), dtype=np.uint32)
+            known = ranks < len(frequent.keys)
+            keys.append(np.empty(len(ranks), np.uint64))
+            keys[-1][known] = frequent.keys[ranks[known]]
+            keys[-1][~known] = np.frombuffer(r["keys"], np.uint64)
+        # Keys of h1 come with checks, the others are compared where they are an h1.
+        self.keys, place = np.unique(np.concatenate(keys), return_inverse=True)
+        places = np.split(place.astype(np.int32), np.cumsum([len(k) for k in keys])[:-1])
+        own = np.concatenate([p[: r["n_own"]] for p, r in zip(places, rows)])
+        checks = np.concatenate([np.frombuffer(r["checks"], np.uint32) for r in rows])
+        agreed(self.keys[own], checks)
+        self.checks = np.zeros(len(self.keys), np.uint32)
+        self.checks[own] = checks
+        self.sizes = [unpacked(r["sizes"], np.uint32).astype(np.int64) for r in rows]
+        trained = [~np.unpackbits(np.frombuffer(r["held"], np.uint8), count=r["n_docs"]).astype(bool) for r in rows]
+        train = np.concatenate([np.repeat(t, s) for t, s in zip(trained, self.sizes)])
+        h1, h2, w = (np.concatenate([p[unpacked(r[c], np.uint32)] for p, r in zip(places, rows)]) for c in ("h1", "h2", "w"))
+        b = np.int64(max(1, (len(self.keys) - 1).bit_length()))
+        histories = h1.astype(np.int64) << b | h2
+        pairs = None
+        if 3 * b > bits:
+            pairs, histories = np.unique(histories, return_inverse=True)
+        step = histories << b | w
+        self.step_h1 = h1
+        del h1, h2, w, histories, keys, place, places
+        order = np.argsort(step)
+        step = step[order]
+        heads, run = runs(step)
+        self.trigram = np.empty(len(step), np.int32)  # of each step
+        self.trigram[order] = run
+        self.c3 = np.add.reduceat(train[order].astype(np.int64), heads)
+        step = step[heads]
+        del order, run, train
+        heads, self.history = runs(step >> b)
+        self.ch2 = np.add.reduceat(self.c3, heads)
+        self.t2 = np.add.reduceat((self.c3 > 0).astype(np.int64), heads)
+        mask = (np.int64(1) << b) - 1
+        h1 = (step >> b if pairs is None else pairs[step >> b]) >> b
+        bigrams, self.bigram = np.unique(h1 << b | (step & mask), return_inverse=True)
+        self.h1, self.w = bigrams >> b, bigrams & mask
+        self.c2 = np.bincount(self.bigram, self.c3).astype(np.int64)
+        self.ch1 = np.bincount(self.h1, self.c2, len(self.keys)).astype(np.int64)
+        self.t1 = np.bincount(self.h1, self.c2 > 0, len(self.keys)).astype(np.int64)
+        self.own = np.unique(self.h1)
+        often = frequent.shares_of(self.keys) > 1
+        self.shared = np.flatnonzero(often[self.h1])  # bigrams that other parts have too
+        self.often = self.own[often[self.own]]
+        marks = hashes([BEGIN, END])[0]
+        # Word counts to ask for; the end occurs as often as the begin mark is an h1.
+        ask = np.union1d(self.keys[np.unique(self.w)], self.keys[self.often])
+        self.ask = np.union1d(ask[ask != marks[1]], marks[:1])
+        self.asked = np.searchsorted(self.ask, np.where(self.keys == marks[1], marks[0], self.keys))
+
+    def pair_owner(self, owners: int) -> np.ndarray:
+        a, b = self.keys[self.h1[self.shared]], self.keys[self.w[self.shared]]
+        return owner_of(a ^ mixed(b), owners)
+
+
+def ask_counts(owners: int, frequent: Frequent):
+    """A function that sends a part's word counts, shared bigram counts and questions to
+    their owners."""
+
+    def ask(table: pa.Table) -> pa.Table:
+        part, steps = table.column("part")[0].as_py(), PartSteps(table, frequent)
+        of_ask, of_own, of_pair = owner_of(steps.ask, owners), owner_of(steps.keys[steps.own], owners), steps.pair_owner(owners)
+        alone = np.ones(len(steps.c2), bool)
+        alone[steps.shared] = False
+        numbers = [int((c == k).sum()) for c in (steps.c3, steps.c2[alone]) for k in (1, 2)]
+        rows = []
+        for owner in np.unique(np.concatenate((of_ask, of_own, of_pair))).tolist():
+            own, pair = steps.own[of_own == owner], steps.shared[of_pair == owner]
+            rows.append([owner, part, steps.ask[of_ask == owner].tobytes(), steps.keys[own].tobytes(), steps.checks[own].tobytes(), packed(steps.ch1[own]),
+                         steps.keys[steps.h1[pair]].tobytes(), steps.keys[steps.w[pair]].tobytes(), packed(steps.c2[pair]), *numbers])
+            numbers = [0] * 4
+        del steps
+        memory_returned()
+        return pa.table([list(c) for c in zip(*rows)], schema=ASKED)
+
+    return ask
+
+
+def settle(table: pa.Table) -> pa.Table:
+    """Answers each part: corpus counts of its words and shared bigrams; one row more, of
+    part -1, has the owner's totals and the number of different words behind each h1 it shares."""
+    rows = table.to_pylist()
+    have = {c: joined([np.frombuffer(r[c], k) for r in rows], k) for c, k in (("have", np.uint64), ("checks", np.uint32), ("a", np.uint64), ("b", np.uint64))}
+    words, place = agreed(have["have"], have["checks"])
+    c1 = np.bincount(place, joined([unpacked(r["n"], np.int64) for r in rows], np.int64), len(words)).astype(np.int64)
+    order = np.lexsort((have["b"], have["a"]))
+    a, b = have["a"][order], have["b"][order]
+    head = np.ones(len(a), bool)
+    head[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    run = np.cumsum(head) - 1
+    c2 = np.bincount(run, joined([unpacked(r["ab"], np.int64) for r in rows], np.int64)[order]).astype(np.int64)
+    kinds, n_kinds = np.unique(a[head][c2 > 0], return_counts=True)
+    each = np.empty(len(a), np.int64)
+    each[order] = c2[run]
+    out, at = [], 0
+    for r in rows:
+        n = len(r["a"]) // 8
+        asked = np.frombuffer(r["ask"], np.uint64)
+        found = np.searchsorted(words, asked)
+        if (words[np.minimum(found, len(words) - 1)] != asked).any():
+            raise ValueError("a token is no history")
+        out.append([r["part"], r["owner"], packed(c1[found]), packed(each[at : at + n]), *[0] * len(TOTALS), []])
+        at += n
+    totals = [int(c1.sum()), int((c1 > 0).sum()), sum(r["ones3"] for r in rows), sum(r["twos3"] for r in rows),
+              sum(r["ones2"] for r in rows) + int((c2 == 1).sum()), sum(r["twos2"] for r in rows) + int((c2 == 2).sum())]
+    shared = [{"h1": k, "n": n} for k, n in zip(kinds.view(np.int64).tolist(), n_kinds.tolist())]
+    out.append([-1, rows[0]["owner"], b"", b"", *totals, shared])
+    return pa.table([pa.array(c, t) for c, t in zip(zip(*out), SETTLED.types)], schema=SETTLED)
+
+
+def score_steps(owners: int, frequent: Frequent, schema: pa.Schema):
+    """A function that walks a part's steps: sums per text, one row per chunk of texts."""
+
+    def score(table: pa.Table, answers: pa.Table) -> pa.Table:
+        steps = PartSteps(table, frequent)
+        rows = answers.to_pylist()
+        of_ask, of_pair = owner_of(steps.ask, owners), steps.pair_owner(owners)
+        counts, c2, ch1, t1 = np.zeros(len(steps.ask), np.int64), steps.c2, steps.ch1, steps.t1
+        for r in rows:
+            counts[of_ask == r["owner"]] = unpacked(r["c1"], np.int64)
+            c2[steps.shared[of_pair == r["owner"]]] = unpacked(r["c2"], np.int64)
+        total = rows[0]
+        c1 = counts[steps.asked[steps.w]]  # of each bigram
+        ch1[steps.often] = counts[steps.asked[steps.often]]
+        kinds: dict[int, int] = {}
+        for one in total["kinds"]:
+            for k in one:
+                kinds[k["h1"]] = kinds.get(k["h1"], 0) + k["n"]
+        t1[steps.often] = [kinds.get(k, 0) for k in steps.keys[steps.often].view(np.int64).tolist()]
+        d3, d2 = discount(total["ones3"], total["twos3"]), discount(total["ones2"], total["twos2"])
+        z = total["n"] + HALF * (total["v"] + 1)
+        p1 = (c1 + HALF) / z
+        with np.errstate(divide="ignore", invalid="ignore"):
+            weight1, weight2 = d2 * t1 / ch1, d3 * steps.t2 / steps.ch2
+            fail1, fail2 = np.where(ch1 > 0, np.log10(weight1), 0.0), np.where(steps.ch2 > 0, np.log10(weight2), 0.0)
+            p2 = (c2 - d2) / ch1[steps.h1] + weight1[steps.h1] * p1
+            lower = np.where(c2 > 0, np.log10(p2), fail1[steps.h1] + np.log10(p1))
+            del p1, c1
+            p3 = (steps.c3 - d3) / steps.ch2[steps.history] + weight2[steps.history] * p2[steps.bigram]
+            lp = np.where(steps.c3 > 0, np.log10(p3), fail2[steps.history] + lower[steps.bigram])
+            del p2, p3, lower, weight2, fail2
+        # Each token but the end is an h1 once, and the begin mark stands for the end.
+        base, known = np.log10((ch1 + HALF) / z), ch1 > 0
+        sizes = np.concatenate(steps.sizes)
+        doc = np.repeat(np.arange(len(sizes)), sizes)
+        sums = [np.bincount(doc, v, len(sizes)) for v in (lp[steps.trigram], base[steps.step_h1], known[steps.step_h1])]
+        out, at = [], 0
+        for own, chunk, part, held in zip(steps.sizes, *(table.column(c).to_pylist() for c in ("chunk", "part", "held"))):
+            some = np.flatnonzero(own)
+            score_, base_, known_ = (s[at : at + len(own)][some] for s in sums)
+            at += len(own)
+            out.append([chunk, part, held, packed(own.astype(np.uint32)), packed(known_.astype(np.uint32)), packed(base_), packed(score_), total["n"]])
+        columns = [pa.array(c, t) for c, t in zip(zip(*out), schema.types)]
+        del steps, sums, lp, doc
+        memory_returned()
+        return pa.Table.from_arrays([*columns, texts_of(table, "docs")], schema=schema)
+
+    return score
+
+
+def add_scores(schema: pa.Schema):
+    """A function that adds up the sums of a chunk's texts from all parts."""
+
+    def add(table: pa.Table) -> pa.Table:
+        table = table.sort_by("part").combine_chunks()
+        docs = texts_of(table, "docs")
+        if len(docs) - docs.null_count != 1:
+            raise ValueError("a chunk of texts was read twice and was not the same")
+        ids = docs.drop_null().flatten()
+        n_tokens, n_known = np.zeros((2, len(ids)), np.int64)
+        base, score = np.zeros((2, len(ids)))
+        for r in table.drop_columns("docs").to_pylist():
+            own = unpacked(r["sizes"], np.uint32)
+            some = np.flatnonzero(own)
+            n_tokens += own
+            n_known[some] += unpacked(r["known"], np.uint32)
+            base[some] += unpacked(r["base"], np.float64)
+            score[some] += unpacked(r["score"], np.float64)
+        held = np.unpackbits(np.frombuffer(r["held"], np.uint8), count=len(ids)).astype(bool)
+        return pa.Table.from_arrays([ids, *map(pa.array, (held, n_tokens, n_known, np.full(len(ids), r["train"], np.int64), base, score))], schema=schema)
+
+    return add
+
+
+def backoff_scores(
+    documents: DataFrame, folds: int = FOLDS, held_out: int = HELD_OUT, part_bytes: int = PART_BYTES, chunk_bytes: int = CHUNK_BYTES
+) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, one row per row.
 
     Texts are lower-cased in A-Z only and split into words of non-space characters; an
@@ -136,12 +467,35 @@ def backoff_scores(documents: DataFrame, folds: int = FOLDS, held_out: int = HEL
     scores are 0 (N = V = 0: the unknown class holds all the mass). Other columns are ignored.
     `score` is the model's log10 probability of the text, end included.
     """
-    check_hashes(documents)
-    steps = positions(documents, folds, held_out)
-    model = Model(steps)
-    weights = model.weights()
-    joined = steps.join(weights, (F.col("h2") == F.col("_qh2")) & (F.col("h1") == F.col("_qh1")) & (F.col("w") == F.col("_qw")))
-    return joined.groupBy("row", "doc_id", "held_out", "n_tokens").agg(
-        F.sum("known").alias("n_known"), F.sum("base").alias("base_score"), F.sum("lp").alias("score"),
-    ).select("doc_id", "held_out", "n_tokens", F.col("n_known").cast("long").alias("n_known"),
-             F.lit(model.n).cast("long").alias("train_tokens"), "base_score", "score")
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    rows = pick(documents, "doc_id", "text").select("doc_id", text_of().alias("text"))
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(LEAST_PARTS, -(-size // part_bytes))
+    owners = -(-parts // OWNED_PARTS)
+    frequent = Frequent(rows, size, parts)
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == held_out, F.lit(False))
+    kind = rows.schema["doc_id"].dataType
+    ids = to_arrow_type(kind)
+    binary, i32, i64 = pa.binary(), pa.int32(), pa.int64()
+    dealt = pa.schema([("part", i32), ("chunk", i64), ("docs", pa.list_(ids))] + [
+        (f.split()[0], binary if f.endswith("binary") else i32) for f in STEPS.split(", ")])
+    summed = pa.schema([("chunk", i64), ("part", i32), *((c, binary) for c in ("held", "sizes", "known", "base", "score")), ("train", i64), ("docs", pa.list_(ids))])
+    result = pa.schema([("doc_id", ids), ("held_out", pa.bool_()), ("n_tokens", i64), ("n_known", i64), ("train_tokens", i64), ("base_score", pa.float64()), ("score", pa.float64())])
+    name = kind.simpleString()
+
+    steps = rows.select("doc_id", "text", held.alias("held_out")).mapInArrow(
+        deal_steps(parts, frequent, chunk_bytes, dealt), f"part int, chunk bigint, docs array<{name}>, {STEPS}")
+    # Read by both passes over the parts, from one shuffle.
+    by_part = steps.repartition(2 * parts, "part").groupBy("part")
+    asked = by_part.applyInArrow(ask_counts(owners, frequent), ASKED_SQL)
+    settled = asked.repartition(2 * owners, "owner").groupBy("owner").applyInArrow(settle, SETTLED_SQL)
+    totals = settled.where("part < 0").agg(*[F.sum(c).alias(c) for c in TOTALS], F.collect_list("kinds").alias("kinds"))
+    answers = settled.where("part >= 0").select("part", "owner", "c1", "c2").crossJoin(F.broadcast(totals))
+    sums = by_part.cogroup(answers.groupBy("part")).applyInArrow(
+        score_steps(owners, frequent, summed),
+        f"chunk bigint, part int, held binary, sizes binary, known binary, base binary, score binary, train bigint, docs array<{name}>")
+    scores = sums.groupBy("chunk").applyInArrow(
+        add_scores(result), f"doc_id {name}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
+    with batches_within(documents.sparkSession, chunk_bytes):
+        return computed_once(scores)

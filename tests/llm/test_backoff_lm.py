@@ -4,6 +4,9 @@ import math
 import zlib
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import types as T
 
@@ -128,3 +131,62 @@ def test_clashing_columns_are_ignored(spark):
     a = sorted(((r.doc_id, round(r.score, 9)) for r in backoff_scores(df).collect()), key=key)
     b = sorted(((r.doc_id, round(r.score, 9)) for r in backoff_scores(spark.createDataFrame(rows, SCHEMA)).collect()), key=key)
     assert a == b
+
+
+def test_steps_of_frequent_words_are_shared_out(spark):
+    """Many small parts and chunks; some words fill several parts, the begin mark too."""
+    rows = odd_rows()
+    model = Automaton(rows)
+    found = backoff_scores(spark.createDataFrame(rows, SCHEMA).repartition(3), part_bytes=300, chunk_bytes=700).collect()
+    got = sorted(((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6)) for r in found), key=key)
+    wanted = sorted(((i, len(brute.words(t)) + 1, sum(1 for w in [*brute.words(t, lower=True), END] if w in model.c1),
+                      model.n, round(model.base(t), 6), round(model.score(t), 6)) for i, t in rows), key=key)
+    assert got == wanted
+
+
+def few_words(parts, named):
+    """Frequent words as a sample would name them."""
+    from creditmill.llm.backoff_lm import Frequent, hashes
+
+    words = Frequent.__new__(Frequent)
+    words.keys = hashes(named)[0]
+    words.shares = np.maximum(1, parts // np.arange(2, 2 + len(named)))
+    words.order = np.argsort(words.keys)
+    return words
+
+
+def dealt(spark, texts, parts, frequent):
+    from creditmill.llm.backoff_lm import STEPS, ChunkSteps
+
+    schema = pa.schema([("part", pa.int32()), ("chunk", pa.int64()), ("docs", pa.list_(pa.int64()))] + [
+        (f.split()[0], pa.binary() if f.endswith("binary") else pa.int32()) for f in STEPS.split(", ")])
+    piece = pa.table({"doc_id": pa.array(range(len(texts)), pa.int64()), "held_out": [held(i) for i in range(len(texts))], "text": texts})
+    steps = ChunkSteps(piece.column("text").combine_chunks(), frequent)
+    return steps, pa.Table.from_batches(list(steps.rows(5, piece, parts, frequent, schema)))
+
+
+def test_a_step_takes_few_bytes_in_its_shuffle(spark, small):
+    """Three 64-bit hashes a step went above the budget of disk."""
+    texts = [r.text or "" for r in spark.read.parquet(f"{small.replace('sf0.001', 'sf0.01')}/documents.parquet").select("text").collect()]
+    named = [w for w, _ in Counter(w for t in texts[::3] for w in brute.words(t, lower=True)).most_common(20000)]
+    steps, table = dealt(spark, texts, 8, few_words(8, named))
+    assert sum(len(v) for c in table.columns if c.type == pa.binary() for v in c.to_pylist()) < 12 * len(steps.w)
+
+
+def test_wide_vocabularies_are_counted_alike(spark):
+    from creditmill.llm.backoff_lm import PartSteps
+
+    frequent = few_words(4, ["the", "a", "cat"])
+    _, table = dealt(spark, [t or "" for _, t in odd_rows()], 4, frequent)
+    for part in range(4):
+        own = table.filter(pc.equal(table.column("part"), part))
+        plain, wide = PartSteps(own, frequent), PartSteps(own, frequent, bits=8)
+        for name in ("c3", "ch2", "t2", "c2", "ch1", "t1", "h1", "w", "trigram", "bigram", "history"):
+            assert (getattr(plain, name) == getattr(wide, name)).all(), name
+
+
+def test_words_that_share_a_hash_raise():
+    from creditmill.llm.backoff_lm import agreed
+
+    with pytest.raises(ValueError, match="share a hash"):
+        agreed(np.array([7, 8, 7], np.uint64), np.array([1, 2, 3], np.uint32))

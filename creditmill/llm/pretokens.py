@@ -47,10 +47,17 @@ class Pretokenizer:
         self.at_special = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
         self.opening = {t[:2] for t in special}
         self.symbols = byte_symbols()
+        self.by_byte = {b: s for b, s in enumerate(self.symbols) if b != ord(" ")}
 
     def mapped(self, piece: str) -> str:
         return piece if piece.isascii() else "".join([self.symbols[b] for b in piece.encode()])
 
+    def all_mapped(self, pieces: pa.Array) -> str:
+        """The pieces in byte symbols, joined by one space."""
+        one = pa.ListArray.from_arrays(pa.array([0, len(pieces)], pa.int32()), pieces.cast(pa.string()))
+        text = pc.binary_join(one, " ")[0].as_py()
+        return text if text.isascii() else text.encode().decode("latin-1").translate(self.by_byte)
+
     def odd_pieces(self, word: str) -> list[str | int]:
         """Pre-tokens of a word by the library; a special string is its id."""
         out: list[str | int] = []
@@ -62,9 +69,10 @@ class Pretokenizer:
                 out += [p for p, _ in self.library.pre_tokenizer.pre_tokenize_str(plain)]
         return out
 
-    def split(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str | int]]:
+    def cut(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array, list[str | int]]:
         """Pre-tokens of all words in order: the word's number, the pre-token's code, and
-        the different pre-tokens in byte symbols, with ids in place of special strings."""
+        the different pre-tokens. First come those of plain words as they are, with the
+        border "\n" that no word has, then those of the others, as `odd_pieces` gives them."""
         plain = pc.match_substring_regex(words, PLAIN).to_numpy(zero_copy_only=False)
         for opening in self.opening:
             plain &= ~pc.match_substring(words, opening).to_numpy(zero_copy_only=False)
@@ -73,25 +81,33 @@ class Pretokenizer:
         one = pa.ListArray.from_arrays(pa.array([0, len(every)], pa.int32()), every)
         joined = pc.binary_join(one, "\n")[0].as_py().lower() + "\n"
         coded = pa.array(SPLIT.findall(joined), pa.large_string()).dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
         codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        border = codes == distinct.index("\n")
+        border = codes == pc.index(coded.dictionary, "\n").as_py()
         owner = (np.cumsum(border) - border)[~border]
         owner, codes = (simple[owner] if len(simple) else owner[:0]), codes[~border]
-        found = [self.mapped(p) for p in distinct]
+        known: dict[str | int, int] = {}
         if len(simple) < len(words):
-            known = {p: i for i, p in enumerate(found)}
             odd = np.flatnonzero(~plain)
             own, more = [], []
             for i, word in zip(odd.tolist(), words.take(pa.array(odd)).to_pylist()):
                 for p in self.odd_pieces(word):
                     own.append(i)
                     more.append(known.setdefault(p, len(known)))
-            found += list(known)[len(found):]
             owner = np.concatenate((owner, np.array(own, np.int64)))
-            codes = np.concatenate((codes, np.array(more, np.int64)))
+            codes = np.concatenate((codes, len(coded.dictionary) + np.array(more, np.int64)))
             order = np.argsort(owner, kind="stable")
             owner, codes = owner[order], codes[order]
+        return owner, codes, coded.dictionary, list(known)
+
+    def split(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str | int]]:
+        """Pre-tokens of all words in order: the word's number, the pre-token's code, and
+        the different pre-tokens in byte symbols, with ids in place of special strings."""
+        owner, codes, plain, odd = self.cut(words)
+        found: list[str | int] = [self.mapped(p) for p in plain.to_pylist()]
+        if odd:
+            known = {p: i for i, p in enumerate(found)}
+            place = np.append(np.arange(len(found)), [known.setdefault(p, len(known)) for p in odd])
+            found, codes = list(known), place[codes]
         return owner, codes, found
 
 

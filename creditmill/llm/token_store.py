@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -121,32 +122,41 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[str | int, int] = {}
-        self.sizes, self.flat = np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        self.plain, self.odd = pa.array([], pa.large_string()), {}
+        # Of the known pre-tokens: places in `sizes` of the plain ones, sizes, ids.
+        self.plain_at, self.sizes, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
-    def pieces(self, distinct: list[str | int]) -> np.ndarray:
+    def pieces(self, plain: pa.Array, odd: list[str | int]) -> np.ndarray:
         """Place of each pre-token in `sizes`, after new ones were added there."""
-        if len(self.known) > KEPT_PIECES:
+        if len(self.sizes) > KEPT_PIECES:
             self.forget()
-        new = [p for p in distinct if p not in self.known and p != "\n"]
-        plain = [p for p in new if isinstance(p, str)]
-        special = [p for p in new if isinstance(p, int)]
-        if plain:
-            encoded = self.library.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0]
+        at = pc.fill_null(pc.index_in(plain, value_set=self.plain), -1).to_numpy()
+        fresh = (at < 0) & pc.not_equal(plain, "\n").to_numpy(zero_copy_only=False)
+        places = np.zeros(len(plain), np.int64)
+        places[at >= 0] = self.plain_at[at[at >= 0]]
+        places[fresh] = len(self.sizes) + np.arange(int(fresh.sum()))
+        new = plain.filter(pa.array(fresh))
+        self.plain = pa.concat_arrays([self.plain, new])
+        self.plain_at = np.concatenate((self.plain_at, places[fresh]))
+        others = [p for p in odd if p not in self.odd]
+        strings, special = [p for p in others if isinstance(p, str)], [p for p in others if isinstance(p, int)]
+        self.odd.update(zip(strings + special, range(len(self.sizes) + len(new), len(self.sizes) + len(new) + len(others))))
+        text = " ".join([self.split.all_mapped(new), *strings])
+        if text:
+            encoded = self.library.encode_batch_fast([text], add_special_tokens=False)[0]
             ids = np.array(encoded.ids, np.uint32)
             # A pre-token ends with the one of its tokens that closes a word.
             self.sizes = np.concatenate((self.sizes, np.diff(np.flatnonzero(self.closing[ids]), prepend=-1)))
             self.flat = np.concatenate((self.flat, ids))
         self.sizes = np.concatenate((self.sizes, np.ones(len(special), np.int64)))
         self.flat = np.concatenate((self.flat, np.array(special, np.uint32)))
-        self.known.update(zip(plain + special, range(len(self.known), len(self.known) + len(new))))
-        return np.array([self.known.get(p, 0) for p in distinct], np.int64)
+        return np.concatenate((places, np.array([self.odd[p] for p in odd], np.int64)))
 
     def encode(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids per text and all ids; each text is closed by `end`."""
         first, codes, words = split_words(texts)
-        owner, pieces, distinct = self.split.split(words)
-        places = self.pieces(distinct)[pieces]
+        owner, pieces, plain, odd = self.split.cut(words)
+        places = self.pieces(plain, odd)[pieces]
         own = self.sizes[places]
         flat = gather(self.flat, (np.cumsum(self.sizes) - self.sizes)[places], own)
         sizes = np.bincount(owner, own, minlength=len(words)).astype(np.int64)

@@ -498,3 +498,22 @@ def test_seeded_order_depends_on_the_seed(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     assert rows_of(mix_plan(docs, seed=1), "doc_id", "taken") != rows_of(mix_plan(docs, seed=2), "doc_id", "taken")
     assert mixing.SHARDS * mixing.BLOCKS_PER_SHARD == 65536
+
+
+def test_known_pre_tokens_are_not_mapped_again(monkeypatch):
+    """Later chunks look up what a task knows as arrays, in any order and beside odd words."""
+    from tokenizers import Tokenizer
+    from creditmill.llm.pretokens import Pretokenizer
+    from creditmill.llm.token_store import Encoder
+
+    first = ["The café isn't open, 42 cafés are", "Ã© ã é 中文 <unk> don't", "", "zzqx\tzzqy"]
+    later = [first[1], "open cafés, ß 中 new-word", first[0], "\n", first[3] + " <unk>"]
+    encoder, library = Encoder(vocabulary()), Tokenizer.from_file(vocabulary())
+    for texts in (first, later, first):
+        counts, ids = encoder.encode(pa.array(texts), 1)
+        wanted = [[*library.encode(t, add_special_tokens=False).ids, 1] for t in texts]
+        assert counts.tolist() == [len(w) for w in wanted]
+        assert ids.tolist() == [i for w in wanted for i in w]
+    monkeypatch.setattr(Pretokenizer, "mapped", lambda self, piece: pytest.fail(f"{piece!r} mapped again"))
+    again, same = encoder.encode(pa.array(first), 1)
+    assert again.sum() == counts.sum() and (same == ids).all()

@@ -12,13 +12,16 @@ that is a history of the model, so each step depends only on its trigram (h2, h1
 the trigram's arc if there is one, else the failure arc of (h2, h1), then the bigram's arc,
 else the failure arc of h1 and the unigram.
 
-Steps are dealt to parts by h1. All steps of the corpus around one h1 meet there, so every
-count the automaton needs is a part's own but one: how often w occurs. As each token but
-the end is the h1 of one step and the begin mark that of one step a text, the part of w has
-that count, and it is exchanged once per part and distinct word. An h1 with more steps
-than half a part, by a sample, is dealt by (h1, h2) instead; its bigram counts are summed
-in the same exchange. The sample moves steps between parts and changes no result. What
-cannot be divided is one (h2, h1).
+Texts are taken in chunks. A chunk asks for each of its distinct trigrams once, of the part
+of h1, with what it counted of it in learning rows; the part adds up what all chunks counted
+and answers with counts: of the trigram, its history, its bigram and h1. As each token but
+the end is the h1 of one step and the begin mark that of one step a text, the counts of h1
+are those of all words. An h1 with more steps than half a part, by a sample, is dealt by
+(h1, h2) instead; its bigrams are asked for apart, by (h1, w). The sample moves trigrams
+between parts and changes no result. What cannot be divided is one (h2, h1). The chunk's own
+texts, as numbers, wait in the first exchange for the answers, which come by the second, and
+are scored there as a whole. So what is exchanged follows the steps, however many parts there
+are, and nothing but a few sums is sent to all.
 
 A word is the low 64 bits of its XXH3-128 hash; 32 of the others go along with each h1, and
 two words that differ in them under one hash raise an error. The words of the sample, up to
@@ -36,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creditmill.llm.tables import WORD, pick, text_of
-from creditmill.llm.words import chunks, memory_returned, mixed, texts_of
+from creditmill.llm.words import Cache, chunks, memory_returned, mixed, texts_of
 from creditmill.operators.materialize import batches_within, computed_once
 
 # Fixed values of the contract: remainder of crc32(doc_id) mod 5 that is held out.
@@ -50,32 +53,31 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Bounds of a discount from counts of counts.
 LEAST_DISCOUNT, MOST_DISCOUNT, PLAIN_DISCOUNT = 0.05, 0.95, 0.5
 
-# Text bytes whose steps make a part, and that are split into words together, about.
+# Text bytes whose trigrams make a part, and that are split into words together, about.
 PART_BYTES = 12 << 20
 CHUNK_BYTES = 12 << 20
 LEAST_PARTS = 8
-# Parts per owner of word counts.
-OWNED_PARTS = 4
 # Text bytes of the sample that names frequent words, about, and how many it names at most.
-SAMPLE_BYTES = 4 << 20
-NAMED = 1 << 17
-# Bits of a sort key.
+SAMPLE_BYTES = 16 << 20
+NAMED = 1 << 18
+# Bits of a sort key, and questions that go on together.
 KEY_BITS = 63
-
-STEPS = "ranks binary, keys binary, checks binary, n_own int, h1 binary, h2 binary, w binary, sizes binary, held binary, n_docs int"
-ASKED = pa.schema([
-    *((n, pa.int32()) for n in ("owner", "part")), *((n, pa.binary()) for n in ("ask", "have", "checks", "n", "a", "b", "ab")),
-    *((n, pa.int64()) for n in ("ones3", "twos3", "ones2", "twos2")),
-])
-ASKED_SQL = ("owner int, part int, ask binary, have binary, checks binary, n binary, a binary, b binary, ab binary, "
-             "ones3 bigint, twos3 bigint, ones2 bigint, twos2 bigint")
-TOTALS = ("n", "v", "ones3", "twos3", "ones2", "twos2")
-SETTLED = pa.schema([
-    *((n, pa.int32()) for n in ("part", "owner")), ("c1", pa.binary()), ("c2", pa.binary()), *((n, pa.int64()) for n in TOTALS),
-    ("kinds", pa.list_(pa.struct([("h1", pa.int64()), ("n", pa.int64())]))),
+ROWS = 32
+
+# A chunk's question to a part: its h1, the histories of each and the words behind each
+# history, then the h1 and words of its bigrams; or, with n_docs, the chunk itself.
+STEPS = "keys binary, checks binary, n_own int, own binary, numbers binary, h2 binary, w binary, held binary, n_docs int"
+COUNTS = ("n", "v", "ones3", "twos3", "ones2", "twos2")
+ANSWERS = pa.schema([
+    ("part", pa.int32()), ("chunk", pa.int64()), ("source", pa.int32()), *((n, pa.binary()) for n in ("c3", "c2", "histories", "own", "pairs")),
+    *((n, pa.int64()) for n in COUNTS), ("shared", pa.binary()),
 ])
-SETTLED_SQL = ("part int, owner int, c1 binary, c2 binary, n bigint, v bigint, ones3 bigint, twos3 bigint, ones2 bigint, "
-               "twos2 bigint, kinds array<struct<h1: bigint, n: bigint>>")
+ANSWERS_SQL = ("part int, chunk bigint, source int, c3 binary, c2 binary, histories binary, own binary, pairs binary, n bigint, v bigint, "
+               "ones3 bigint, twos3 bigint, ones2 bigint, twos2 bigint, shared binary")
+TOTALS = pa.schema([("rank", pa.int64()), ("total", pa.int64()), ("kinds", pa.int64()), *((n, pa.int64()) for n in COUNTS)])
+TOTALS_SQL = "rank bigint, total bigint, kinds bigint, n bigint, v bigint, ones3 bigint, twos3 bigint, ones2 bigint, twos2 bigint"
+
+_coders: dict[str, object] = Cache()
 
 
 def words_of(text: Column) -> Column:
@@ -89,18 +91,25 @@ def discount(ones: int, twos: int) -> float:
 
 
 def packed(values: np.ndarray) -> bytes:
-    """The array, byte by byte of its entries, compressed."""
+    """Whole numbers from 0, byte by byte of as few bytes as the largest needs, compressed."""
     import zstandard
 
-    planes = np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize).T
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
+    coder = _coders.get("in") or _coders.setdefault("in", zstandard.ZstdCompressor(level=1))
+    width = 0 if not len(values) else max(1, -(-int(values.max()).bit_length() // 8))
+    planes = np.ascontiguousarray(values, "<i8").view(np.uint8).reshape(-1, 8)[:, :width]
+    return bytes([width]) + (coder.compress(np.ascontiguousarray(planes.T).tobytes()) if width else b"")
 
 
-def unpacked(data: bytes, kind: type) -> np.ndarray:
+def unpacked(data: bytes) -> np.ndarray:
     import zstandard
 
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
-    return np.ascontiguousarray(planes.T).view(kind).ravel()
+    coder = _coders.get("out") or _coders.setdefault("out", zstandard.ZstdDecompressor())
+    if not data[0]:
+        return np.zeros(0, np.int64)
+    planes = np.frombuffer(coder.decompress(data[1:]), np.uint8).reshape(data[0], -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, : data[0]] = planes.T
+    return out.view("<i8").ravel()
 
 
 def hashes(words: list[str | bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -111,10 +120,29 @@ def hashes(words: list[str | bytes]) -> tuple[np.ndarray, np.ndarray]:
     return halves[:, 1].astype(np.uint64), halves[:, 0].astype(np.uint64).astype(np.uint32)
 
 
+def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First place of each run of equal values, and the run of each place."""
+    head = np.ones(len(values), bool)
+    head[1:] = values[1:] != values[:-1]
+    return np.flatnonzero(head), np.cumsum(head) - 1
+
+
+def distinct_of(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values in order, and the place of each."""
+    order = np.argsort(values)
+    ordered = values[order]
+    heads, run = runs(ordered)
+    place = np.empty(len(values), np.int64)
+    place[order] = run
+    return ordered[heads], place
+
+
 def agreed(keys: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct keys, and the place of each; equal keys must have equal checks."""
-    distinct, first, place = np.unique(keys, return_index=True, return_inverse=True)
-    if (checks != checks[first][place]).any():
+    distinct, place = distinct_of(keys)
+    first = np.empty(len(distinct), checks.dtype)
+    first[place] = checks
+    if (checks != first[place]).any():
         raise ValueError("two different tokens share a hash")
     return distinct, place
 
@@ -123,31 +151,27 @@ def joined(arrays: list[np.ndarray], kind: type) -> np.ndarray:
     return np.concatenate([np.zeros(0, kind), *arrays])
 
 
-def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First place of each run of equal values, and the run of each place."""
-    head = np.ones(len(values), bool)
-    head[1:] = values[1:] != values[:-1]
-    return np.flatnonzero(head), np.cumsum(head) - 1
-
-
-def owner_of(keys: np.ndarray, owners: int) -> np.ndarray:
-    return (mixed(keys ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(owners)).astype(np.int32)
+def ones_twos(counts: np.ndarray) -> tuple[int, int]:
+    return int((counts == 1).sum()), int((counts == 2).sum())
 
 
 class Frequent:
     """Frequent words by falling number, of a sample of the texts: their keys, and the
-    number of shares that the steps of each as h1 are dealt to."""
+    number of shares that the trigrams of each as h1 are dealt to."""
+
+    checks: np.ndarray | None = None
 
     def __init__(self, rows: DataFrame, size: int, parts: int):
         sample = rows.sample(min(1.0, SAMPLE_BYTES / max(1, size)), seed=1)
         tokens = sample.select(F.explode(F.concat(F.array(F.lit(BEGIN)), words_of(F.col("text")))).alias("t"))
-        found = tokens.rollup("t").count().orderBy(F.desc("count"), F.asc_nulls_first("t")).limit(NAMED + 1).collect()
-        total, found = (found[0]["count"] or 1 if found else 1), found[1:]  # the first row is that of all tokens
-        self.keys = hashes([r["t"] for r in found])[0]
-        numbers = np.array([r["count"] for r in found], np.int64)
+        found = tokens.rollup("t").count().orderBy(F.desc("count"), F.asc_nulls_first("t")).limit(NAMED + 1).toArrow()
+        # The first row is that of all tokens. The end mark is the h1 of none.
+        numbers = np.append(found.column("count").to_numpy()[1:], 0)
+        total = found.column("count")[0].as_py() or 1 if len(found) else 1
+        self.keys, self.checks = hashes([*found.column("t").to_pylist()[1:], END])
         # More than half a part is shared out.
-        self.shares = np.maximum(1, -(-2 * parts * numbers // total))
-        self.order = np.argsort(self.keys)
+        self.shares = np.maximum(1, -(-2 * parts * numbers // total)).astype(np.int32)
+        self.order = np.argsort(self.keys).astype(np.int32)
 
     def ranks(self, keys: np.ndarray) -> np.ndarray:
         """Rank of each key; their number for one that is not among them."""
@@ -157,12 +181,45 @@ class Frequent:
         at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
         return np.where(known[at] == keys, self.order[at], len(known)).astype(np.uint32)
 
-    def shares_of(self, keys: np.ndarray) -> np.ndarray:
-        return np.append(self.shares, 1)[self.ranks(keys)]
+    def shares_of(self, ranks: np.ndarray) -> np.ndarray:
+        """Of words by their rank; one that has none is not shared out."""
+        return np.append(self.shares, 1)[np.minimum(ranks, len(self.keys))].astype(np.uint64)
+
+
+class Grams:
+    """The distinct trigrams of steps, ordered by h1, h2 and w: these three of each, the
+    history of each, their places among the steps in order, and the trigram of each step."""
+
+    def __init__(self, h1: np.ndarray, h2: np.ndarray, w: np.ndarray, n_words: int, bits: int = KEY_BITS):
+        b = np.int64(max(1, (n_words - 1).bit_length()))
+        mask = (np.int64(1) << b) - 1
+        step = h1.astype(np.int64) << b | h2
+        pairs = None
+        if 3 * b > bits:
+            pairs, step = distinct_of(step)
+        step = step << b | w
+        self.order = np.argsort(step)
+        step = step[self.order]
+        self.heads, run = runs(step)
+        self.place = np.empty(len(step), np.int32)
+        self.place[self.order] = run
+        del run
+        step = step[self.heads]
+        self.w = step & mask
+        step >>= b
+        self.first, self.history = runs(step)  # first trigram of each history
+        if pairs is not None:
+            step = pairs[step]
+        self.h1, self.h2 = step >> b, step & mask
+
+    def counts(self, values: np.ndarray) -> np.ndarray:
+        """Sum of the steps' values for each trigram."""
+        return np.add.reduceat(values[self.order], self.heads) if len(values) else values
 
 
 def deal_steps(parts: int, frequent: Frequent, chunk_bytes: int, schema: pa.Schema):
-    """A function that cuts texts into steps, one row per chunk of texts and part."""
+    """A function that cuts texts into steps: one row per chunk of texts and part it asks,
+    and one for the chunk itself."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -176,8 +233,9 @@ def deal_steps(parts: int, frequent: Frequent, chunk_bytes: int, schema: pa.Sche
                 content = b"".join(np.ascontiguousarray(a).tobytes() for a in (steps.keys, steps.sizes, steps.w))
                 chunk = np.array([xxh3_64_intdigest(content, seed=(task << 24) + number)], np.uint64).view(np.int64)[0]
                 number += 1
+                del content
                 yield from steps.rows(int(chunk), piece, parts, frequent, schema)
-                del steps, content
+                del steps
             batch = piece = None
             memory_returned()
 
@@ -202,256 +260,332 @@ class ChunkSteps:
             raise ValueError("two different tokens share a hash")
         ranks = frequent.ranks(keys)
         order = np.argsort(ranks, kind="stable")
-        self.keys, self.checks, self.ranks = keys[order], checks[order], ranks[order]
+        self.keys, self.checks, self.ranks = keys[order], checks[order], ranks[order].astype(np.int64)
         self.known = int((self.ranks < len(frequent.keys)).sum())
+        if frequent.checks is not None and (self.checks[: self.known] != frequent.checks[self.ranks[: self.known]]).any():
+            raise ValueError("two different tokens share a hash")
         place = np.empty(len(keys), np.int32)
         place[order] = np.arange(len(keys))
-        codes, (begin, end) = place[codes], place[-2:]
-        self.sizes = np.diff(offsets) + 1
-        last = np.cumsum(self.sizes) - 1
-        self.w = np.empty(int(self.sizes.sum()), np.int32)
-        inside = np.ones(len(self.w), bool)
-        inside[last] = False
-        self.w[last], self.w[inside] = end, codes
-        first = last - self.sizes + 1
+        self.begin, self.end = place[-2:].tolist()
+        self.lay_out(place[codes], np.diff(offsets) + 1)
+        self.route(self.keys)
+
+    def lay_out(self, codes: np.ndarray, sizes: np.ndarray) -> None:
+        """Tokens of the steps, from the words of the texts and the number of steps of each."""
+        self.sizes, last = sizes, np.cumsum(sizes) - 1
+        self.w = np.empty(int(sizes.sum()), np.int32)
+        self.inside = np.ones(len(self.w), bool)
+        self.inside[last] = False
+        self.w[last], self.w[self.inside] = self.end, codes
+        first = last - sizes + 1
         self.h1, self.h2 = np.empty_like(self.w), np.empty_like(self.w)
         self.h1[1:], self.h2[2:] = self.w[:-1], self.w[:-2]
-        self.h1[first] = self.h2[first] = begin
-        self.h2[(first + 1)[self.sizes > 1]] = begin
-
-    def parts(self, count: int, frequent: Frequent) -> np.ndarray:
-        """Part of each step."""
-        spread = np.uint64(0x9E3779B97F4A7C15)
-        of_word = (mixed(self.keys.copy()) % np.uint64(count)).astype(np.uint32)
-        out = of_word[self.h1]
-        shares = frequent.shares_of(self.keys).astype(np.uint64)
-        some = np.flatnonzero((shares > 1)[self.h1])
-        h1 = self.h1[some]
-        share = mixed(self.keys ^ spread)[self.h2[some]] % shares[h1]
-        out[some] = (mixed(self.keys[h1] + share * spread) % np.uint64(count)).astype(np.uint32)
-        return out
+        self.h1[first] = self.h2[first] = self.begin
+        self.h2[(first + 1)[sizes > 1]] = self.begin
+
+    def route(self, keys: np.ndarray) -> None:
+        """What decides on the part of a word: 32 bits of its key."""
+        self.way = keys.astype(np.uint64) & np.uint64(0xFFFFFFFF)
+
+    @classmethod
+    def read(cls, row: dict, frequent: Frequent) -> ChunkSteps:
+        """The chunk from its own row; it has no checks, and 32 bits of each unnamed key."""
+        self = cls.__new__(cls)
+        ways, named = np.frombuffer(row["keys"], np.uint32), np.cumsum(unpacked(row["own"]))
+        self.known, self.ranks = len(named), np.concatenate((named, np.full(len(ways), len(frequent.keys))))
+        numbers = unpacked(row["numbers"])
+        self.begin, self.end = numbers[:2].tolist()
+        self.lay_out(unpacked(row["w"]), numbers[2:])
+        self.route(np.concatenate((frequent.keys[named], ways)))
+        return self
+
+    def asked(self, parts: int, frequent: Frequent) -> None:
+        """Distinct trigrams, and bigrams of the h1 that are shared out, with the part of each."""
+        self.grams = g = Grams(self.h1, self.h2, self.w, len(self.ranks))
+        spread, count = np.uint64(0x9E3779B97F4A7C15), np.uint64(parts)
+        self.shares = frequent.shares_of(self.ranks)
+        part = (mixed(self.way.copy()) % count).astype(np.int32)[g.h1]
+        self.some = np.flatnonzero((self.shares > 1)[g.h1])
+        h1 = g.h1[self.some]
+        share = mixed(self.way ^ spread)[g.h2[self.some]] % self.shares[h1]
+        part[self.some] = mixed(self.way[h1] + (share + np.uint64(1)) * spread) % count
+        # The trigrams of each part, in the order of rows.
+        self.by_part = np.argsort(part.astype(np.uint16) if parts < 1 << 16 else part, kind="stable")
+        self.starts = np.searchsorted(part[self.by_part], np.arange(parts + 1))
+        b = np.int64(32)
+        self.pairs, self.pair = distinct_of(h1 << b | g.w[self.some])
+        a, w = self.pairs >> b, self.pairs & ((np.int64(1) << b) - 1)
+        part = (mixed(mixed(self.way[a] ^ spread) + self.way[w]) % count).astype(np.int32)
+        self.pairs_by_part = np.argsort(part, kind="stable")
+        self.pair_starts = np.searchsorted(part[self.pairs_by_part], np.arange(parts + 1))
+
+    def filled(self) -> list[int]:
+        return np.flatnonzero(np.diff(self.starts) + np.diff(self.pair_starts)).tolist()
 
     def rows(self, chunk: int, piece: pa.Table, parts: int, frequent: Frequent, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-        part = self.parts(parts, frequent)
-        order = np.argsort(part.astype(np.uint16) if parts < 1 << 16 else part, kind="stable")
-        starts = np.searchsorted(part[order], np.arange(parts + 1))
-        doc = np.repeat(np.arange(len(self.sizes)), self.sizes)
-        filled = np.flatnonzero(np.diff(starts))
-        home = filled[chunk % len(filled)]
-        held = np.packbits(texts_of(piece, "held_out").to_numpy(zero_copy_only=False)).tobytes()
+        def batch(rows: list[tuple], docs: pa.Array) -> pa.RecordBatch:
+            part, *others = zip(*rows)
+            columns = [pa.array(part, pa.int32()), pa.array([chunk] * len(rows), pa.int64()), docs]
+            return pa.RecordBatch.from_arrays(columns + [pa.array(c, t) for c, t in zip(others, schema.types[3:])], schema=schema)
+
+        held = texts_of(piece, "held_out").to_numpy(zero_copy_only=False).astype(bool)
         ids = texts_of(piece, "doc_id")
-        at = np.zeros(len(self.keys), np.uint32)
-        for p in filled.tolist():
-            own = order[starts[p] : starts[p + 1]]
-            h1, h2, w = self.h1[own], self.h2[own], self.w[own]
-            # Tokens of the row: those that are an h1, then the others.
-            mark = np.zeros(len(self.keys), np.uint8)
-            mark[h2] = mark[w] = 1
-            mark[h1] = 2
-            tokens = np.concatenate((np.flatnonzero(mark == 2), np.flatnonzero(mark == 1)))
-            n_own = int((mark == 2).sum())
-            at[tokens] = np.arange(len(tokens), dtype=np.uint32)
-            docs = pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids) if p == home else pa.nulls(1, schema.field("docs").type)
-            rare = tokens[tokens >= self.known]
-            values = [packed(np.diff(self.ranks[tokens], prepend=np.uint32(0))), self.keys[rare].tobytes(), self.checks[tokens[:n_own]].tobytes(), n_own, packed(at[h1]), packed(at[h2]), packed(at[w]),
-                      packed(np.bincount(doc[own], minlength=len(self.sizes)).astype(np.uint32)), held, len(self.sizes)]
-            columns = [pa.array([v], t) for v, t in zip([p, chunk], schema.types)] + [docs]
-            columns += [pa.array([v], t) for v, t in zip(values, schema.types[3:])]
-            yield pa.RecordBatch.from_arrays(columns, schema=schema)
+        # Sent to where its answers will be sent.
+        own = (home_of(chunk, parts), self.way[self.known :].astype(np.uint32).tobytes(), b"", 0, packed(np.diff(self.ranks[: self.known], prepend=0)),
+               packed(np.concatenate(([self.begin, self.end], self.sizes))), b"", packed(self.w[self.inside]), np.packbits(held).tobytes(), len(self.sizes))
+        yield batch([own], pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids))
+        self.asked(parts, frequent)
+        g, b = self.grams, np.int64(32)
+        learned = g.counts(np.repeat(~held, self.sizes).astype(np.int64))
+        of_pairs = np.bincount(self.pair, learned[self.some], len(self.pairs)).astype(np.int64)
+        g.order = g.heads = g.place = None
+        rows, names, none = [], len(frequent.keys), schema.field("docs").type
+        at, seen = np.zeros(len(self.ranks), np.int64), np.zeros(len(self.ranks), np.uint8)
+        at[: self.known] = self.ranks[: self.known]
+        for p in self.filled():
+            if len(rows) == ROWS:
+                yield batch(rows, pa.nulls(len(rows), none))
+                rows = []
+            own, pair = self.by_part[self.starts[p] : self.starts[p + 1]], self.pairs_by_part[self.pair_starts[p] : self.pair_starts[p + 1]]
+            h1, h2, w = g.h1[own], g.h2[own], g.w[own]
+            a, pair_w = self.pairs[pair] >> b, self.pairs[pair] & ((np.int64(1) << b) - 1)
+            first = runs(g.history[own])[0]
+            heads, pair_heads = runs(h1[first])[0], runs(a)[0]
+            own_h1, own_a = h1[first[heads]], a[pair_heads]
+            # Unnamed tokens of the row: those that are an h1, then the others.
+            n_own = int((own_h1 >= self.known).sum())
+            rare = np.concatenate((h2[first], w, pair_w))
+            rare = rare[rare >= self.known]
+            seen[rare] = 1
+            seen[own_h1] = 0
+            others = rare[seen[rare] == 1]
+            others = others[np.sort(np.unique(others, return_index=True)[1])]
+            seen[rare] = 0
+            tokens = np.concatenate((own_h1[len(own_h1) - n_own :], others))
+            at[tokens] = names + np.arange(len(tokens))
+            named = own_h1[: len(own_h1) - n_own]
+            numbers = (np.diff(heads, append=len(first)), np.diff(first, append=len(own)), learned[own], np.diff(pair_heads, append=len(pair)), of_pairs[pair])
+            rows.append((p, self.keys[tokens].tobytes(), self.checks[tokens[:n_own]].tobytes(), n_own,
+                         b"".join(sized(packed(np.diff(x, prepend=0))) for x in (at[named], at[own_a])),
+                         b"".join(sized(packed(x)) for x in numbers), packed(at[h2[first]]), packed(np.concatenate((at[w], at[pair_w]))), b"", 0))
+        yield batch(rows, pa.nulls(len(rows), none))
+
+
+def home_of(chunk: int, parts: int) -> int:
+    """A number that is no part."""
+    return parts + chunk % ((1 << 31) - 1 - parts)
+
+
+def sized(data: bytes) -> bytes:
+    return len(data).to_bytes(4, "little") + data
+
+
+def cut(data: bytes) -> list[np.ndarray]:
+    out, at = [], 0
+    while at < len(data):
+        n = int.from_bytes(data[at : at + 4], "little")
+        out.append(unpacked(data[at + 4 : at + 4 + n]))
+        at += 4 + n
+    return out
 
 
 class PartSteps:
-    """The steps of a part, their distinct trigrams, and its own counts of these."""
+    """What the chunks ask of a part: its distinct trigrams, and its own counts of these."""
 
     def __init__(self, table: pa.Table, frequent: Frequent, bits: int = KEY_BITS):
-        rows = table.select([f.split()[0] for f in STEPS.split(", ")]).to_pylist()
-        keys = []
-        for r in rows:
-            ranks = np.cumsum(unpacked(r["ranks"], np.uint32), dtype=np.uint32)
-            known = ranks < len(frequent.keys)
-            keys.append(np.empty(len(ranks), np.uint64))
-            keys[-1][known] = frequent.keys[ranks[known]]
-            keys[-1][~known] = np.frombuffer(r["keys"], np.uint64)
+        columns = [f.split()[0] for f in STEPS.split(", ")]
+        rows = [r for r in table.select(columns).to_pylist() if not r["n_docs"]]
+        names = len(frequent.keys)
+        each = [(*cut(r["own"]), *cut(r["numbers"]), unpacked(r["h2"]), unpacked(r["w"])) for r in rows]
+        keys = [np.frombuffer(r["keys"], np.uint64) for r in rows]
+        n_own = np.array([r["n_own"] for r in rows], np.int64)
+        n_keys = np.array([len(k) for k in keys], np.int64)
+        offsets = np.cumsum(n_keys) - n_keys
         # Keys of h1 come with checks, the others are compared where they are an h1.
-        self.keys, place = np.unique(np.concatenate(keys), return_inverse=True)
-        places = np.split(place.astype(np.int32), np.cumsum([len(k) for k in keys])[:-1])
-        own = np.concatenate([p[: r["n_own"]] for p, r in zip(places, rows)])
-        checks = np.concatenate([np.frombuffer(r["checks"], np.uint32) for r in rows])
-        agreed(self.keys[own], checks)
-        self.checks = np.zeros(len(self.keys), np.uint32)
-        self.checks[own] = checks
-        self.sizes = [unpacked(r["sizes"], np.uint32).astype(np.int64) for r in rows]
-        trained = [~np.unpackbits(np.frombuffer(r["held"], np.uint8), count=r["n_docs"]).astype(bool) for r in rows]
-        train = np.concatenate([np.repeat(t, s) for t, s in zip(trained, self.sizes)])
-        h1, h2, w = (np.concatenate([p[unpacked(r[c], np.uint32)] for p, r in zip(places, rows)]) for c in ("h1", "h2", "w"))
-        b = np.int64(max(1, (len(self.keys) - 1).bit_length()))
-        histories = h1.astype(np.int64) << b | h2
-        pairs = None
-        if 3 * b > bits:
-            pairs, histories = np.unique(histories, return_inverse=True)
-        step = histories << b | w
-        self.step_h1 = h1
-        del h1, h2, w, histories, keys, place, places
-        order = np.argsort(step)
-        step = step[order]
-        heads, run = runs(step)
-        self.trigram = np.empty(len(step), np.int32)  # of each step
-        self.trigram[order] = run
-        self.c3 = np.add.reduceat(train[order].astype(np.int64), heads)
-        step = step[heads]
-        del order, run, train
-        heads, self.history = runs(step >> b)
-        self.ch2 = np.add.reduceat(self.c3, heads)
-        self.t2 = np.add.reduceat((self.c3 > 0).astype(np.int64), heads)
-        mask = (np.int64(1) << b) - 1
-        h1 = (step >> b if pairs is None else pairs[step >> b]) >> b
-        bigrams, self.bigram = np.unique(h1 << b | (step & mask), return_inverse=True)
-        self.h1, self.w = bigrams >> b, bigrams & mask
-        self.c2 = np.bincount(self.bigram, self.c3).astype(np.int64)
-        self.ch1 = np.bincount(self.h1, self.c2, len(self.keys)).astype(np.int64)
-        self.t1 = np.bincount(self.h1, self.c2 > 0, len(self.keys)).astype(np.int64)
-        self.own = np.unique(self.h1)
-        often = frequent.shares_of(self.keys) > 1
-        self.shared = np.flatnonzero(often[self.h1])  # bigrams that other parts have too
-        self.often = self.own[often[self.own]]
-        marks = hashes([BEGIN, END])[0]
-        # Word counts to ask for; the end occurs as often as the begin mark is an h1.
-        ask = np.union1d(self.keys[np.unique(self.w)], self.keys[self.often])
-        self.ask = np.union1d(ask[ask != marks[1]], marks[:1])
-        self.asked = np.searchsorted(self.ask, np.where(self.keys == marks[1], marks[0], self.keys))
-
-    def pair_owner(self, owners: int) -> np.ndarray:
-        a, b = self.keys[self.h1[self.shared]], self.keys[self.w[self.shared]]
-        return owner_of(a ^ mixed(b), owners)
-
-
-def ask_counts(owners: int, frequent: Frequent):
-    """A function that sends a part's word counts, shared bigram counts and questions to
-    their owners."""
-
-    def ask(table: pa.Table) -> pa.Table:
-        part, steps = table.column("part")[0].as_py(), PartSteps(table, frequent)
-        of_ask, of_own, of_pair = owner_of(steps.ask, owners), owner_of(steps.keys[steps.own], owners), steps.pair_owner(owners)
-        alone = np.ones(len(steps.c2), bool)
-        alone[steps.shared] = False
-        numbers = [int((c == k).sum()) for c in (steps.c3, steps.c2[alone]) for k in (1, 2)]
-        rows = []
-        for owner in np.unique(np.concatenate((of_ask, of_own, of_pair))).tolist():
-            own, pair = steps.own[of_own == owner], steps.shared[of_pair == owner]
-            rows.append([owner, part, steps.ask[of_ask == owner].tobytes(), steps.keys[own].tobytes(), steps.checks[own].tobytes(), packed(steps.ch1[own]),
-                         steps.keys[steps.h1[pair]].tobytes(), steps.keys[steps.w[pair]].tobytes(), packed(steps.c2[pair]), *numbers])
-            numbers = [0] * 4
+        first = np.concatenate([np.arange(o, o + n) for o, n in zip(offsets, n_own)])
+        every = joined(keys, np.uint64)
+        agreed(every[first], joined([np.frombuffer(r["checks"], np.uint32) for r in rows], np.uint32))
+        self.keys, place = distinct_of(every)
+        self.names, self.n_words = names, names + len(self.keys)
+
+        def found(ids: np.ndarray, lengths: list[int]) -> np.ndarray:
+            """Numbers of the part's tokens from those of the rows."""
+            rare = np.flatnonzero(ids >= names)
+            row = np.repeat(np.arange(len(rows)), lengths)[rare]
+            ids[rare] = names + place[offsets[row] + ids[rare] - names]
+            return ids
+
+        # Of each row: h1, their histories, the trigrams of these, and the bigrams asked apart.
+        unnamed = [names + np.arange(n) for n in n_own]
+        own = found(np.concatenate([np.concatenate((np.cumsum(e[0]), u)) for e, u in zip(each, unnamed)]), [len(e[2]) for e in each])
+        self.n_own, self.n_histories, self.n_steps = ([len(e[k]) for e in each] for k in (2, 3, 4))
+        self.n_pairs = [len(e[6]) for e in each]
+        n2, n3, counted, pair_n, pair_counts, h2 = (joined([e[k] for e in each], np.int64) for k in range(2, 8))
+        h2 = found(h2, self.n_histories)
+        w = found(joined([e[8][:n] for e, n in zip(each, self.n_steps)], np.int64), self.n_steps)
+        pair_w = found(joined([e[8][n:] for e, n in zip(each, self.n_steps)], np.int64), self.n_pairs)
+        a = np.repeat(joined([np.cumsum(e[1]) for e in each], np.int64), pair_n)
+        self.asked_h1 = own
+        h1 = np.repeat(np.repeat(own, n2), n3)
+        self.asked_first = np.cumsum(n3) - n3  # first trigram of each history that is asked for
+        grams = Grams(h1, np.repeat(h2, n3), w, self.n_words, bits)
+        self.trigram, self.history = grams.place, grams.history  # of each that is asked for, of each distinct one
+        self.c3 = grams.counts(counted)
+        del h1, h2, w, each, rows
+        self.ch2 = np.add.reduceat(self.c3, grams.first) if len(self.c3) else self.c3
+        self.t2 = np.add.reduceat((self.c3 > 0).astype(np.int64), grams.first) if len(self.c3) else self.c3
+        b = np.int64(max(1, (self.n_words - 1).bit_length()))
+        bigrams, self.bigram = distinct_of(grams.h1 << b | grams.w)
+        self.h1, self.w = bigrams >> b, bigrams & ((np.int64(1) << b) - 1)
+        self.c2 = np.bincount(self.bigram, self.c3, len(bigrams)).astype(np.int64)
+        self.ch1 = np.bincount(self.h1, self.c2, self.n_words).astype(np.int64)
+        self.t1 = np.bincount(self.h1, self.c2 > 0, self.n_words).astype(np.int64)
+        # Those of shared h1 are counted by the parts of their bigrams.
+        self.alone = frequent.shares_of(self.h1) == 1
+        self.asked_alone = frequent.shares_of(own) == 1
+        pairs, self.pair = distinct_of(a << b | pair_w)
+        self.pair_h1, self.pair_c2 = pairs >> b, np.bincount(self.pair, pair_counts, len(pairs)).astype(np.int64)
+
+    def totals(self) -> tuple[dict[str, int], np.ndarray]:
+        """Sums for the corpus; rank, number and number of different words of shared h1."""
+        own = np.unique(self.h1[self.alone])
+        ones3, twos3 = ones_twos(self.c3)
+        ones2, twos2 = np.add(ones_twos(self.c2[self.alone]), ones_twos(self.pair_c2)).tolist()
+        heads = runs(self.pair_h1)[0]
+        shared = np.zeros((3, len(heads)), np.int64)
+        if len(heads):
+            shared[:] = self.pair_h1[heads], np.add.reduceat(self.pair_c2, heads), np.add.reduceat((self.pair_c2 > 0).astype(np.int64), heads)
+        return {"n": int(self.ch1[own].sum()), "v": int((self.ch1[own] > 0).sum()), "ones3": ones3, "twos3": twos3, "ones2": ones2, "twos2": twos2}, shared
+
+
+def answer_steps(parts: int, frequent: Frequent):
+    """A function that adds up what the chunks counted, and answers each."""
+
+    def answer(table: pa.Table) -> pa.Table:
+        part = table.column("part")[0].as_py()
+        if part >= parts:  # a chunk itself
+            return ANSWERS.empty_table()
+        steps = PartSteps(table, frequent)
+        sums, shared = steps.totals()
+        c3, c2, alone = steps.c3[steps.trigram], steps.c2[steps.bigram[steps.trigram]], steps.alone[steps.bigram[steps.trigram]]
+        history = steps.history[steps.trigram[steps.asked_first]]
+        ch2, t2 = steps.ch2[history], steps.t2[history]
+        ch1, t1, own_alone = steps.ch1[steps.asked_h1], steps.t1[steps.asked_h1], steps.asked_alone
+        pairs = steps.pair_c2[steps.pair]
+        sizes = [np.cumsum([0, *n]) for n in (steps.n_steps, steps.n_histories, steps.n_own, steps.n_pairs)]
         del steps
+        rows = []
+        for i, chunk in enumerate(table.column("chunk").to_pylist()):
+            of3, of2, of1, of_pairs = (slice(s[i], s[i + 1]) for s in sizes)
+            known = own_alone[of1]
+            rows.append([home_of(chunk, parts), chunk, part, packed(c3[of3]), packed((c2[of3] - c3[of3])[alone[of3]]),
+                         b"".join(map(sized, (packed(ch2[of2] - t2[of2]), packed(t2[of2])))),
+                         b"".join(map(sized, (packed((ch1[of1] - t1[of1])[known]), packed(t1[of1][known])))), packed(pairs[of_pairs]),
+                         *sums.values(), shared.tobytes()])
+            sums, shared = dict.fromkeys(sums, 0), shared[:, :0]
+        del c3, c2, alone, history, ch2, t2, ch1, t1, pairs
         memory_returned()
-        return pa.table([list(c) for c in zip(*rows)], schema=ASKED)
-
-    return ask
-
-
-def settle(table: pa.Table) -> pa.Table:
-    """Answers each part: corpus counts of its words and shared bigrams; one row more, of
-    part -1, has the owner's totals and the number of different words behind each h1 it shares."""
-    rows = table.to_pylist()
-    have = {c: joined([np.frombuffer(r[c], k) for r in rows], k) for c, k in (("have", np.uint64), ("checks", np.uint32), ("a", np.uint64), ("b", np.uint64))}
-    words, place = agreed(have["have"], have["checks"])
-    c1 = np.bincount(place, joined([unpacked(r["n"], np.int64) for r in rows], np.int64), len(words)).astype(np.int64)
-    order = np.lexsort((have["b"], have["a"]))
-    a, b = have["a"][order], have["b"][order]
-    head = np.ones(len(a), bool)
-    head[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-    run = np.cumsum(head) - 1
-    c2 = np.bincount(run, joined([unpacked(r["ab"], np.int64) for r in rows], np.int64)[order]).astype(np.int64)
-    kinds, n_kinds = np.unique(a[head][c2 > 0], return_counts=True)
-    each = np.empty(len(a), np.int64)
-    each[order] = c2[run]
-    out, at = [], 0
-    for r in rows:
-        n = len(r["a"]) // 8
-        asked = np.frombuffer(r["ask"], np.uint64)
-        found = np.searchsorted(words, asked)
-        if (words[np.minimum(found, len(words) - 1)] != asked).any():
-            raise ValueError("a token is no history")
-        out.append([r["part"], r["owner"], packed(c1[found]), packed(each[at : at + n]), *[0] * len(TOTALS), []])
-        at += n
-    totals = [int(c1.sum()), int((c1 > 0).sum()), sum(r["ones3"] for r in rows), sum(r["twos3"] for r in rows),
-              sum(r["ones2"] for r in rows) + int((c2 == 1).sum()), sum(r["twos2"] for r in rows) + int((c2 == 2).sum())]
-    shared = [{"h1": k, "n": n} for k, n in zip(kinds.view(np.int64).tolist(), n_kinds.tolist())]
-    out.append([-1, rows[0]["owner"], b"", b"", *totals, shared])
-    return pa.table([pa.array(c, t) for c, t in zip(zip(*out), SETTLED.types)], schema=SETTLED)
-
-
-def score_steps(owners: int, frequent: Frequent, schema: pa.Schema):
-    """A function that walks a part's steps: sums per text, one row per chunk of texts."""
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*rows), ANSWERS.types)], schema=ANSWERS)
+
+    return answer
+
+
+def add_totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds up the parts' sums for the corpus: a row of rank -1, and one per word that is
+    shared out."""
+    sums, shared = [0] * len(COUNTS), [np.zeros((3, 0), np.int64)]
+    for batch in batches:
+        sums = [s + (pc.sum(batch.column(c)).as_py() or 0) for s, c in zip(sums, COUNTS)]
+        shared += [np.frombuffer(d, np.int64).reshape(3, -1) for d in batch.column("shared").to_pylist() if d]
+    rank, *numbers = np.concatenate(shared, axis=1)
+    rank, place = distinct_of(rank)
+    columns = [np.append(-1, rank), *(np.append(0, np.bincount(place, n, len(rank)).astype(np.int64)) for n in numbers)]
+    columns += [np.append(s, np.zeros(len(rank), np.int64)) for s in sums]
+    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=TOTALS)
+
+
+def score_steps(parts: int, frequent: Frequent, schema: pa.Schema):
+    """A function that walks the steps of chunks: the scores of their texts."""
 
     def score(table: pa.Table, answers: pa.Table) -> pa.Table:
-        steps = PartSteps(table, frequent)
-        rows = answers.to_pylist()
-        of_ask, of_pair = owner_of(steps.ask, owners), steps.pair_owner(owners)
-        counts, c2, ch1, t1 = np.zeros(len(steps.ask), np.int64), steps.c2, steps.ch1, steps.t1
-        for r in rows:
-            counts[of_ask == r["owner"]] = unpacked(r["c1"], np.int64)
-            c2[steps.shared[of_pair == r["owner"]]] = unpacked(r["c2"], np.int64)
-        total = rows[0]
-        c1 = counts[steps.asked[steps.w]]  # of each bigram
-        ch1[steps.often] = counts[steps.asked[steps.often]]
-        kinds: dict[int, int] = {}
-        for one in total["kinds"]:
-            for k in one:
-                kinds[k["h1"]] = kinds.get(k["h1"], 0) + k["n"]
-        t1[steps.often] = [kinds.get(k, 0) for k in steps.keys[steps.often].view(np.int64).tolist()]
-        d3, d2 = discount(total["ones3"], total["twos3"]), discount(total["ones2"], total["twos2"])
-        z = total["n"] + HALF * (total["v"] + 1)
-        p1 = (c1 + HALF) / z
-        with np.errstate(divide="ignore", invalid="ignore"):
-            weight1, weight2 = d2 * t1 / ch1, d3 * steps.t2 / steps.ch2
-            fail1, fail2 = np.where(ch1 > 0, np.log10(weight1), 0.0), np.where(steps.ch2 > 0, np.log10(weight2), 0.0)
-            p2 = (c2 - d2) / ch1[steps.h1] + weight1[steps.h1] * p1
-            lower = np.where(c2 > 0, np.log10(p2), fail1[steps.h1] + np.log10(p1))
-            del p1, c1
-            p3 = (steps.c3 - d3) / steps.ch2[steps.history] + weight2[steps.history] * p2[steps.bigram]
-            lp = np.where(steps.c3 > 0, np.log10(p3), fail2[steps.history] + lower[steps.bigram])
-            del p2, p3, lower, weight2, fail2
-        # Each token but the end is an h1 once, and the begin mark stands for the end.
-        base, known = np.log10((ch1 + HALF) / z), ch1 > 0
-        sizes = np.concatenate(steps.sizes)
-        doc = np.repeat(np.arange(len(sizes)), sizes)
-        sums = [np.bincount(doc, v, len(sizes)) for v in (lp[steps.trigram], base[steps.step_h1], known[steps.step_h1])]
-        out, at = [], 0
-        for own, chunk, part, held in zip(steps.sizes, *(table.column(c).to_pylist() for c in ("chunk", "part", "held"))):
-            some = np.flatnonzero(own)
-            score_, base_, known_ = (s[at : at + len(own)][some] for s in sums)
-            at += len(own)
-            out.append([chunk, part, held, packed(own.astype(np.uint32)), packed(known_.astype(np.uint32)), packed(base_), packed(score_), total["n"]])
-        columns = [pa.array(c, t) for c, t in zip(zip(*out), schema.types)]
-        del steps, sums, lp, doc
+        out = []
+        if table.num_rows and table.column("part")[0].as_py() < parts:  # questions
+            return schema.empty_table()
+        chunks_, answering = table.column("chunk").to_pylist(), answers.column("chunk")
+        if len(set(chunks_)) < len(chunks_) or set(answering.to_pylist()) - set(chunks_):
+            raise ValueError("a chunk of texts was read twice and was not the same")
+        names = [f.split()[0] for f in STEPS.split(", ")]
+        for i, chunk in enumerate(chunks_):
+            row = table.slice(i, 1)
+            own = answers.filter(pc.equal(answering, chunk)).sort_by("source")
+            values = row.select([*names, "shared", *COUNTS]).to_pylist()[0]
+            out.append(pa.Table.from_arrays([texts_of(row, "docs").flatten(), *chunk_scores(values, own, parts, frequent)], schema=schema))
         memory_returned()
-        return pa.Table.from_arrays([*columns, texts_of(table, "docs")], schema=schema)
+        return pa.concat_tables(out)
 
     return score
 
 
-def add_scores(schema: pa.Schema):
-    """A function that adds up the sums of a chunk's texts from all parts."""
+def chunk_scores(row: dict, answers: pa.Table, parts: int, frequent: Frequent) -> list[pa.Array]:
+    steps = ChunkSteps.read(row, frequent)
+    steps.asked(parts, frequent)
+    g, names = steps.grams, len(frequent.keys)
+    if answers.column("source").to_pylist() != steps.filled():
+        raise ValueError("a chunk of texts was read twice and was not the same")
+
+    def gathered(column: str, places: np.ndarray, size: int) -> np.ndarray:
+        """The answers of all parts, put in their places."""
+        values = joined([unpacked(v) for v in answers.column(column).to_pylist()], np.int64)
+        return put(values, places, size)
 
-    def add(table: pa.Table) -> pa.Table:
-        table = table.sort_by("part").combine_chunks()
-        docs = texts_of(table, "docs")
-        if len(docs) - docs.null_count != 1:
+    def put(values: np.ndarray, places: np.ndarray, size: int) -> np.ndarray:
+        if len(values) != len(places):
             raise ValueError("a chunk of texts was read twice and was not the same")
-        ids = docs.drop_null().flatten()
-        n_tokens, n_known = np.zeros((2, len(ids)), np.int64)
-        base, score = np.zeros((2, len(ids)))
-        for r in table.drop_columns("docs").to_pylist():
-            own = unpacked(r["sizes"], np.uint32)
-            some = np.flatnonzero(own)
-            n_tokens += own
-            n_known[some] += unpacked(r["known"], np.uint32)
-            base[some] += unpacked(r["base"], np.float64)
-            score[some] += unpacked(r["score"], np.float64)
-        held = np.unpackbits(np.frombuffer(r["held"], np.uint8), count=len(ids)).astype(bool)
-        return pa.Table.from_arrays([ids, *map(pa.array, (held, n_tokens, n_known, np.full(len(ids), r["train"], np.int64), base, score))], schema=schema)
-
-    return add
+        out = np.zeros(size, np.int64)
+        out[places] = values
+        return out
+
+    alone = steps.shares == 1
+    c3 = gathered("c3", steps.by_part, len(g.w))
+    c2 = gathered("c2", steps.by_part[alone[g.h1[steps.by_part]]], len(g.w))
+    c2 += c3
+    c2[steps.some] = gathered("pairs", steps.pairs_by_part, len(steps.pairs))[steps.pair]
+    # A history lies in one part, and so does an h1 that is not shared out.
+    first = steps.by_part[runs(g.history[steps.by_part])[0]]
+    both = [cut(v) for v in answers.column("histories").to_pylist()]
+    ch2, t2 = (put(joined([v[k] for v in both], np.int64), g.history[first], len(g.first)) for k in (0, 1))
+    ch2 += t2
+    own = g.h1[first]
+    own = own[runs(own)[0]]
+    own = own[alone[own]]
+    both = [cut(v) for v in answers.column("own").to_pylist()]
+    ch1, t1 = (put(joined([v[k] for v in both], np.int64), own, len(steps.ranks)) for k in (0, 1))
+    ch1 += t1
+    total, shared = {c: row[c] for c in COUNTS}, np.zeros((2, names), np.int64)
+    for one in row["shared"]:
+        shared[:, one["rank"]] = one["total"], one["kinds"]
+    total["n"] += int(shared[0].sum())
+    total["v"] += int((shared[0] > 0).sum())
+    ch1[~alone], t1[~alone] = shared[:, steps.ranks[~alone]]
+    # Each token but the end is an h1 once, and the begin mark stands for the end.
+    c1 = ch1.copy()
+    c1[steps.end] = ch1[steps.begin]
+    d3, d2 = discount(total["ones3"], total["twos3"]), discount(total["ones2"], total["twos2"])
+    p1 = (c1 + HALF) / (total["n"] + HALF * (total["v"] + 1))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        weight1, weight2 = d2 * t1 / ch1, d3 * t2 / ch2
+        fail1, fail2 = np.where(ch1 > 0, np.log10(weight1), 0.0), np.where(ch2 > 0, np.log10(weight2), 0.0)
+        p2 = (c2 - d2) / ch1[g.h1] + weight1[g.h1] * p1[g.w]
+        lower = np.where(c2 > 0, np.log10(p2), fail1[g.h1] + np.log10(p1[g.w]))
+        p3 = (c3 - d3) / ch2[g.history] + weight2[g.history] * p2
+        lp = np.where(c3 > 0, np.log10(p3), fail2[g.history] + lower)
+    del p2, p3, lower, c2, c3
+    n = len(steps.sizes)
+    doc = np.repeat(np.arange(n), steps.sizes)
+    known = np.bincount(doc, (c1 > 0)[steps.w], n).astype(np.int64)
+    base, score = np.bincount(doc, np.log10(p1)[steps.w], n), np.bincount(doc, lp[g.place], n)
+    held = np.unpackbits(np.frombuffer(row["held"], np.uint8), count=n).astype(bool)
+    return [pa.array(v) for v in (held, steps.sizes.astype(np.int64), known, np.full(n, total["n"], np.int64), base, score)]
 
 
 def backoff_scores(
@@ -472,7 +606,6 @@ def backoff_scores(
     rows = pick(documents, "doc_id", "text").select("doc_id", text_of().alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(LEAST_PARTS, -(-size // part_bytes))
-    owners = -(-parts // OWNED_PARTS)
     frequent = Frequent(rows, size, parts)
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == held_out, F.lit(False))
     kind = rows.schema["doc_id"].dataType
@@ -480,22 +613,19 @@ def backoff_scores(
     binary, i32, i64 = pa.binary(), pa.int32(), pa.int64()
     dealt = pa.schema([("part", i32), ("chunk", i64), ("docs", pa.list_(ids))] + [
         (f.split()[0], binary if f.endswith("binary") else i32) for f in STEPS.split(", ")])
-    summed = pa.schema([("chunk", i64), ("part", i32), *((c, binary) for c in ("held", "sizes", "known", "base", "score")), ("train", i64), ("docs", pa.list_(ids))])
     result = pa.schema([("doc_id", ids), ("held_out", pa.bool_()), ("n_tokens", i64), ("n_known", i64), ("train_tokens", i64), ("base_score", pa.float64()), ("score", pa.float64())])
     name = kind.simpleString()
 
+    # Two shuffles, each read twice: what is asked, by the parts and by the chunks that wait
+    # in it; what is answered, for the corpus-wide sums and by the chunks.
     steps = rows.select("doc_id", "text", held.alias("held_out")).mapInArrow(
-        deal_steps(parts, frequent, chunk_bytes, dealt), f"part int, chunk bigint, docs array<{name}>, {STEPS}")
-    # Read by both passes over the parts, from one shuffle.
-    by_part = steps.repartition(2 * parts, "part").groupBy("part")
-    asked = by_part.applyInArrow(ask_counts(owners, frequent), ASKED_SQL)
-    settled = asked.repartition(2 * owners, "owner").groupBy("owner").applyInArrow(settle, SETTLED_SQL)
-    totals = settled.where("part < 0").agg(*[F.sum(c).alias(c) for c in TOTALS], F.collect_list("kinds").alias("kinds"))
-    answers = settled.where("part >= 0").select("part", "owner", "c1", "c2").crossJoin(F.broadcast(totals))
-    sums = by_part.cogroup(answers.groupBy("part")).applyInArrow(
-        score_steps(owners, frequent, summed),
-        f"chunk bigint, part int, held binary, sizes binary, known binary, base binary, score binary, train bigint, docs array<{name}>")
-    scores = sums.groupBy("chunk").applyInArrow(
-        add_scores(result), f"doc_id {name}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
+        deal_steps(parts, frequent, chunk_bytes, dealt), f"part int, chunk bigint, docs array<{name}>, {STEPS}").repartition(2 * parts, "part")
+    answers = steps.groupBy("part").applyInArrow(answer_steps(parts, frequent), ANSWERS_SQL).repartition(2 * parts, "part")
+    sums = answers.mapInArrow(add_totals, TOTALS_SQL).groupBy("rank").agg(*[F.sum(c).alias(c) for c in ("total", "kinds", *COUNTS)])
+    sums = sums.agg(F.collect_list(F.when(F.col("rank") >= 0, F.struct("rank", "total", "kinds"))).alias("shared"), *[F.sum(c).alias(c) for c in COUNTS])
+    # Only a chunk's own row has n_docs, and so gets the sums.
+    chunks_ = steps.join(F.broadcast(sums.withColumn("waits", F.lit(True))), (F.col("n_docs") > 0) == F.col("waits"), "left")
+    scores = chunks_.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(
+        score_steps(parts, frequent, result), f"doc_id {name}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
     with batches_within(documents.sparkSession, chunk_bytes):
         return computed_once(scores)

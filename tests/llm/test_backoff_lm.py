@@ -190,3 +190,46 @@ def test_words_that_share_a_hash_raise():
 
     with pytest.raises(ValueError, match="share a hash"):
         agreed(np.array([7, 8, 7], np.uint64), np.array([1, 2, 3], np.uint32))
+
+
+def shuffled(spark):
+    """Bytes of each shuffle file that the session has."""
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    files = [files.apply(i) for i in range(files.size())]
+    return {f.getName(): f.length() for f in files if f.getName().startswith("shuffle_") and f.getName().endswith(".data")}
+
+
+def test_many_parts_exchange_little_more(spark, small):
+    """With 816 parts, as of 6 GB, 0.1 GB of documents wrote 36 GB of answers, and sums for nearly each step."""
+    docs = spark.read.parquet(f"{small.replace('sf0.001', 'sf0.01')}/documents.parquet").select("doc_id", "text").cache()
+    size = sum(len((r.text or "").encode()) for r in docs.collect())
+    written = []
+    for parts in (8, 160):
+        before = shuffled(spark)
+        backoff_scores(docs, part_bytes=size // parts)
+        written.append(sum(n for f, n in shuffled(spark).items() if f not in before))
+    assert written[1] < 2 * written[0] and written[1] < 6 * size
+
+
+def test_parts_count_what_all_chunks_learned(spark):
+    """Two chunks, and h1 whose trigrams several parts share."""
+    from creditmill.llm.backoff_lm import COUNTS, answer_steps
+
+    texts, frequent, parts = [t or "" for _, t in odd_rows()], few_words(16, ["the", "a", "cat"]), 5
+    first, second = (dealt(spark, half, parts, frequent)[1] for half in (texts[:30], texts[30:]))
+    second = second.set_column(1, "chunk", pa.array([6] * len(second), pa.int64()))
+    both = pa.concat_tables([first, second])
+    asked = both.filter(pc.less(both["part"], parts))
+    answer = answer_steps(parts, frequent)
+    answers = pa.concat_tables([answer(asked.filter(pc.equal(asked["part"], p))) for p in range(parts)])
+    assert len(answers) == len(asked) and len(answer(both.filter(pc.greater_equal(both["part"], parts)))) == 0
+    c3, c2 = Counter(), Counter()
+    for half in (texts[:30], texts[30:]):
+        for t in (t for i, t in enumerate(half) if not held(i)):
+            s = [BEGIN, BEGIN, *brute.words(t, lower=True), END]
+            c3.update(zip(s, s[1:], s[2:]))
+            c2.update(zip(s[1:], s[2:]))
+    got = dict(zip(COUNTS, (sum(answers[c].to_pylist()) for c in COUNTS)))
+    assert [got[c] for c in ("ones3", "twos3", "ones2", "twos2")] == [sum(n == k for n in c.values()) for c in (c3, c2) for k in (1, 2)]
+    shared = np.concatenate([np.frombuffer(d, np.int64).reshape(3, -1) for d in answers["shared"].to_pylist()], axis=1)
+    assert got["n"] + shared[1].sum() == sum(c2.values())

@@ -60,9 +60,11 @@ LEAST_PARTS = 8
 # Text bytes of the sample that names frequent words, about, and how many it names at most.
 SAMPLE_BYTES = 16 << 20
 NAMED = 1 << 18
-# Bits of a sort key, and questions that go on together.
+# Bits of a sort key; questions that go on together.
 KEY_BITS = 63
 ROWS = 32
+# Trigrams that are scored at once.
+BLOCK = 1 << 18
 
 # A chunk's question to a part: its h1, the histories of each and the words behind each
 # history, then the h1 and words of its bigrams; or, with n_docs, the chunk itself.
@@ -96,20 +98,22 @@ def packed(values: np.ndarray) -> bytes:
 
     coder = _coders.get("in") or _coders.setdefault("in", zstandard.ZstdCompressor(level=1))
     width = 0 if not len(values) else max(1, -(-int(values.max()).bit_length() // 8))
-    planes = np.ascontiguousarray(values, "<i8").view(np.uint8).reshape(-1, 8)[:, :width]
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize)[:, :width]
     return bytes([width]) + (coder.compress(np.ascontiguousarray(planes.T).tobytes()) if width else b"")
 
 
 def unpacked(data: bytes) -> np.ndarray:
+    """In 32 bits each where these do."""
     import zstandard
 
     coder = _coders.get("out") or _coders.setdefault("out", zstandard.ZstdDecompressor())
     if not data[0]:
-        return np.zeros(0, np.int64)
+        return np.zeros(0, np.int32)
     planes = np.frombuffer(coder.decompress(data[1:]), np.uint8).reshape(data[0], -1)
-    out = np.zeros((planes.shape[1], 8), np.uint8)
+    size = 4 if data[0] < 4 else 8
+    out = np.zeros((planes.shape[1], size), np.uint8)
     out[:, : data[0]] = planes.T
-    return out.view("<i8").ravel()
+    return out.view(f"<i{size}").ravel()
 
 
 def hashes(words: list[str | bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -124,7 +128,9 @@ def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First place of each run of equal values, and the run of each place."""
     head = np.ones(len(values), bool)
     head[1:] = values[1:] != values[:-1]
-    return np.flatnonzero(head), np.cumsum(head) - 1
+    run = np.cumsum(head, dtype=np.int32)
+    run -= 1
+    return np.flatnonzero(head), run
 
 
 def distinct_of(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -132,7 +138,7 @@ def distinct_of(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(values)
     ordered = values[order]
     heads, run = runs(ordered)
-    place = np.empty(len(values), np.int64)
+    place = np.empty(len(values), np.int32)
     place[order] = run
     return ordered[heads], place
 
@@ -193,28 +199,34 @@ class Grams:
     def __init__(self, h1: np.ndarray, h2: np.ndarray, w: np.ndarray, n_words: int, bits: int = KEY_BITS):
         b = np.int64(max(1, (n_words - 1).bit_length()))
         mask = (np.int64(1) << b) - 1
-        step = h1.astype(np.int64) << b | h2
+        step = h1.astype(np.int64)
+        step <<= b
+        step |= h2
         pairs = None
         if 3 * b > bits:
             pairs, step = distinct_of(step)
-        step = step << b | w
-        self.order = np.argsort(step)
+            step = step.astype(np.int64)
+        step <<= b
+        step |= w
+        self.order = np.argsort(step).astype(np.int32)
         step = step[self.order]
         self.heads, run = runs(step)
         self.place = np.empty(len(step), np.int32)
         self.place[self.order] = run
         del run
         step = step[self.heads]
-        self.w = step & mask
+        self.w = (step & mask).astype(np.int32)
         step >>= b
         self.first, self.history = runs(step)  # first trigram of each history
         if pairs is not None:
             step = pairs[step]
-        self.h1, self.h2 = step >> b, step & mask
+        self.h2 = (step & mask).astype(np.int32)
+        step >>= b
+        self.h1 = step.astype(np.int32)
 
     def counts(self, values: np.ndarray) -> np.ndarray:
         """Sum of the steps' values for each trigram."""
-        return np.add.reduceat(values[self.order], self.heads) if len(values) else values
+        return np.add.reduceat(values[self.order], self.heads, dtype=np.int64) if len(values) else values.astype(np.int64)
 
 
 def deal_steps(parts: int, frequent: Frequent, chunk_bytes: int, schema: pa.Schema):
@@ -223,17 +235,18 @@ def deal_steps(parts: int, frequent: Frequent, chunk_bytes: int, schema: pa.Sche
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        from xxhash import xxh3_64_intdigest
+        from xxhash import xxh3_64
 
         number, task = 0, TaskContext.get().partitionId()
         for batch in batches:
             for piece in chunks(batch, limit=chunk_bytes):
                 steps = ChunkSteps(texts_of(piece), frequent)
                 # A repeated task gives the same chunks only if it reads the same rows.
-                content = b"".join(np.ascontiguousarray(a).tobytes() for a in (steps.keys, steps.sizes, steps.w))
-                chunk = np.array([xxh3_64_intdigest(content, seed=(task << 24) + number)], np.uint64).view(np.int64)[0]
+                content = xxh3_64(seed=(task << 24) + number)
+                for part in (steps.keys, steps.sizes, steps.w):
+                    content.update(np.ascontiguousarray(part))
+                chunk = np.array([content.intdigest()], np.uint64).view(np.int64)[0]
                 number += 1
-                del content
                 yield from steps.rows(int(chunk), piece, parts, frequent, schema)
                 del steps
             batch = piece = None
@@ -255,12 +268,16 @@ class ChunkSteps:
             real = codes != words.index(b"")
             offsets = np.concatenate(([0], np.cumsum(real)))[offsets]
             codes = codes[real]
-        keys, checks = hashes([*words, BEGIN, END])
+            del real
+        words += [BEGIN, END]
+        del lists, coded
+        keys, checks = hashes(words)
+        del words
         if len(np.unique(keys)) < len(keys):
             raise ValueError("two different tokens share a hash")
         ranks = frequent.ranks(keys)
         order = np.argsort(ranks, kind="stable")
-        self.keys, self.checks, self.ranks = keys[order], checks[order], ranks[order].astype(np.int64)
+        self.keys, self.checks, self.ranks = keys[order], checks[order], ranks[order].astype(np.int32)
         self.known = int((self.ranks < len(frequent.keys)).sum())
         if frequent.checks is not None and (self.checks[: self.known] != frequent.checks[self.ranks[: self.known]]).any():
             raise ValueError("two different tokens share a hash")
@@ -292,7 +309,7 @@ class ChunkSteps:
         """The chunk from its own row; it has no checks, and 32 bits of each unnamed key."""
         self = cls.__new__(cls)
         ways, named = np.frombuffer(row["keys"], np.uint32), np.cumsum(unpacked(row["own"]))
-        self.known, self.ranks = len(named), np.concatenate((named, np.full(len(ways), len(frequent.keys))))
+        self.known, self.ranks = len(named), np.concatenate((named, np.full(len(ways), len(frequent.keys)))).astype(np.int32)
         numbers = unpacked(row["numbers"])
         self.begin, self.end = numbers[:2].tolist()
         self.lay_out(unpacked(row["w"]), numbers[2:])
@@ -302,6 +319,7 @@ class ChunkSteps:
     def asked(self, parts: int, frequent: Frequent) -> None:
         """Distinct trigrams, and bigrams of the h1 that are shared out, with the part of each."""
         self.grams = g = Grams(self.h1, self.h2, self.w, len(self.ranks))
+        del self.h1, self.h2
         spread, count = np.uint64(0x9E3779B97F4A7C15), np.uint64(parts)
         self.shares = frequent.shares_of(self.ranks)
         part = (mixed(self.way.copy()) % count).astype(np.int32)[g.h1]
@@ -310,10 +328,10 @@ class ChunkSteps:
         share = mixed(self.way ^ spread)[g.h2[self.some]] % self.shares[h1]
         part[self.some] = mixed(self.way[h1] + (share + np.uint64(1)) * spread) % count
         # The trigrams of each part, in the order of rows.
-        self.by_part = np.argsort(part.astype(np.uint16) if parts < 1 << 16 else part, kind="stable")
-        self.starts = np.searchsorted(part[self.by_part], np.arange(parts + 1))
+        self.by_part = np.argsort(part.astype(np.uint16) if parts < 1 << 16 else part, kind="stable").astype(np.int32)
+        self.starts = np.append(0, np.cumsum(np.bincount(part, minlength=parts)))
         b = np.int64(32)
-        self.pairs, self.pair = distinct_of(h1 << b | g.w[self.some])
+        self.pairs, self.pair = distinct_of(h1.astype(np.int64) << b | g.w[self.some])
         a, w = self.pairs >> b, self.pairs & ((np.int64(1) << b) - 1)
         part = (mixed(mixed(self.way[a] ^ spread) + self.way[w]) % count).astype(np.int32)
         self.pairs_by_part = np.argsort(part, kind="stable")
@@ -336,11 +354,11 @@ class ChunkSteps:
         yield batch([own], pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids))
         self.asked(parts, frequent)
         g, b = self.grams, np.int64(32)
-        learned = g.counts(np.repeat(~held, self.sizes).astype(np.int64))
+        learned = g.counts(np.repeat((~held).view(np.int8), self.sizes)).astype(np.int32)
         of_pairs = np.bincount(self.pair, learned[self.some], len(self.pairs)).astype(np.int64)
         g.order = g.heads = g.place = None
         rows, names, none = [], len(frequent.keys), schema.field("docs").type
-        at, seen = np.zeros(len(self.ranks), np.int64), np.zeros(len(self.ranks), np.uint8)
+        at, seen = np.zeros(len(self.ranks), np.int32), np.zeros(len(self.ranks), np.uint8)
         at[: self.known] = self.ranks[: self.known]
         for p in self.filled():
             if len(rows) == ROWS:
@@ -396,46 +414,58 @@ class PartSteps:
         columns = [f.split()[0] for f in STEPS.split(", ")]
         rows = [r for r in table.select(columns).to_pylist() if not r["n_docs"]]
         names = len(frequent.keys)
-        each = [(*cut(r["own"]), *cut(r["numbers"]), unpacked(r["h2"]), unpacked(r["w"])) for r in rows]
+        each = [(*cut(r["own"]), *cut(r["numbers"])) for r in rows]
+        h2, all_w = (joined([unpacked(r[c]) for r in rows], np.int32) for c in ("h2", "w"))
         keys = [np.frombuffer(r["keys"], np.uint64) for r in rows]
         n_own = np.array([r["n_own"] for r in rows], np.int64)
         n_keys = np.array([len(k) for k in keys], np.int64)
         offsets = np.cumsum(n_keys) - n_keys
         # Keys of h1 come with checks, the others are compared where they are an h1.
         first = np.concatenate([np.arange(o, o + n) for o, n in zip(offsets, n_own)])
-        every = joined(keys, np.uint64)
-        agreed(every[first], joined([np.frombuffer(r["checks"], np.uint32) for r in rows], np.uint32))
-        self.keys, place = distinct_of(every)
+        keys = joined(keys, np.uint64)
+        agreed(keys[first], joined([np.frombuffer(r["checks"], np.uint32) for r in rows], np.uint32))
+        n_rows = len(rows)
+        del rows, first
+        self.keys, place = distinct_of(keys)
+        del keys
         self.names, self.n_words = names, names + len(self.keys)
 
         def found(ids: np.ndarray, lengths: list[int]) -> np.ndarray:
             """Numbers of the part's tokens from those of the rows."""
             rare = np.flatnonzero(ids >= names)
-            row = np.repeat(np.arange(len(rows)), lengths)[rare]
+            row = np.repeat(np.arange(n_rows, dtype=np.int32), lengths)[rare]
             ids[rare] = names + place[offsets[row] + ids[rare] - names]
             return ids
 
         # Of each row: h1, their histories, the trigrams of these, and the bigrams asked apart.
         unnamed = [names + np.arange(n) for n in n_own]
-        own = found(np.concatenate([np.concatenate((np.cumsum(e[0]), u)) for e, u in zip(each, unnamed)]), [len(e[2]) for e in each])
-        self.n_own, self.n_histories, self.n_steps = ([len(e[k]) for e in each] for k in (2, 3, 4))
-        self.n_pairs = [len(e[6]) for e in each]
-        n2, n3, counted, pair_n, pair_counts, h2 = (joined([e[k] for e in each], np.int64) for k in range(2, 8))
-        h2 = found(h2, self.n_histories)
-        w = found(joined([e[8][:n] for e, n in zip(each, self.n_steps)], np.int64), self.n_steps)
-        pair_w = found(joined([e[8][n:] for e, n in zip(each, self.n_steps)], np.int64), self.n_pairs)
+        own = found(np.concatenate([np.concatenate((np.cumsum(e[0]), u)) for e, u in zip(each, unnamed)]), [len(e[2]) for e in each]).astype(np.int32)
+        self.n_own, self.n_histories, self.n_steps, self.n_pairs = ([len(e[k]) for e in each] for k in (2, 3, 4, 6))
+        n2, n3, counted, pair_n, pair_counts = (joined([e[k] for e in each], np.int32) for k in range(2, 7))
         a = np.repeat(joined([np.cumsum(e[1]) for e in each], np.int64), pair_n)
+        del each
+        h2 = found(h2, self.n_histories)
+        # The words of a row's trigrams, then of its pairs.
+        lengths = np.stack((self.n_steps, self.n_pairs), axis=1).ravel()
+        of_pairs = np.repeat(np.arange(2 * n_rows) % 2 == 1, lengths)
+        all_w = found(all_w, lengths.reshape(-1, 2).sum(axis=1))
+        w, pair_w = all_w[~of_pairs], all_w[of_pairs]
+        del all_w, of_pairs
         self.asked_h1 = own
         h1 = np.repeat(np.repeat(own, n2), n3)
         self.asked_first = np.cumsum(n3) - n3  # first trigram of each history that is asked for
-        grams = Grams(h1, np.repeat(h2, n3), w, self.n_words, bits)
+        h2 = np.repeat(h2, n3)
+        del n2, n3
+        grams = Grams(h1, h2, w, self.n_words, bits)
+        del h1, h2, w
         self.trigram, self.history = grams.place, grams.history  # of each that is asked for, of each distinct one
         self.c3 = grams.counts(counted)
-        del h1, h2, w, each, rows
+        del counted, grams.order, grams.heads
         self.ch2 = np.add.reduceat(self.c3, grams.first) if len(self.c3) else self.c3
-        self.t2 = np.add.reduceat((self.c3 > 0).astype(np.int64), grams.first) if len(self.c3) else self.c3
+        self.t2 = np.add.reduceat(self.c3 > 0, grams.first, dtype=np.int64) if len(self.c3) else self.c3
         b = np.int64(max(1, (self.n_words - 1).bit_length()))
-        bigrams, self.bigram = distinct_of(grams.h1 << b | grams.w)
+        bigrams, self.bigram = distinct_of(grams.h1.astype(np.int64) << b | grams.w)
+        del grams
         self.h1, self.w = bigrams >> b, bigrams & ((np.int64(1) << b) - 1)
         self.c2 = np.bincount(self.bigram, self.c3, len(bigrams)).astype(np.int64)
         self.ch1 = np.bincount(self.h1, self.c2, self.n_words).astype(np.int64)
@@ -467,7 +497,8 @@ def answer_steps(parts: int, frequent: Frequent):
             return ANSWERS.empty_table()
         steps = PartSteps(table, frequent)
         sums, shared = steps.totals()
-        c3, c2, alone = steps.c3[steps.trigram], steps.c2[steps.bigram[steps.trigram]], steps.alone[steps.bigram[steps.trigram]]
+        trigram, c3, c2, alone = steps.trigram, steps.c3, steps.c2[steps.bigram], steps.alone[steps.bigram]
+        c2 -= c3
         history = steps.history[steps.trigram[steps.asked_first]]
         ch2, t2 = steps.ch2[history], steps.t2[history]
         ch1, t1, own_alone = steps.ch1[steps.asked_h1], steps.t1[steps.asked_h1], steps.asked_alone
@@ -478,12 +509,13 @@ def answer_steps(parts: int, frequent: Frequent):
         for i, chunk in enumerate(table.column("chunk").to_pylist()):
             of3, of2, of1, of_pairs = (slice(s[i], s[i + 1]) for s in sizes)
             known = own_alone[of1]
-            rows.append([home_of(chunk, parts), chunk, part, packed(c3[of3]), packed((c2[of3] - c3[of3])[alone[of3]]),
+            own3 = trigram[of3]
+            rows.append([home_of(chunk, parts), chunk, part, packed(c3[own3]), packed(c2[own3[alone[own3]]]),
                          b"".join(map(sized, (packed(ch2[of2] - t2[of2]), packed(t2[of2])))),
                          b"".join(map(sized, (packed((ch1[of1] - t1[of1])[known]), packed(t1[of1][known])))), packed(pairs[of_pairs]),
                          *sums.values(), shared.tobytes()])
             sums, shared = dict.fromkeys(sums, 0), shared[:, :0]
-        del c3, c2, alone, history, ch2, t2, ch1, t1, pairs
+        del trigram, c3, c2, alone, history, ch2, t2, ch1, t1, pairs
         memory_returned()
         return pa.table([pa.array(c, t) for c, t in zip(zip(*rows), ANSWERS.types)], schema=ANSWERS)
 
@@ -535,32 +567,35 @@ def chunk_scores(row: dict, answers: pa.Table, parts: int, frequent: Frequent) -
 
     def gathered(column: str, places: np.ndarray, size: int) -> np.ndarray:
         """The answers of all parts, put in their places."""
-        values = joined([unpacked(v) for v in answers.column(column).to_pylist()], np.int64)
-        return put(values, places, size)
+        return put([unpacked(v) for v in answers.column(column).to_pylist()], places, size)
 
-    def put(values: np.ndarray, places: np.ndarray, size: int) -> np.ndarray:
+    def put(values: list[np.ndarray], places: np.ndarray, size: int) -> np.ndarray:
+        values = joined(values, np.int32)
         if len(values) != len(places):
             raise ValueError("a chunk of texts was read twice and was not the same")
-        out = np.zeros(size, np.int64)
+        out = np.zeros(size, values.dtype)
         out[places] = values
         return out
 
     alone = steps.shares == 1
     c3 = gathered("c3", steps.by_part, len(g.w))
     c2 = gathered("c2", steps.by_part[alone[g.h1[steps.by_part]]], len(g.w))
-    c2 += c3
-    c2[steps.some] = gathered("pairs", steps.pairs_by_part, len(steps.pairs))[steps.pair]
+    pairs = gathered("pairs", steps.pairs_by_part, len(steps.pairs))
+    c2 = (c2 + c3).astype(np.promote_types(np.promote_types(c2.dtype, c3.dtype), pairs.dtype))
+    c2[steps.some] = pairs[steps.pair]
     # A history lies in one part, and so does an h1 that is not shared out.
     first = steps.by_part[runs(g.history[steps.by_part])[0]]
     both = [cut(v) for v in answers.column("histories").to_pylist()]
-    ch2, t2 = (put(joined([v[k] for v in both], np.int64), g.history[first], len(g.first)) for k in (0, 1))
-    ch2 += t2
+    ch2, t2 = (put([v[k] for v in both], g.history[first], len(g.first)) for k in (0, 1))
+    ch2 = ch2 + t2
     own = g.h1[first]
     own = own[runs(own)[0]]
     own = own[alone[own]]
     both = [cut(v) for v in answers.column("own").to_pylist()]
-    ch1, t1 = (put(joined([v[k] for v in both], np.int64), own, len(steps.ranks)) for k in (0, 1))
+    ch1, t1 = (put([v[k] for v in both], own, len(steps.ranks)).astype(np.int64) for k in (0, 1))
     ch1 += t1
+    del both, own, first, pairs, steps.by_part, steps.starts, steps.some, steps.pair
+    h1, w, history = g.h1, g.w, g.history
     total, shared = {c: row[c] for c in COUNTS}, np.zeros((2, names), np.int64)
     for one in row["shared"]:
         shared[:, one["rank"]] = one["total"], one["kinds"]
@@ -575,11 +610,15 @@ def chunk_scores(row: dict, answers: pa.Table, parts: int, frequent: Frequent) -
     with np.errstate(divide="ignore", invalid="ignore"):
         weight1, weight2 = d2 * t1 / ch1, d3 * t2 / ch2
         fail1, fail2 = np.where(ch1 > 0, np.log10(weight1), 0.0), np.where(ch2 > 0, np.log10(weight2), 0.0)
-        p2 = (c2 - d2) / ch1[g.h1] + weight1[g.h1] * p1[g.w]
-        lower = np.where(c2 > 0, np.log10(p2), fail1[g.h1] + np.log10(p1[g.w]))
-        p3 = (c3 - d3) / ch2[g.history] + weight2[g.history] * p2
-        lp = np.where(c3 > 0, np.log10(p3), fail2[g.history] + lower)
-    del p2, p3, lower, c2, c3
+        lp = np.empty(len(w))
+        for at in range(0, len(w), BLOCK):
+            one = slice(at, at + BLOCK)
+            a, b, h = h1[one], w[one], history[one]
+            p2 = (c2[one] - d2) / ch1[a] + weight1[a] * p1[b]
+            lower = np.where(c2[one] > 0, np.log10(p2), fail1[a] + np.log10(p1[b]))
+            p3 = (c3[one] - d3) / ch2[h] + weight2[h] * p2
+            lp[one] = np.where(c3[one] > 0, np.log10(p3), fail2[h] + lower)
+    del c2, c3, ch2, t2, weight2, fail2, h1, w, history, g.h1, g.h2, g.w, g.history, g.order, g.heads
     n = len(steps.sizes)
     doc = np.repeat(np.arange(n), steps.sizes)
     known = np.bincount(doc, (c1 > 0)[steps.w], n).astype(np.int64)
